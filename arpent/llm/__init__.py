@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: Each module has QUERIES and ORACLES.
-MODULES = ["sharding", "secrets", "bpe", "packing"]
+MODULES = ["sharding", "secrets", "bpe", "packing", "jaccard"]
 
 
 def queries() -> dict:
