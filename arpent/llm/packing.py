@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import unicodedata
 import zlib
 from bisect import bisect_left, insort
 
@@ -17,7 +19,7 @@ from arpent.llm._shared import numbered, read, saved
 CAPACITY = 2048
 
 #: Words that a worker remembers before it starts anew; text that it cuts into words at once.
-REMEMBERED, SLICE_CHARS = 400_000, 2_000_000
+REMEMBERED, SLICE_CHARS = 600_000, 2_000_000
 
 
 def pack_counts(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, list[int]]]:
@@ -106,18 +108,93 @@ def places(bins: list[tuple[int, list[int]]]) -> list[tuple[int, int, int, int,
     return out
 
 
-_KNOWN: dict[int, tuple] = {}
+def is_letters(word: str) -> bool:
+    """Letters only, composed and in lower case too, so that the tokenizer's normal form keeps them letters."""
+    return word.isalpha() and (word.isascii() or (unicodedata.is_normalized("NFC", word) and word.lower().isalpha()))
 
 
-def word_ids(held: Broadcast):
-    """This worker's tokenizer and the ids of words that it has met, as bytes."""
-    key = zlib.crc32(held.value.encode())
-    if key not in _KNOWN:
+class Words:
+    """A worker's tokenizer and the ids, as bytes, of the words that it has met."""
+
+    def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _KNOWN[key] = (Tokenizer.from_str(held.value), {})
-    return _KNOWN[key]
+        self.tokenizer, self.known = Tokenizer.from_str(definition), {}
+        self.suffix = json.loads(definition)["model"].get("end_of_word_suffix") or ""
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        for token, i in vocabulary.items():
+            self.ends[i] = bool(self.suffix) and token.endswith(self.suffix)
+
+    def cut(self, text: str | None) -> list[str]:
+        """Words between spaces, tabs and line ends; texts of Latin-1 letters only are lower-cased, as the tokenizer does."""
+        text = text or ""
+        if "<|" not in text:  # names of special tokens keep their case
+            try:
+                text.isascii() or text.encode("latin-1")
+                text = text.lower()
+            except UnicodeEncodeError:
+                pass
+        text = text.replace("\n", " ")
+        if "\t" in text or "\r" in text:
+            text = text.replace("\t", " ").replace("\r", " ")
+        return text.split(" ")
+
+    def learn(self, new: list[str]) -> None:
+        """Ids of new words. A run of letters before stops and commas is a token run of its own, and is encoded once."""
+        cores = {w: c if is_letters(c := w.rstrip(".,")) else "" for w in new}
+        plain = [c for c in dict.fromkeys(cores.values()) if c and c not in self.known]
+        for a in range(0, len(plain), 20_000):
+            self._letters(plain[a : a + 20_000])
+        odd = list(dict.fromkeys(x for w, c in cores.items() for x in ((w[len(c) :],) if c else (w,)) if x not in self.known))
+        for a in range(0, len(odd), 20_000):
+            self._each(odd[a : a + 20_000])
+        self.known.update((w, self.known[c] + self.known[w[len(c) :]]) for w, c in cores.items() if c and c != w)
+
+    def _each(self, words: list[str]) -> None:
+        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True))
+
+    def _letters(self, words: list[str], together: int = 200) -> None:
+        """Many words in one call; tokens that end a word part their ids."""
+        lots = [words[a : a + together] for a in range(0, len(words), together)]
+        for lot, e in zip(lots, self.tokenizer.encode_batch_fast([" ".join(x) for x in lots], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(lot):
+                self._each(lot)
+                continue
+            flat, at = ids.tobytes(), 0
+            for w, stop in zip(lot, stops.tolist(), strict=True):
+                self.known[w] = flat[4 * at : 4 * stop]
+                at = stop
+
+    def ids(self, texts: list[str | None]):
+        part, size = [], 0
+        for i, t in enumerate(texts):
+            part.append(self.cut(t))
+            size += len(t or "")
+            if size > SLICE_CHARS or i == len(texts) - 1:
+                every, known = set().union(*part), self.known
+                new = [w for w in every if w not in known]
+                if len(known) + len(new) > REMEMBERED:
+                    known.clear()
+                    new = list(every)
+                self.learn(new)
+                for words in part:
+                    yield b"".join([known[w] for w in words])
+                part, size = [], 0
+
+
+_WORDS: dict[int, Words] = {}
+
+
+def words_of(held: Broadcast) -> Words:
+    """This worker's tokenizer; it stays for later partitions."""
+    key = zlib.crc32(held.value.encode())
+    if key not in _WORDS:
+        _WORDS[key] = Words(held.value)
+    return _WORDS[key]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
@@ -131,30 +208,11 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches):
-        tokenizer, known = word_ids(held)
-        cut = str.maketrans("\t\n\r", "   ")
-
-        def ids_of(texts):
-            part, size = [], 0
-            for i, t in enumerate(texts):
-                part.append((t or "").translate(cut).split(" ") if t and ("\t" in t or "\r" in t) else (t or "").replace("\n", " ").split(" "))
-                size += len(t or "")
-                if size > SLICE_CHARS or i == len(texts) - 1:
-                    every = set().union(*part)
-                    new = [w for w in every if w not in known]
-                    if len(known) + len(new) > REMEMBERED:
-                        known.clear()
-                        new = list(every)
-                    for a in range(0, len(new), 20_000):
-                        words = new[a : a + 20_000]
-                        known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(words, tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True))
-                    for words in part:
-                        yield b"".join([known[w] for w in words]) + end
-                    part, size = [], 0
-
+        words = words_of(held)
         for b in batches:
             out: list[list] = [[], [], [], [], []]
-            for doc, ids in zip(b.column(0).to_pylist(), ids_of(b.column(1).to_pylist()), strict=True):
+            for doc, ids in zip(b.column(0).to_pylist(), words.ids(b.column(1).to_pylist()), strict=True):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     piece = ids[at : at + 4 * capacity]
                     for column, x in zip(out, (doc, k, at // 4, len(piece) // 4, zlib.crc32(piece)), strict=True):

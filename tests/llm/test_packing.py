@@ -51,3 +51,10 @@ def test_counts_are_packed_whole():
             for x in items:
                 got[x] += n
         assert got == counts
+
+
+def test_words_in_many_scripts_and_cases(spark):
+    rng = random.Random(3)
+    parts = ["a", "Ab", "'s", "'", "1", "É", "é", "́", " ", "\n", "\t", "\xa0", "\x85", "\x1c", "<|endoftext|>", "<|ENDOFTEXT|>", "!", "...", ",", ".", "ß", "Σ", "İ", "क़", "日", "\r", "I'll"]
+    docs = [(i, "".join(rng.choice(parts) for _ in range(rng.randint(1, 14)))) for i in range(4000)]
+    check(packing.pack_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect(), docs)
