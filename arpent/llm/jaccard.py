@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,14 +130,13 @@ def tile_pairs(rows: DataFrame, percent: int) -> DataFrame:
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("blocks", "other")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        size = min(map(len, pdf["bits"]))
-        x = np.stack([fold(np.frombuffer(b, np.uint8), size) for b in pdf["bits"]])
-        x = np.ascontiguousarray(x).view(np.uint64)
-        n, node, comp, home, own = (pdf[c].to_numpy() for c in ("n", "node", "component", "home", "own"))
-        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
-        first, second = (np.flatnonzero(own == i), np.flatnonzero(own == j))
-        found: list[tuple[np.ndarray, np.ndarray]] = []
+    columns = ["tile", "i", "j", "node", "component", "n", "home", "own", "bits"]
+
+    def compare(node, comp, n, home, own, bits, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+        size = min(map(len, bits))
+        x = np.stack([fold(np.frombuffer(b, np.uint8), size) for b in bits]).view(np.uint64)
+        first, second = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        found = [(np.empty(0, np.int64),) * 2]
         for k in first:
             other = second[node[second] > node[k]] if i == j else second
             other = other[(comp[other] != comp[k]) & (home[other] | home[k]) & (100 * np.minimum(n[other], n[k]) >= percent * np.maximum(n[other], n[k]))]
@@ -147,10 +145,42 @@ def tile_pairs(rows: DataFrame, percent: int) -> DataFrame:
                 only_o = np.bitwise_count(x[other] & ~x[k]).sum(axis=1, dtype=np.int64)
                 other = other[linked(n[k], n[other], bound(n[k], n[other], only_k, only_o), percent)]
                 found.append((np.full(len(other), node[k]), node[other]))
-        a, b = (np.concatenate([f[z] for f in found]) if found else np.empty(0, np.int64) for z in (0, 1))
-        return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+        return tuple(np.concatenate(z) for z in zip(*found, strict=True))
 
-    return dealt.groupBy("tile", "i", "j").applyInPandas(run, "a long, b long").distinct()
+    def run(batches):
+        """Groups follow one another in the sorted partition; a group may run over several batches."""
+        held: list[pa.RecordBatch] = []
+
+        def pairs_of(t: pa.Table) -> pa.RecordBatch:
+            tile, i, j, node, comp, n, home, own = (t[c].to_numpy() for c in columns[:-1])
+            bits = t["bits"].to_pylist()
+            edges = np.concatenate([[0], np.flatnonzero((np.diff(tile) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1, [len(tile)]])
+            found = [(np.empty(0, np.int64),) * 2]
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                if b - a > 1:
+                    g = slice(a, b)
+                    found.append(compare(node[g], comp[g], n[g], home[g], own[g], bits[g], i[a], j[a]))
+            x, y = (np.concatenate(z) for z in zip(*found, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], ["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            last = [batch.column(c)[batch.num_rows - 1].as_py() for c in ("tile", "i", "j")]
+            same = np.logical_and.reduce([batch.column(c).to_numpy() == x for c, x in zip(("tile", "i", "j"), last, strict=True)])
+            cut = batch.num_rows - int(same[::-1].argmin()) if not same.all() else 0
+            if cut:
+                yield pairs_of(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held = []
+            elif held and [held[-1].column(c)[-1].as_py() for c in ("tile", "i", "j")] != last:
+                yield pairs_of(pa.Table.from_batches(held))
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            yield pairs_of(pa.Table.from_batches(held))
+
+    sorted_ = dealt.select(*columns).repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j", "node")
+    return sorted_.mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, text: str = "text") -> DataFrame:
