@@ -33,6 +33,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 def oracle(sql: str) -> str:
     """The statement with the derived tables that it may name in front."""
     given = ",\n".join(f"{name} AS ({text})" for name, text in DEFINITIONS.items())
+    if "w(" in sql and " UNION SELECT " in sql:
+        given = "RECURSIVE " + given
     return f"WITH {given},\n{sql.strip()[5:]}" if sql.strip()[:5].upper() == "WITH " else f"WITH {given}\n{sql.strip()}"
 
 

@@ -8,6 +8,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
+import arpent.catalogue_more  # noqa: F401
 from arpent.catalogue import ORACLES, QUERIES
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
