@@ -21,7 +21,8 @@ BLOCK = 1024
 #: Rounds that link rows to a leader of their tile before the rows of a tile that are still apart are all compared.
 STAR_ROUNDS = 6
 
-BITMAP_MIN, BITMAP_MAX = 64, 8192
+#: Bits of a bitmap for each element, and its least and most bits.
+BITS_EACH, BITMAP_MIN, BITMAP_MAX = 8, 64, 1 << 17
 
 SEEDS = mix(np.arange(1, KEYS + 1, dtype=np.uint64))
 
@@ -32,8 +33,8 @@ def band_of(n: Column | str) -> Column:
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    """A bit for each hash, in a power of two of bits of twice the set's size at least."""
-    bits = min(BITMAP_MAX, max(BITMAP_MIN, 1 << int(2 * max(1, len(s)) - 1).bit_length()))
+    """A bit for each hash, in a power of two of bits of BITS_EACH times the set's size at least."""
+    bits = min(BITMAP_MAX, max(BITMAP_MIN, 1 << int(BITS_EACH * max(1, len(s)) - 1).bit_length()))
     out = np.zeros(bits, np.uint8)
     out[(s & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little")
@@ -122,24 +123,32 @@ def exact_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def tile_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of rows of one tile, in different components, whose bitmaps leave the link possible.
 
-    rows: tile, home, node, component, n, bits. A tile's rows are dealt into blocks of about BLOCK rows by a hash, and
-    each pair of blocks is one task's work; only pairs within the bound leave it.
+    rows: tile, seed, home, node, component, n, bits, keys. A pair is compared in the tile of the first seed that it shares. The rows of a tile's largest component lie in blocks of about BLOCK rows,
+    dealt by a hash, and each block meets the tile's other rows; those others meet one another in pairs of blocks of their
+    own. So rows of a large component are never copied, and never compared with one another. Only pairs within the bound
+    leave a block.
     """
-    sizes = rows.groupBy("tile").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = rows.join(sizes, "tile").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("blocks", "other")
-
-    columns = ["tile", "i", "j", "node", "component", "n", "home", "own", "bits"]
-
-    def compare(node, comp, n, home, own, bits, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+    by = rows.groupBy("tile", "component").agg(F.count("*").alias("k"))
+    sizes = by.groupBy("tile").agg(F.max(F.struct("k", "component"))["component"].alias("major"), F.max("k").alias("most"), F.sum("k").alias("every"))
+    sizes = sizes.select("tile", "major", F.ceil(F.col("most") / BLOCK).cast("int").alias("outer"), F.greatest(F.lit(1), F.ceil((F.col("every") - F.col("most")) / BLOCK)).cast("int").alias("inner"))
+    dealt = rows.join(sizes, "tile").withColumn("held", F.col("component") == F.col("major")).withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("held"), F.col("outer")).otherwise(F.col("inner"))).cast("int"))
+    # i < 0: block -1 - i of the largest component with all others; else blocks i and j of the others
+    to_outer = F.transform(F.sequence(F.lit(0), F.col("outer") - 1), lambda b: F.struct((-1 - b).alias("i"), F.lit(0).alias("j")))
+    to_inner = F.transform(F.sequence(F.lit(0), F.col("inner") - 1), lambda b: F.struct(F.least("own", b).alias("i"), F.greatest("own", b).alias("j")))
+    at = F.when(F.col("held"), F.array(F.struct((-1 - F.col("own")).alias("i"), F.lit(0).alias("j")))).otherwise(F.concat(to_outer, to_inner))
+    dealt = dealt.select("*", F.inline(at))
+    columns = ["tile", "i", "j", "seed", "node", "component", "n", "home", "held", "own", "keys", "bits"]
+
+    def compare(seed: int, node, comp, n, home, held, own, keys, bits, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
         size = min(map(len, bits))
         x = np.stack([fold(np.frombuffer(b, np.uint8), size) for b in bits]).view(np.uint64)
-        first, second = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        first, second = (np.flatnonzero(~held), np.flatnonzero(held)) if i < 0 else (np.flatnonzero(own == i), np.flatnonzero(own == j))
         found = [(np.empty(0, np.int64),) * 2]
         for k in first:
             other = second[node[second] > node[k]] if i == j else second
             other = other[(comp[other] != comp[k]) & (home[other] | home[k]) & (100 * np.minimum(n[other], n[k]) >= percent * np.maximum(n[other], n[k]))]
+            if seed and len(other):
+                other = other[~(keys[other, :seed] == keys[k, :seed]).any(axis=1)]
             if len(other):
                 only_k = np.bitwise_count(x[k] & ~x[other]).sum(axis=1, dtype=np.int64)
                 only_o = np.bitwise_count(x[other] & ~x[k]).sum(axis=1, dtype=np.int64)
@@ -152,14 +161,15 @@ def tile_pairs(rows: DataFrame, percent: int) -> DataFrame:
         held: list[pa.RecordBatch] = []
 
         def pairs_of(t: pa.Table) -> pa.RecordBatch:
-            tile, i, j, node, comp, n, home, own = (t[c].to_numpy() for c in columns[:-1])
+            tile, i, j, seed, node, comp, n, home, held_, own = (t[c].to_numpy() for c in columns[:-2])
+            keys = t["keys"].combine_chunks().flatten().to_numpy().reshape(len(tile), -1)
             bits = t["bits"].to_pylist()
             edges = np.concatenate([[0], np.flatnonzero((np.diff(tile) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1, [len(tile)]])
             found = [(np.empty(0, np.int64),) * 2]
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 if b - a > 1:
                     g = slice(a, b)
-                    found.append(compare(node[g], comp[g], n[g], home[g], own[g], bits[g], i[a], j[a]))
+                    found.append(compare(int(seed[a]), node[g], comp[g], n[g], home[g], held_[g], own[g], keys[g], bits[g], i[a], j[a]))
             x, y = (np.concatenate(z) for z in zip(*found, strict=True))
             return pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], ["a", "b"])
 
@@ -200,7 +210,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, text: str = "text") -> D
     # A node is at home in its own band and a guest in the next lower one; pairs of two guests meet in their own band.
     keyed = nodes.select("node", "n", band_of("n").alias("band"), F.posexplode("keys").alias("seed", "key"))
     keyed = keyed.select("node", "n", F.explode(F.array(F.struct(F.lit(True).alias("home"), F.col("band").alias("band")), F.struct(F.lit(False).alias("home"), (F.col("band") - 1).alias("band")))).alias("x"), "seed", "key")
-    keyed = keyed.select(F.xxhash64("seed", "key", "x.band").alias("tile"), "x.home", "node", "n")
+    keyed = keyed.select(F.xxhash64("seed", "key", "x.band").alias("tile"), "seed", "x.home", "node", "n")
     shared = keyed.groupBy("tile").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("tile")
     tiles = saved(keyed.join(shared, "tile", "left_semi"), "tiles")
     near = saved(tiles.select("node").distinct(), "near")
@@ -236,7 +246,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, text: str = "text") -> D
         labels, links, any_ = settled(exact_links(bounded_pairs(pairs, bits, percent), sets, percent))
         if not any_ or before == 0 or apart().select("component").distinct().count() > 0.95 * before:
             break
-    rest = saved(tile_pairs(apart().join(bits.select("node", "bits"), "node"), percent), "tile-pairs")
+    rest = saved(tile_pairs(apart().join(nodes.select("node", "bits", "keys"), "node"), percent), "tile-pairs")
     labels, links, _ = settled(exact_links(rest, sets, percent))
 
     labelled = rows.select("doc_id", "node", "n").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
