@@ -139,22 +139,22 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "
     hashes only adds a candidate, which is verified. Candidates are broadcast where they are counted to be few, else
     joined by shuffle. Null and empty texts have no spans.
     """
-    docs = docs.withColumn("_key", F.xxhash64(*keys, text))
+    docs = docs.withColumn("__arpent_key", F.xxhash64(*keys, text))
     wanted = sorted({t for r in rules for term in trigram_query(r.pattern) for t in term})
     indexed = [r for r in rules if all(trigram_query(r.pattern))]
     if wanted:
-        index = saved(postings(docs, F.col("_key"), text, wanted), "trigram-index")
-        named = saved(candidates(index, tuple(indexed)).withColumnRenamed("key", "_key").withColumnRenamed("rules", "_rules"), "candidates")
-        docs = docs.join(small(named), "_key", "left")
+        index = saved(postings(docs, F.col("__arpent_key"), text, wanted), "trigram-index")
+        named = saved(candidates(index, tuple(indexed)).withColumnRenamed("key", "__arpent_key").withColumnRenamed("rules", "__arpent_rules"), "candidates")
+        docs = docs.join(small(named), "__arpent_key", "left")
     else:
-        docs = docs.withColumn("_rules", F.array().cast("array<string>"))
+        docs = docs.withColumn("__arpent_rules", F.array().cast("array<string>"))
     none = F.array().cast("array<struct<start:int,end:int>>")
     found = []
     for i, r in enumerate(rules):
-        held = F.coalesce(F.array_contains("_rules", r.kind), F.lit(False)) if r in indexed else F.lit(True)
+        held = F.coalesce(F.array_contains("__arpent_rules", r.kind), F.lit(False)) if r in indexed else F.lit(True)
         hits = F.coalesce(F.when(held & F.col(text).isNotNull(), spans_of(F.col(text), r)), none)
         found.append(_tagged(hits, i, r.kind))
-    return docs.withColumn("_secrets", F.array_sort(F.concat(*found))).drop("_key", "_rules")
+    return docs.withColumn("_secrets", F.array_sort(F.concat(*found))).drop("__arpent_key", "__arpent_rules")
 
 
 def redact(docs: DataFrame, mark: str = "[secret]", text: str = "text") -> DataFrame:

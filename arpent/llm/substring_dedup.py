@@ -123,8 +123,8 @@ def remove_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, report: bool
     found = digests(docs).groupBy("digest").agg(F.min("doc").alias("keeper"), F.max("doc").alias("other")).where("keeper <> other")
     firsts = saved(found.select("digest", "keeper"), "repeated-chunks")
     again = digests(docs).join(firsts, "digest").where("doc <> keeper")
-    repeats = saved(again.groupBy("doc").agg(F.collect_set(F.struct("digest", "keeper")).alias("_repeats")), "repeats")
-    key = "_arpent_doc"
+    repeats = saved(again.groupBy("doc").agg(F.collect_set(F.struct("digest", "keeper")).alias("__arpent_repeats")), "repeats")
+    key = "__arpent_doc"
     keyed = docs.withColumn(key, document_key())
     ids = repeats.select(F.col("doc").alias(key))
     lists = repeats.withColumnRenamed("doc", key)
@@ -135,7 +135,7 @@ def remove_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, report: bool
     def run(batches):
         for b in batches:
             texts, removed, spans, kept = [], [], [], []
-            for t, held in zip(b.column("text").to_pylist(), b.column("_repeats").to_pylist(), strict=True):
+            for t, held in zip(b.column("text").to_pylist(), b.column("__arpent_repeats").to_pylist(), strict=True):
                 at = repeated_spans(t, {x["digest"]: x["keeper"] for x in held}, least_words) if held and t else []
                 texts.append(cut_spans(t, at) if at else t)
                 removed.append(len(t or "") - len(texts[-1] or ""))
@@ -150,8 +150,8 @@ def remove_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, report: bool
         rest = keyed.join(F.broadcast(ids), key, "left_anti").select(*keep)
         if report:
             rest = rest.select(*keep, F.lit(0).cast("long").alias("removed_chars"), F.lit("").alias("spans"), F.array().cast("array<long>").alias("kept_in"))
-        return touched.select(*keep, "_repeats").mapInArrow(run, schema).unionByName(rest)
-    return keyed.join(lists, key, "left").select(*keep, "_repeats").mapInArrow(run, schema)
+        return touched.select(*keep, "__arpent_repeats").mapInArrow(run, schema).unionByName(rest)
+    return keyed.join(lists, key, "left").select(*keep, "__arpent_repeats").mapInArrow(run, schema)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,8 +44,8 @@ def _sized(docs: DataFrame, before: list[str]) -> DataFrame:
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that another document keeps; a document of which nothing is left goes."""
-    out = remove_repeats(docs.withColumn("_had", F.length(F.trim("text")) > 0))
-    out = out.where((F.length(F.trim("text")) > 0) | ~F.coalesce("_had", F.lit(False)))
+    out = remove_repeats(docs.withColumn("__arpent_had", F.length(F.trim("text")) > 0))
+    out = out.where((F.length(F.trim("text")) > 0) | ~F.coalesce("__arpent_had", F.lit(False)))
     return _sized(out, docs.columns)
 
 
