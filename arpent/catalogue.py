@@ -205,9 +205,9 @@ def _(t):
 # --- filters, attributes, scalars ------------------------------------------------------------------------------------
 
 
-@query("flt_filter_select", "SELECT fid, nature FROM bld WHERE hauteur > 20 AND nature LIKE '%BRASS%'")
+@query("flt_filter_select", "SELECT fid, nature FROM bld WHERE hauteur > 20 AND nature LIKE '%ECONOMY%'")
 def _(t):
-    return tb.filter_select(t("bld"), ["fid", "nature"], "hauteur > 20 AND nature LIKE '%BRASS%'")
+    return tb.filter_select(t("bld"), ["fid", "nature"], "hauteur > 20 AND nature LIKE '%ECONOMY%'")
 
 
 @query("flt_min_area", "SELECT nature, round(sum((xmax - xmin) * (ymax - ymin)), 6) AS area FROM bld WHERE (xmax - xmin) * (ymax - ymin) >= 4 GROUP BY nature")

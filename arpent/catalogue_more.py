@@ -152,7 +152,8 @@ def _(t):
 
 # --- focal -----------------------------------------------------------------------------------------------------------
 
-_NB = "p.pid, n.{v} AS v, n.r - p.r AS dr, n.c - p.c AS dc FROM px p JOIN px n ON n.r BETWEEN p.r - {k} AND p.r + {k} AND n.c BETWEEN p.c - {k} AND p.c + {k}"
+#: Each pixel with its neighbours in a square, by equal row and column.
+_NB = "p.pid, n.{v} AS v, o.i AS dr, o.j AS dc FROM px p CROSS JOIN (SELECT i, j FROM range(-{k}, {k} + 1) a(i), range(-{k}, {k} + 1) b(j)) o JOIN px n ON n.r = p.r + o.i AND n.c = p.c + o.j"
 
 
 @query("foc_majority_filter", f"WITH n AS (SELECT {_NB.format(v='cls', k=1)} WHERE (n.r - p.r) * (n.r - p.r) + (n.c - p.c) * (n.c - p.c) <= 1), m AS (SELECT pid, v, count(*) AS k, max((dr = 0 AND dc = 0)::INT) AS own FROM n GROUP BY pid, v) SELECT pid, arg_min(v, (-k, -own, v)) AS majority FROM m GROUP BY pid")
