@@ -48,3 +48,12 @@ def test_odd_vectors_and_none(spark):
     assert sorted(exact)[3:] == [(100, 1, 0, 0), (100, 2, 3, 0), (100, 3, 5, 0)]
     for f in (permutation_index.nearest, exact_topk.exact_top_k):
         assert f(df.limit(0)).count() == 0
+
+
+def test_exact_top_k_against_sql(spark, sf_dir):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{sf_dir}/embeddings.parquet')")
+    want = con.execute(f"SELECT query_id, rank, vec_id, score FROM ({exact_topk.ORACLES['op10_exact_top_k']})").fetchall()
+    assert sorted(want) == sorted(map(tuple, exact_topk.op10_exact_top_k(spark, sf_dir).select("query_id", "rank", "vec_id", "score").collect()))
