@@ -59,14 +59,18 @@ def character_counts(docs: DataFrame) -> DataFrame:
     """(code, n): how often three symbols follow one another, over every text; SYMBOLS^3 rows at most."""
 
     def run(batches):
-        total = np.zeros(SYMBOLS**3, np.int64)
+        total, held, size = np.zeros(SYMBOLS**3, np.int64), [], 0
         for b in batches:
             for t in b.column(0).to_pylist():
                 if t:
                     s = np.concatenate([[0, 0], symbols(t), [0]])
-                    total += np.bincount((s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:], minlength=SYMBOLS**3) if len(s) > SYMBOLS**3 else 0
-                    if len(s) <= SYMBOLS**3:
-                        np.add.at(total, (s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:], 1)
+                    held.append((s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:])
+                    size += len(s)
+                if size > 2 * SYMBOLS**3:
+                    total += np.bincount(np.concatenate(held), minlength=SYMBOLS**3)
+                    held, size = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=SYMBOLS**3)
         code = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(total[code], pa.int64())], ["code", "n"])
 
@@ -113,10 +117,27 @@ def viterbi(written: str, model: np.ndarray) -> str:
     return max(((s + float(model[a, b, 0]), out) for (a, b), (s, out) in best.items()), key=lambda x: (x[0], x[1]))[1]
 
 
+_SEPARATOR = np.isin(np.arange(128), np.frombuffer(b" .-_*", np.uint8))
+_WORD = np.array([chr(i).isalnum() or chr(i) == "_" for i in range(128)])
+
+
+def hints(text: str) -> tuple[bool, bool]:
+    """Whether a text may have stretched letters, and spaced ones: array tests that only ever err to true."""
+    u = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+    if len(u) < 3:
+        return False, False
+    stretched = bool(((u[2:] == u[1:-1]) & (u[1:-1] == u[:-2]) & (u[2:] > 64)).any())
+    low = np.minimum(u, 127)
+    word, apart = _WORD[low] | (u > 126), _SEPARATOR[low] & (u < 127)
+    one = word[:-2] & apart[1:-1] & word[2:]
+    return stretched, bool((one[:-2] & one[2:]).any())
+
+
 def suspects(text: str) -> set[str]:
     """Written forms that may hide a word: tokens with signs among letters, stretched letters, spaced letters."""
     found = set()
-    for pattern in (SIGNS, STRETCHED):
+    stretched, spaced = hints(text)
+    for pattern in (SIGNS, STRETCHED) if stretched else (SIGNS,):
         end = -1
         for m in pattern.finditer(text):
             if m.start() < end:
@@ -129,7 +150,7 @@ def suspects(text: str) -> set[str]:
             token, end = text[a:b].strip(".,;:?!\"'()[]{}<>"), b
             if any(c.isalpha() for c in token):
                 found.add(token)
-    for m in SPACED.finditer(text):
+    for m in SPACED.finditer(text) if spaced else ():
         found.update((m[0], m[0][2:]))  # the first letter may be a word of its own
     return found
 
@@ -156,8 +177,10 @@ class Restorer:
 
 def features(words: set[str]) -> set[str]:
     """Words, and the beginnings of 3 to 8 letters that two words or more share."""
-    shared = Counter(f"{w[:n]}-" for n in BEGINNINGS for w in words if len(w) > n)
-    return words | {p for p, n in shared.items() if n > 1}
+    found = set(words)
+    for n in BEGINNINGS:
+        found.update(f"{p}-" for p, k in Counter([w[:n] for w in words if len(w) > n]).items() if k > 1)
+    return found
 
 
 def likelihood_ratio(n0: int, n1: int, share: float) -> float:
