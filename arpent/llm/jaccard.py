@@ -22,7 +22,7 @@ BLOCK = 1024
 STAR_ROUNDS = 6
 
 #: Bits of a bitmap for each element, and its least and most bits.
-BITS_EACH, BITMAP_MIN, BITMAP_MAX = 8, 64, 1 << 17
+BITS_EACH, BITMAP_MIN, BITMAP_MAX = 4, 64, 1 << 17
 
 SEEDS = mix(np.arange(1, KEYS + 1, dtype=np.uint64))
 
@@ -120,10 +120,17 @@ def exact_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").mapInArrow(run, "a long, b long")
 
 
-def tile_pairs(rows: DataFrame, percent: int) -> DataFrame:
+def distinct_tiles(rows: DataFrame) -> DataFrame:
+    """rows of one tile, that of the least seed, out of those with the same rows: near texts share most of their keys."""
+    mark = [F.bit_xor(F.xxhash64("node", "home", F.lit(i))).alias(f"m{i}") for i in (0, 1)]
+    kept = rows.groupBy("tile").agg(F.first("seed").alias("seed"), F.count("*").alias("k"), *mark).groupBy("k", "m0", "m1").agg(F.min(F.struct("seed", "tile"))["tile"].alias("tile"))
+    return rows.join(kept.select("tile"), "tile", "left_semi")
+
+
+def tile_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of rows of one tile, in different components, whose bitmaps leave the link possible.
 
-    rows: tile, seed, home, node, component, n, bits, keys. A pair is compared in the tile of the first seed that it shares. The rows of a tile's largest component lie in blocks of about BLOCK rows,
+    rows: tile, seed, home, node, component, n; nodes: node, bits, keys, which join once the rows are dealt. A pair is compared in the tile of the first seed that it shares. The rows of a tile's largest component lie in blocks of about BLOCK rows,
     dealt by a hash, and each block meets the tile's other rows; those others meet one another in pairs of blocks of their
     own. So rows of a large component are never copied, and never compared with one another. Only pairs within the bound
     leave a block.
@@ -136,7 +143,7 @@ def tile_pairs(rows: DataFrame, percent: int) -> DataFrame:
     to_outer = F.transform(F.sequence(F.lit(0), F.col("outer") - 1), lambda b: F.struct((-1 - b).alias("i"), F.lit(0).alias("j")))
     to_inner = F.transform(F.sequence(F.lit(0), F.col("inner") - 1), lambda b: F.struct(F.least("own", b).alias("i"), F.greatest("own", b).alias("j")))
     at = F.when(F.col("held"), F.array(F.struct((-1 - F.col("own")).alias("i"), F.lit(0).alias("j")))).otherwise(F.concat(to_outer, to_inner))
-    dealt = dealt.select("*", F.inline(at))
+    dealt = dealt.select("*", F.inline(at)).drop("major", "outer", "inner").join(nodes, "node")
     columns = ["tile", "i", "j", "seed", "node", "component", "n", "home", "held", "own", "keys", "bits"]
 
     def compare(seed: int, node, comp, n, home, held, own, keys, bits, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
@@ -246,7 +253,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, text: str = "text") -> D
         labels, links, any_ = settled(exact_links(bounded_pairs(pairs, bits, percent), sets, percent))
         if not any_ or before == 0 or apart().select("component").distinct().count() > 0.95 * before:
             break
-    rest = saved(tile_pairs(apart().join(nodes.select("node", "bits", "keys"), "node"), percent), "tile-pairs")
+    rest = saved(tile_pairs(saved(distinct_tiles(saved(apart(), "apart")), "apart"), nodes.join(small(near), "node", "left_semi").select("node", "bits", "keys"), percent), "tile-pairs")
     labels, links, _ = settled(exact_links(rest, sets, percent))
 
     labelled = rows.select("doc_id", "node", "n").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
