@@ -1,4 +1,4 @@
-"""Substring dedup: content-defined chunks by a gear rolling hash, known by their digests."""
+"""Substring dedup: windows of whole words, known by their hashes, found by their content-defined anchors."""
 
 from __future__ import annotations
 
@@ -11,16 +11,20 @@ from pyspark.sql import types as T
 from arpent.llm._shared import BROADCAST_ROWS, read, saved
 from arpent.llm.hashing import mix, span_hashes
 
+#: Words of a match: only words within a window of so many that stands, one after the other, in one other document are cut.
+LEAST_WORDS = 40
+
+#: Of so many windows in a row the one of least hash is an anchor, so documents with a common passage of
+#: LEAST_WORDS + SPREAD - 1 words share an anchor for certain.
+SPREAD = 8
+
+#: Chunks by a gear hash; remove_repeats uses windows of words instead.
 #: The gear hash is kept modulo 2^16, so it sees the last 16 bytes. One place in RATE is a cut.
 WINDOW, RATE = 16, 16
 
 #: Bytes of a chunk, least and most.
 SHORTEST, LONGEST = 12, 2048
 
-#: A run of repeated chunks is cut out when it holds so many whole words. A repeated passage loses its edges, about a
-#: chunk and a window at either end, so a passage of 50 words keeps far more than this.
-LEAST_WORDS = 14
-
 GEAR = (mix(np.arange(1000, 1256, dtype=np.uint64)) & np.uint64(0xFFFF)).astype(np.uint16)
 
 
@@ -68,37 +72,73 @@ def document_key() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62)))
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """(digest, doc): each chunk digest of a document once."""
+def windows(text: str | None, words: int) -> np.ndarray:
+    """64-bit hashes of every window of so many words, in order; words stand between ASCII white space of any kind."""
+    found = (text or "").encode().split()
+    if len(found) < words:
+        return np.empty(0, np.int64)
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    ends = np.cumsum(sizes + 1) - 1
+    return span_hashes(np.frombuffer(b" ".join(found), np.uint8), (ends - sizes)[: len(ends) - words + 1], ends[words - 1 :]).astype(np.int64)
+
+
+def anchors(found: np.ndarray) -> np.ndarray:
+    """The least of every SPREAD hashes in a row, each once; of fewer hashes the least one."""
+    width = 1
+    while width < SPREAD and len(found) > 1:
+        step = min(width, SPREAD - width, len(found) - 1)
+        found = np.minimum(found[:-step], found[step:])
+        width += step
+    return np.unique(found)
+
+
+def around(found: np.ndarray, marked: np.ndarray) -> np.ndarray:
+    """The hashes less than SPREAD places from a marked one, each once."""
+    at = np.flatnonzero(np.isin(found, marked))
+    edges = np.zeros(len(found) + 1, np.int64)
+    np.add.at(edges, np.maximum(at - SPREAD + 1, 0), 1)
+    np.add.at(edges, np.minimum(at + SPREAD, len(found)), -1)
+    return np.unique(found[np.cumsum(edges[:-1]) > 0])
+
+
+def _hashes(docs: DataFrame, choose) -> DataFrame:
+    """(digest, doc) from (doc, text, ...): choose(text, i, batch) gives the hashes of a row."""
 
     def run(batches):
         for b in batches:
-            docs_of, found = b.column(0).to_numpy(), []
-            for t in b.column(1).to_pylist():
-                found.append(np.unique(chunks(t)[2]))
-            sizes = [len(x) for x in found]
+            found = [choose(t, i, b) for i, t in enumerate(b.column(1).to_pylist())]
             flat = np.concatenate(found) if found else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(flat, pa.int64()), pa.array(np.repeat(docs_of, sizes), pa.int64())], ["digest", "doc"])
+            yield pa.RecordBatch.from_arrays([pa.array(flat, pa.int64()), pa.array(np.repeat(b.column(0).to_numpy(), [len(x) for x in found]), pa.int64())], ["digest", "doc"])
+
+    return docs.mapInArrow(run, "digest long, doc long")
+
+
+def _shared(hashes: DataFrame) -> DataFrame:
+    """(digest, keeper): the hashes that more than one document has, with the least of them."""
+    return hashes.groupBy("digest").agg(F.min("doc").alias("keeper"), F.max("doc").alias("other")).where("keeper <> other").select("digest", "keeper")
+
 
-    return docs.select(document_key().alias("doc"), "text").mapInArrow(run, "digest long, doc long")
+def _cell(column: pa.Array, i: int) -> np.ndarray:
+    """List i of a column of lists of longs; a null list is empty."""
+    return column.values[column.offsets[i].as_py() : column.offsets[i + 1].as_py()].to_numpy()
 
 
-def repeated_spans(text: str | None, repeated: dict[int, int], least_words: int) -> list[tuple[int, int, set[int]]]:
-    """(start, end, keepers) in bytes: runs of repeated chunks, narrowed to whole words, of least_words words or more."""
-    starts, ends, found = chunks(text)
-    if not len(found):
+def repeated_spans(text: str | None, digests: np.ndarray, keepers: np.ndarray, least_words: int) -> list[tuple[int, int, set[int]]]:
+    """(start, end, keepers) in bytes: runs of words that lie in windows with a digest of another document."""
+    found = windows(text, least_words)
+    if not len(found) or not len(digests):
         return []
+    order = np.argsort(digests, kind="stable")
+    place = np.minimum(np.searchsorted(digests[order], found), len(digests) - 1)
+    at = np.flatnonzero(digests[order][place] == found)
+    kept = keepers[order][place]
     data = np.frombuffer(text.encode(), np.uint8)
     space = np.isin(data, np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8))
     before, after = np.concatenate([[True], space[:-1]]), np.concatenate([space[1:], [True]])
     word_starts, word_ends = np.flatnonzero(before & ~space), np.flatnonzero(after & ~space) + 1
-    flags = np.array([int(d) in repeated for d in found.tolist()], np.int8)
-    edges = np.diff(np.concatenate([[0], flags, [0]]))
     out = []
-    for i, j in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1), strict=True):
-        a, b = np.searchsorted(word_starts, starts[i]), np.searchsorted(word_ends, ends[j - 1], side="right")
-        if b - a >= least_words:
-            out.append((int(word_starts[a]), int(word_ends[b - 1]), {repeated[int(d)] for d in found[i:j]}))
+    for run in np.split(at, np.flatnonzero(np.diff(at) > least_words) + 1) if len(at) else []:
+        out.append((int(word_starts[run[0]]), int(word_ends[run[-1] + least_words - 1]), set(kept[run].tolist())))
     return out
 
 
@@ -113,17 +153,27 @@ def cut_spans(text: str, spans: list[tuple[int, int, set[int]]]) -> str:
 def remove_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, report: bool = False) -> DataFrame:
     """docs with passages that stand in another document cut out of their texts; the least doc_id keeps a passage.
 
-    A chunk is repeated in a document if its digest also occurs in one of a smaller id. Runs of repeated chunks of
-    least_words whole words or more are cut. With report, adds removed_chars, spans (start:end in bytes of the old text,
-    comma-joined) and kept_in (the ids that keep the chunks cut). Null and empty texts stay; rows of one
-    id count as one document, and repeats within a document stay. Null ids keep a passage only among themselves.
-    Documents without repeats don't pass through Python, nor does their text move where the others are counted to be few.
+    Every word that lies in a window of least_words words which also stands, word for word, in a document of a smaller
+    id is cut, so passages go up to their edges; only white space may differ. Windows are found by their anchors: a
+    passage of least_words + SPREAD - 1 words or more is found for certain, one of least_words or more mostly. First the
+    anchors of all documents are grouped, then, in documents that share one, all windows around a shared anchor.
+    With report, adds removed_chars, spans (start:end in bytes of the old text, comma-joined) and kept_in (the ids that
+    keep the windows cut). Null and empty texts stay; rows of one id count as one document, and repeats within a
+    document stay. Null ids keep a passage only among themselves.
+    Documents without repeats don't pass through Python at last, nor does their text move where the others are counted
+    to be few.
     """
     spark = docs.sparkSession
-    found = digests(docs).groupBy("digest").agg(F.min("doc").alias("keeper"), F.max("doc").alias("other")).where("keeper <> other")
-    firsts = saved(found.select("digest", "keeper"), "repeated-chunks")
-    again = digests(docs).join(firsts, "digest").where("doc <> keeper")
-    repeats = saved(again.groupBy("doc").agg(F.collect_set(F.struct("digest", "keeper")).alias("__arpent_repeats")), "repeats")
+    first = _hashes(docs.select(document_key().alias("doc"), "text"), lambda t, i, b: anchors(windows(t, least_words)))
+    marks = first.join(saved(_shared(first), "shared-anchors"), "digest")
+    marked = saved(marks.groupBy("doc").agg(F.collect_set("digest").alias("marked")), "marked")
+    texts = docs.select(document_key().alias("doc"), "text").where("text IS NOT NULL")
+    if marked.count() <= BROADCAST_ROWS:  # of ids only
+        texts = texts.join(F.broadcast(marked.select("doc")), "doc", "left_semi")
+    near = saved(_hashes(texts.join(marked, "doc").select("doc", "text", "marked"), lambda t, i, b: around(windows(t, least_words), _cell(b.column(2), i))), "near-anchors")
+    again = near.join(saved(_shared(near), "shared-windows"), "digest").where("doc <> keeper").distinct()
+    lists = again.groupBy("doc").agg(F.collect_list(F.struct("digest", "keeper")).alias("_both"))
+    repeats = saved(lists.select("doc", F.col("_both.digest").alias("__arpent_digests"), F.col("_both.keeper").alias("__arpent_keepers")), "repeats")
     key = "__arpent_doc"
     keyed = docs.withColumn(key, document_key())
     ids = repeats.select(F.col("doc").alias(key))
@@ -135,8 +185,9 @@ def remove_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, report: bool
     def run(batches):
         for b in batches:
             texts, removed, spans, kept = [], [], [], []
-            for t, held in zip(b.column("text").to_pylist(), b.column("__arpent_repeats").to_pylist(), strict=True):
-                at = repeated_spans(t, {x["digest"]: x["keeper"] for x in held}, least_words) if held and t else []
+            held = b.column("__arpent_digests"), b.column("__arpent_keepers")
+            for i, t in enumerate(b.column("text").to_pylist()):
+                at = repeated_spans(t, _cell(held[0], i), _cell(held[1], i), least_words) if t else []
                 texts.append(cut_spans(t, at) if at else t)
                 removed.append(len(t or "") - len(texts[-1] or ""))
                 spans.append(",".join(f"{x}:{y}" for x, y, _ in at))
@@ -150,8 +201,8 @@ def remove_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, report: bool
         rest = keyed.join(F.broadcast(ids), key, "left_anti").select(*keep)
         if report:
             rest = rest.select(*keep, F.lit(0).cast("long").alias("removed_chars"), F.lit("").alias("spans"), F.array().cast("array<long>").alias("kept_in"))
-        return touched.select(*keep, "__arpent_repeats").mapInArrow(run, schema).unionByName(rest)
-    return keyed.join(lists, key, "left").select(*keep, "__arpent_repeats").mapInArrow(run, schema)
+        return touched.select(*keep, "__arpent_digests", "__arpent_keepers").mapInArrow(run, schema).unionByName(rest)
+    return keyed.join(lists, key, "left").select(*keep, "__arpent_digests", "__arpent_keepers").mapInArrow(run, schema)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

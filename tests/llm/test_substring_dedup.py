@@ -91,3 +91,46 @@ def test_chunks_cover_the_text():
     for text in ("", "a", "abc " * 5000, "é" * 9999):
         starts, ends, _ = sd.chunks(text)
         assert (np.diff(np.concatenate([[0], ends])) > 0).all() and (ends[-1:] == len(text.encode())).all() and (starts[1:] == ends[:-1]).all()
+
+
+def plain_windows(rows, least=sd.LEAST_WORDS):
+    """The words of each document that lie in a window of so many words which stands in a document of a smaller id."""
+    words = {doc: text.split() for doc, text in rows}
+    first = {}
+    for doc in sorted(words):
+        for i in range(len(words[doc]) - least + 1):
+            first.setdefault(tuple(words[doc][i : i + least]), doc)
+    out = {doc: set() for doc in words}
+    for doc, w in words.items():
+        for i in range(len(w) - least + 1):
+            if first[tuple(w[i : i + least])] != doc:
+                out[doc] |= set(range(i, i + least))
+    return out
+
+
+def test_only_contiguous_passages_are_cut_up_to_their_edges(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    halves, whole = [prose(20) for _ in range(80)], [prose(50) for _ in range(80)]
+    rows = [(i, f"{prose(30)} {halves[i]} {prose(30)} {whole[i]}\n{prose(30)}") for i in range(80)]
+    # two short passages of two documents side by side are no match; each passage of 50 words is one
+    rows += [(100 + i, f"{prose(30)} {halves[i]} {halves[(i + 1) % 80]} {prose(30)}") for i in range(80)]
+    rows += [(200 + i, f"{prose(9)}\n{whole[i]} {prose(9)}") for i in range(80)]
+    rows += [(300, "la " * 300 + "end"), (301, "so " + "la " * 300)]
+    got = {r["doc_id"]: r for r in sd.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), report=True).collect()}
+    at = dict(rows)
+    assert all(got[i]["text"] == at[i] for i in [*range(80), *range(100, 180), 300])
+    assert all(got[200 + i]["text"] == at[200 + i].replace(whole[i], "") and got[200 + i]["kept_in"] == [i] for i in range(80))
+    assert got[301]["text"] == "so  "
+
+
+def test_query_cuts_what_plain_windows_cut(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    want, sure = plain_windows(rows), plain_windows(rows, sd.LEAST_WORDS + sd.SPREAD - 1)
+    for r in sd.op1_substring_dedup(spark, sf_dir).collect():
+        data, cut = dict(rows)[r["doc_id"]].encode(), set()
+        for a, b in (map(int, s.split(":")) for s in r["spans"].split(",") if s):
+            n = len(data[:a].split())
+            cut |= set(range(n, n + len(data[a:b].split())))
+        assert sure[r["doc_id"]] <= cut <= want[r["doc_id"]]
