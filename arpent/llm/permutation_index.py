@@ -13,7 +13,7 @@ from arpent.llm.vectors import best, top_of_tiles, usable
 PIVOTS, PREFIX = 512, 64
 
 #: Share of a tile's rows, and least number of them, that the footrule ranking passes on to exact scores.
-SHARE, LEAST = 0.10, 400
+SHARE, LEAST = 0.20, 400
 
 
 def permutations(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
@@ -21,6 +21,11 @@ def permutations(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
     return np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :prefix].astype(np.int16)
 
 
+def levelled(x: np.ndarray, square: float) -> np.ndarray:
+    """x with one more component, by which all rows have the squared norm `square`; nearness by angle is then that by inner product."""
+    return np.hstack([x, np.sqrt(np.maximum(square - (x * x).sum(axis=1), 0))[:, None]])
+
+
 class InvertedFiles:
     """For each pivot, the rows that have it in their prefix, and its place there."""
 
@@ -43,11 +48,11 @@ class InvertedFiles:
         return total
 
 
-def search_tile(pivots: np.ndarray, prefix: int, k: int):
+def search_tile(pivots: np.ndarray, prefix: int, k: int, square: float, share: float, least: int):
     def find(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray):
-        files = InvertedFiles(permutations(v, pivots, prefix), len(pivots))
-        orders = permutations(q, pivots, prefix)
-        most = min(len(vid), max(LEAST, int(SHARE * len(vid))))
+        files = InvertedFiles(permutations(levelled(v, square), pivots, prefix), len(pivots))
+        orders = permutations(np.hstack([q, np.zeros((len(q), 1))]), pivots, prefix)
+        most = min(len(vid), max(least, int(share * len(vid))))
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for i in range(len(qid)):
             near = files.footrule(orders[i]).astype(np.int64) * len(vid) + np.arange(len(vid))  # ties to the smaller id
@@ -61,20 +66,23 @@ def search_tile(pivots: np.ndarray, prefix: int, k: int):
     return find
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, n_pivots: int = PIVOTS, prefix: int = PREFIX) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, n_pivots: int = PIVOTS, prefix: int = PREFIX, share: float = SHARE, least: int = LEAST) -> DataFrame:
     """The k rows of largest inner product found for each query row, by (query_id, rank, vec_id, score).
 
     Every row is posted in the inverted files of its nearest pivots, tile by tile; a query ranks a tile's rows by the
-    footrule distance of the prefixes and scores the nearest ones on the original vectors in double precision. A tile of
-    LEAST rows or fewer is scored whole. Vectors that are null, zero or hold null or non-finite components take no part,
+    footrule distance of the prefixes and scores the nearest ones on the original vectors in double precision. Norms count:
+    rows and pivots get one more component that makes their norms equal, queries a zero there. A tile of
+    `least` rows or fewer is scored whole. Vectors that are null, zero or hold null or non-finite components take no part,
     nor do rows without vec_id; rows of a query's own vec_id are its own. All vectors have one length.
     """
     rows = vectors.where(usable()).select(F.col("vec_id").cast("long"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
     sample = rows.where("vec_id IS NOT NULL").orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_pivots).collect()  # n_pivots rows at most
     pivots = np.array([r["v"] for r in sample], np.float64)
+    square = rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()[0] or 0.0
     if len(pivots):
+        pivots = levelled(pivots, square)
         pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
-    return top_of_tiles(rows, every, k, search_tile(pivots, min(prefix, max(1, len(pivots))), k), "double")
+    return top_of_tiles(rows, every, k, search_tile(pivots, min(prefix, max(1, len(pivots))), k, square, share, least), "double")
 
 
 def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:

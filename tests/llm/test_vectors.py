@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from arpent.llm import exact_topk, permutation_index
 
@@ -57,3 +58,13 @@ def test_exact_top_k_against_sql(spark, sf_dir):
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{sf_dir}/embeddings.parquet')")
     want = con.execute(f"SELECT query_id, rank, vec_id, score FROM ({exact_topk.ORACLES['op10_exact_top_k']})").fetchall()
     assert sorted(want) == sorted(map(tuple, exact_topk.op10_exact_top_k(spark, sf_dir).select("query_id", "rank", "vec_id", "score").collect()))
+
+
+@pytest.mark.parametrize("sigma", [0.0, 0.3, 0.7])
+def test_recall_at_the_production_share(spark, sigma):
+    """Without the floor that scores small tiles almost whole; on unit norms and on log-normal ones."""
+    ids, x = load(spark, "/root/testdata/sf0.1")
+    x = x * np.exp(np.random.default_rng(3).normal(0, sigma, len(x)))[:, None]
+    df = spark.createDataFrame([(int(i), v) for i, v in zip(ids, x.tolist(), strict=True)], "vec_id long, embedding array<double>")
+    found = {(r["query_id"], r["vec_id"]) for r in permutation_index.nearest(df, least=1).collect()}
+    assert np.mean([(a, c) in found for a, _, c, _ in brute(ids, x, 20, 20)]) >= 0.9
