@@ -108,10 +108,16 @@ def _(t):
 
 @query("src_tiles_round_trip", "SELECT r, c, CAST(red AS FLOAT) AS value FROM px WHERE r < (SELECT h // 4 * 4 FROM grid_meta) AND c < 124")
 def _(t):
-    tiles = ly.pixels_to_tiles(t("px").where("c < 124"), "red", 4).where("size(data) = 16").withColumn("scene", F.lit("a"))
+    tiles = ly.pixels_to_tiles(t("px").where("c < 124"), "red", 4).where("NOT exists(data, v -> v IS NULL)").withColumn("scene", F.lit("a"))
     return ly.tiles_to_pixels(tiles, 4).select("r", "c", "value")
 
 
+@query("src_tiles_round_trip_all", "SELECT r, c, CAST(red AS FLOAT) AS value FROM px")
+def _(t):
+    tiles = ly.pixels_to_tiles(t("px"), "red", 4).withColumn("scene", F.lit("a"))
+    return ly.tiles_to_pixels(tiles, 4, absent=False).select("r", "c", "value")
+
+
 @query("src_scene_footprints", "SELECT sid, CAST(strptime(substr(name, 5, 8), '%Y%m%d') AS DATE) AS date, strftime(make_timestamp(CAST(substr(name, 14, 9) AS BIGINT) * 1000), '%H:%M:%S') AS time, string_split(name, '_')[3] AS folder FROM scene")
 def _(t):
     d, h, f = ly.scene_dates(F.col("name"))

@@ -12,17 +12,19 @@ def read_pixels(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def tiles_to_pixels(tiles: DataFrame, width: int) -> DataFrame:
-    """(scene, tx, ty, band, r, c, value) from tiles whose data are rows of `width` values."""
+def tiles_to_pixels(tiles: DataFrame, width: int, absent: bool = True) -> DataFrame:
+    """(scene, tx, ty, band, r, c, value) from tiles whose data are rows of `width` values; without absent, nulls are left out."""
     long = tiles.select("scene", "tx", "ty", "band", F.posexplode("data").alias("_i", "value"))
-    return long.select("scene", "tx", "ty", "band", (F.col("ty") * width + F.floor(F.col("_i") / width)).alias("r"), (F.col("tx") * width + F.col("_i") % width).alias("c"), "value")
+    out = long.select("scene", "tx", "ty", "band", (F.col("ty") * width + F.floor(F.col("_i") / width)).alias("r"), (F.col("tx") * width + F.col("_i") % width).alias("c"), "value")
+    return out if absent else out.where("value IS NOT NULL")
 
 
 def pixels_to_tiles(px: DataFrame, band: str, width: int) -> DataFrame:
-    """(tx, ty, band, data): values of each tile in row order; a tile has width * width pixels at most."""
-    k = F.struct("r", "c", F.col(band).cast("float").alias("v"))
-    t = px.groupBy(F.floor(F.col("c") / width).alias("tx"), F.floor(F.col("r") / width).alias("ty")).agg(F.array_sort(F.collect_list(k)).alias("_p"))
-    return t.select("tx", "ty", F.lit(band).alias("band"), F.transform("_p", lambda p: p["v"]).alias("data"))
+    """(tx, ty, band, data): width * width values of each tile in row order, null where there is no pixel or no value; a pixel given twice is an error."""
+    place = (F.pmod("r", F.lit(width)) * width + F.pmod("c", F.lit(width))).cast("int")
+    k = F.struct(place.alias("i"), F.col(band).cast("float").alias("v"))
+    t = px.groupBy(F.floor(F.col("c") / width).alias("tx"), F.floor(F.col("r") / width).alias("ty")).agg(F.map_from_entries(F.collect_list(k)).alias("_p"))
+    return t.select("tx", "ty", F.lit(band).alias("band"), F.transform(F.sequence(F.lit(0), F.lit(width * width - 1)), lambda i: F.col("_p")[i]).alias("data"))
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:

@@ -113,3 +113,11 @@ def test_box_pairs_come_once(spark):
     assert jn.box_join(a, a, 7.0).count() == 1
     none = a.limit(0)
     assert jn.box_join(a, none, 7.0).count() == 0 and ov.difference_overlay(a, none, 7.0).count() == 1
+
+
+def test_incomplete_tiles_keep_places(spark):
+    grid = [(r, c, float(10 * r + c)) for r in range(6) for c in range(5) if (r, c) != (1, 2)]  # 5 = one column over a tile
+    tiles = ly.pixels_to_tiles(spark.createDataFrame(grid, "r long, c long, v double"), "v", 4)
+    assert {len(t["data"]) for t in tiles.collect()} == {16}
+    back = ly.tiles_to_pixels(tiles.withColumn("scene", F.lit("a")), 4, absent=False).select("r", "c", "value")
+    assert sorted(map(tuple, back.collect())) == grid
