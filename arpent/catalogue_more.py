@@ -217,6 +217,21 @@ def _(t):
     return fo.shadow_mask(h, "hgt", 90, 60, 4).select("pid", "shadow")
 
 
+@query("foc_shadow_mask_all", "SELECT p.pid, coalesce(max((q.hgt - p.hgt > (q.c - p.c) * tan(radians(60)))::INT), 0) AS shadow FROM (SELECT * FROM px JOIN height_px USING (pid)) p LEFT JOIN (SELECT * FROM px JOIN height_px USING (pid)) q ON q.r = p.r AND q.c > p.c GROUP BY p.pid")
+def _(t):
+    h = t("px").select("pid", "r", "c").join(t("height_px").withColumn("hgt", F.col("hgt").cast("double")), "pid")
+    return fo.shadow_mask(h, "hgt", 90, 60).select("pid", "shadow")
+
+
+@query("foc_sky_view_factor_all", """WITH h AS (SELECT pid, r, c, hgt FROM px JOIN height_px USING (pid)), k AS (SELECT * FROM (VALUES (0, 0, 1), (1, 1, 0), (2, 0, -1), (3, -1, 0)) v(k, dr, dc)),
+p AS (SELECT h.pid, k.k, (q.hgt - h.hgt) / greatest(abs(q.r - h.r), abs(q.c - h.c)) AS s FROM h CROSS JOIN k JOIN h q ON sign(q.r - h.r) = k.dr AND sign(q.c - h.c) = k.dc),
+a AS (SELECT h.pid, k.k, atan(greatest(0.0, coalesce(max(p.s), 0))) AS a FROM h CROSS JOIN k LEFT JOIN p ON p.pid = h.pid AND p.k = k.k GROUP BY h.pid, k.k)
+SELECT pid, round(avg(cos(a) * cos(a)), 6) AS svf FROM a GROUP BY pid""")
+def _(t):
+    h = t("px").select("pid", "r", "c").join(t("height_px").withColumn("hgt", F.col("hgt").cast("double")), "pid")
+    return fo.sky_view_factor(h, "hgt", directions=4).select("pid", *r6("svf"))
+
+
 @query("foc_sky_view_factor", """WITH h AS (SELECT pid, r, c, hgt FROM px JOIN height_px USING (pid)), k AS (SELECT * FROM (VALUES (0, 0, 1), (1, 1, 0), (2, 0, -1), (3, -1, 0)) v(k, dr, dc)), s AS (SELECT * FROM k, range(1, 4) t(s)),
 a AS (SELECT h.pid, s.k, max(atan(greatest(0.0, coalesce(q.hgt - h.hgt, 0)) / s.s)) AS a FROM h CROSS JOIN s LEFT JOIN h q ON q.r = h.r + s.dr * s.s AND q.c = h.c + s.dc * s.s GROUP BY h.pid, s.k)
 SELECT pid, round(avg(cos(a) * cos(a)), 6) AS svf FROM a GROUP BY pid""")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -77,8 +79,19 @@ def cooccurrence(px: DataFrame, value: str, bins: int, low: float, high: float,
     return q.groupBy("r", "c").agg(F.sum(F.col("p") * F.col("p")).alias("energy"), (-F.sum(F.col("p") * F.ln("p"))).alias("entropy"), F.sum(d * d * F.col("p")).alias("inertia"), F.sum(F.col("p") / (1 + d * d)).alias("idm"), F.sum(F.col("i") * F.col("p")).alias("mean_"))
 
 
-def sky_view_factor(px: DataFrame, height: str, radius: int, directions: int = 8) -> DataFrame:
-    """px with `svf`: mean over directions of the squared cosine of the horizon angle within the radius."""
+def extent(px: DataFrame, height: str) -> tuple[float, int]:
+    """Span of the heights, and the number of steps that cross the raster from corner to corner."""
+    dh, dr, dc = px.agg(F.max(height) - F.min(height), F.max("r") - F.min("r"), F.max("c") - F.min("c")).first()
+    return float(dh or 0), max(1, math.ceil(math.hypot(dr or 0, dc or 0)))
+
+
+def sky_view_factor(px: DataFrame, height: str, radius: int | None = None, directions: int = 8) -> DataFrame:
+    """px with `svf`: mean over directions of the squared cosine of the horizon angle within the radius, or else the whole raster.
+
+    Each pixel is compared with radius pixels a direction, so the whole raster costs pixels times its diagonal.
+    """
+    if radius is None:
+        radius = extent(px, height)[1]
     steps = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(s).alias("s"), F.round(F.sin(F.lit(2 * 3.141592653589793 * k / directions)) * s).cast("long").alias("dr"), F.round(F.cos(F.lit(2 * 3.141592653589793 * k / directions)) * s).cast("long").alias("dc")) for k in range(directions) for s in range(1, radius + 1)])
     seen = px.select("r", "c", F.col(height).alias("h0"), F.inline(steps)).withColumn("rr", F.col("r") + F.col("dr")).withColumn("cc", F.col("c") + F.col("dc"))
     there = px.select(F.col("r").alias("rr"), F.col("c").alias("cc"), F.col(height).alias("h1"))
@@ -87,11 +100,21 @@ def sky_view_factor(px: DataFrame, height: str, radius: int, directions: int = 8
     return px.join(horizon.groupBy("r", "c").agg(F.avg(F.cos("a") * F.cos("a")).alias("svf")), ["r", "c"])
 
 
-def shadow_mask(px: DataFrame, height: str, azimuth: float, elevation: float, reach: int) -> DataFrame:
-    """px with `shadow`: 1 where a pixel towards the sun, within reach, rises above the ray."""
-    import math
+def shadow_mask(px: DataFrame, height: str, azimuth: float, elevation: float, reach: int | None = None) -> DataFrame:
+    """px with `shadow`: 1 where a pixel towards the sun rises above the ray, within reach or else wherever the heights let it.
 
+    Without reach, along rows or columns the greatest height less the ray's rise is carried on from the sun's side;
+    other azimuths look as far as the span of the heights throws a shadow.
+    """
     dr, dc, slope = -math.cos(math.radians(azimuth)), math.sin(math.radians(azimuth)), math.tan(math.radians(elevation))
+    if reach is None and azimuth % 90 == 0:
+        at = F.col("r") * round(dr) + F.col("c") * round(dc)
+        level = F.col(height) - at * slope
+        before = Window.partitionBy("c" if round(dr) else "r").orderBy(at.desc()).rowsBetween(Window.unboundedPreceding, -1)
+        return px.withColumn("shadow", F.coalesce((F.max(level).over(before) > level).cast("int"), F.lit(0)))
+    if reach is None:
+        dh, most = extent(px, height)
+        reach = max(1, min(most, math.ceil(dh / slope) if slope > 0 else most))
     steps = F.array(*[F.struct(F.lit(float(s)).alias("s"), F.lit(round(dr * s)).cast("long").alias("dr"), F.lit(round(dc * s)).cast("long").alias("dc")) for s in range(1, reach + 1)])
     seen = px.select("r", "c", F.col(height).alias("h0"), F.inline(steps)).withColumn("rr", F.col("r") + F.col("dr")).withColumn("cc", F.col("c") + F.col("dc"))
     there = px.select(F.col("r").alias("rr"), F.col("c").alias("cc"), F.col(height).alias("h1"))
@@ -101,8 +124,6 @@ def shadow_mask(px: DataFrame, height: str, azimuth: float, elevation: float, re
 
 def interpolate_from_points(cells: DataFrame, points: DataFrame, size: float, k: int = 4) -> DataFrame:
     """(pid, value): inverse-distance mean of the k nearest points in a cell's own grid square and those around it."""
-    from pyspark.sql import Window
-
     spread = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     p = points.select(F.col("x").alias("px_"), F.col("y").alias("py_"), F.col("z"), F.col("fid"), F.inline(spread)).withColumn("gx", F.floor(F.col("px_") / size) + F.col("i")).withColumn("gy", F.floor(F.col("py_") / size) + F.col("j"))
     q = cells.select("pid", "x", "y").withColumn("gx", F.floor(F.col("x") / size)).withColumn("gy", F.floor(F.col("y") / size)).join(p, ["gx", "gy"])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from arpent.functions import geometry as ge
 from arpent.functions import indices as ix
+from arpent.operators import focal as fo
 from arpent.operators import joins as jn
 from arpent.operators import learning as le
 from arpent.operators import overlay as ov
@@ -121,3 +122,13 @@ def test_incomplete_tiles_keep_places(spark):
     assert {len(t["data"]) for t in tiles.collect()} == {16}
     back = ly.tiles_to_pixels(tiles.withColumn("scene", F.lit("a")), 4, absent=False).select("r", "c", "value")
     assert sorted(map(tuple, back.collect())) == grid
+
+
+def test_shadows_and_horizons_reach_over_the_raster(spark):
+    px = spark.createDataFrame([(r, c, 100.0 if (r, c) == (0, 19) else 0.0) for r in range(20) for c in range(20)], "r long, c long, h double")
+    dark = lambda azimuth, elevation: {(x["r"], x["c"]) for x in fo.shadow_mask(px, "h", azimuth, elevation).where("shadow = 1").collect()}
+    assert dark(90, 60) == {(0, c) for c in range(19)} and dark(0, 60) == {(r, 19) for r in range(1, 20)}
+    assert dark(90, 85) == {(0, c) for c in range(11, 19)}  # 100 / tan(85 degrees) = 8.7 pixels
+    assert (19, 0) in dark(45, 60)
+    low = fo.sky_view_factor(px, "h", directions=4).where("r = 0 AND c = 0").first()["svf"]
+    assert abs(low - (3 + 1 / (1 + (100 / 19) ** 2)) / 4) < 1e-9
