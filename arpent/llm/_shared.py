@@ -73,13 +73,13 @@ def numbered(df: DataFrame, group: str, order: list[str], name: str = "rank") ->
     return rows.join(small(saved(offsets, "offsets")), ["_part", group]).withColumn(name, F.col("_local") + F.col("_before")).drop("_part", "_local", "_before")
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component): the least node that links reach, for each node of edges (a, b), which are longs.
 
     Large-star and small-star steps by turns; each step is one grouped minimum and one join, saved, until none changes.
     """
     now = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    for _ in range(rounds):
+    while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -91,8 +91,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         now = new
         if done:
             break
-    else:
-        raise RuntimeError("components did not settle")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b"), F.col("b")).distinct())
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -10,26 +11,31 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arpent.llm._shared import components, read, saved, small
-from arpent.llm.hashing import mix, shingle_set
+from arpent.llm.hashing import mix, shingle_sets
 
-#: A pair of similarity J shares none of the tile keys with chance (1 - J)^KEYS: 2e-17 at 0.8, less than that of a clash of 64-bit hashes.
-KEYS = 24
+#: A tile key is a pair of least hashes. Two sets of similarity J share none of the KEYS keys with chance (1 - J^2)^KEYS:
+#: 1e-17 at 0.8, less than that of a clash of 64-bit hashes, on which the exact intersection rests too.
+KEYS = 38
+
+#: A size band holds sizes in a ratio of the threshold to this power.
+BAND = 6
 
 #: Rows of a block of a tile; blocks are compared two by two.
 BLOCK = 1024
 
 #: Rounds that link rows to a leader of their tile before the rows of a tile that are still apart are all compared.
-STAR_ROUNDS = 6
+STAR_ROUNDS = 4
 
 #: Bits of a bitmap for each element, and its least and most bits.
 BITS_EACH, BITMAP_MIN, BITMAP_MAX = 4, 64, 1 << 17
 
-SEEDS = mix(np.arange(1, KEYS + 1, dtype=np.uint64))
+#: Odd factors: an order of 32-bit hashes for each.
+ORDERS = (mix(np.arange(1, 2 * KEYS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
-def band_of(n: Column | str) -> Column:
-    """Size band: sizes in the ratio 0.8 or nearer lie in one band or in two that touch."""
-    return F.floor(F.log(F.col(n) if isinstance(n, str) else n) / F.log(F.lit(1.25))).cast("int")
+def band_of(n: Column, percent: int) -> Column:
+    """Size band of n elements: those of a set that may link to it lie in this band, the one above, or the one below."""
+    return F.floor(F.log(n) / F.lit(BAND * math.log(100 / percent))).cast("int")
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
@@ -55,69 +61,82 @@ def linked(na, nb, common, percent: int):
     return (100 + percent) * common >= percent * (na + nb)
 
 
-def signatures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, node, n, bits, keys): set digest as a node id, set size, bitmap and the least hash under each seed."""
+def tile_keys(flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """KEYS keys a set: under each two orders of its hashes, the two least ones."""
+    has = counts > 0
+    starts, half = (np.cumsum(counts) - counts)[has], (flat >> np.uint64(32)).astype(np.uint32)
+    out = np.zeros((len(counts), KEYS), np.int64)
+    if len(starts):
+        for k in range(KEYS):
+            low, high = (np.minimum.reduceat(half * f, starts).astype(np.int64) for f in ORDERS[2 * k : 2 * k + 2])
+            out[has, k] = high << 32 | low
+    return out
 
-    def run(batches):
-        for b in batches:
-            node, n, bits, keys = [], [], [], []
-            for t in b.column(1).to_pylist():
-                s = shingle_set(t)
-                n.append(len(s))
-                node.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True))
-                bits.append(bitmap(s).tobytes() if len(s) else b"")
-                keys.append([int(mix(s ^ seed).min().astype(np.int64)) for seed in SEEDS] if len(s) else [])
-            arrays = [b.column(0), pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(bits, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "node", "n", "bits", "keys"])
 
-    return docs.select("doc_id", text).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, n long, bits binary, keys array<long>")
+def node_of(s: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "little", signed=True)
+
 
+def signatures(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(doc_id, written, node, n, bits, keys): hash of the text, set digest as a node id, set size, bitmap and tile keys."""
 
-def shingle_sets(docs: DataFrame, text: str = "text") -> DataFrame:
+    def run(batches):
+        for b in batches:
+            for i, j, flat, counts in shingle_sets(b.column(2)):
+                ends = np.cumsum(counts)
+                sets = [flat[x:y] for x, y in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
+                keys = tile_keys(flat, counts)
+                at = np.concatenate([[0], np.cumsum(np.where(counts > 0, KEYS, 0))]).astype(np.int32)
+                arrays = [
+                    b.column(0)[i:j],
+                    b.column(1)[i:j],
+                    pa.array([node_of(s.tobytes()) for s in sets], pa.int64()),
+                    pa.array(counts, pa.int64()),
+                    pa.array([bitmap(s).tobytes() if len(s) else b"" for s in sets], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(at), pa.array(keys[counts > 0].ravel(), pa.int64())),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "written", "node", "n", "bits", "keys"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", F.xxhash64(text).alias("written"), text).mapInArrow(run, f"doc_id {kind}, written long, node long, n long, bits binary, keys array<long>")
+
+
+def sorted_sets(docs: DataFrame, text: str = "text") -> DataFrame:
     """(node, shingles): the sorted 64-bit shingle hashes of each text, as bytes."""
 
     def run(batches):
         for b in batches:
-            sets = [shingle_set(t).tobytes() for t in b.column(0).to_pylist()]
-            node = [int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "little", signed=True) for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(sets, pa.binary())], ["node", "shingles"])
+            for _, _, flat, counts in shingle_sets(b.column(0)):
+                ends = np.cumsum(counts)
+                sets = [flat[x:y].tobytes() for x, y in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), pa.array(sets, pa.binary())], ["node", "shingles"])
 
     return docs.select(text).mapInArrow(run, "node long, shingles binary")
 
 
-def bounded_pairs(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose bitmaps leave the link possible."""
+def exact_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are links: where bitmaps leave it possible, the sorted sets are intersected whole.
+
+    pairs: a, b; sets: node, bits, shingles.
+    """
 
     def run(batches):
         for t in batches:
-            keep = []
-            for na, nb, x, y in zip(t["na"].to_pylist(), t["nb"].to_pylist(), t["xa"].to_pylist(), t["xb"].to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+            keep = np.zeros(t.num_rows, bool)
+            for i in range(t.num_rows):
+                x, y = (np.frombuffer(t[c][i].as_buffer(), np.uint8) for c in ("ba", "bb"))
                 size = min(len(x), len(y))
                 x, y = fold(x, size), fold(y, size)
-                most = bound(na, nb, int(np.bitwise_count(x & ~y).sum()), int(np.bitwise_count(y & ~x).sum()))
-                keep.append(bool(linked(na, nb, most, percent)))
+                a, b = (np.frombuffer(t[c][i].as_buffer(), np.uint64) for c in ("xa", "xb"))
+                if linked(len(a), len(b), bound(len(a), len(b), int(np.bitwise_count(x & ~y).sum()), int(np.bitwise_count(y & ~x).sum())), percent):
+                    both = np.concatenate([a, b])
+                    both.sort()
+                    keep[i] = linked(len(a), len(b), int((both[1:] == both[:-1]).sum()), percent)
             yield pa.RecordBatch.from_arrays([t["a"], t["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = bits.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
-    right = bits.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
-
-
-def exact_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are links: sorted sets are intersected whole."""
-
-    def run(batches):
-        for t in batches:
-            keep = []
-            for x, y in zip(t["xa"].to_pylist(), t["xb"].to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                keep.append(bool(linked(len(x), len(y), len(np.intersect1d(x, y, assume_unique=True)), percent)))
-            yield pa.RecordBatch.from_arrays([t["a"], t["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("xb"))
-    return pairs.join(right, "b").join(left, "a").mapInArrow(run, "a long, b long")
+    left = sets.select(F.col("node").alias("a"), F.col("bits").alias("ba"), F.col("shingles").alias("xa"))
+    right = sets.select(F.col("node").alias("b"), F.col("bits").alias("bb"), F.col("shingles").alias("xb"))
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ba", "bb", "xa", "xb").mapInArrow(run, "a long, b long")
 
 
 def distinct_tiles(rows: DataFrame) -> DataFrame:
@@ -130,20 +149,21 @@ def distinct_tiles(rows: DataFrame) -> DataFrame:
 def tile_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of rows of one tile, in different components, whose bitmaps leave the link possible.
 
-    rows: tile, seed, home, node, component, n; nodes: node, bits, keys, which join once the rows are dealt. A pair is compared in the tile of the first seed that it shares. The rows of a tile's largest component lie in blocks of about BLOCK rows,
-    dealt by a hash, and each block meets the tile's other rows; those others meet one another in pairs of blocks of their
-    own. So rows of a large component are never copied, and never compared with one another. Only pairs within the bound
-    leave a block.
+    rows: tile, seed, home, node, component, n; nodes: node, bits, keys, which join once the rows are dealt. A pair is
+    compared in the tile of the first seed that it shares. The rows of a tile's largest component and its other rows lie in
+    blocks of about BLOCK rows, dealt by a hash. Each block of the largest component meets each block of the others, and
+    those meet one another, two blocks at a time; rows of the largest component are never compared with one another. Only
+    pairs within the bound leave.
     """
     by = rows.groupBy("tile", "component").agg(F.count("*").alias("k"))
     sizes = by.groupBy("tile").agg(F.max(F.struct("k", "component"))["component"].alias("major"), F.max("k").alias("most"), F.sum("k").alias("every"))
     sizes = sizes.select("tile", "major", F.ceil(F.col("most") / BLOCK).cast("int").alias("outer"), F.greatest(F.lit(1), F.ceil((F.col("every") - F.col("most")) / BLOCK)).cast("int").alias("inner"))
     dealt = rows.join(sizes, "tile").withColumn("held", F.col("component") == F.col("major")).withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("held"), F.col("outer")).otherwise(F.col("inner"))).cast("int"))
-    # i < 0: block -1 - i of the largest component with all others; else blocks i and j of the others
-    to_outer = F.transform(F.sequence(F.lit(0), F.col("outer") - 1), lambda b: F.struct((-1 - b).alias("i"), F.lit(0).alias("j")))
-    to_inner = F.transform(F.sequence(F.lit(0), F.col("inner") - 1), lambda b: F.struct(F.least("own", b).alias("i"), F.greatest("own", b).alias("j")))
-    at = F.when(F.col("held"), F.array(F.struct((-1 - F.col("own")).alias("i"), F.lit(0).alias("j")))).otherwise(F.concat(to_outer, to_inner))
-    dealt = dealt.select("*", F.inline(at)).drop("major", "outer", "inner").join(nodes, "node")
+    # i < 0: block -1 - i of the largest component with block j of the others; else blocks i and j of the others
+    outers, inners = F.sequence(F.lit(0), F.col("outer") - 1), F.sequence(F.lit(0), F.col("inner") - 1)
+    of_major = F.transform(inners, lambda b: F.struct((-1 - F.col("own")).alias("i"), b.alias("j")))
+    of_others = F.concat(F.transform(outers, lambda b: F.struct((-1 - b).alias("i"), F.col("own").alias("j"))), F.transform(inners, lambda b: F.struct(F.least("own", b).alias("i"), F.greatest("own", b).alias("j"))))
+    dealt = dealt.select("*", F.inline(F.when(F.col("held"), of_major).otherwise(of_others))).drop("major", "outer", "inner").join(nodes, "node")
     columns = ["tile", "i", "j", "seed", "node", "component", "n", "home", "held", "own", "keys", "bits"]
 
     def compare(seed: int, node, comp, n, home, held, own, keys, bits, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
@@ -180,19 +200,19 @@ def tile_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             x, y = (np.concatenate(z) for z in zip(*found, strict=True))
             return pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], ["a", "b"])
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            last = [batch.column(c)[batch.num_rows - 1].as_py() for c in ("tile", "i", "j")]
-            same = np.logical_and.reduce([batch.column(c).to_numpy() == x for c, x in zip(("tile", "i", "j"), last, strict=True)])
-            cut = batch.num_rows - int(same[::-1].argmin()) if not same.all() else 0
-            if cut:
-                yield pairs_of(pa.Table.from_batches([*held, batch.slice(0, cut)]))
-                held = []
-            elif held and [held[-1].column(c)[-1].as_py() for c in ("tile", "i", "j")] != last:
-                yield pairs_of(pa.Table.from_batches(held))
-                held = []
-            held.append(batch.slice(cut))
+        for whole in batches:
+            for at in range(0, whole.num_rows, BLOCK):
+                batch = whole.slice(at, BLOCK)
+                last = [batch.column(c)[batch.num_rows - 1].as_py() for c in ("tile", "i", "j")]
+                same = np.logical_and.reduce([batch.column(c).to_numpy() == x for c, x in zip(("tile", "i", "j"), last, strict=True)])
+                cut = batch.num_rows - int(same[::-1].argmin()) if not same.all() else 0
+                if cut:
+                    yield pairs_of(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                    held = []
+                elif held and [held[-1].column(c)[-1].as_py() for c in ("tile", "i", "j")] != last:
+                    yield pairs_of(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(cut))
         if held:
             yield pairs_of(pa.Table.from_batches(held))
 
@@ -203,63 +223,73 @@ def tile_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, percent: int = 80, text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): connected components under links of 100 * intersection >= percent * union.
 
-    Texts of one shingle set are one node from the start. Nodes with a least shingle hash in common (under one of KEYS
-    seeds) and in one size band, or in two that touch, share a tile. Rounds of stars then link the nodes of a tile that are
-    still apart to one leader; what stays apart after that is compared in blocks, all with all. In either case bitmaps
-    bound the overlap from above and the sorted sets of the rest are intersected exactly. Pairs within a component need
-    no test, so copies are never expanded into pairs. Empty sets have no links and their own id as component. Null ids
-    take part and never become a component's id unless it has no other; repeated rows stay rows.
+    Texts of one shingle set are one node from the start. Nodes that share a key (a pair of least shingle hashes) and lie
+    in one size band, or in two that touch and near their border, share a tile. Rounds of stars then link the nodes of a
+    tile that are still apart to one leader, at first the one that shares most; what stays apart after that is compared in
+    blocks, all with all. In either case bitmaps bound the overlap from above and the sorted sets of the rest are
+    intersected exactly. Pairs within a component need no test, so copies are never expanded into pairs. Empty sets have
+    no links and their own id as component. Null ids take part and never become a component's id unless it has no other;
+    repeated rows stay rows. A component's id reaches its rows by a join on the node, which adaptive execution splits
+    where many rows have one node.
     """
     spark = docs.sparkSession
     rows = saved(signatures(docs, text), "signatures")
-    nodes = rows.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys"))
+    nodes = rows.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("written").alias("written"), F.first("bits").alias("bits"), F.first("keys").alias("keys"))
     nodes = saved(nodes, "nodes")
-    # A node is at home in its own band and a guest in the next lower one; pairs of two guests meet in their own band.
-    keyed = nodes.select("node", "n", band_of("n").alias("band"), F.posexplode("keys").alias("seed", "key"))
-    keyed = keyed.select("node", "n", F.explode(F.array(F.struct(F.lit(True).alias("home"), F.col("band").alias("band")), F.struct(F.lit(False).alias("home"), (F.col("band") - 1).alias("band")))).alias("x"), "seed", "key")
+    # A node is at home in its own band, and a guest in the next lower one if a smaller set there may link to it; pairs of two guests meet in their own band.
+    own, lower = band_of(F.col("n"), percent), band_of(F.col("n") * (percent / 100 * (1 - 1e-9)), percent)
+    places = F.array(F.struct(F.lit(True).alias("home"), F.col("own").alias("band")), F.struct(F.lit(False).alias("home"), F.col("lower").alias("band")))
+    keyed = nodes.select("node", "n", own.alias("own"), F.when(F.col("n") > 1, lower).otherwise(own).alias("lower"), F.posexplode("keys").alias("seed", "key"))
+    keyed = keyed.select("node", "n", F.explode(F.when(F.col("lower") < F.col("own"), places).otherwise(F.slice(places, 1, 1))).alias("x"), "seed", "key")
     keyed = keyed.select(F.xxhash64("seed", "key", "x.band").alias("tile"), "seed", "x.home", "node", "n")
-    shared = keyed.groupBy("tile").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("tile")
-    tiles = saved(keyed.join(shared, "tile", "left_semi"), "tiles")
-    near = saved(tiles.select("node").distinct(), "near")
-    sets = shingle_sets(docs, text).join(small(near), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
-    sets = saved(sets, "shingle-sets")
-    bits = nodes.select("node", "n", "bits")
+    shared = keyed.groupBy("tile").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("k")).where("lo <> hi").select("tile", "k")
+    tiles = saved(keyed.join(shared, "tile"), "tiles")
+    near = saved(tiles.groupBy("node").agg(F.sum("k").alias("weight")), "near")
+    near_nodes = saved(nodes.join(small(near.select("node")), "node", "left_semi"), "near-nodes")
+    texts = docs.join(small(saved(near_nodes.select(F.col("written").alias("_w")), "near-texts")), F.xxhash64(text) == F.col("_w"), "left_semi")
+    sets = sorted_sets(texts, text).groupBy("node").agg(F.first("shingles").alias("shingles")).join(near_nodes.select("node", "bits"), "node")
+    sets = saved(sets, "sorted-sets")
     labels = saved(near.select("node", F.col("node").alias("component")), "labels")
-    links = spark.createDataFrame([], "a long, b long")
 
-    def settled(more: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+    def settled(more: DataFrame) -> tuple[DataFrame, bool]:
         """Labels after the links in more; whether there are any."""
         more = saved(more, "new-links")
         if more.isEmpty():
-            return labels, links, False
-        every = links.union(more)
-        found = components(every)
-        new = near.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-        return saved(new, "labels"), every, True
-
-    def apart() -> DataFrame:
-        """Rows of tiles that hold several components."""
-        held = tiles.join(labels, "node")
-        several = held.groupBy("tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("tile")
-        return held.join(several, "tile", "left_semi")
-
+            return labels, False
+        a = more.join(labels.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a")
+        both = a.join(labels.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        found = components(both).select(F.col("node").alias("component"), F.col("component").alias("new"))
+        return saved(labels.join(small(saved(found, "relabelled")), "component", "left").select("node", F.coalesce("new", "component").alias("component")), "labels"), True
+
+    def apart(held: DataFrame) -> DataFrame:
+        """tile, seed, home, node, n, component of the tiles that hold several components."""
+        now = held.join(labels, "node")
+        several = now.groupBy("tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("tile")
+        return saved(now.join(several, "tile", "left_semi"), "apart")
+
+    held = tiles.select("tile", "seed", "home", "node", "n")
     for r in range(STAR_ROUNDS):
-        held = saved(apart(), "apart")
+        open_ = apart(held)
         order = F.struct(F.xxhash64("component", F.lit(r)), F.xxhash64("node", F.lit(r)), "node", "component", "n")
-        leaders = held.groupBy("tile").agg(F.min(order).alias("l")).select("tile", F.col("l.node").alias("leader"), F.col("l.component").alias("lc"), F.col("l.n").alias("ln"))
-        pairs = held.join(leaders, "tile").where("component <> lc AND 100 * least(n, ln) >= " + str(percent) + " * greatest(n, ln)")
+        ranked = open_
+        if r == 0:
+            ranked = open_.join(near, "node")
+            order = F.struct(-F.col("weight"), "node", "component", "n")
+        leaders = ranked.groupBy("tile").agg(F.min(order).alias("l")).select("tile", F.col("l.node").alias("leader"), F.col("l.component").alias("lc"), F.col("l.n").alias("ln"))
+        pairs = open_.join(leaders, "tile").where("component <> lc AND 100 * least(n, ln) >= " + str(percent) + " * greatest(n, ln)")
         pairs = pairs.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
-        before = held.select("component").distinct().count()
-        labels, links, any_ = settled(exact_links(bounded_pairs(pairs, bits, percent), sets, percent))
-        if not any_ or before == 0 or apart().select("component").distinct().count() > 0.95 * before:
+        before, held = open_.count(), open_.drop("component")
+        labels, any_ = settled(exact_links(pairs, sets, percent)) if before else (labels, False)
+        if not any_:
             break
-    rest = saved(tile_pairs(saved(distinct_tiles(saved(apart(), "apart")), "apart"), nodes.join(small(near), "node", "left_semi").select("node", "bits", "keys"), percent), "tile-pairs")
-    labels, links, _ = settled(exact_links(rest, sets, percent))
+    rest = saved(distinct_tiles(apart(held)), "apart")
+    labels, _ = settled(exact_links(saved(tile_pairs(rest, near_nodes.select("node", "bits", "keys"), percent), "tile-pairs"), sets, percent))
 
-    labelled = rows.select("doc_id", "node", "n").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    ids = labelled.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    out = labelled.join(ids, "component", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    labelled = rows.select("doc_id", "node", "n").join(small(labels), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = labelled.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("_k")).where("_k > 1").drop("_k")
+    out = labelled.join(small(saved(several, "component-ids")), "component", "left")
+    own_id = F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), own_id.alias("component_id"))
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,4 +297,28 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op4_ngram_jaccard": op4_ngram_jaccard}
-ORACLES: dict[str, str] = {}
+
+#: Words, distinct shingles and pairs that share one, all in SQL; components by a recursive walk.
+ORACLES = {
+    "op4_ngram_jaccard": r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS s
+  FROM docs, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0
+), sized AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+-- equal sets are one node, named by its least document
+node AS (
+  SELECT doc_id, n, min(doc_id) OVER (PARTITION BY n, mark) AS node
+  FROM (SELECT doc_id, n, md5(string_agg(s, chr(10) ORDER BY s)) AS mark FROM shingle JOIN sized USING (doc_id) GROUP BY doc_id, n)
+), lone AS (SELECT s, doc_id AS node, n FROM shingle JOIN node USING (doc_id) WHERE node = doc_id),
+link AS (
+  SELECT x.node AS a, y.node AS b FROM lone x JOIN lone y ON x.s = y.s AND x.node < y.node AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+  GROUP BY x.node, y.node, x.n, y.n HAVING 180 * count(*) >= 80 * (x.n + y.n)
+), edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+walk(start, seen) AS (SELECT DISTINCT a, a FROM edge UNION SELECT start, b FROM walk JOIN edge ON a = seen),
+least_ AS (SELECT start, min(seen) AS component FROM walk GROUP BY start)
+SELECT d.doc_id, coalesce(node.n, 0) AS n_shingles, coalesce(component, node, d.doc_id) AS component_id
+FROM docs d LEFT JOIN node ON node.doc_id = d.doc_id LEFT JOIN least_ ON start = node
+"""
+}
