@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,34 +14,66 @@ from pyspark.sql import DataFrame, SparkSession
 from arpent.llm._shared import read
 
 #: Words that a worker remembers before it starts anew, text that it cuts into words at once, bytes of words in one query.
-REMEMBERED, SLICE_CHARS, QUERY_BYTES = 400_000, 2_000_000, 1_500_000
+REMEMBERED, SLICE_CHARS, QUERY_BYTES = 400_000, 2_000_000, 1_000_000
 
-#: Words of more bytes contract in a heap instead: the recursive query would take a round of the whole word for each merge.
-LONG_WORD = 400
+#: Words of more bytes contract in queries of their own, which take all pairs of a round at once where that is the same;
+#: ROUNDS rounds a query, so that its rows stay bounded. Ids that are decoded as one sequence.
+LONG_WORD, ROUNDS, SEQUENCE = 256, 48, 100_000
 
-#: A round joins each live row to its right neighbour and to the merges, and contracts the leftmost pair of least rank of
-#: each word; a word without such a pair is passed on once more, no longer live.
+#: A row is a token at its position with the token after it (-1: none). A round joins the live rows to the merges, takes each
+#: word's leftmost pair of least rank and contracts it; a word without such a pair is passed on once more, no longer live.
 CONTRACT = """
-WITH RECURSIVE state(word, pos, token, live) AS (
-  SELECT word, pos, token, true FROM bytes_in
+WITH RECURSIVE state(word, pos, token, after, live) AS (
+  SELECT word, pos, token, after, true FROM bytes_in
   UNION ALL
   (WITH best AS (
-     SELECT l.word, min(m.rank::BIGINT * 4294967296 + l.pos) AS b
-     FROM state l JOIN state r ON r.word = l.word AND r.pos = l.pos + 1
-     JOIN merges m ON m.pair = l.token::BIGINT * 4294967296 + r.token
-     WHERE l.live AND r.live GROUP BY l.word)
-   SELECT s.word, s.pos - (b IS NOT NULL AND s.pos > b % 4294967296)::INT,
-          CASE WHEN s.pos = b % 4294967296 THEN (b // 4294967296)::INT ELSE token END, b IS NOT NULL
-   FROM state s LEFT JOIN best USING (word)
-   WHERE live AND (b IS NULL OR s.pos <> b % 4294967296 + 1)))
+     SELECT s.word, min(m.rank::BIGINT * 4294967296 + s.pos) AS b
+     FROM state s JOIN merges m ON m.pair = s.token::BIGINT * 4294967296 + s.after
+     WHERE s.live AND s.after >= 0 GROUP BY s.word),
+   merged AS (
+     SELECT best.word, (b % 4294967296)::INT AS spot, (b // 4294967296)::INT AS rank, r.after AS beyond
+     FROM best JOIN state r ON r.word = best.word AND r.pos = b % 4294967296 + 1 WHERE r.live)
+   SELECT s.word, CASE WHEN s.pos > spot THEN s.pos - 1 ELSE s.pos END,
+          CASE WHEN s.pos = spot THEN rank ELSE token END,
+          CASE WHEN s.pos = spot THEN beyond WHEN s.pos = spot - 1 THEN rank ELSE after END, spot IS NOT NULL
+   FROM state s LEFT JOIN merged USING (word)
+   WHERE s.live AND (spot IS NULL OR s.pos <> spot + 1)))
 SELECT word, pos, token FROM state WHERE NOT live ORDER BY word, pos
 """
 
-#: vocabulary.piece has one character for each byte, so that pieces join as strings.
-DECODE = "SELECT seq, string_agg(piece, '' ORDER BY pos) AS decoded FROM tokens_in JOIN vocabulary USING (token) GROUP BY seq"
+#: The same for long words: all pairs of a word's least rank contract in one round, from the left and without overlap, up to
+#: the first whose new token makes a pair of lower rank with a neighbour, as that one would be next; so the result is the same.
+CONTRACT_LONG = f"""
+WITH RECURSIVE state(word, pos, token, live, round) AS (
+  SELECT word, pos, token, true, 0 FROM bytes_in
+  UNION ALL
+  (WITH linked AS (
+     SELECT word, pos, token, lag(token) OVER w AS before, lead(token) OVER w AS after, lead(token, 2) OVER w AS beyond, lead(pos) OVER w AS stop
+     FROM state WHERE live AND round < {ROUNDS} WINDOW w AS (PARTITION BY word ORDER BY pos)),
+   hits AS (
+     SELECT word, pos, stop, rank, before, beyond FROM linked JOIN merges m ON m.pair = token::BIGINT * 4294967296 + after
+     QUALIFY rank = min(rank) OVER (PARTITION BY word)),
+   placed AS (
+     SELECT *, (lag(stop) OVER (PARTITION BY word ORDER BY pos) IS DISTINCT FROM pos)::INT AS apart FROM hits),
+   runs AS (SELECT *, sum(apart) OVER (PARTITION BY word ORDER BY pos) AS run FROM placed),
+   taken AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY word, run ORDER BY pos) % 2 = 1),
+   checked AS (
+     SELECT t.word, pos, stop, t.rank, coalesce(x.rank < t.rank OR y.rank < t.rank OR z.rank < t.rank, false)::INT AS lower
+     FROM taken t LEFT JOIN merges x ON x.pair = before::BIGINT * 4294967296 + t.rank
+     LEFT JOIN merges y ON y.pair = t.rank::BIGINT * 4294967296 + beyond
+     LEFT JOIN merges z ON z.pair = t.rank::BIGINT * 4294967296 + t.rank),
+   chosen AS (
+     SELECT word, pos, stop, rank FROM checked
+     QUALIFY coalesce(sum(lower) OVER (PARTITION BY word ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 0)
+   SELECT s.word, s.pos, coalesce(c.rank, s.token), s.word IN (SELECT word FROM chosen), s.round + 1
+   FROM state s LEFT JOIN chosen c ON c.word = s.word AND c.pos = s.pos
+   LEFT JOIN chosen gone ON gone.word = s.word AND gone.stop = s.pos
+   WHERE s.live AND s.round < {ROUNDS} AND gone.word IS NULL))
+SELECT word, pos, token, live FROM state WHERE NOT live OR round = {ROUNDS} ORDER BY word, pos
+"""
 
-#: Bytes as characters: U+0100 and up, so that no character is special to any string function.
-AS_CHARS = {i: chr(256 + i) for i in range(256)}
+#: vocabulary.piece has the bytes of a token in hexadecimal digits, so that pieces join as strings.
+DECODE = "SELECT seq, unhex(string_agg(piece, '' ORDER BY pos)) AS decoded FROM tokens_in JOIN vocabulary USING (token) GROUP BY seq"
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
@@ -58,109 +89,104 @@ class Codec:
 
         self.ranks, self.split = read_ranks(content), regex.compile(pattern).findall
         self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         pairs = [(self.ranks[t[:k]] << 32 | self.ranks[t[k:]], r) for t, r in self.ranks.items() for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks]
         pair, rank = zip(*pairs, strict=True) if pairs else ((), ())
         self.con.register("merges_in", pa.table({"pair": pa.array(pair, pa.int64()), "rank": pa.array(rank, pa.int32())}))
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merges_in")
-        self.con.register("vocabulary_in", pa.table({"token": pa.array(self.ranks.values(), pa.int32()), "piece": ["".join(map(AS_CHARS.get, t)) for t in self.ranks]}))
+        self.con.register("vocabulary_in", pa.table({"token": pa.array(self.ranks.values(), pa.int32()), "piece": [t.hex() for t in self.ranks]}))
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary_in")
         self.known: dict[str, bytes] = {}
-        self.decoded: dict[bytes, bytes] = {b"": b""}
 
     def contract(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word, as little-endian 32-bit integers."""
         out = [b""] * len(words)
-        todo = []
+        short, long = [], []
         for i, w in enumerate(words):
             if w in self.ranks:
                 out[i] = self.ranks[w].to_bytes(4, "little")
-            elif len(w) > LONG_WORD:
-                out[i] = np.array(self.heap(w), "<u4").tobytes()
             else:
-                todo.append(i)
-        if not todo:
-            return out
-        flat = np.frombuffer(b"".join([words[i] for i in todo]), np.uint8)
-        sizes = np.array([len(words[i]) for i in todo])
-        word = np.repeat(np.arange(len(todo), dtype=np.int32), sizes)
-        pos = (np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
-        self.con.register("bytes_in", pa.table({"word": word, "pos": pos, "token": self.byte[flat]}))
-        got = self.con.sql(CONTRACT).to_arrow_table()
-        ids, ends = got["token"].to_numpy().astype("<u4").tobytes(), np.cumsum(np.bincount(got["word"].to_numpy(), minlength=len(todo))).tolist()
-        at = 0
-        for i, end in zip(todo, ends, strict=True):
-            out[i] = ids[4 * at : 4 * end]
-            at = end
+                (long if len(w) > LONG_WORD else short).append(i)
+        for todo, way in ((short, self._short), (long, self._long)):
+            if todo:
+                flat, sizes = np.frombuffer(b"".join([words[i] for i in todo]), np.uint8), np.array([len(words[i]) for i in todo])
+                word, token = way(np.repeat(np.arange(len(todo), dtype=np.int32), sizes), self._positions(sizes), self.byte[flat], np.cumsum(sizes) - 1)
+                ids, ends, at = token.astype("<u4").tobytes(), np.cumsum(np.bincount(word, minlength=len(todo))).tolist(), 0
+                for i, end in zip(todo, ends, strict=True):
+                    out[i] = ids[4 * at : 4 * end]
+                    at = end
         return out
 
-    def heap(self, word: bytes) -> list[int]:
-        """The same contraction for one long word: a heap of (rank, place) over linked tokens."""
-        token = self.byte[np.frombuffer(word, np.uint8)].tolist()
-        n = len(token)
-        text = [bytes([b]) for b in word]
-        right, left, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-        queue = [(r, i, 2) for i in range(n - 1) if (r := self.ranks.get(text[i] + text[i + 1])) is not None]
-        heapq.heapify(queue)
-        while queue:
-            r, i, size = heapq.heappop(queue)
-            j = right[i]
-            if not alive[i] or j >= n or len(text[i]) + len(text[j]) != size or self.ranks.get(text[i] + text[j]) != r:
-                continue
-            text[i], token[i], alive[j], right[i] = text[i] + text[j], r, False, right[j]
-            if right[i] < n:
-                left[right[i]] = i
-            for a in (left[i], i):
-                if a >= 0 and right[a] < n and (q := self.ranks.get(text[a] + text[right[a]])) is not None:
-                    heapq.heappush(queue, (q, a, len(text[a]) + len(text[right[a]])))
-        return [t for t, a in zip(token, alive, strict=True) if a]
+    @staticmethod
+    def _positions(sizes: np.ndarray) -> np.ndarray:
+        return (np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
+
+    def _short(self, word: np.ndarray, pos: np.ndarray, token: np.ndarray, lasts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        after = np.append(token[1:], np.int32(-1))
+        after[lasts] = -1
+        self.con.register("bytes_in", pa.table({"word": word, "pos": pos, "token": token, "after": after}))
+        got = self.con.sql(CONTRACT).to_arrow_table()
+        return got["word"].to_numpy(), got["token"].to_numpy()
+
+    def _long(self, word: np.ndarray, pos: np.ndarray, token: np.ndarray, lasts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        done = []
+        while len(word):
+            self.con.register("bytes_in", pa.table({"word": word, "pos": pos, "token": token}))
+            got = self.con.sql(CONTRACT_LONG).to_arrow_table()
+            live = got["live"].to_numpy()
+            columns = [got[c].to_numpy() for c in ("word", "pos", "token")]
+            done.append([c[~live] for c in columns])
+            word, pos, token = (c[live] for c in columns)
+        word, pos, token = (np.concatenate(c) for c in zip(*done, strict=True))
+        order = np.lexsort((pos, word))
+        return word[order], token[order]
 
     def decode(self, sequences: list[bytes]) -> list[bytes]:
         """The bytes of each id sequence: rows of token positions join the vocabulary and are put together in order."""
-        flat = np.frombuffer(b"".join(sequences), "<u4").astype(np.int32)
-        sizes = np.array([len(s) // 4 for s in sequences])
-        seq = np.repeat(np.arange(len(sequences), dtype=np.int32), sizes)
-        pos = (np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
-        self.con.register("tokens_in", pa.table({"seq": seq, "pos": pos, "token": flat}))
-        got = self.con.sql(DECODE).to_arrow_table()
-        out = [b""] * len(sequences)
-        for i, s in zip(got["seq"].to_pylist(), got["decoded"].to_pylist(), strict=True):
-            out[i] = (np.frombuffer(s.encode("utf-16-le"), "<u2") - 256).astype(np.uint8).tobytes()
-        return out
+        parts = [(i, s[a : a + 4 * SEQUENCE]) for i, s in enumerate(sequences) for a in range(0, len(s), 4 * SEQUENCE)]
+        out: list[list[bytes]] = [[] for _ in sequences]
+        at = 0
+        while at < len(parts):
+            upto, size = at, 0
+            while upto < len(parts) and (upto == at or size + len(parts[upto][1]) <= 4 * 8 * SEQUENCE):
+                size += len(parts[upto][1])
+                upto += 1
+            flat = np.frombuffer(b"".join([s for _, s in parts[at:upto]]), "<u4").astype(np.int32)
+            sizes = np.array([len(s) // 4 for _, s in parts[at:upto]])
+            self.con.register("tokens_in", pa.table({"seq": np.repeat(np.arange(upto - at, dtype=np.int32), sizes), "pos": np.arange(len(flat), dtype=np.int32), "token": flat}))
+            got = self.con.sql(DECODE).to_arrow_table()
+            for i, piece in sorted(zip(got["seq"].to_pylist(), got["decoded"].to_pylist(), strict=True)):
+                out[parts[at + i][0]].append(piece)
+            at = upto
+        return [b"".join(x) for x in out]
 
     def learn(self, words: set[str]) -> None:
-        """Encodes and decodes the words that are new to this worker."""
+        """Encodes the words that are new to this worker."""
         if len(self.known) + len(words) > REMEMBERED:
             self.known.clear()
-            self.decoded = {b"": b""}
         new, part, size = list(words), [], 0
         for i, w in enumerate(new):
             part.append(w)
             size += len(w)
             if size > QUERY_BYTES or i == len(new) - 1:
-                ids = self.contract([x.encode() for x in part])
-                self.known.update(zip(part, ids, strict=True))
-                fresh = [x for x in dict.fromkeys(ids) if x not in self.decoded]
-                if fresh:
-                    self.decoded.update(zip(fresh, self.decode(fresh), strict=True))
+                self.known.update(zip(part, self.contract([x.encode() for x in part]), strict=True))
                 part, size = [], 0
 
     def encoded(self, texts: list[str | None]) -> Iterator[list[bytes]]:
-        """Each text's ids, word by word."""
+        """The ids of texts, as little-endian 32-bit integers, a slice of texts at a time."""
         part, size = [], 0
         for i, t in enumerate(texts):
             part.append(self.split(t or ""))
             size += len(t or "")
             if size > SLICE_CHARS or i == len(texts) - 1:
                 every = set().union(*part)
-                new = {w for w in every if w not in self.known}
+                new = every - self.known.keys()
                 if new:
                     if len(self.known) + len(new) > REMEMBERED:
                         new = every
                     self.learn(new)
-                known = self.known
-                for words in part:
-                    yield [known[w] for w in words]
+                ids = self.known.__getitem__
+                yield [b"".join(map(ids, words)) for words in part]
                 part, size = [], 0
 
 
@@ -188,7 +214,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id",
     def run(batches):
         c = codec(held, pattern)
         for b in batches:
-            ids = [np.frombuffer(b"".join(x), "<u4").astype(np.int32) for x in c.encoded(b.column(1).to_pylist())]
+            ids = [np.frombuffer(x, "<u4").astype(np.int32) for part in c.encoded(b.column(1).to_pylist()) for x in part]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], [id_column, "ids"])
 
     return docs.select(id_column, text).mapInArrow(run, f"{id_column} {docs.schema[id_column].dataType.simpleString()}, ids array<int>")
@@ -210,21 +236,24 @@ def decode(tokens: DataFrame, path: str, pattern: str, id_column: str = "doc_id"
 def round_trip_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Per document: n_tokens, SHA-256 of its ids and SHA-256 of the bytes that the ids decode to.
 
-    Every distinct word of a worker's texts is contracted once and every distinct id sequence decoded once; a text's ids
-    and bytes are those of its words in order. Null text counts as empty. Rows alike give rows alike.
+    A worker contracts each distinct word of its texts once while it remembers it; a text's ids are those of its words in
+    order, and every text's whole id sequence is decoded. Null text counts as empty. Rows alike give rows alike.
     """
     held = vocabulary(docs.sparkSession, path)
 
     def run(batches):
         c = codec(held, pattern)
         for b in batches:
-            n, ids_hash, text_hash = [], [], []
-            for words in c.encoded(b.column(1).to_pylist()):
-                ids, back = b"".join(words), c.decoded
-                n.append(len(ids) // 4)
-                ids_hash.append(hashlib.sha256(ids).hexdigest())
-                text_hash.append(hashlib.sha256(b"".join([back[w] for w in words])).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            at = 0
+            for part in c.encoded(b.column(1).to_pylist()):
+                columns = [
+                    b.column(0)[at : at + len(part)],
+                    pa.array([len(x) // 4 for x in part], pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in part], pa.string()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in c.decode(part)], pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                at += len(part)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

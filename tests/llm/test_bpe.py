@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -43,7 +44,11 @@ def test_encode_then_decode_is_exact(odd):
     assert back == Counter((r["doc_id"], (r["text"] or "").encode()) for r in odd.collect())
 
 
-def test_heap_equals_the_recursive_query():
-    c = bpe.Codec(open(PATH, "rb").read(), P.PATTERN)
-    words = [b"tiontiontionedshthe" * 9, b"abababcbcbab" * 20, b"aaaaaaaa" * 30, "éèêé".encode() * 20]
-    assert [np.frombuffer(x, "<u4").tolist() for x in c.contract(words)] == [c.heap(w) for w in words]
+def test_long_words_equal_the_library():
+    c, enc, rng = bpe.Codec(open(PATH, "rb").read(), P.PATTERN), encoding(), random.Random(3)
+    word = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    words = ["tiontiontionedshthe" * 20, "abababcbcbab" * 40, "a" * 400, "a" * 40_001, "éèêé" * 200, word("etaoinshrdlu", 4000), word("etaoinshrdluüß", 10_000)]
+    words += [word("abcdefghijklmnopqrstuvwxyz", rng.randint(1, 500)) for _ in range(60)]
+    got = c.contract([w.encode() for w in words])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [enc.encode_ordinary(w) for w in words]
+    assert c.decode([*got, b""]) == [*[w.encode() for w in words], b""]
