@@ -126,12 +126,12 @@ def _tagged(hits: Column, order: int, kind: str) -> Column:
     return F.transform(hits, lambda s: F.struct(s["start"].alias("start"), F.lit(order).alias("order"), F.lit(kind).alias("kind"), s["end"].alias("end")))
 
 
-def _count(kind: str) -> Column:
-    return F.size(F.filter("_secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+def _count(kind: str, found: str = "_secrets") -> Column:
+    return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
-def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """docs with `_secrets`, an array of (start, order, kind, end) by start and then by the rules' order.
+def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", keys: tuple[str, ...] = ("doc_id",), found: str = "_secrets") -> DataFrame:
+    """docs with the column `found`, an array of (start, order, kind, end) by start and then by the rules' order.
 
     The index holds the trigrams that some rule needs, for every text. A rule with a trigram query reads only texts that
     its intersected postings name, and verifies them with the pattern; a rule without mandatory trigrams (hex) reads all.
@@ -149,16 +149,16 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "
     else:
         docs = docs.withColumn("__arpent_rules", F.array().cast("array<string>"))
     none = F.array().cast("array<struct<start:int,end:int>>")
-    found = []
+    tagged = []
     for i, r in enumerate(rules):
         held = F.coalesce(F.array_contains("__arpent_rules", r.kind), F.lit(False)) if r in indexed else F.lit(True)
         hits = F.coalesce(F.when(held & F.col(text).isNotNull(), spans_of(F.col(text), r)), none)
-        found.append(_tagged(hits, i, r.kind))
-    return docs.withColumn("_secrets", F.array_sort(F.concat(*found))).drop("__arpent_key", "__arpent_rules")
+        tagged.append(_tagged(hits, i, r.kind))
+    return docs.withColumn(found, F.array_sort(F.concat(*tagged))).drop("__arpent_key", "__arpent_rules")
 
 
-def redact(docs: DataFrame, mark: str = "[secret]", text: str = "text") -> DataFrame:
-    """Texts with every span of `_secrets` replaced by the mark; spans that overlap are replaced as one."""
+def redact(docs: DataFrame, mark: str = "[secret]", text: str = "text", found: str = "_secrets") -> DataFrame:
+    """Texts with every span in the column `found` replaced by the mark; spans that overlap are replaced as one."""
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -166,8 +166,8 @@ def redact(docs: DataFrame, mark: str = "[secret]", text: str = "text") -> DataF
         first = F.when((s["start"] == 0) & (acc["at"] == 0), F.lit(mark))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.coalesce(gap, first, F.when(s["start"] == acc["at"], F.lit(mark)), F.lit(""))).alias("out"))
 
-    clean = F.aggregate("_secrets", zero, step, lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, F.length(text))))
-    return docs.withColumn(text, F.when(F.size("_secrets") > 0, clean).otherwise(F.col(text))).drop("_secrets")
+    clean = F.aggregate(found, zero, step, lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, F.length(text))))
+    return docs.withColumn(text, F.when(F.size(found) > 0, clean).otherwise(F.col(text))).drop(found)
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
-"""Substring dedup: windows of whole words, known by their hashes, found by their content-defined anchors."""
+"""Substring dedup: content-defined chunks by a gear rolling hash find what repeats, windows of words settle what is cut."""
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,21 +11,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arpent.llm._shared import BROADCAST_ROWS, read, saved
-from arpent.llm.hashing import mix, span_hashes
+from arpent.llm.hashing import SPACE, lots, mix, span_hashes
+
+#: The gear hash is kept modulo 2^16, so it sees the last WINDOW bytes. One place in RATE may be a cut.
+WINDOW, RATE = 16, 16
+
+#: Bytes of a chunk: no cut follows another nearer than SHORTEST, none is longer than LONGEST.
+SHORTEST, LONGEST = 12, 256
 
 #: Words of a match: only words within a window of so many that stands, one after the other, in one other document are cut.
 LEAST_WORDS = 40
 
-#: Of so many windows in a row the one of least hash is an anchor, so documents with a common passage of
-#: LEAST_WORDS + SPREAD - 1 words share an anchor for certain.
-SPREAD = 8
-
-#: Chunks by a gear hash; remove_repeats uses windows of words instead.
-#: The gear hash is kept modulo 2^16, so it sees the last 16 bytes. One place in RATE is a cut.
-WINDOW, RATE = 16, 16
+#: A run of repeated chunks is looked at where it has so many bytes, together with so many bytes on either side: a passage
+#: may begin and end within a chunk, which is what the second number allows for.
+RUN, MARGIN = 96, LONGEST + WINDOW
 
-#: Bytes of a chunk, least and most.
-SHORTEST, LONGEST = 12, 2048
+#: A word of more bytes counts as several, parted at its own cuts, so that text without spaces has windows too.
+LONG_WORD = 32
 
 GEAR = (mix(np.arange(1000, 1256, dtype=np.uint64)) & np.uint64(0xFFFF)).astype(np.uint16)
 
@@ -38,33 +42,41 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def cuts(data: np.ndarray) -> np.ndarray:
-    """Where chunks end: places chosen by the bytes before them, at least SHORTEST and at most LONGEST bytes apart."""
+def cuts(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ends, counts): where the chunks of texts side by side end, and how many chunks each text has.
+
+    A cut is a place that the WINDOW bytes before it choose, with no such place among the SHORTEST - 1 before. Beyond
+    LONGEST bytes without one, the place of least hash is taken, the last of equal ones. So cuts depend on the bytes
+    around them alone and move along when something is inserted before.
+    """
     if not len(data):
-        return np.empty(0, np.int64)
-    places = (np.flatnonzero(gear_hashes(data) < 65536 // RATE) + 1).tolist()
-    ends, last = [], 0
-    for p in places:
-        if p - last >= SHORTEST:
-            while p - last > LONGEST:
-                last += LONGEST
-                ends.append(last)
-            ends.append(p)
-            last = p
-    while len(data) - last > LONGEST:
-        last += LONGEST
-        ends.append(last)
-    if last < len(data):
-        ends.append(len(data))
-    return np.array(ends, np.int64)
+        return np.empty(0, np.int64), np.zeros(len(edges) - 1, np.int64)
+    h = gear_hashes(data)
+    places = np.flatnonzero(h < 65536 // RATE) + 1
+    begin = edges[np.searchsorted(edges, places, "left") - 1]
+    places = places[places - begin >= WINDOW]
+    if len(places):
+        far = np.ones(len(places), bool)
+        far[1:] = (np.diff(places) >= SHORTEST) | (np.searchsorted(edges, places[1:], "left") != np.searchsorted(edges, places[:-1], "left"))
+        places = places[far]
+    ends = np.union1d(places, edges[1:][np.diff(edges) > 0])
+    starts = np.concatenate([[0], ends[:-1]])
+    extra = []
+    for a, b in zip(starts[ends - starts > LONGEST].tolist(), ends[ends - starts > LONGEST].tolist(), strict=True):
+        while b - a > LONGEST:
+            seen = h[a + WINDOW - 1 : a + LONGEST]
+            a += WINDOW + len(seen) - 1 - int(seen[::-1].argmin())
+            extra.append(a)
+    ends = np.union1d(ends, np.array(extra, np.int64)) if extra else ends
+    return ends, np.diff(np.searchsorted(ends, edges, "right"))
 
 
 def chunks(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, digests) of a text's chunks, in bytes of UTF-8."""
     data = np.frombuffer((text or "").encode(), np.uint8)
-    ends = cuts(data)
+    ends, _ = cuts(data, np.array([0, len(data)]))
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else ends
-    return starts, ends, (span_hashes(data, starts, ends) if len(ends) else np.empty(0, np.uint64)).astype(np.int64)
+    return starts, ends, span_hashes(data, starts, ends).astype(np.int64)
 
 
 def document_key() -> Column:
@@ -72,79 +84,113 @@ def document_key() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62)))
 
 
-def windows(text: str | None, words: int) -> np.ndarray:
-    """64-bit hashes of every window of so many words, in order; words stand between ASCII white space of any kind."""
-    found = (text or "").encode().split()
-    if len(found) < words:
-        return np.empty(0, np.int64)
-    sizes = np.fromiter(map(len, found), np.int64, len(found))
-    ends = np.cumsum(sizes + 1) - 1
-    return span_hashes(np.frombuffer(b" ".join(found), np.uint8), (ends - sizes)[: len(ends) - words + 1], ends[words - 1 :]).astype(np.int64)
+def units(text: str | None) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """(words, starts, ends, shift): the text's words with one space between them, where they lie there, and how far before
+    their places in the text. A word of more than LONG_WORD bytes is parted where its own bytes choose, between characters.
+    """
+    data = np.frombuffer((text or "").encode(), np.uint8)
+    space = SPACE[data]
+    solid = np.concatenate([[False], ~space, [False]])
+    starts, ends = np.flatnonzero(solid[1:-1] & ~solid[:-2]), np.flatnonzero(solid[1:-1] & ~solid[2:]) + 1
+    joined = np.cumsum(ends - starts + 1) - (ends - starts + 1)
+    shift = starts - joined
+    words = b" ".join((text or "").encode().split())
+    starts, ends = joined, joined + (ends - starts)
+    long = np.flatnonzero(ends - starts > LONG_WORD)
+    if len(long):
+        flat, extra = np.frombuffer(words, np.uint8), []
+        h = gear_hashes(flat)
+        whole = np.concatenate([(flat & 0xC0) != 0x80, [True]])  # a character begins here
+        for i in long.tolist():
+            places = np.flatnonzero(h[starts[i] : ends[i]] < 65536 // RATE) + 1 + starts[i]
+            for _ in range(3):
+                places = places + ~whole[places]
+            places = np.unique(places)
+            extra.append((places[(places - starts[i] >= WINDOW) & (places < ends[i])], i))
+        sizes = np.ones(len(starts), np.int64)
+        sizes[[i for _, i in extra]] += [len(p) for p, _ in extra]
+        at = np.sort(np.concatenate([p for p, _ in extra]))
+        shift = np.repeat(shift, sizes)
+        starts, ends = np.sort(np.concatenate([starts, at])), np.sort(np.concatenate([ends, at]))
+    return words, starts, ends, shift
 
 
-def anchors(found: np.ndarray) -> np.ndarray:
-    """The least of every SPREAD hashes in a row, each once; of fewer hashes the least one."""
-    width = 1
-    while width < SPREAD and len(found) > 1:
-        step = min(width, SPREAD - width, len(found) - 1)
-        found = np.minimum(found[:-step], found[step:])
-        width += step
-    return np.unique(found)
+def _cell(column: pa.Array, i: int) -> np.ndarray:
+    """List i of a column of lists of longs; a null list is empty."""
+    return column.values[column.offsets[i].as_py() : column.offsets[i + 1].as_py()].to_numpy()
+
+
+def chunk_digests(docs: DataFrame) -> DataFrame:
+    """(digest, doc) of every chunk, from (doc, text)."""
 
+    def run(batches):
+        for b in batches:
+            doc = b.column(0).to_numpy()
+            for i, j, data, edges in lots(b.column(1)):
+                ends, counts = cuts(data, edges)
+                starts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else ends
+                yield pa.RecordBatch.from_arrays([pa.array(span_hashes(data, starts, ends).astype(np.int64)), pa.array(np.repeat(doc[i:j], counts))], ["digest", "doc"])
 
-def around(found: np.ndarray, marked: np.ndarray) -> np.ndarray:
-    """The hashes less than SPREAD places from a marked one, each once."""
-    at = np.flatnonzero(np.isin(found, marked))
-    edges = np.zeros(len(found) + 1, np.int64)
-    np.add.at(edges, np.maximum(at - SPREAD + 1, 0), 1)
-    np.add.at(edges, np.minimum(at + SPREAD, len(found)), -1)
-    return np.unique(found[np.cumsum(edges[:-1]) > 0])
+    return docs.mapInArrow(run, "digest long, doc long")
 
 
-def _hashes(docs: DataFrame, choose) -> DataFrame:
-    """(digest, doc) from (doc, text, ...): choose(text, i, batch) gives the hashes of a row."""
+def candidate_windows(text: str | None, marked: np.ndarray, least_words: int) -> tuple[np.ndarray, list[bytes]]:
+    """(places, digests) of the windows of words around the runs of chunks whose digests are marked."""
+    starts, ends, digests = chunks(text)
+    hit = np.concatenate([[False], np.isin(digests, marked), [False]])
+    a, b = starts[np.flatnonzero(hit[1:-1] & ~hit[:-2])], ends[np.flatnonzero(hit[1:-1] & ~hit[2:])]
+    a, b = a[b - a >= RUN] - MARGIN, b[b - a >= RUN] + MARGIN
+    if not len(a):
+        return np.empty(0, np.int32), []
+    words, first, last, shift = units(text)
+    lo, hi = np.searchsorted(first + shift, a, "left"), np.searchsorted(last + shift, b, "right") - least_words
+    wanted = np.zeros(len(first) + 2, np.int64)
+    ok = hi >= lo
+    np.add.at(wanted, lo[ok], 1)
+    np.add.at(wanted, hi[ok] + 1, -1)
+    at = np.flatnonzero(np.cumsum(wanted) > 0)
+    spans = zip(first[at].tolist(), last[at + least_words - 1].tolist(), strict=True)
+    return at.astype(np.int32), [hashlib.blake2b(words[x:y], digest_size=16).digest() for x, y in spans]
+
+
+def word_windows(docs: DataFrame, least_words: int) -> DataFrame:
+    """(doc, written, place, d0, d1): 128-bit digests of windows of words near repeated chunks, from (doc, written, text, marked)."""
 
     def run(batches):
+        names = ["doc", "written", "place", "d0", "d1"]
         for b in batches:
-            found = [choose(t, i, b) for i, t in enumerate(b.column(1).to_pylist())]
-            flat = np.concatenate(found) if found else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(flat, pa.int64()), pa.array(np.repeat(b.column(0).to_numpy(), [len(x) for x in found]), pa.int64())], ["digest", "doc"])
+            keys, held, size = [b.column(i).to_numpy() for i in (0, 1)], [], 0
+            for i in range(b.num_rows):
+                at, digests = candidate_windows(b.column(2)[i].as_py(), _cell(b.column(3), i), least_words)
+                held.append((i, at, digests))
+                size += len(at)
+                if size > 100_000 or i == b.num_rows - 1:
+                    pair = np.frombuffer(b"".join([x for *_, d in held for x in d]), np.int64).reshape(-1, 2)
+                    row = np.repeat([x[0] for x in held], [len(x[1]) for x in held])
+                    yield pa.RecordBatch.from_arrays([pa.array(k[row], pa.int64()) for k in keys] + [pa.array(np.concatenate([x[1] for x in held]), pa.int32()), pa.array(pair[:, 0]), pa.array(pair[:, 1])], names)
+                    held, size = [], 0
 
-    return docs.mapInArrow(run, "digest long, doc long")
+    return docs.mapInArrow(run, "doc long, written long, place int, d0 long, d1 long")
 
 
-def _shared(hashes: DataFrame) -> DataFrame:
-    """(digest, keeper): the hashes that more than one document has, with the least of them."""
-    return hashes.groupBy("digest").agg(F.min("doc").alias("keeper"), F.max("doc").alias("other")).where("keeper <> other").select("digest", "keeper")
+def _shared(hashes: DataFrame, *by: str) -> DataFrame:
+    """(by, keeper): the digests that more than one document has, with the least of them."""
+    return hashes.groupBy(*by).agg(F.min("doc").alias("keeper"), F.max("doc").alias("other")).where("keeper <> other").select(*by, "keeper")
 
 
-def _cell(column: pa.Array, i: int) -> np.ndarray:
-    """List i of a column of lists of longs; a null list is empty."""
-    return column.values[column.offsets[i].as_py() : column.offsets[i + 1].as_py()].to_numpy()
+def cut_passages(text: str, places: np.ndarray, keepers: np.ndarray, least_words: int) -> tuple[str, list[tuple[int, int]], list[int]]:
+    """(text left, spans cut in bytes, ids that keep them): the words that lie in windows at these places go."""
+    order = np.argsort(places, kind="stable")
+    places = places[order]
+    _, first, last, shift = units(text)
+    first, last = first + shift, last + shift
+    spans = [(int(first[r[0]]), int(last[r[-1] + least_words - 1])) for r in np.split(places, np.flatnonzero(np.diff(places) > least_words) + 1)]
+    return cut_spans(text, spans), spans, sorted(set(keepers.tolist()))
 
 
-def repeated_spans(text: str | None, digests: np.ndarray, keepers: np.ndarray, least_words: int) -> list[tuple[int, int, set[int]]]:
-    """(start, end, keepers) in bytes: runs of words that lie in windows with a digest of another document."""
-    found = windows(text, least_words)
-    if not len(found) or not len(digests):
-        return []
-    order = np.argsort(digests, kind="stable")
-    place = np.minimum(np.searchsorted(digests[order], found), len(digests) - 1)
-    at = np.flatnonzero(digests[order][place] == found)
-    kept = keepers[order][place]
-    data = np.frombuffer(text.encode(), np.uint8)
-    space = np.isin(data, np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8))
-    before, after = np.concatenate([[True], space[:-1]]), np.concatenate([space[1:], [True]])
-    word_starts, word_ends = np.flatnonzero(before & ~space), np.flatnonzero(after & ~space) + 1
-    out = []
-    for run in np.split(at, np.flatnonzero(np.diff(at) > least_words) + 1) if len(at) else []:
-        out.append((int(word_starts[run[0]]), int(word_ends[run[-1] + least_words - 1]), set(kept[run].tolist())))
-    return out
-
-
-def cut_spans(text: str, spans: list[tuple[int, int, set[int]]]) -> str:
+def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
     data, out, at = text.encode(), [], 0
-    for start, end, _ in spans:
+    for start, end in spans:
         out.append(data[at:start])
         at = end
     return b"".join([*out, data[at:]]).decode()
@@ -153,10 +199,12 @@ def cut_spans(text: str, spans: list[tuple[int, int, set[int]]]) -> str:
 def remove_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, report: bool = False) -> DataFrame:
     """docs with passages that stand in another document cut out of their texts; the least doc_id keeps a passage.
 
-    Every word that lies in a window of least_words words which also stands, word for word, in a document of a smaller
-    id is cut, so passages go up to their edges; only white space may differ. Windows are found by their anchors: a
-    passage of least_words + SPREAD - 1 words or more is found for certain, one of least_words or more mostly. First the
-    anchors of all documents are grouped, then, in documents that share one, all windows around a shared anchor.
+    Texts are cut into chunks by content, and chunks grouped by digest: those of several documents are repeats. Runs of
+    repeated chunks are candidates, as short chunks also repeat by chance. Around them every window of least_words words
+    is grouped by a 128-bit digest, and a word is cut if it lies in a window that stands, word for word, in a document
+    of a smaller id; so passages go up to their edges, and only white space may differ. A passage of 50 words has about
+    ten chunks, so it is missed only where fewer than RUN bytes of it are whole chunks. Words of more than LONG_WORD bytes
+    count as several.
     With report, adds removed_chars, spans (start:end in bytes of the old text, comma-joined) and kept_in (the ids that
     keep the windows cut). Null and empty texts stay; rows of one id count as one document, and repeats within a
     document stay. Null ids keep a passage only among themselves.
@@ -164,45 +212,48 @@ def remove_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, report: bool
     to be few.
     """
     spark = docs.sparkSession
-    first = _hashes(docs.select(document_key().alias("doc"), "text"), lambda t, i, b: anchors(windows(t, least_words)))
-    marks = first.join(saved(_shared(first), "shared-anchors"), "digest")
+    first = chunk_digests(docs.select(document_key().alias("doc"), "text"))
+    marks = first.join(saved(_shared(first, "digest").select("digest"), "shared-chunks"), "digest")
     marked = saved(marks.groupBy("doc").agg(F.collect_set("digest").alias("marked")), "marked")
-    texts = docs.select(document_key().alias("doc"), "text").where("text IS NOT NULL")
+    texts = docs.select(document_key().alias("doc"), F.xxhash64("text").alias("written"), "text").where("text IS NOT NULL")
     if marked.count() <= BROADCAST_ROWS:  # of ids only
         texts = texts.join(F.broadcast(marked.select("doc")), "doc", "left_semi")
-    near = saved(_hashes(texts.join(marked, "doc").select("doc", "text", "marked"), lambda t, i, b: around(windows(t, least_words), _cell(b.column(2), i))), "near-anchors")
-    again = near.join(saved(_shared(near), "shared-windows"), "digest").where("doc <> keeper").distinct()
-    lists = again.groupBy("doc").agg(F.collect_list(F.struct("digest", "keeper")).alias("_both"))
-    repeats = saved(lists.select("doc", F.col("_both.digest").alias("__arpent_digests"), F.col("_both.keeper").alias("__arpent_keepers")), "repeats")
-    key = "__arpent_doc"
-    keyed = docs.withColumn(key, document_key())
-    ids = repeats.select(F.col("doc").alias(key))
-    lists = repeats.withColumnRenamed("doc", key)
+    near = saved(word_windows(texts.join(marked, "doc").select("doc", "written", "text", "marked"), least_words), "windows")
+    again = near.join(saved(_shared(near, "d0", "d1"), "shared-windows"), ["d0", "d1"]).where("doc <> keeper").select("doc", "written", F.struct("place", "keeper").alias("_both")).distinct()
+    lists = again.groupBy("doc", "written").agg(F.collect_list("_both").alias("_both"))
+    key = ["__arpent_doc", "__arpent_text"]
+    columns = [F.col("doc").alias(key[0]), F.col("written").alias(key[1]), F.transform("_both", lambda x: x["place"].cast("long")).alias("__arpent_places"), F.col("_both.keeper").alias("__arpent_keepers")]
+    lists = saved(lists.select(*columns), "repeats")
+    keyed = docs.withColumn(key[0], document_key()).withColumn(key[1], F.xxhash64("text"))
     extra = [T.StructField("removed_chars", T.LongType()), T.StructField("spans", T.StringType()), T.StructField("kept_in", T.ArrayType(T.LongType()))] if report else []
     keep = [c for c in docs.columns if c not in {f.name for f in extra}]
     schema = T.StructType([*[docs.schema[c] for c in keep], *extra])
 
     def run(batches):
-        for b in batches:
-            texts, removed, spans, kept = [], [], [], []
-            held = b.column("__arpent_digests"), b.column("__arpent_keepers")
-            for i, t in enumerate(b.column("text").to_pylist()):
-                at = repeated_spans(t, _cell(held[0], i), _cell(held[1], i), least_words) if t else []
-                texts.append(cut_spans(t, at) if at else t)
-                removed.append(len(t or "") - len(texts[-1] or ""))
-                spans.append(",".join(f"{x}:{y}" for x, y, _ in at))
-                kept.append(sorted(set().union(*(k for _, _, k in at))))
-            columns = [pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in keep]
-            columns += [pa.array(removed, pa.int64()), pa.array(spans, pa.string()), pa.array(kept, pa.list_(pa.int64()))] if report else []
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
-
-    if repeats.count() <= BROADCAST_ROWS:  # of ids only
-        touched = keyed.join(F.broadcast(ids), key, "left_semi").join(lists, key)
-        rest = keyed.join(F.broadcast(ids), key, "left_anti").select(*keep)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                b = whole.slice(at, 1000)
+                texts, removed, spans, kept = [], [], [], []
+                held = b.column("__arpent_places"), b.column("__arpent_keepers")
+                for i, t in enumerate(b.column("text").to_pylist()):
+                    places = _cell(held[0], i)
+                    left, cut, ids = cut_passages(t, places, _cell(held[1], i), least_words) if t and len(places) else (t, [], [])
+                    texts.append(left)
+                    removed.append(len(t or "") - len(left or ""))
+                    spans.append(",".join(f"{x}:{y}" for x, y in cut))
+                    kept.append(ids)
+                columns = [pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in keep]
+                columns += [pa.array(removed, pa.int64()), pa.array(spans, pa.string()), pa.array(kept, pa.list_(pa.int64()))] if report else []
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    if lists.count() <= BROADCAST_ROWS:  # of ids only
+        ids = F.broadcast(lists.select(*key))
+        touched = keyed.join(ids, key, "left_semi").join(lists, key)
+        rest = keyed.join(ids, key, "left_anti").select(*keep)
         if report:
             rest = rest.select(*keep, F.lit(0).cast("long").alias("removed_chars"), F.lit("").alias("spans"), F.array().cast("array<long>").alias("kept_in"))
-        return touched.select(*keep, "__arpent_digests", "__arpent_keepers").mapInArrow(run, schema).unionByName(rest)
-    return keyed.join(lists, key, "left").select(*keep, "__arpent_digests", "__arpent_keepers").mapInArrow(run, schema)
+        return touched.select(*keep, "__arpent_places", "__arpent_keepers").mapInArrow(run, schema).unionByName(rest)
+    return keyed.join(lists, key, "left").select(*keep, "__arpent_places", "__arpent_keepers").mapInArrow(run, schema)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

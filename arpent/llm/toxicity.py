@@ -6,6 +6,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -40,7 +41,8 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg",
 
 SIGNS = re.compile(r"[0-9@$!|+*(€£]+")
 STRETCHED = re.compile(r"([^\W\d_])\1\1")
-SPACED = re.compile(r"(?<!\w)\w(?:[ .\-_*]\w){3,}(?!\w)")
+SPACED = re.compile(r"(?<!\w)[\w@$!|+€£](?:[ .\-_*][\w@$!|+€£]){3,}(?!\w)")
+PIECES = re.compile(r"(?<!\w)[^\W\d_]{1,3}(?:[.\-_*][^\W\d_]{1,3}){2,}(?!\w)")
 WORDS = re.compile(r"[^\W\d_]+")
 
 #: Channel: chances that a letter is written as itself, by a sign, or stretched, and that a sign is meant as it stands.
@@ -55,18 +57,24 @@ def symbols(text: str) -> np.ndarray:
     return np.where(points < 0x180, _TABLE[np.minimum(points, 0x17F)], 1)
 
 
+def each(column: pa.Array, most: int = 256) -> Iterator[str | None]:
+    """The texts of a column, a few at a time as Python strings."""
+    for at in range(0, len(column), most):
+        yield from column.slice(at, most).to_pylist()
+
+
 def character_counts(docs: DataFrame) -> DataFrame:
     """(code, n): how often three symbols follow one another, over every text; SYMBOLS^3 rows at most."""
 
     def run(batches):
         total, held, size = np.zeros(SYMBOLS**3, np.int64), [], 0
         for b in batches:
-            for t in b.column(0).to_pylist():
+            for t in each(b.column(0)):
                 if t:
                     s = np.concatenate([[0, 0], symbols(t), [0]])
                     held.append((s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:])
                     size += len(s)
-                if size > 2 * SYMBOLS**3:
+                if size > SYMBOLS**3 // 2:
                     total += np.bincount(np.concatenate(held), minlength=SYMBOLS**3)
                     held, size = [], 0
         if held:
@@ -118,25 +126,26 @@ def viterbi(written: str, model: np.ndarray) -> str:
 
 
 _SEPARATOR = np.isin(np.arange(128), np.frombuffer(b" .-_*", np.uint8))
-_WORD = np.array([chr(i).isalnum() or chr(i) == "_" for i in range(128)])
+_WORD = np.array([chr(i).isalnum() or chr(i) in "_@$!|+" for i in range(128)])
 
 
-def hints(text: str) -> tuple[bool, bool]:
-    """Whether a text may have stretched letters, and spaced ones: array tests that only ever err to true."""
+def hints(text: str) -> tuple[bool, bool, bool]:
+    """Whether a text may have stretched letters, spaced ones, and words in pieces: array tests that only ever err to true."""
     u = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
     if len(u) < 3:
-        return False, False
+        return False, False, False
     stretched = bool(((u[2:] == u[1:-1]) & (u[1:-1] == u[:-2]) & (u[2:] > 64)).any())
     low = np.minimum(u, 127)
     word, apart = _WORD[low] | (u > 126), _SEPARATOR[low] & (u < 127)
     one = word[:-2] & apart[1:-1] & word[2:]
-    return stretched, bool((one[:-2] & one[2:]).any())
+    inner = np.flatnonzero(one & (u[1:-1] != 32))
+    return stretched, bool((one[:-2] & one[2:]).any()), bool((np.diff(inner) < 5).any())
 
 
 def suspects(text: str) -> set[str]:
-    """Written forms that may hide a word: tokens with signs among letters, stretched letters, spaced letters."""
+    """Written forms that may hide a word: tokens with signs among letters, stretched letters, spaced letters, pieces."""
     found = set()
-    stretched, spaced = hints(text)
+    stretched, spaced, pieces = hints(text)
     for pattern in (SIGNS, STRETCHED) if stretched else (SIGNS,):
         end = -1
         for m in pattern.finditer(text):
@@ -152,6 +161,7 @@ def suspects(text: str) -> set[str]:
                 found.add(token)
     for m in SPACED.finditer(text) if spaced else ():
         found.update((m[0], m[0][2:]))  # the first letter may be a word of its own
+    found.update(PIECES.findall(text) if pieces else ())
     return found
 
 
@@ -236,7 +246,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     def restored(b):
         restorer = Restorer(held.value)
-        for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+        for t, y in zip(each(b.column(0)), b.column(1).to_pylist(), strict=True):
             yield features(restorer.words(t)), int(y)
 
     def coarse(batches):
@@ -276,7 +286,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     def evidence(batches):
         for b in batches:
             restorer = Restorer(fitted.value.characters)
-            x = [fitted.value.evidence(restorer.words(t)) for t in b.column(0).to_pylist()]
+            x = [fitted.value.evidence(restorer.words(t)) for t in each(b.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), b.column(1).cast(pa.int32())], ["x", "y"])
 
     seen = rows.mapInArrow(evidence, "x double, y int").collect()  # two numbers for each training row
@@ -291,19 +301,23 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return model
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with score and predicted; a null or empty text has no evidence."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    keep = [c for c in docs.columns if c not in ("score", "predicted")]
-    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+def likelihood(spark: SparkSession, model: Model):
+    """A function of a text column: the score of each text. Only texts go to Python, and only scores come back."""
+    held = spark.sparkContext.broadcast(model)
 
-    def run(batches):
+    @F.arrow_udf(T.DoubleType())
+    def scores(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         restorer = Restorer(held.value.characters)
-        for b in batches:
-            s = [held.value.score(held.value.evidence(restorer.words(t))) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(s, pa.float64()), pa.array([int(x >= THRESHOLD) for x in s], pa.int32())], schema.names)
+        for column in columns:
+            yield pa.array([held.value.score(held.value.evidence(restorer.words(t))) for t in each(column)], pa.float64())
+
+    return scores
+
 
-    return docs.select(*keep).mapInArrow(run, schema)
+def score(docs: DataFrame, model: Model, score: str = "score", predicted: str = "predicted") -> DataFrame:
+    """docs with a score and a prediction in the columns named; a null or empty text has no evidence."""
+    found = docs.withColumn(score, likelihood(docs.sparkSession, model)("text"))
+    return found.withColumn(predicted, (F.col(score) >= THRESHOLD).cast("int"))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

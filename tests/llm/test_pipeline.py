@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from test_jaccard import brute as brute_groups
 from test_packing import check
 from test_secrets import brute as brute_secrets
@@ -28,7 +29,7 @@ def test_each_stage_against_plain_python(spark, sf_dir):
     assert Counter(r[0] for r in near.select("doc_id").collect()) == Counter(d for d, _, c in brute_groups(rows) if d == c)
 
     cut = {r["doc_id"]: r["text"] for r in stages["substring_dedup"](spark, docs, sf_dir).collect()}
-    want = {d: cut_spans(t, [(*map(int, s.split(":")), set()) for s in spans.split(",") if s]) for (d, t), spans in zip(rows, brute_spans(rows).values(), strict=True)}
+    want = {d: cut_spans(t, [tuple(map(int, s.split(":"))) for s in spans.split(",") if s]) for (d, t), spans in zip(rows, brute_spans(rows).values(), strict=True)}
     assert cut == {d: t for d, t in want.items() if t.strip(" ")}
 
     clean = {r["doc_id"]: r for r in stages["secrets"](spark, docs, sf_dir).collect()}
@@ -46,8 +47,12 @@ def test_run_packs_what_the_stages_keep(spark, sf_dir):
 
 
 def test_odd_rows(spark, odd, no_docs, sf_dir):
-    for docs in (odd, no_docs):
+    clashing = odd.withColumn("score", F.lit(7.0)).withColumn("predicted", F.lit(1)).withColumn("_secrets", F.lit("mine")).withColumn("spans", F.lit(2))
+    for docs in (odd, no_docs, clashing, odd.select("doc_id", "text")):
+        base = docs.columns
         for _, stage in corpus_pipeline.STAGES[:-1]:
             docs = corpus_pipeline.saved(stage(spark, docs, sf_dir), "stage")
-            assert docs.columns == BASE
+            assert docs.columns == base
+        if "score" in base:
+            assert docs.where("score <> 7.0 OR predicted <> 1 OR _secrets <> 'mine' OR spans <> 2").isEmpty() and not docs.isEmpty()
         corpus_pipeline.pack(spark, docs, sf_dir).count()

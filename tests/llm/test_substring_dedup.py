@@ -6,38 +6,84 @@ import numpy as np
 from arpent.llm import substring_dedup as sd
 
 
-def brute(rows, least_words=sd.LEAST_WORDS):
-    """The same rule with plain loops: a gear hash byte by byte, chunks as byte strings, sets of ids."""
-    def split(text):
-        h, last, out, data = 0, 0, [], (text or "").encode()
-        for i, b in enumerate(data):
-            h = ((h << 1) + int(sd.GEAR[b])) & 0xFFFF
-            if (h < 65536 // sd.RATE and i + 1 - last >= sd.SHORTEST) or i + 1 - last == sd.LONGEST and False:
-                out.append((last, i + 1, data[last : i + 1]))
-                last = i + 1
-        if last < len(data):
-            out.append((last, len(data), data[last:]))
-        return out
-
-    where = defaultdict(set)
-    for doc, text in rows:
-        for _, _, c in split(text):
-            where[c].add(doc)
-    out = {}
+def plain_chunks(text):
+    """The chunks of a text with plain loops: a gear hash byte by byte."""
+    data, h, out, last, before, hashes = (text or "").encode(), 0, [], 0, None, []
+    for b in data:
+        h = ((h << 1) + int(sd.GEAR[b])) & 0xFFFF
+        hashes.append(h)
+    ends, before = [], None
+    for i, h in enumerate(hashes):
+        if h < 65536 // sd.RATE and i + 1 >= sd.WINDOW:
+            if before is None or i + 1 - before >= sd.SHORTEST:
+                ends.append(i + 1)
+            before = i + 1
+    for end in sorted({*ends, len(data)} - {0}):
+        while end - last > sd.LONGEST:
+            low = min(range(last + sd.WINDOW, last + sd.LONGEST + 1), key=lambda p: (hashes[p - 1], -p))
+            out.append((last, low))
+            last = low
+        out.append((last, end))
+        last = end
+    return out
+
+
+def plain_units(text):
+    """(start, end) in bytes of the words of a text; long ones are parted at their own cuts, between characters."""
+    data, out, a = (text or "").encode(), [], None
+    flat = b" ".join(data.split())
+    h, hashes = 0, []
+    for b in flat:
+        h = ((h << 1) + int(sd.GEAR[b])) & 0xFFFF
+        hashes.append(h)
+    at, place = 0, 0
+    for word in data.split():
+        a = data.index(word, at)
+        at = a + len(word)
+        ends = {len(word)}
+        if len(word) > sd.LONG_WORD:
+            for i in range(len(word)):
+                if hashes[place + i] < 65536 // sd.RATE:
+                    p = i + 1
+                    while p < len(word) and word[p] & 0xC0 == 0x80:
+                        p += 1
+                    if sd.WINDOW <= p < len(word):
+                        ends.add(p)
+        place += len(word) + 1
+        begin = 0
+        for e in sorted(ends):
+            out.append((a + begin, a + e))
+            begin = e
+    return out
+
+
+def brute(rows, least=sd.LEAST_WORDS):
+    """The same rule with plain loops: chunks as byte strings, windows as tuples of words, sets of ids."""
+    where, first = defaultdict(set), {}
     for doc, text in rows:
-        data, spans, run = (text or "").encode(), [], None
-        for a, b, c in [*split(text), (None, None, None)]:
-            if c is not None and min(where[c]) != doc:
+        for a, b in plain_chunks(text):
+            where[(text or "").encode()[a:b]].add(doc)
+    near = {}
+    for doc, text in sorted(rows):
+        data, runs, run = (text or "").encode(), [], None
+        for a, b in [*plain_chunks(text), (None, None)]:
+            if a is not None and len(where[data[a:b]]) > 1:
                 run = (run[0] if run else a, b)
             elif run:
-                a0, b0 = run
-                while a0 < b0 and not (data[a0 : a0 + 1].strip() and not data[a0 - 1 : a0].strip() if a0 else data[:1].strip()):
-                    a0 += 1
-                while b0 > a0 and not (data[b0 - 1 : b0].strip() and not data[b0 : b0 + 1].strip()):
-                    b0 -= 1
-                if len(data[a0:b0].split()) >= least_words:
-                    spans.append((a0, b0))
+                if run[1] - run[0] >= sd.RUN:
+                    runs.append((run[0] - sd.MARGIN, run[1] + sd.MARGIN))
                 run = None
+        words = plain_units(text) if runs else []
+        near[doc] = [(i, words[i][0], words[i + least - 1][1]) for i in range(len(words) - least + 1) if any(a <= words[i][0] and words[i + least - 1][1] <= b for a, b in runs)]
+        for _, a, b in near[doc]:
+            first.setdefault(b" ".join(data[a:b].split()), doc)
+    out = {}
+    for doc, text in rows:
+        data, spans = (text or "").encode(), []
+        for _, a, b in near[doc]:
+            if first[b" ".join(data[a:b].split())] != doc:
+                gap = data[spans[-1][1] : a].split() if spans and a > spans[-1][1] else []
+                spans = [*spans[:-1], (spans[-1][0], b)] if spans and not gap else [*spans, (a, b)]
         out[doc] = ",".join(f"{a}:{b}" for a, b in spans)
     return out
 
@@ -48,8 +94,26 @@ def test_query_equals_plain_loops(spark, sf_dir):
     want = brute(rows)
     assert {d: r["spans"] for d, r in got.items()} == want
     for doc, text in rows:
-        spans = [(*map(int, s.split(":")), set()) for s in want[doc].split(",") if s]
-        assert got[doc]["text"] == sd.cut_spans(text, spans)
+        assert got[doc]["text"] == sd.cut_spans(text, [tuple(map(int, s.split(":"))) for s in want[doc].split(",") if s])
+
+
+def test_chunks_equal_plain_loops():
+    rng = random.Random(2)
+    texts = ["", "a", "x" * 5000, "ab" * 3000, "日本語テキスト" * 400, "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(3000)), " ".join(str(rng.random()) for _ in range(400)), "lorem ipsum " * 600]
+    for text in texts:
+        starts, ends, _ = sd.chunks(text)
+        assert list(zip(starts.tolist(), ends.tolist(), strict=True)) == plain_chunks(text)
+        _, first, last, shift = sd.units(text)
+        assert list(zip((first + shift).tolist(), (last + shift).tolist(), strict=True)) == plain_units(text)
+
+
+def test_text_without_spaces(spark):
+    rng = random.Random(8)
+    signs = lambda n: "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(n))
+    passage = signs(900)
+    rows = [(1, signs(300) + passage + signs(200)), (2, signs(77) + passage + signs(400)), (3, signs(1500))]
+    got = {r["doc_id"]: r for r in sd.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), report=True).collect()}
+    assert got[1]["text"] == rows[0][1] and got[3]["text"] == rows[2][1] and got[2]["removed_chars"] >= 800
 
 
 def test_shifted_passages_are_cut_and_clean_text_stays(spark):
@@ -127,10 +191,12 @@ def test_only_contiguous_passages_are_cut_up_to_their_edges(spark):
 
 def test_query_cuts_what_plain_windows_cut(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
-    want, sure = plain_windows(rows), plain_windows(rows, sd.LEAST_WORDS + sd.SPREAD - 1)
+    want, sure, missed = plain_windows(rows), plain_windows(rows, 50), 0
     for r in sd.op1_substring_dedup(spark, sf_dir).collect():
         data, cut = dict(rows)[r["doc_id"]].encode(), set()
         for a, b in (map(int, s.split(":")) for s in r["spans"].split(",") if s):
             n = len(data[:a].split())
             cut |= set(range(n, n + len(data[a:b].split())))
-        assert sure[r["doc_id"]] <= cut <= want[r["doc_id"]]
+        assert cut <= want[r["doc_id"]]
+        missed += bool(sure[r["doc_id"]] - cut)
+    assert missed <= 0.01 * sum(map(bool, sure.values()))

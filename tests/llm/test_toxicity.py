@@ -35,6 +35,7 @@ def test_obfuscated_words_are_restored():
         assert toxicity.viterbi(written, m) == word
     r = toxicity.Restorer(m)
     assert {"idiot", "loser", "stupid"} <= r.words("you are an 1d10t, a l o s e r and stuuuupid!")
+    assert {"stupid", "moron"} <= r.words("he is $ t u p ! d") | r.words("a mo.r.on") and "stupid" in r.words("so st.up.id of you")
     assert r.words(None) == set() == r.words("")
 
 
