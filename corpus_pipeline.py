@@ -14,13 +14,16 @@ from arpent.llm.jaccard import near_duplicates
 from arpent.llm.packing import pack_documents
 from arpent.llm.secrets import redact, scan_secrets
 from arpent.llm.substring_dedup import remove_repeats
-from arpent.llm.toxicity import fit, score
+from arpent.llm.toxicity import THRESHOLD, fit, likelihood
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score stays below the threshold; learned from labels outside the held-out fold."""
+    """Documents whose score stays below the threshold; learned from labels outside the held-out fold.
+
+    Null and empty texts have no evidence and stay, as do repeated rows, each by its own text.
+    """
     model = fit(docs, read(spark, sf_dir, "labels"))
-    return score(docs, model).where("predicted = 0").select(*docs.columns)
+    return docs.where(likelihood(spark, model)("text") < THRESHOLD)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,6 +42,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def _sized(docs: DataFrame, before: list[str]) -> DataFrame:
+    if "n_chars" not in before:
+        return docs.select(*before)
     return docs.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])).select(*before)
 
 
@@ -50,12 +55,12 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with every secret replaced by a mark."""
-    return _sized(redact(scan_secrets(docs)), docs.columns)
+    """Texts with every secret replaced by a mark; null and empty texts stay as they are, as do columns of any name."""
+    return _sized(redact(scan_secrets(docs, found="__arpent_secrets"), found="__arpent_secrets"), docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token pieces of all documents, packed into sequences."""
+    """The token pieces of all documents, packed into sequences; a null or empty text is one piece of its end id."""
     return pack_documents(docs)
 
 
