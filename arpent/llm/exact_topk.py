@@ -54,7 +54,8 @@ def exact_top_k(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     """Components as floor(256 * x); the k highest integer inner products of each query row with the other rows.
 
     Vectors that are null, empty or hold null or non-finite components take no part, nor do rows without vec_id; rows of
-    a query's own vec_id are its own. All vectors have one length. Scores are exact while they fit a long.
+    a query's own vec_id are its own, and vectors of another length are no candidates. Scores are exact while components
+    are below 2^53 and scores fit a long.
     """
     ints = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256))
     rows = vectors.where(usable(zero=True)).select(F.col("vec_id").cast("long"), ints.alias("v"))

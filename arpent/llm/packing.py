@@ -232,7 +232,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `capacity` rows
     runs = places(pack_counts(counts, capacity)) or [(-1, 0, 0, 0, 0)]
     table = pieces.sparkSession.createDataFrame(runs, "length long, _from long, _to long, _first long, offset long")
-    ranked = numbered(pieces, "length", ["_tie"], "_rank")
+    ranked = numbered(pieces, "length", ["_tie", "doc_id", "piece", "ids_crc32"], "_rank")
     placed = ranked.join(F.broadcast(table), (ranked["length"] == table["length"]) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to"))).drop(table["length"])
     return placed.withColumn("sequence_id", F.col("_first") + F.col("_rank") - F.col("_from")).drop("_tie", "_rank", "_from", "_to", "_first")
 

@@ -73,9 +73,11 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, n_pivots: int = PI
     footrule distance of the prefixes and scores the nearest ones on the original vectors in double precision. Norms count:
     rows and pivots get one more component that makes their norms equal, queries a zero there. A tile of
     `least` rows or fewer is scored whole. Vectors that are null, zero or hold null or non-finite components take no part,
-    nor do rows without vec_id; rows of a query's own vec_id are its own. All vectors have one length.
+    nor do rows without vec_id, nor those of another length than most (the smaller of ties); rows of a query's own
+    vec_id are its own.
     """
-    rows = vectors.where(usable()).select(F.col("vec_id").cast("long"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    lengths = vectors.where(usable()).groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
+    rows = vectors.where(usable() & (F.size("embedding") == (lengths["n"] if lengths else 0))).select(F.col("vec_id").cast("long"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
     sample = rows.where("vec_id IS NOT NULL").orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_pivots).collect()  # n_pivots rows at most
     pivots = np.array([r["v"] for r in sample], np.float64)
     square = rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()[0] or 0.0

@@ -88,7 +88,7 @@ def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
     ).withColumn("_tie", F.xxhash64("doc_id", "text_crc32", "size"))
     placed = kd_shards(saved(rows, "kd-rows"), [f"_{a}" for a in axes], "size", "_tie", leaves=shards)
     placed = placed.select("doc_id", "size", "text_crc32", "shard", "_tie")
-    out = numbered(placed, "shard", ["_tie"], "slot")
+    out = numbered(placed, "shard", ["_tie", "doc_id", "size"], "slot")
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 

@@ -32,7 +32,8 @@ def top_of_tiles(vectors: DataFrame, every: int, k: int, find: Callable, score:
     vectors: vec_id, v. Queries are the rows whose vec_id is divisible by `every`. Vectors and queries are dealt into
     tiles by a hash of their id; each pair of a vector tile and a query tile is one group of bounded size, in which
     find(query ids, queries, vector ids in order, vectors) gives arrays (query_id, vec_id, score), k a query at most.
-    Only those are brought together by query.
+    Only those are brought together by query. Vectors of different lengths never meet. As queries are a fixed share of the
+    rows, the work grows with the square of the table, in groups of bounded size.
     """
     vectors = saved(vectors.where("vec_id IS NOT NULL"), "vectors")
     queries = vectors.where(F.col("vec_id") % every == 0)
@@ -48,8 +49,9 @@ def top_of_tiles(vectors: DataFrame, every: int, k: int, find: Callable, score:
         a, b, s = find(q["vec_id"].to_numpy(), matrix(q["v"]), v["vec_id"].to_numpy(), matrix(v["v"]))
         return pd.DataFrame({"query_id": a, "vec_id": b, "score": s})
 
-    left = dealt(vectors, "_vt", nv, "_qt", nq).groupBy("_vt", "_qt")
-    right = dealt(queries, "_qt", nq, "_vt", nv).groupBy("_vt", "_qt")
+    length = F.size("v").alias("_length")
+    left = dealt(vectors, "_vt", nv, "_qt", nq).groupBy("_vt", "_qt", length)
+    right = dealt(queries, "_qt", nq, "_vt", nv).groupBy("_vt", "_qt", length)
     found = left.cogroup(right).applyInPandas(run, f"query_id long, vec_id long, score {score}")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -13,14 +13,18 @@ from urllib.parse import urlsplit
 
 import pandas as pd
 import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arpent.llm._shared import BROADCAST_ROWS, fresh_path, read, saved, small
+from arpent.llm._shared import fresh_path, read, saved, small
 
 #: Captures of an index block.
 BLOCK_LINES = 1000
 
+#: Entries of the directory that the driver and every task hold, at most about; bytes that are read at once.
+DIRECTORY, READ = 200_000, 1 << 20
+
 #: Stands between the gzip members of an archive: readers skip zero bytes there.
 PAD = b"\0"
 
@@ -67,19 +71,33 @@ def page_of(field: str) -> int | None:
     return None if name == "None" else int(name)
 
 
-def members(content: bytes) -> Iterator[tuple[int, int, bytes]]:
-    """(offset, length, raw record) of the gzip members of an archive."""
-    at, view = 0, memoryview(content)
-    while at < len(content):
-        if view[at] == 0:
-            at += 1
-            continue
-        d, start, out = zlib.decompressobj(31), at, []
+def members(stream) -> Iterator[tuple[int, int, bytes]]:
+    """(offset, length, raw record) of the gzip members of an archive, read on piece by piece."""
+    at, held = 0, b""
+    while True:
+        held = held.lstrip(PAD) if held.strip(PAD) or not held else b""
+        d, out, size = zlib.decompressobj(31), [], 0
         while not d.eof:
-            chunk = view[at : at + 32768]
-            out.append(d.decompress(chunk))
-            at += len(chunk) - len(d.unused_data)
-        yield start, at - start, b"".join(out)
+            if not held:
+                held = stream.read(READ)
+                if not held:
+                    return
+                if not size:
+                    at = stream.tell() - len(held.lstrip(PAD))
+                    held = held.lstrip(PAD)
+                    continue
+            elif not size:
+                at = stream.tell() - len(held)
+            out.append(d.decompress(held))
+            size += len(held) - len(d.unused_data)
+            held = d.unused_data
+        yield at, size, b"".join(out)
+
+
+def opened(uri: str):
+    """A file that pyarrow can seek in: local, HDFS or object storage."""
+    fs, path = FileSystem.from_uri(re.sub(r"^(\w+):/(?!/)", r"\1:///", uri))
+    return fs.open_input_file(path)
 
 
 def squeeze(raw: bytes, level: int = 1) -> bytes:
@@ -114,21 +132,28 @@ def archive_files(spark: SparkSession, path: str) -> DataFrame:
 
 def captures(spark: SparkSession, path: str) -> DataFrame:
     """(key, page_id, file, offset, length): one capture for each record, found by reading the archives through."""
+    names = ["key", "page_id", "file", "offset", "length"]
 
     def run(batches):
         for b in batches:
-            for file, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                keys, pages, offsets, lengths = [], [], [], []
-                for offset, length, raw in members(content):
-                    fields, _, _ = parse(raw)
-                    keys.append(url_key(fields["WARC-Target-URI"]))
-                    pages.append(page_of(fields["WARC-Record-ID"]))
-                    offsets.append(offset)
-                    lengths.append(length)
-                columns = [pa.array(keys, pa.string()), pa.array(pages, pa.int64()), pa.array([file] * len(keys), pa.string()), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "page_id", "file", "offset", "length"])
-
-    return archive_files(spark, path).mapInArrow(run, "key string, page_id long, file string, offset long, length long")
+            for file in b.column(0).to_pylist():
+                rows: list[tuple] = []
+                with opened(file) as stream:
+                    for offset, length, raw in members(stream):
+                        fields, _, _ = parse(raw)
+                        rows.append((url_key(fields["WARC-Target-URI"]), page_of(fields["WARC-Record-ID"]), file, offset, length))
+                        if len(rows) == 10_000:
+                            yield batch(rows)
+                            rows = []
+                if rows:
+                    yield batch(rows)
+
+    def batch(rows):
+        kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    return files.mapInArrow(run, "key string, page_id long, file string, offset long, length long")
 
 
 def index_blocks(found: DataFrame) -> DataFrame:
@@ -162,38 +187,40 @@ def index_blocks(found: DataFrame) -> DataFrame:
 def look_up(wanted: DataFrame, blocks: DataFrame) -> DataFrame:
     """(entry, file, offset, length) of the captures of wanted entries: directory, then block, then line, by binary search.
 
-    The directory has one entry for BLOCK_LINES captures. It is broadcast while it has BROADCAST_ROWS entries at most;
-    beyond, entries meet the unpacked lines in a shuffled join.
+    The directory has the first entry of every block, or of one in so many that it keeps to about DIRECTORY entries; the
+    blocks from one directory entry to the next are a group. Entries and blocks meet by group.
     """
     spark = wanted.sparkSession
-    if blocks.count() > BROADCAST_ROWS:
-        def unpack(batches):
-            for b in batches:
-                for text in b.column(0).to_pylist():
-                    rows = [x.rsplit("\t", 3) for x in gzip.decompress(text).decode().split("\n")]
-                    yield pa.RecordBatch.from_pandas(pd.DataFrame({"entry": [r[0] for r in rows], "file": [r[1] for r in rows], "offset": [int(r[2]) for r in rows], "length": [int(r[3]) for r in rows]}), preserve_index=False)
-
-        return wanted.join(blocks.select("lines").mapInArrow(unpack, "entry string, file string, offset long, length long"), "entry")
-    directory = sorted((r["first"], r["last"], r["block"]) for r in blocks.select("first", "last", "block").collect())
-    held = spark.sparkContext.broadcast(([d[0] for d in directory], directory))
+    step = max(1, -(-blocks.count() // DIRECTORY))
+    kept = blocks.where(F.pmod(F.xxhash64("block"), F.lit(step)) == 0).select("first").union(blocks.agg(F.min("first")).where("`min(first)` IS NOT NULL")).distinct()
+    held = spark.sparkContext.broadcast(sorted(r["first"] for r in kept.collect()))
 
     def locate(batches):
-        firsts, entries = held.value
+        firsts = held.value
         for b in batches:
-            names, keys = [], []
+            groups, keys = [], []
             for entry in b.column(0).to_pylist():
                 at = bisect.bisect_right(firsts, entry) - 1
-                while at >= 0 and entries[at][1] >= entry:  # equal entries may run over several blocks
-                    names.append(entries[at][2])
+                if at >= 0:
+                    groups.append(at)
+                    keys.append(entry)
+                if at > 0 and firsts[at] == entry:  # equal entries may begin in the group before
+                    groups.append(at - 1)
                     keys.append(entry)
-                    at -= 1
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(names, pa.string())], ["entry", "block"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(groups, pa.int32())], ["entry", "group"])
+
+    def grouped(batches):
+        for b in batches:
+            at = [bisect.bisect_right(held.value, x) - 1 for x in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at, pa.int32())], ["first", "last", "lines", "group"])
 
     def search(entries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        for text in block["lines"]:
-            lines = gzip.decompress(text).decode().split("\n")
-            for entry in set(entries["entry"]):
+        wanted = sorted(set(entries["entry"]))
+        for first, last, text in zip(block["first"], block["last"], block["lines"], strict=True):
+            inside = wanted[bisect.bisect_left(wanted, first) : bisect.bisect_right(wanted, last)]
+            lines = gzip.decompress(text).decode().split("\n") if inside else []
+            for entry in inside:
                 at = bisect.bisect_left(lines, entry + "\t")
                 while at < len(lines) and lines[at].startswith(entry + "\t"):
                     _, file, offset, length = lines[at].rsplit("\t", 3)
@@ -201,28 +228,39 @@ def look_up(wanted: DataFrame, blocks: DataFrame) -> DataFrame:
                     at += 1
         return pd.DataFrame(rows, columns=["entry", "file", "offset", "length"])
 
-    places = wanted.mapInArrow(locate, "entry string, block string")
-    return places.groupBy("block").cogroup(blocks.groupBy("block")).applyInPandas(search, "entry string, file string, offset long, length long")
-
+    places = wanted.mapInArrow(locate, "entry string, group int")
+    dealt = blocks.select("first", "last", "lines").mapInArrow(grouped, "first string, last string, lines binary, group int")
+    return places.groupBy("group").cogroup(dealt.groupBy("group")).applyInPandas(search, "entry string, file string, offset long, length long")
 
-def read_ranges(places: DataFrame, path: str) -> DataFrame:
-    """The records at (file, offset, length), each cut out of its archive and read by itself."""
 
-    def run(wanted: pd.DataFrame, files: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for content in files["content"]:
-            for offset, length in zip(wanted["offset"], wanted["length"], strict=True):
-                fields, http, payload = parse(gzip.decompress(content[offset : offset + length]))
-                whole = fields["WARC-Type"] == "response"
-                size = len(payload) if whole else int(re.search(rb"Content-Length: (\d+)", http)[1])
-                digest = digest_of(payload) if whole else fields["WARC-Payload-Digest"].removeprefix("sha1:")
-                refers = None if whole else page_of(fields["WARC-Refers-To"])
-                rows.append((page_of(fields["WARC-Record-ID"]), size, digest, fields["WARC-Type"], refers))
-        out = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
-        return out.astype({"page_id": "Int64", "refers_to": "Int64"})
+def read_ranges(places: DataFrame) -> DataFrame:
+    """The records at (file, offset, length), each read by itself from its range; ranges of a file are read in order."""
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
 
-    schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return places.groupBy("file").cogroup(archive_files(places.sparkSession, path).groupBy("file")).applyInPandas(run, schema)
+    def run(batches):
+        name, stream = None, None
+        try:
+            for b in batches:
+                rows = []
+                for file, offset, length in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                    if file != name:
+                        if stream is not None:
+                            stream.close()
+                        name, stream = file, opened(file)
+                    fields, http, payload = parse(gzip.decompress(stream.read_at(length, offset)))
+                    whole = fields["WARC-Type"] == "response"
+                    size = len(payload) if whole else int(re.search(rb"Content-Length: (\d+)", http)[1])
+                    digest = digest_of(payload) if whole else fields["WARC-Payload-Digest"].removeprefix("sha1:")
+                    rows.append((page_of(fields["WARC-Record-ID"]), size, digest, fields["WARC-Type"], None if whole else page_of(fields["WARC-Refers-To"])))
+                kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
+                columns = zip(*rows, strict=True) if rows else [()] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+        finally:
+            if stream is not None:
+                stream.close()
+
+    dealt = places.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    return dealt.select("file", "offset", "length").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
@@ -238,7 +276,7 @@ def archive_round_trip(pages: DataFrame) -> DataFrame:
     blocks = saved(index_blocks(found), "index-blocks")
     entry = F.concat_ws("\t", F.col("key"), F.coalesce(F.lpad(F.col("page_id").cast("string"), 20, "0"), F.lit("-")))
     wanted = found.select(entry.alias("entry")).distinct()
-    return read_ranges(look_up(wanted, blocks), path)
+    return read_ranges(saved(look_up(wanted, blocks), "places"))
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from arpent.llm import exact_topk, permutation_index
+from arpent.llm import exact_topk, permutation_index, vectors
 
 
 def load(spark, sf_dir):
@@ -47,6 +47,10 @@ def test_odd_vectors_and_none(spark):
     exact = [tuple(r) for r in exact_topk.exact_top_k(df, k=3).collect()]
     assert sorted(exact)[:3] == [(0, 1, 3, 256 * 256 + 128 * 128), (0, 2, 7, 256 * 256 + 128 * 128), (0, 3, 100, 0)]
     assert sorted(exact)[3:] == [(100, 1, 0, 0), (100, 2, 3, 0), (100, 3, 5, 0)]
+    longer = spark.createDataFrame([(1000, [1.0] * 5, 1), (1001, [2.0] * 5, 1)], df.schema)
+    mixed = sorted(tuple(r) for r in exact_topk.exact_top_k(df.union(longer), k=3).collect())
+    assert mixed == sorted([*exact, (1000, 1, 1001, 5 * 256 * 512)])
+    assert sorted(tuple(r)[:3] for r in permutation_index.nearest(df.union(longer), every=50, k=2).collect()) == sorted(near)
     for f in (permutation_index.nearest, exact_topk.exact_top_k):
         assert f(df.limit(0)).count() == 0
 
@@ -60,9 +64,10 @@ def test_exact_top_k_against_sql(spark, sf_dir):
     assert sorted(want) == sorted(map(tuple, exact_topk.op10_exact_top_k(spark, sf_dir).select("query_id", "rank", "vec_id", "score").collect()))
 
 
-@pytest.mark.parametrize("sigma", [0.0, 0.3, 0.7])
-def test_recall_at_the_production_share(spark, sigma):
-    """Without the floor that scores small tiles almost whole; on unit norms and on log-normal ones."""
+@pytest.mark.parametrize("sigma, rows", [(0.0, 8192), (0.3, 8192), (0.7, 8192), (0.3, 400)])
+def test_recall_at_the_production_share(spark, sigma, rows, monkeypatch):
+    """Without the floor that scores small tiles almost whole; on unit norms and on log-normal ones, in one tile and in five."""
+    monkeypatch.setattr(vectors, "VECTORS", rows)
     ids, x = load(spark, "/root/testdata/sf0.1")
     x = x * np.exp(np.random.default_rng(3).normal(0, sigma, len(x)))[:, None]
     df = spark.createDataFrame([(int(i), v) for i, v in zip(ids, x.tolist(), strict=True)], "vec_id long, embedding array<double>")

@@ -46,7 +46,8 @@ def test_odd_pages_small_blocks_and_none(spark, monkeypatch):
     monkeypatch.setattr(warc, "BLOCK_LINES", 2)
     df = spark.createDataFrame([(*r, 1) for r in ODD], "page_id long, url string, html string, _sha int")
     assert Counter(map(tuple, warc.archive_round_trip(df).collect())) == brute(ODD)
-    monkeypatch.setattr(warc, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(warc, "DIRECTORY", 2)
+    monkeypatch.setattr(warc, "READ", 7)
     assert Counter(map(tuple, warc.archive_round_trip(df).collect())) == brute(ODD)
     assert warc.archive_round_trip(df.limit(0)).count() == 0
 
