@@ -312,18 +312,18 @@ def _(t):
     return jn.holding(t("zone_ov"), t("pt"), CELL).select("fid", "zoning")
 
 
-@query("jn_delete_intersecting", f"SELECT 'zone' AS layer, a.fid FROM zone_ov a WHERE NOT EXISTS (SELECT 1 FROM bld b WHERE {_MEET} AND b.hauteur > 45) UNION ALL SELECT 'bld', b.fid FROM bld b WHERE b.hauteur > 45 AND NOT EXISTS (SELECT 1 FROM zone_ov a WHERE {_MEET})")
+@query("jn_delete_intersecting", f"SELECT 'zone' AS layer, a.fid FROM zone_ov a WHERE NOT EXISTS (SELECT 1 FROM bld b WHERE {_MEET}) UNION ALL SELECT 'bld', b.fid FROM bld b WHERE NOT EXISTS (SELECT 1 FROM zone_ov a WHERE {_MEET})")
 def _(t):
-    a, b = jn.delete_meeting(t("zone_ov"), t("bld").where("hauteur > 45"), CELL)
+    a, b = jn.delete_meeting(t("zone_ov"), t("bld"), CELL)
     return a.select(F.lit("zone").alias("layer"), "fid").union(b.select(F.lit("bld"), "fid"))
 
 
 _GAP = "greatest(a.xmin - b.xmax, b.xmin - a.xmax, 0.0)", "greatest(a.ymin - b.ymax, b.ymin - a.ymax, 0.0)"
 
 
-@query("jn_within_distance", f"SELECT a.fid AS zone, b.fid AS bld, round(sqrt({_GAP[0]} * {_GAP[0]} + {_GAP[1]} * {_GAP[1]}), 6) AS distance FROM zone_ov a JOIN bld b ON sqrt({_GAP[0]} * {_GAP[0]} + {_GAP[1]} * {_GAP[1]}) <= 2.5 WHERE b.hauteur > 40")
+@query("jn_within_distance", f"SELECT a.fid AS zone, b.fid AS bld, round(sqrt({_GAP[0]} * {_GAP[0]} + {_GAP[1]} * {_GAP[1]}), 6) AS distance FROM zone_ov a JOIN bld b ON sqrt({_GAP[0]} * {_GAP[0]} + {_GAP[1]} * {_GAP[1]}) <= 2.5")
 def _(t):
-    return jn.within_distance(t("zone_ov"), t("bld").where("hauteur > 40"), 2.5, CELL).select(F.col("a_fid").alias("zone"), F.col("b_fid").alias("bld"), *r6("distance"))
+    return jn.within_distance(t("zone_ov"), t("bld"), 2.5, CELL).select(F.col("a_fid").alias("zone"), F.col("b_fid").alias("bld"), *r6("distance"))
 
 
 _SEG_T = "least(1.0, greatest(0.0, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / ((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))))"
@@ -346,9 +346,9 @@ def _(t):
     return jn.fill_missing(t("zone_ov").select("fid"), n, "fid", {"n": 0})
 
 
-@query("jn_left_join_chain", "SELECT c_custkey, o_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderkey NULLS FIRST, l_linenumber NULLS FIRST) AS n FROM customer LEFT JOIN orders ON o_custkey = c_custkey LEFT JOIN (SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem WHERE l_linenumber = 1) ON l_orderkey = o_orderkey) WHERE n = 1")
+@query("jn_left_join_chain", "SELECT c_custkey, o_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderkey NULLS FIRST, l_linenumber NULLS FIRST) AS n FROM customer LEFT JOIN orders ON o_custkey = c_custkey LEFT JOIN (SELECT l_orderkey, l_linenumber FROM lineitem) ON l_orderkey = o_orderkey) WHERE n = 1")
 def _(t):
-    lines = t("lineitem").where("l_linenumber = 1").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber")
+    lines = t("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber")
     orders = t("orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey").join(lines, "o_orderkey", "left")
     return jn.left_join_chain(t("customer").select("c_custkey"), [orders], "c_custkey", ["o_orderkey", "l_linenumber"])
 
@@ -524,7 +524,7 @@ def _(t):
     return qu.confusion_matrix(t("px"), "ref", "cls")
 
 
-@query("ag_class_indicators", f"{_CONF} SELECT cls, round(p, 6) AS precision, round(rc, 6) AS recall, round(coalesce(2 * p * rc / nullif(p + rc, 0), 0), 6) AS f, round(perf, 6) AS performance, round(coalesce((col_n - tp) / nullif(col_n, 0)::DOUBLE, 1), 6) AS fp_rate, round(coalesce((row_n - tp) / nullif(row_n, 0)::DOUBLE, 1), 6) AS fn_rate, round(coalesce(col_n / nullif(row_n, 0)::DOUBLE, 0), 6) AS quantity_rate FROM q")
+@query("ag_class_indicators", f"{_CONF} SELECT cls, round(p, 6) AS precision, round(rc, 6) AS recall, round(coalesce(2 * p * rc / nullif(p + rc, 0), 0), 6) AS f, round(perf, 6) AS performance, round(coalesce((col_n - tp) / nullif((SELECT sum(n) FROM m) - row_n, 0)::DOUBLE, 1), 6) AS fp_rate, round(coalesce((row_n - tp) / nullif(row_n, 0)::DOUBLE, 1), 6) AS fn_rate, round(coalesce(col_n / nullif(row_n, 0)::DOUBLE, 0), 6) AS quantity_rate FROM q")
 def _(t):
     names = ("precision", "recall", "f", "performance", "fp_rate", "fn_rate", "quantity_rate")
     return qu.class_indicators(qu.confusion_matrix(t("px"), "ref", "cls")).select("cls", *r6(*names))
@@ -673,18 +673,16 @@ def _ucz(t) -> DataFrame:
     return t("events").select(e.alias("id"), (e * 7 % 101).cast("double").alias("si"), ((e * 13 % 300) / 100.0).alias("ra"), (e % 8 + 1).alias("rug"))
 
 
-def _ucz_case(table, rough: bool) -> str:
-    out = []
-    for ucz, s0, s1, r0, r1, rug in table:
-        tests = [x for x, v in ((f"si >= {s0}", s0), (f"si < {s1}", s1), (f"ra >= {r0}", r0), (f"ra < {r1}", r1), (f"rug = {rug}", rug if rough else None)) if v is not None]
-        out.append(f"WHEN {' AND '.join(tests)} THEN {ucz}")
-    return f"{_UCZ} SELECT id, CASE {' '.join(out)} ELSE 0 END AS ucz FROM u"
-
-
-_C1, _C2 = climate.COMBINATION, climate.COMBINATION_WITHOUT_OVERLAP
+_FIRST = """WHEN si < 10 AND ra >= 0.05{7} THEN 7 WHEN si < 40 AND ra >= 0.1 AND ra < 0.5{6} THEN 6 WHEN si >= 35 AND si < 65 AND ra >= 0.2 AND ra < 0.6{5} THEN 5 WHEN si >= 70 AND si < 95 AND ra >= 0.05 AND ra < 0.2{4} THEN 4
+  WHEN si >= 70 AND si < 85 AND ra >= 0.5 AND ra < 1.5{3} THEN 3 WHEN si >= 85 AND ra >= 1 AND ra < 2.5{2} THEN 2 WHEN si >= 90 AND ra >= 2{1} THEN 1"""
+_SECOND = """WHEN si < 15 AND ra < 0.2 THEN 7 WHEN si >= 15 AND si < 30 AND ra < 0.6 THEN 6 WHEN si >= 30 AND si < 60 AND ra < 0.6 THEN 5 WHEN si >= 60 AND ra < 0.2 THEN 4
+  WHEN si >= 60 AND si < 75 AND ra >= 0.2 AND ra < 2 THEN 3 WHEN si >= 75 AND ra >= 0.6 THEN 2 WHEN si >= 80 AND ra >= 1.5 THEN 1"""
+_PLAIN = _FIRST.format(*[""] * 8)
+_ROUGH = _FIRST.format("", " AND rug = 8", " AND rug = 7", " AND rug = 7", " AND rug = 5", " AND rug = 6", " AND rug = 5", " AND rug = 4")
 _HIER = "CASE WHEN si >= 10 AND si < 35 THEN 6 WHEN si >= 35 AND si < 65 THEN 5 WHEN si >= 65 THEN CASE WHEN ra >= 0.5 AND ra < 1.5 THEN 3 WHEN ra >= 1.5 AND ra < 2.5 THEN 2 WHEN ra >= 2.5 THEN 1 ELSE 4 END ELSE 7 END"
 for _n, _m, _r, _sql in (
-    ("combination", "combination", False, _ucz_case(_C1, False)), ("combination_roughness", "combination", True, _ucz_case(_C1, True)), ("combination_disjoint", "combination_disjoint", False, _ucz_case(_C2, False)),
+    ("combination", "combination", False, f"{_UCZ} SELECT id, CASE {_PLAIN} {_SECOND} ELSE 0 END AS ucz FROM u"), ("combination_roughness", "combination", True, f"{_UCZ} SELECT id, CASE {_ROUGH} {_SECOND} ELSE 0 END AS ucz FROM u"),
+    ("combination_disjoint", "combination_disjoint", False, f"{_UCZ} SELECT id, CASE {_SECOND} ELSE 0 END AS ucz FROM u"),
     ("hierarchy", "hierarchy", False, f"{_UCZ} SELECT id, {_HIER} AS ucz FROM u"),
     ("hierarchy_roughness", "hierarchy", True, f"{_UCZ}, h AS (SELECT id, rug, {_HIER} AS z FROM u), g AS (SELECT id, rug, CASE WHEN z = 6 AND rug = 6 THEN 5 ELSE z END AS z FROM h) SELECT id, CASE WHEN z = 5 AND rug = 5 THEN 6 ELSE z END AS ucz FROM g"),
 ):
@@ -702,13 +700,33 @@ def _(t):
     return jn.fill_missing(t("zone").select("fid"), p, "fid", {"mean_h": 0.0, "mean_a": 0.0}).select("fid", *r6("mean_h", "mean_a"))
 
 
-@query("dm_terrain_roughness", """WITH p AS (SELECT fid, hauteur AS h, hauteur * 0.3 AS zd, (fid % 5) / 10.0::DOUBLE AS far FROM bld), z AS (SELECT fid, CASE WHEN far = 0 THEN 0.0 ELSE (h - zd) * exp(-sqrt(0.4 / far)) END AS z0 FROM p)
+@query("dm_terrain_roughness_length", """WITH p AS (SELECT fid, hauteur AS h, hauteur * 0.3 AS zd, (fid % 5) / 10.0::DOUBLE AS far FROM bld), z AS (SELECT fid, CASE WHEN far = 0 THEN 0.0 ELSE (h - zd) * exp(-sqrt(0.4 / far)) END AS z0 FROM p)
 SELECT fid, round(z0, 6) AS z0, 1 + (z0 >= 0.0025)::INT + (z0 >= 0.0175)::INT + (z0 >= 0.065)::INT + (z0 >= 0.175)::INT + (z0 >= 0.375)::INT + (z0 >= 0.75)::INT + (z0 >= 1.5)::INT AS cls FROM z""")
 def _(t):
     z = t("bld").select("fid", climate.roughness_length(F.col("hauteur"), F.col("hauteur") * 0.3, (F.col("fid") % 5) / 10.0).alias("z0"))
     return z.select("fid", *r6("z0"), climate.roughness_class(F.col("z0")).alias("cls"))
 
 
+def _strokes(z: DataFrame) -> list[DataFrame]:
+    """Five lines from south to north and five from west to east in each zone, as boxes without width."""
+    k = z.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(4)))).withColumn("id", F.col("fid") * 10 + F.col("k"))
+    x = F.col("xmin") + 2 + 4 * F.col("k")
+    y = F.col("ymin") + (F.col("ymax") - F.col("ymin")) * (2 * F.col("k") + 1) / 10
+    return [k.select(F.col("id").alias("fid"), x.alias("xmin"), "ymin", x.alias("xmax"), "ymax"), k.select(F.col("id").alias("fid"), "xmin", y.alias("ymin"), "xmax", y.alias("ymax"))]
+
+
+@query("dm_terrain_roughness", f"""WITH p AS (SELECT a.fid, {_AREA} AS area, b.hauteur AS h FROM zone a JOIN bld b ON {_MEET}), b1 AS (SELECT fid, sum(area * h * h) / sum(area * h) AS h, sum(area) AS s FROM p GROUP BY fid),
+l1 AS (SELECT z.fid, k, max(hauteur) AS h FROM zone z CROSS JOIN range(0, 5) r(k) JOIN bld b ON b.xmin <= z.xmin + 2 + 4 * k AND b.xmax >= z.xmin + 2 + 4 * k AND b.ymin <= z.ymax AND b.ymax >= z.ymin GROUP BY z.fid, k),
+l2 AS (SELECT z.fid, k, max(hauteur) AS h FROM zone z CROSS JOIN range(0, 5) r(k) JOIN bld b ON b.ymin <= z.ymin + (z.ymax - z.ymin) * (2 * k + 1) / 10 AND b.ymax >= z.ymin + (z.ymax - z.ymin) * (2 * k + 1) / 10 AND b.xmin <= z.xmax AND b.xmax >= z.xmin GROUP BY z.fid, k),
+f1 AS (SELECT fid, sum(h * 4) AS f FROM l1 GROUP BY fid), f2 AS (SELECT fid, sum(h * 4) AS f FROM l2 GROUP BY fid),
+q AS (SELECT z.fid, coalesce(b1.h, 0) AS h, coalesce(s / w, 0) AS par, coalesce(f1.f / w, 0) AS fa, coalesce(f2.f / w, 0) AS fb FROM (SELECT fid, (xmax - xmin) * (ymax - ymin) AS w FROM zone) z LEFT JOIN b1 USING (fid) LEFT JOIN f1 USING (fid) LEFT JOIN f2 USING (fid)),
+e AS (SELECT *, h * pow(par, 0.6) AS zd FROM q), g AS (SELECT *, (CASE WHEN fa = 0 THEN 0 ELSE (h - zd) * exp(-sqrt(0.4 / fa)) END + CASE WHEN fb = 0 THEN 0 ELSE (h - zd) * exp(-sqrt(0.4 / fb)) END) / 2 AS z0 FROM e)
+SELECT fid, round(h, 6) AS h, round(par, 6) AS par, round(zd, 6) AS zd, round((fa + fb) / 2, 6) AS far, round(z0, 6) AS z0, CASE WHEN z0 < 0.0025 THEN 1 WHEN z0 < 0.0175 THEN 2 WHEN z0 < 0.065 THEN 3 WHEN z0 < 0.175 THEN 4 WHEN z0 < 0.375 THEN 5 WHEN z0 < 0.75 THEN 6 WHEN z0 < 1.5 THEN 7 ELSE 8 END AS cls FROM g""")
+def _(t):
+    out = climate.terrain_roughness(t("zone"), t("bld"), _strokes(t("zone")), CELL, 4.0)
+    return out.select("fid", *r6("h", "par", "zd", "far", "z0"), "cls")
+
+
 _POP = f"""WITH p AS (SELECT a.fid AS src, b.fid AS fid, a.xmax - a.xmin AS pop, {_AREA} * b.hauteur / 3 AS s FROM zone_ov a JOIN bld b ON {_MEET}), w AS (SELECT src, greatest(sum(s), 1e-6) AS w FROM p GROUP BY src),
 q AS (SELECT fid, sum(pop * s / w) AS population FROM p JOIN w USING (src) GROUP BY fid)"""
 
@@ -728,14 +746,14 @@ def _(t):
     return risk.population_by_zone(t("zone"), t("bld").join(_population(t), "fid"), "population", CELL).select("fid", F.round("population", 5).alias("population"))
 
 
-@query("dm_vulnerability", """WITH s AS (SELECT n_nationkey AS fid, CAST(n_nationkey * 7 % 11 AS DOUBLE) AS pop, CAST(n_nationkey * 5 % 13 AS DOUBLE) AS old FROM nation),
-n AS (SELECT fid, (pop - min(pop) OVER ()) / nullif(max(pop) OVER () - min(pop) OVER (), 0) AS a, (old - min(old) OVER ()) / nullif(max(old) OVER () - min(old) OVER (), 0) AS b FROM s),
-i AS (SELECT fid, (a - min(a) OVER ()) / nullif(max(a) OVER () - min(a) OVER (), 0) AS st, (a + b - min(a + b) OVER ()) / nullif(max(a + b) OVER () - min(a + b) OVER (), 0) AS he FROM n)
-SELECT fid, round(st, 6) AS i_stakes, round(he, 6) AS i_health, round((st + he - min(st + he) OVER ()) / nullif(max(st + he) OVER () - min(st + he) OVER (), 0), 6) AS i_overall FROM i""")
+@query("dm_vulnerability", """WITH s AS (SELECT n_nationkey AS fid, CAST(n_nationkey * 7 % 11 AS DOUBLE) AS pop, CAST(n_nationkey * 5 % 13 AS DOUBLE) AS old, CAST(n_nationkey * 3 % 7 AS DOUBLE) AS poor FROM nation),
+n AS (SELECT fid, pop / max(pop) OVER () AS a, old / max(old) OVER () AS b, poor / max(poor) OVER () AS c FROM s),
+i AS (SELECT fid, a AS st, (a + b - min(a + b) OVER ()) / (max(a + b) OVER () - min(a + b) OVER ()) AS he, (b + c - min(b + c) OVER ()) / (max(b + c) OVER () - min(b + c) OVER ()) AS so FROM n)
+SELECT fid, round(st, 6) AS i_stakes, round(he, 6) AS i_health, round(so, 6) AS i_social, round((he + so - min(he + so) OVER ()) / (max(he + so) OVER () - min(he + so) OVER ()), 6) AS i_overall FROM i""")
 def _(t):
     k = F.col("n_nationkey")
-    s = t("nation").select(k.alias("fid"), (k * 7 % 11).cast("double").alias("pop"), (k * 5 % 13).cast("double").alias("old"))
-    return risk.vulnerability(s, ["pop"], ["pop", "old"]).select("fid", *r6("i_stakes", "i_health", "i_overall"))
+    s = t("nation").select(k.alias("fid"), (k * 7 % 11).cast("double").alias("pop"), (k * 5 % 13).cast("double").alias("old"), (k * 3 % 7).cast("double").alias("poor"))
+    return risk.vulnerability(s, ["pop"], ["pop", "old"], ["old", "poor"]).select("fid", *r6("i_stakes", "i_health", "i_social", "i_overall"))
 
 
 @query("dm_land_cover_change", f"""WITH s AS (SELECT fid, 100.0 * count(*) FILTER (ref = 100) / count(*) AS a, 100.0 * count(*) FILTER (cls = 100) / count(*) AS b, 1.0 * count(*) FILTER (ref = 100) AS sa, 1.0 * count(*) FILTER (cls = 100) AS sb FROM zone JOIN px ON {_IN} GROUP BY fid)

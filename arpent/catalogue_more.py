@@ -89,19 +89,21 @@ def _(t):
 
 @query("geo_explode_collect", "SELECT nature, count(*) AS parts, 5 * count(*) AS points FROM bld GROUP BY nature")
 def _(t):
-    multi = t("bld").groupBy("nature").agg(F.collect_list(ge.box_polygon(*_box())).alias("m"))
+    lot = F.floor(F.col("fid") / 500).alias("lot")  # a kind is collected in lots of bounded size
+    multi = t("bld").groupBy("nature", lot).agg(F.collect_list(ge.box_polygon(*_box())).alias("m"))
     return multi.select("nature", F.posexplode("m")).groupBy("nature").agg(F.count("*").alias("parts"), F.sum(F.size(F.element_at("col", 1))).alias("points"))
 
 
 # --- sources ---------------------------------------------------------------------------------------------------------
 
 
-@query("src_raster_metadata", "SELECT max(r) - min(r) + 1 AS rows, max(c) - min(c) + 1 AS columns, 1.0::DOUBLE AS pixel_size, min(x) - 0.5 AS xmin, max(x) + 0.5 AS xmax, min(y) - 0.5 AS ymin, max(y) + 0.5 AS ymax, 6 AS bands FROM px")
+@query("src_raster_metadata", "SELECT max(r) - min(r) + 1 AS rows, max(c) - min(c) + 1 AS columns, (max(x) - min(x)) / (max(c) - min(c)) AS pixel_size, min(x) - (max(x) - min(x)) / (max(c) - min(c)) / 2 AS xmin, max(x) + (max(x) - min(x)) / (max(c) - min(c)) / 2 AS xmax, min(y) - (max(x) - min(x)) / (max(c) - min(c)) / 2 AS ymin, max(y) + (max(x) - min(x)) / (max(c) - min(c)) / 2 AS ymax, 6 AS bands, 'double' AS dtype, CAST(0 AS DOUBLE) AS nodata FROM (SELECT r, 2 * x AS x, 2 * y AS y, c FROM px)")
 def _(t):
-    return ly.raster_metadata(t("px"), ["red", "green", "blue", "nir", "swir1", "swir2"])
+    px = t("px").withColumn("x", 2 * F.col("x")).withColumn("y", 2 * F.col("y"))
+    return ly.raster_metadata(px, ["red", "green", "blue", "nir", "swir1", "swir2"], nodata=0)
 
 
-@query("src_vector_metadata", "SELECT count(*) AS features, min(xmin) AS xmin, min(ymin) AS ymin, max(xmax) AS xmax, max(ymax) AS ymax FROM bld")
+@query("src_vector_metadata", "SELECT count(*) AS features, min(xmin) AS xmin, min(ymin) AS ymin, max(xmax) AS xmax, max(ymax) AS ymax, 'Polygon' AS geometry, 'fid:bigint,nature:string,hauteur:double' AS fields FROM bld")
 def _(t):
     return ly.vector_metadata(t("bld"))
 
@@ -240,10 +242,11 @@ def _(t):
     return fo.sky_view_factor(h, "hgt", 3, 4).select("pid", *r6("svf"))
 
 
-@query("foc_interpolate", """WITH p AS (SELECT px.pid, pt.fid, pt.z, sqrt((px.x - pt.x) * (px.x - pt.x) + (px.y - pt.y) * (px.y - pt.y)) AS d FROM px JOIN pt ON floor(pt.x / 10) BETWEEN floor(px.x / 10) - 1 AND floor(px.x / 10) + 1 AND floor(pt.y / 10) BETWEEN floor(px.y / 10) - 1 AND floor(px.y / 10) + 1),
-n AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY pid ORDER BY d, fid) <= 4) SELECT pid, round(sum(z / greatest(d, 1e-9)) / sum(1 / greatest(d, 1e-9)), 4) AS value FROM n GROUP BY pid""")
+@query("foc_interpolate", """WITH p AS (SELECT px.pid, pt.fid, CAST(pt.z AS DOUBLE) AS z, sqrt((px.x - pt.x) * (px.x - pt.x) + (px.y - pt.y) * (px.y - pt.y)) AS d FROM px CROSS JOIN pt),
+n AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY pid ORDER BY d, fid) <= 4), l AS (SELECT pid, list(1 / greatest(d, 1e-9) * z ORDER BY d, fid) AS v, list(1 / greatest(d, 1e-9) ORDER BY d, fid) AS w FROM n GROUP BY pid)
+SELECT pid, round(list_reduce(v, lambda a, b: a + b) / list_reduce(w, lambda a, b: a + b), 4) AS value FROM l""")
 def _(t):
-    return fo.interpolate_from_points(t("px"), t("pt").withColumn("z", F.col("z").cast("double")), 10.0).select("pid", F.round("value", 4).alias("value"))
+    return fo.interpolate_from_points(t("px"), t("pt").withColumn("z", F.col("z").cast("double")), 5.0).select("pid", F.round("value", 4).alias("value"))
 
 
 # --- regions ---------------------------------------------------------------------------------------------------------
@@ -336,7 +339,7 @@ def _(t):
 
 @query("ml_natural_breaks", None)
 def _(t):
-    return le.natural_breaks(t("events").select("event_type", "value"), "event_type", "value", 5)
+    return le.natural_breaks(t("events").select("event_type", "value"), "event_type", "value", 5).drop("counts")
 
 
 @query("ml_split_train_validation", "SELECT NULL::BOOLEAN AS empty, 0::BIGINT AS n WHERE false UNION ALL SELECT red < 100 AS empty, CASE WHEN red < 100 THEN CAST(least(count(*), floor((SELECT count(*) FROM px WHERE red >= 100) * 0.2)) AS BIGINT) ELSE count(*) END FROM px GROUP BY 1")
@@ -358,5 +361,5 @@ def _(t):
 @query("dm_side_of_coast", "SELECT pt.fid, CASE WHEN (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1) > 0 THEN 1 ELSE -1 END AS side FROM pt JOIN coast ON x >= x1 AND x < x2")
 def _(t):
     side = (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) - (F.col("y2") - F.col("y1")) * (F.col("x") - F.col("x1"))
-    pairs = t("pt").join(F.broadcast(t("coast")), (F.col("x") >= F.col("x1")) & (F.col("x") < F.col("x2")))
+    pairs = t("pt").join(t("coast"), (F.col("x") >= F.col("x1")) & (F.col("x") < F.col("x2")))
     return pairs.select("fid", F.when(side > 0, 1).otherwise(-1).alias("side"))

@@ -95,9 +95,9 @@ def _(t):
     return lc.heights_with_buildings(t("px"), "nir", t("bld").select("fid", "hauteur", *jn.BOX), CELL, 100.0).select("pid", "height_")
 
 
-@query("dm_overlay_external_classes", f"SELECT pid, CASE WHEN EXISTS (SELECT 1 FROM zone_ov WHERE zoning < 5 AND {_IN}) THEN 11000 WHEN EXISTS (SELECT 1 FROM bld WHERE hauteur > 45 AND {_IN}) THEN 12000 ELSE 0 END AS cover FROM px")
+@query("dm_overlay_external_classes", f"SELECT pid, CASE WHEN EXISTS (SELECT 1 FROM zone_ov WHERE zoning < 5 AND {_IN}) THEN 11000 WHEN EXISTS (SELECT 1 FROM bld WHERE {_IN}) THEN 12000 ELSE 0 END AS cover FROM px")
 def _(t):
-    return lc.overlay_classes(t("px").select("pid", "x", "y"), [(t("zone_ov").where("zoning < 5"), 11000), (t("bld").where("hauteur > 45"), 12000)], CELL).select("pid", "cover")
+    return lc.overlay_classes(t("px").select("pid", "x", "y"), [(t("zone_ov").where("zoning < 5"), 11000), (t("bld"), 12000)], CELL).select("pid", "cover")
 
 
 @query("dm_regional_crossing", f"""WITH v AS (SELECT fid, cls, ref, CAST(red AS INTEGER) % 3 AS d FROM zone JOIN px ON {_IN}), s AS (SELECT fid, 100.0 * count(*) FILTER (cls = 100) / count(*) AS built FROM v GROUP BY fid),
@@ -159,7 +159,7 @@ def _(t):
 @query("dm_signed_distance_rings", """WITH s AS (SELECT pt.fid, CASE WHEN (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1) > 0 THEN 1 ELSE -1 END AS side, abs(y - (y1 + (x - x1) / (x2 - x1) * (y2 - y1))) AS d FROM pt JOIN coast ON x >= x1 AND x < x2)
 SELECT fid, side * CAST(greatest(1, ceil(d / 3)) AS INTEGER) AS ring FROM s WHERE greatest(1, ceil(d / 3)) <= 5""")
 def _(t):
-    pairs = t("pt").join(F.broadcast(t("coast")), (F.col("x") >= F.col("x1")) & (F.col("x") < F.col("x2")))
+    pairs = t("pt").join(t("coast"), (F.col("x") >= F.col("x1")) & (F.col("x") < F.col("x2")))
     side = (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) - (F.col("y2") - F.col("y1")) * (F.col("x") - F.col("x1"))
     d = F.abs(F.col("y") - (F.col("y1") + (F.col("x") - F.col("x1")) / (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))))
     return pairs.select("fid", (F.when(side > 0, 1).otherwise(-1) * tb.ring_index(d, 3, 5)).alias("ring")).where("ring IS NOT NULL")

@@ -23,7 +23,7 @@ DEFINITIONS = {
     "pt": "SELECT c_custkey AS fid, c_acctbal AS z, CAST(((c_custkey * 53) % 1250) AS DOUBLE) / 10 AS x, CAST(((c_custkey * 29) % (h * 10)) AS DOUBLE) / 10 AS y FROM customer CROSS JOIN grid_meta",
     "coast": """SELECT CAST(a.n_nationkey AS BIGINT) AS seg, a.n_nationkey * CAST(5.2 AS DOUBLE) AS x1, CAST(h AS DOUBLE) / 2 + (a.n_nationkey * 7) % 10 - 5 AS y1, b.n_nationkey * CAST(5.2 AS DOUBLE) AS x2, CAST(h AS DOUBLE) / 2 + (b.n_nationkey * 7) % 10 - 5 AS y2
   FROM nation a JOIN nation b ON b.n_nationkey = a.n_nationkey + 1 CROSS JOIN grid_meta""",
-    "scene": "SELECT o_orderkey AS sid, concat('IMG_', strftime(o_orderdate, '%Y%m%d'), 'T', lpad(CAST((o_orderkey * 7919) % 86400000 AS VARCHAR), 9, '0'), '_', CAST(o_custkey AS VARCHAR)) AS name FROM orders WHERE o_orderkey % 50 = 0",
+    "scene": "SELECT o_orderkey AS sid, concat('IMG_', strftime(o_orderdate, '%Y%m%d'), 'T', lpad(CAST((o_orderkey * 7919) % 86400000 AS VARCHAR), 9, '0'), '_', CAST(o_custkey AS VARCHAR)) AS name FROM orders",
     "alloc": "SELECT user_id AS src, event_type AS dst, sum(value) AS w FROM events GROUP BY user_id, event_type",
 }
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from arpent.operators.lineage import settle
+
 
 def offsets(radius: int, ball: bool = True) -> list[tuple[int, int]]:
     span = range(-radius, radius + 1)
@@ -123,11 +126,34 @@ def shadow_mask(px: DataFrame, height: str, azimuth: float, elevation: float, re
 
 
 def interpolate_from_points(cells: DataFrame, points: DataFrame, size: float, k: int = 4) -> DataFrame:
-    """(pid, value): inverse-distance mean of the k nearest points in a cell's own grid square and those around it."""
+    """(pid, value): inverse-distance mean of a cell's k nearest points, ties to the smaller fid.
+
+    Round by round the grid squares double: a cell looks into its own square and those around it, and is done when its
+    k-th point is no farther than a square, or when the squares hold every point. The sum runs from the nearest on.
+    """
+    ends = points.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y"), F.count("*")).first()
+    if not ends[4]:
+        return cells.select("pid", F.lit(None).cast("double").alias("value"))
+    far = cells.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+    reach = max((max(ends[i + 1], far[i + 1] if far[i + 1] is not None else ends[i + 1]) - min(ends[i], far[i] if far[i] is not None else ends[i]) for i in (0, 2)))
     spread = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    p = points.select(F.col("x").alias("px_"), F.col("y").alias("py_"), F.col("z"), F.col("fid"), F.inline(spread)).withColumn("gx", F.floor(F.col("px_") / size) + F.col("i")).withColumn("gy", F.floor(F.col("py_") / size) + F.col("j"))
-    q = cells.select("pid", "x", "y").withColumn("gx", F.floor(F.col("x") / size)).withColumn("gy", F.floor(F.col("y") / size)).join(p, ["gx", "gy"])
-    q = q.withColumn("d", F.hypot(F.col("x") - F.col("px_"), F.col("y") - F.col("py_")))
-    near = q.withColumn("n", F.row_number().over(Window.partitionBy("pid").orderBy("d", "fid"))).where(F.col("n") <= k)
-    w = 1 / F.greatest(F.col("d"), F.lit(1e-9))
-    return near.groupBy("pid").agg((F.sum(w * F.col("z")) / F.sum(w)).alias("value"))
+    open_, done = cells.select("pid", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")), []
+    while True:
+        p = points.select(F.col("x").alias("px_"), F.col("y").alias("py_"), "z", "fid", F.inline(spread)).withColumn("gx", F.floor(F.col("px_") / size) + F.col("i")).withColumn("gy", F.floor(F.col("py_") / size) + F.col("j"))
+        q = open_.withColumn("gx", F.floor(F.col("x") / size)).withColumn("gy", F.floor(F.col("y") / size)).join(p, ["gx", "gy"])
+        d = F.sqrt((F.col("x") - F.col("px_")) * (F.col("x") - F.col("px_")) + (F.col("y") - F.col("py_")) * (F.col("y") - F.col("py_")))
+        ranked = q.withColumn("d", d).withColumn("n", F.row_number().over(Window.partitionBy("pid").orderBy("d", "fid"))).where(F.col("n") <= k)
+        near = ranked.groupBy("pid").agg(F.array_sort(F.collect_list(F.struct("d", "fid", "z"))).alias("near"))  # k points at most
+        last = size >= reach
+        held = settle(near if last else near.where((F.size("near") == k) & (F.element_at("near", -1)["d"] <= size)))
+        done.append(held)
+        if last:
+            break
+        open_ = settle(open_.join(held.select("pid"), "pid", "left_anti"))
+        if open_.isEmpty():
+            break
+        size *= 2
+    w = lambda s: 1 / F.greatest(s["d"], F.lit(1e-9))
+    total = lambda f: F.aggregate("near", F.lit(0.0), lambda a, s: a + f(s))
+    found = reduce(lambda a, b: a.unionByName(b), done)
+    return found.select("pid", (total(lambda s: w(s) * s["z"]) / total(w)).alias("value"))

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from arpent.operators.lineage import settle
+
 BOX = ("xmin", "ymin", "xmax", "ymax")
 
 
@@ -96,15 +98,20 @@ def segment_distance(x: Column, y: Column, x1: Column, y1: Column, x2: Column, y
 def nearest_segment(points: DataFrame, segments: DataFrame, size: float, reach: float | None = None) -> DataFrame:
     """points with the distance to the nearest segment (x1, y1, x2, y2), up to reach.
 
-    Segments are put in the cells of their box grown by reach; a point meets those of its own cell. Without reach the
-    segments must be few (one coastline): they are counted, and refused beyond 100,000.
+    Segments are put in the cells of their box grown by reach; a point meets those of its own cell. Without reach, cells
+    and reach start at size and double for the points that have found none, until every point has its segment.
     """
     d = segment_distance(F.col("x"), F.col("y"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
     keys = points.columns
     if reach is None:
-        if segments.limit(100_001).count() > 100_000:
-            raise ValueError("give a reach for so many segments")
-        return points.join(F.broadcast(segments), how="cross").groupBy(*keys).agg(F.min(d).alias("distance"))
+        if segments.isEmpty():
+            return points.withColumn("distance", F.lit(None).cast("double"))
+        done, open_ = [], settle(points)
+        while not open_.isEmpty():
+            near = settle(nearest_segment(open_, segments, size, size))
+            done.append(near.where("distance IS NOT NULL"))
+            open_, size = near.where("distance IS NULL").drop("distance"), 2 * size
+        return reduce(lambda a, b: a.unionByName(b), done) if done else points.withColumn("distance", F.lit(None).cast("double"))
     lo, hi = (lambda a, b: F.least(a, b) - reach), (lambda a, b: F.greatest(a, b) + reach)
     cells = on_cells(segments, size, lo("x1", "x2"), lo("y1", "y2"), hi("x1", "x2"), hi("y1", "y2"))
     p = points.withColumn("_cx", F.floor(F.col("x") / size)).withColumn("_cy", F.floor(F.col("y") / size))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 from statistics import NormalDist
 
 from pyspark.ml.classification import LinearSVC, OneVsRest, RandomForestClassifier
@@ -12,25 +13,40 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from arpent.operators.lineage import settle
+
 
 def spread(key: str, seed: int) -> Column:
     """A fixed order that looks random: the CRC of seed and key, then the key."""
     return F.struct(F.crc32(F.concat_ws(":", F.lit(seed), F.col(key).cast("string"))).alias("h"), F.col(key).alias("k"))
 
 
-def sample_per_class(px: DataFrame, cls: str, percent: float | None = None, floor: bool = False, key: str = "pid", seed: int = 1) -> DataFrame:
-    """All rows, a fixed percentage per class, or with floor at least as many as the smallest class, which stays whole.
+def first_by_hash(df: DataFrame, group: str, quotas: DataFrame, key: str, seed: int) -> DataFrame:
+    """The rows of each group that come first in the order of spread, as many as quotas (group, _q) says; groups are few.
 
-    The quota of a class is compared with a row's rank in its class; counting a rank needs the class in one sorted run.
+    Counts of slices of the hash give the slice in which a group's quota ends; only that slice's rows are ranked.
     """
+    h = F.crc32(F.concat_ws(":", F.lit(seed), F.col(key).cast("string")))
+    sliced = df.withColumn("_b", F.shiftright(h, 20).cast("int"))
+    counts = sliced.groupBy(F.col(group), "_b").agg(F.count("*").alias("_n"))  # 4096 slices a group at most
+    before = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    upto = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(F.broadcast(quotas), group)
+    upto = upto.where("_before < _q").select(group, "_b", (F.col("_q") - F.col("_before")).alias("_left"), (F.col("_n") <= F.col("_q") - F.col("_before")).alias("_whole"))
+    held = sliced.join(F.broadcast(upto), [group, "_b"])
+    rank = F.row_number().over(Window.partitionBy(group, "_b").orderBy(spread(key, seed)))
+    last = held.where("NOT _whole").withColumn("_r", rank).where("_r <= _left").drop("_r")
+    return held.where("_whole").unionByName(last).select(*df.columns)
+
+
+def sample_per_class(px: DataFrame, cls: str, percent: float | None = None, floor: bool = False, key: str = "pid", seed: int = 1) -> DataFrame:
+    """All rows, a fixed percentage per class, or with floor at least as many as the smallest class, which stays whole."""
     if percent is None:
         return px
     counts = px.groupBy(cls).agg(F.count("*").alias("_n"))
     least = counts.agg(F.min("_n").alias("_least"))
     quota = F.ceil(F.col("_n") * percent / 100)
     quotas = counts.join(F.broadcast(least)).select(cls, (F.greatest(quota, F.col("_least")) if floor else quota).alias("_q"))
-    ranked = px.withColumn("_r", F.row_number().over(Window.partitionBy(cls).orderBy(spread(key, seed))))
-    return ranked.join(F.broadcast(quotas), cls).where("_r <= _q").drop("_r", "_q")  # one row a class
+    return first_by_hash(px, cls, quotas, key, seed)
 
 
 def random_points(px: DataFrame, n: int, seed: int, only: tuple[str, int] | None = None, key: str = "pid") -> DataFrame:
@@ -116,27 +132,57 @@ def fisher_jenks(values: list[float], weights: list[int], classes: int) -> tuple
     return starts[::-1], float(1 - best[m] / total) if total > 0 else 1.0
 
 
-def natural_breaks(df: DataFrame, scene: str, value: str, classes: int, bins: int = 512) -> DataFrame:
-    """(scene, breaks, fit): Fisher-Jenks on a histogram of at most `bins` bins a scene; scenes in parallel."""
+def natural_breaks(df: DataFrame, scene: str, value: str, classes: int, bins: int = 1024, loss: float = 1e-4) -> DataFrame:
+    """(scene, breaks, fit, counts): Fisher-Jenks on weighted bins of each scene; scenes in parallel.
+
+    Bins start at quantiles; those that hold more than their part of a loss (as a share of the scene's variance) are cut
+    at their mean until none does, so outliers get bins of their own. Up to `bins` distinct values are bins of their own
+    from the start. The bins, not the rows, of a scene come together.
+    """
     import pandas as pd
 
-    ends = df.groupBy(scene).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    b = F.least(F.lit(bins - 1), F.floor((F.col(value) - F.col("_lo")) / F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-12)) * bins))
-    hist = df.join(ends, scene).groupBy(scene, b.alias("_b")).agg(F.avg(value).alias("_v"), F.count("*").alias("_w"))
+    rows = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(scene, F.col(value).cast("double").alias("_x"))
+    share = [i / bins for i in range(bins)]
+    edges = settle(rows.groupBy(scene).agg(F.array_sort(F.array_distinct(F.percentile_approx("_x", F.lit(share), 100 * bins))).alias("_e"), F.var_pop("_x").alias("_var"), F.count("*").alias("_n")))
+    while True:
+        at = F.size(F.filter("_e", lambda e: e <= F.col("_x")))
+        hist = rows.join(edges, scene).groupBy(scene, at.alias("_b")).agg(F.avg("_x").alias("_v"), F.count("*").alias("_w"), F.var_pop("_x").alias("_s"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.first("_var").alias("_var"), F.first("_n").alias("_n"))
+        hist = settle(hist)
+        cut = hist.where((F.col("_lo") < F.col("_hi")) & (F.col("_s") * F.col("_w") * bins > loss * F.col("_var") * F.col("_n")) & (F.col("_v") > F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+        more = settle(cut.groupBy(scene).agg(F.collect_list("_v").alias("_m")))
+        if more.isEmpty():
+            break
+        edges = settle(edges.join(more, scene, "left").withColumn("_e", F.array_sort(F.array_distinct(F.concat("_e", F.coalesce("_m", F.array().cast("array<double>")))))).drop("_m"))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_v")
-        starts, fit = fisher_jenks(pdf["_v"].tolist(), pdf["_w"].tolist(), min(classes, len(pdf)))
-        return pd.DataFrame({scene: [pdf[scene].iloc[0]], "breaks": [[float(pdf["_v"].iloc[s]) for s in starts]], "fit": [fit]})
+        v, w = pdf["_v"].tolist(), pdf["_w"].tolist()
+        starts, fit = fisher_jenks(v, w, min(classes, len(pdf)))
+        sizes = [int(sum(w[a:b])) for a, b in zip(starts, [*starts[1:], len(w)], strict=True)]
+        return pd.DataFrame({scene: [pdf[scene].iloc[0]], "breaks": [[float(v[s]) for s in starts]], "fit": [fit], "counts": [sizes]})
+
+    return hist.select(scene, "_v", "_w").groupBy(scene).applyInPandas(one, f"{scene} {df.schema[scene].dataType.simpleString()}, breaks array<double>, fit double, counts array<long>")
 
-    return hist.groupBy(scene).applyInPandas(one, f"{scene} {df.schema[scene].dataType.simpleString()}, breaks array<double>, fit double")
+
+def natural_breaks_threshold(df: DataFrame, scene: str, value: str, classes: range = range(20, 31), least_fit: float = 0.9) -> DataFrame:
+    """(scene, centre, lower, rounds): where few values lie. For each number of classes that fits well enough, the first class
+    inside that holds fewer values than both its neighbours; the means over those numbers of its centre and its lower bound.
+    """
+    rounds = []
+    for k in classes:
+        b = natural_breaks(df, scene, value, k).where(F.col("fit") >= least_fit)
+        i = F.filter(F.sequence(F.lit(2), F.greatest(F.lit(2), F.size("counts") - 1)), lambda i: (F.element_at("counts", i) < F.element_at("counts", i - 1)) & (F.element_at("counts", i) < F.try_element_at("counts", i + 1)))
+        b = b.withColumn("_i", F.try_element_at(i, F.lit(1))).where("_i IS NOT NULL")
+        lower = F.element_at("breaks", F.col("_i"))
+        rounds.append(b.select(scene, lower.alias("lower"), ((lower + F.element_at("breaks", F.col("_i") + 1)) / 2).alias("centre")))
+    return reduce(lambda a, b: a.unionByName(b), rounds).groupBy(scene).agg(F.avg("centre").alias("centre"), F.avg("lower").alias("lower"), F.count("*").alias("rounds"))
 
 
 def split_train_validation(df: DataFrame, key: str, empty: str, percent: float, most_empty: float, seed: int = 1) -> DataFrame:
     """df with `part`: empty samples capped to a percentage of the others, then a fixed random split."""
     full = df.where(~F.col(empty)).count()
-    order = Window.partitionBy(F.col(empty)).orderBy(spread(key, seed))
-    kept = df.withColumn("_r", F.row_number().over(order)).where(~F.col(empty) | (F.col("_r") <= full * most_empty / 100)).drop("_r")
+    quota = df.sparkSession.createDataFrame([(True, int(full * most_empty // 100))], f"{empty} boolean, _q long")
+    kept = df.where(~F.col(empty)).unionByName(first_by_hash(df.where(F.col(empty)), empty, quota, key, seed))
     return kept.withColumn("part", F.when(F.crc32(F.concat_ws(":", F.lit(seed + 1), F.col(key).cast("string"))) % 10000 < percent * 100, "train").otherwise("validation"))
 
 

@@ -18,14 +18,18 @@ def confusion_matrix(df: DataFrame, ref: str, prod: str, nodata: int = 0, by: li
 
 
 def class_indicators(matrix: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Per class: precision, recall, f, performance TP/(TP+FP+FN), fp_rate and fn_rate (1 when empty), quantity rate."""
+    """Per class: precision, recall, f, performance TP/(TP+FP+FN), fp_rate, fn_rate (1 when empty) and quantity rate.
+
+    fp_rate is FP over the pixels of other classes in the reference; fn_rate is FN over those of the class.
+    """
     by = by or []
     rows = matrix.groupBy(*by, F.col("ref").alias("cls")).agg(F.sum("n").alias("row_n"), F.sum(F.when(F.col("ref") == F.col("prod"), F.col("n")).otherwise(0)).alias("tp"))
     cols = matrix.groupBy(*by, F.col("prod").alias("cls")).agg(F.sum("n").alias("col_n"))
     m = rows.join(cols, [*by, "cls"]).withColumn("fp", F.col("col_n") - F.col("tp")).withColumn("fn", F.col("row_n") - F.col("tp"))
+    m = m.withColumn("all_n", F.sum("row_n").over(Window.partitionBy(*(by or [F.lit(1)]))))  # a row for each class
     safe = lambda a, b, empty: F.coalesce(F.try_divide(a.cast("double"), b), F.lit(float(empty)))
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    out = m.withColumns({"precision": safe(tp, tp + fp, 0), "recall": safe(tp, tp + fn, 0), "performance": safe(tp, tp + fp + fn, 0), "fp_rate": safe(fp, tp + fp, 1), "fn_rate": safe(fn, tp + fn, 1), "quantity_rate": safe(tp + fp, tp + fn, 0)})
+    out = m.withColumns({"precision": safe(tp, tp + fp, 0), "recall": safe(tp, tp + fn, 0), "performance": safe(tp, tp + fp + fn, 0), "fp_rate": safe(fp, F.nullif(F.col("all_n") - F.col("row_n"), F.lit(0)), 1), "fn_rate": safe(fn, tp + fn, 1), "quantity_rate": safe(tp + fp, tp + fn, 0)})
     p, r = F.col("precision"), F.col("recall")
     return out.withColumn("f", safe(2 * p * r, p + r, 0))
 
@@ -33,7 +37,7 @@ def class_indicators(matrix: DataFrame, by: list[str] | None = None) -> DataFram
 def overall_indicators(matrix: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Overall accuracy, weighted f and performance, and kappa."""
     by = by or []
-    c = class_indicators(matrix, by).withColumn("all_n", F.sum("row_n").over(Window.partitionBy(*(by or [F.lit(1)]))))
+    c = class_indicators(matrix, by)
     n, w = F.max("all_n"), F.col("row_n")
     union = F.col("tp") + F.col("fp") + F.col("fn")
     out = c.groupBy(*by).agg(

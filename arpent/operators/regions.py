@@ -2,23 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arpent.operators.joins import box_join
+from arpent.operators.lineage import settle
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Cuts the lineage by a checkpoint in the folder that spark.checkpoint.dir names; sets a temporary one where unset."""
-    spark: SparkSession = df.sparkSession
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-arpent-"))
-    return df.checkpoint()
+#: Columns of a cell in which runs of neighbouring rows meet.
+CELL_COLUMNS = 64
 
 
-def label_components(nodes: DataFrame, edges: DataFrame, rounds: int = 40) -> DataFrame:
+def label_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, label): the least node that edges (a, b) reach.
 
     Each round every node takes the least label of its neighbours, then the label of its label (pointer jumping), so the
@@ -26,7 +21,7 @@ def label_components(nodes: DataFrame, edges: DataFrame, rounds: int = 40) -> Da
     """
     both = settle(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
     labels = settle(nodes.select("node", F.col("node").alias("label")))
-    for _ in range(rounds):
+    while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("m")).withColumnRenamed("a", "node")
         new = labels.join(near, "node", "left").select("node", "label", F.least("label", F.coalesce("m", "label")).alias("m"))
         # the old label's node learns the new one too, so whole regions move at once
@@ -37,7 +32,6 @@ def label_components(nodes: DataFrame, edges: DataFrame, rounds: int = 40) -> Da
         if new.join(labels.withColumnRenamed("label", "was"), "node").where("label <> was").isEmpty():
             return new
         labels = new
-    raise RuntimeError("components did not settle")
 
 
 def runs(px: DataFrame, value: str) -> DataFrame:
@@ -54,22 +48,25 @@ def connected_components(px: DataFrame, value: str, eight: bool = False) -> Data
     """px with `region`: the least pid of its region of equal value, 4- or 8-connected."""
     r = settle(runs(px, value))
     reach = 1 if eight else 0
-    a, b = r.select(*[F.col(c).alias(f"a_{c}") for c in r.columns]), r.select(*[F.col(c).alias(f"b_{c}") for c in r.columns])
-    meet = (F.col("b_r") == F.col("a_r") + 1) & (F.col("a_v") == F.col("b_v")) & (F.col("a_c0") <= F.col("b_c1") + reach) & (F.col("b_c0") <= F.col("a_c1") + reach)
+    cells = F.explode(F.sequence(F.floor(F.col("c0") / CELL_COLUMNS), F.floor((F.col("c1") + reach) / CELL_COLUMNS)))
+    p = r.withColumn("_k", cells)
+    a, b = p.select("_k", *[F.col(c).alias(f"a_{c}") for c in r.columns]), p.select("_k", *[F.col(c).alias(f"b_{c}") for c in r.columns])
+    meet = (a["_k"] == b["_k"]) & (F.col("b_r") == F.col("a_r") + 1) & (F.col("a_v") == F.col("b_v")) & (F.col("a_c0") <= F.col("b_c1") + reach) & (F.col("b_c0") <= F.col("a_c1") + reach)
     edges = a.join(b, meet).select(F.col("a_run").alias("a"), F.col("b_run").alias("b"))
     labels = label_components(r.select(F.col("run").alias("node")), edges)
     spans = r.join(labels, r["run"] == labels["node"]).select("r", "label", F.explode(F.sequence("c0", "c1")).alias("c"))
     return px.join(spans.withColumnRenamed("label", "region"), ["r", "c"])
 
 
-def polygonize(px: DataFrame, value: str, eight: bool = False) -> DataFrame:
-    """One row per region: value, pixels, bounding box and number of boundary edges."""
+def polygonize(px: DataFrame, value: str, eight: bool = False, size: float = 1.0) -> DataFrame:
+    """One row per region: value, pixels, bounding box and number of boundary edges, of pixels of a size."""
+    half = size / 2
     reg = settle(connected_components(px, value, eight).select("r", "c", "x", "y", "region", F.col(value).alias("value")))
     side = F.inline(F.array(*[F.struct(F.lit(i).alias("dr"), F.lit(j).alias("dc")) for i, j in ((0, 1), (0, -1), (1, 0), (-1, 0))]))
     want = reg.select("region", "r", "c", side).withColumn("r", F.col("r") + F.col("dr")).withColumn("c", F.col("c") + F.col("dc"))
     there = reg.select("r", "c", F.col("region").alias("other"))
     edge = want.join(there, ["r", "c"], "left").where("other IS NULL OR other <> region").groupBy("region").agg(F.count("*").alias("perimeter"))
-    shape = reg.groupBy("region").agg(F.first("value").alias("value"), F.count("*").alias("pixels"), (F.min("x") - 0.5).alias("xmin"), (F.min("y") - 0.5).alias("ymin"), (F.max("x") + 0.5).alias("xmax"), (F.max("y") + 0.5).alias("ymax"))
+    shape = reg.groupBy("region").agg(F.first("value").alias("value"), F.count("*").alias("pixels"), (F.min("x") - half).alias("xmin"), (F.min("y") - half).alias("ymin"), (F.max("x") + half).alias("xmax"), (F.max("y") + half).alias("ymax"))
     return shape.join(edge, "region")
 
 
@@ -111,7 +108,7 @@ def link_tops(tops: DataFrame, size: float, distance: float = 10, gap: float = 1
     return label_components(tops.select(F.col("fid").alias("node")), edges).select(F.col("node").alias("fid"), F.col("label").alias("group"))
 
 
-def merge_small(regions: DataFrame, contacts: DataFrame, least: float, rounds: int = 10) -> DataFrame:
+def merge_small(regions: DataFrame, contacts: DataFrame, least: float) -> DataFrame:
     """(node, into): regions (node, size) under `least` join the neighbour of longest contact (a, b, length), in rounds.
 
     Each round, a small group and the neighbour it likes best merge; ties go to the lower id. It ends when no group under
@@ -119,14 +116,13 @@ def merge_small(regions: DataFrame, contacts: DataFrame, least: float, rounds: i
     """
     into = settle(regions.select("node", F.col("node").alias("into")))
     sym = settle(contacts.select("a", "b", "length").union(contacts.select("b", "a", "length")))
-    for _ in range(rounds):
+    while True:
         size = regions.join(into, "node").groupBy("into").agg(F.sum("size").alias("s"))
         small = size.where(F.col("s") < least).select(F.col("into").alias("ga"))
         g = sym.join(into.select(F.col("node").alias("a"), F.col("into").alias("ga")), "a").join(into.select(F.col("node").alias("b"), F.col("into").alias("gb")), "b").where("ga <> gb")
         best = g.join(small, "ga").groupBy("ga", "gb").agg(F.sum("length").alias("l")).groupBy("ga").agg(F.max(F.struct("l", (-F.col("gb")).alias("o"), "gb"))["gb"].alias("gb"))
         best = settle(best)
         if best.isEmpty():
-            break
+            return into
         labels = label_components(into.select(F.col("into").alias("node")).distinct(), best.select(F.col("ga").alias("a"), F.col("gb").alias("b")))
         into = settle(into.join(labels.select(F.col("node").alias("into"), "label"), "into").select("node", F.col("label").alias("into")))
-    return into

@@ -7,7 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arpent.operators.joins import BOX, intersection_overlay
 from arpent.operators.tables import apply_rules, ordered_updates
+from arpent.operators.zonal import volume_weighted_height
+from arpent.plans.landcover import frontal_area
 
 #: Interval tree: a list of {indicator: [low, high, leaf or list]}.
 Tree = list[dict[str, list]]
@@ -72,6 +75,28 @@ def roughness_length(h: Column, zd: Column, far: Column) -> Column:
     return F.when(far == 0, 0.0).otherwise((h - zd) * F.exp(-F.sqrt(F.lit(0.4) / F.nullif(far, F.lit(0.0)))))
 
 
+def displacement_height(h: Column, plan_ratio: Column) -> Column:
+    """zd = h PAR^0.6."""
+    return h * F.pow(plan_ratio, F.lit(0.6))
+
+
+def terrain_roughness(zones: DataFrame, buildings: DataFrame, lines: list[DataFrame], size: float, spacing: float) -> DataFrame:
+    """(fid, h, par, zd, far, z0, cls) of zones: height by volume, plan area ratio, displacement height, frontal area ratio
+    as the mean over the directions of lines, roughness length and class. Zones without buildings have zeros and class 1.
+    """
+    whole = (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))
+    pieces = intersection_overlay(zones.select("fid", *BOX), buildings, size).groupBy(F.col("a_fid").alias("fid"))
+    built = pieces.agg(volume_weighted_height(F.col("area") * F.col("b_hauteur"), F.col("b_hauteur")).alias("h"), F.sum("area").alias("_s"))
+    out = zones.select("fid", whole.alias("_w")).join(built, "fid", "left").select("fid", F.coalesce("h", F.lit(0.0)).alias("h"), F.coalesce(F.col("_s") / F.col("_w"), F.lit(0.0)).alias("par"))
+    out = out.withColumn("zd", displacement_height(F.col("h"), F.col("par")))
+    rough = []
+    for i, way in enumerate(lines):
+        out = out.join(frontal_area(way, buildings, zones, size, spacing).select("fid", F.col("far").alias(f"_f{i}")), "fid", "left").withColumn(f"_f{i}", F.coalesce(f"_f{i}", F.lit(0.0)))
+        rough.append(roughness_length(F.col("h"), F.col("zd"), F.col(f"_f{i}")))
+    out = out.withColumn("far", sum(F.col(f"_f{i}") for i in range(len(lines))) / len(lines)).withColumn("z0", sum(rough) / len(rough))
+    return out.select("fid", "h", "par", "zd", "far", "z0", roughness_class(F.col("z0")).alias("cls"))
+
+
 def roughness_class(z0: Column, limits: tuple[float, ...] = (0.0025, 0.0175, 0.065, 0.175, 0.375, 0.75, 1.5)) -> Column:
     """1 below the first limit, up to 8 from the last on."""
     return reduce(lambda out, t: out + (z0 >= t).cast("int"), limits, F.lit(1))
@@ -95,11 +120,12 @@ COMBINATION_WITHOUT_OVERLAP = (
 def urban_zones(df: DataFrame, method: str = "combination", roughness: bool = False) -> DataFrame:
     """ucz from si (imperviousness), ra (facade ratio) and, for methods with roughness, rug.
 
-    combination: first match. combination_disjoint: its second table. hierarchy: every zone is split in turn; with roughness
+    combination: first match in the first table, with roughness where asked, then in the second for the rows that are left.
+    combination_disjoint: the second table alone. hierarchy: every zone is split in turn; with roughness
     the last two updates may move 6 to 5 and back.
     """
     if method.startswith("combination"):
-        table = COMBINATION if method == "combination" else COMBINATION_WITHOUT_OVERLAP
+        table = (*COMBINATION, *COMBINATION_WITHOUT_OVERLAP) if method == "combination" else COMBINATION_WITHOUT_OVERLAP
         rules = []
         for ucz, s0, s1, r0, r1, rug in table:
             tests = [t for t, v in ((f"si >= {s0}", s0), (f"si < {s1}", s1), (f"ra >= {r0}", r0), (f"ra < {r1}", r1)) if v is not None]

@@ -29,12 +29,13 @@ def population_by_zone(zones: DataFrame, buildings: DataFrame, count: str, size:
     return pieces.groupBy(F.col("b_fid").alias("fid")).agg(F.sum(F.col(f"a_{count}") * F.col("area") / whole).alias("population"))
 
 
-def vulnerability(df: DataFrame, stakes: list[str], health: list[str]) -> DataFrame:
-    """Scaled fields n_*, then stakes, health and overall indices, each from 0 to 1."""
-    out = minmax_scale(df, list(dict.fromkeys(stakes + health)))
-    out = out.withColumn("stakes", sum((F.col(f"n_{c}") for c in stakes), F.lit(0.0))).withColumn("health", sum((F.col(f"n_{c}") for c in health), F.lit(0.0)))
-    out = minmax_scale(out, ["stakes", "health"], "i_")
-    out = out.withColumn("overall", F.col("i_stakes") + F.col("i_health"))
+def vulnerability(df: DataFrame, stakes: list[str], health: list[str], social: list[str]) -> DataFrame:
+    """Scaled fields n_*, then stakes, health and social indices, each from 0 to 1; the overall one scales health and social."""
+    out = minmax_scale(df, list(dict.fromkeys(stakes + health + social)))
+    kinds = {"stakes": stakes, "health": health, "social": social}
+    out = out.withColumns({k: sum((F.col(f"n_{c}") for c in fields), F.lit(0.0)) for k, fields in kinds.items()})
+    out = minmax_scale(out, list(kinds), "i_")
+    out = out.withColumn("overall", F.col("i_health") + F.col("i_social"))
     return minmax_scale(out, ["overall"], "i_")
 
 

@@ -33,18 +33,55 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.coalesce(F.col("f.id").try_cast("long"), F.col("_i").cast("long")).alias("fid"), F.col("f.properties").alias("properties"), F.col("f.geometry.type").alias("geometry_type"), F.col("f.geometry.coordinates").alias("coordinates"))
 
 
-def raster_metadata(px: DataFrame, bands: list[str]) -> DataFrame:
-    """One row: rows, columns, pixel size, extent (outer edges), bands."""
-    one = F.lit(1.0)
+def raster_metadata(px: DataFrame, bands: list[str], size: float | None = None, nodata: float | None = None) -> DataFrame:
+    """One row: rows, columns, pixel size, extent (outer edges), bands, their type and nodata. Without a size it is the step
+    between neighbouring pixel centres, and 1 for a single row and column."""
+    step = lambda x, i: F.try_divide((F.max(x) - F.min(x)).cast("double"), F.max(i) - F.min(i))
+    unit = F.lit(float(size)) if size else F.coalesce(step("x", "c"), step("y", "r"), F.lit(1.0))
+    kinds = ",".join(sorted({dict(px.dtypes)[b] for b in bands}))
     return px.agg(
-        (F.max("r") - F.min("r") + 1).alias("rows"), (F.max("c") - F.min("c") + 1).alias("columns"), one.alias("pixel_size"), (F.min("x") - 0.5).alias("xmin"), (F.max("x") + 0.5).alias("xmax"),
-        (F.min("y") - 0.5).alias("ymin"), (F.max("y") + 0.5).alias("ymax"), F.lit(len(bands)).alias("bands"),
+        (F.max("r") - F.min("r") + 1).alias("rows"), (F.max("c") - F.min("c") + 1).alias("columns"), unit.alias("pixel_size"), (F.min("x") - unit / 2).alias("xmin"), (F.max("x") + unit / 2).alias("xmax"),
+        (F.min("y") - unit / 2).alias("ymin"), (F.max("y") + unit / 2).alias("ymax"), F.lit(len(bands)).alias("bands"), F.lit(kinds).alias("dtype"), F.lit(nodata).cast("double").alias("nodata"),
     )
 
 
-def vector_metadata(df: DataFrame) -> DataFrame:
-    """One row: feature count and extent."""
-    return df.agg(F.count("*").alias("features"), F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"), F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"))
+def vector_metadata(df: DataFrame, geometry: str = "Polygon", special: tuple[str, ...] = ("xmin", "ymin", "xmax", "ymax")) -> DataFrame:
+    """One row: feature count, extent, geometry type and the other fields with their types."""
+    fields = ",".join(f"{c}:{t}" for c, t in df.dtypes if c not in special)
+    return df.agg(F.count("*").alias("features"), F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"), F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"), F.lit(geometry).alias("geometry"), F.lit(fields).alias("fields"))
+
+
+def features_from_rows(df: DataFrame, points: str, fields: dict[str, str]) -> DataFrame:
+    """Polygon features (rings and renamed fields) from rows with an array of corners (x, y), closed where they are open."""
+    ring = F.col(points)
+    closed = F.when(F.element_at(ring, 1) == F.element_at(ring, -1), ring).otherwise(F.concat(ring, F.slice(ring, 1, 1)))
+    return df.select(*[F.col(a).alias(b) for a, b in fields.items()], F.array(closed).alias("rings"))
+
+
+def points_from_layer(df: DataFrame, columns: list[str], rings: str = "rings") -> DataFrame:
+    """(columns, part, k, x, y): the points of each feature's rings, without the closing one."""
+    parts = df.select(*columns, F.posexplode(rings).alias("part", "_r"))
+    inner = parts.select(*columns, "part", F.posexplode(F.slice("_r", F.lit(1), F.size("_r") - 1)).alias("k", "_p"))
+    return inner.select(*columns, "part", "k", "_p.x", "_p.y")
+
+
+def filter_geometry_type(df: DataFrame, kind: str, column: str = "geometry_type", rings: str | None = "rings") -> DataFrame:
+    """Features of one geometry type, without null or empty geometry."""
+    held = df.where(F.col(column) == kind)
+    return held.where(F.col(rings).isNotNull() & (F.size(rings) > 0) & (F.size(F.element_at(rings, 1)) > 0)) if rings else held
+
+
+def write_features(df: DataFrame, path: str, geometry_type: str, coordinates: Column, fields: list[str], key: str = "fid") -> None:
+    """A GeoJSON feature a line, so that files can be written and read in parts."""
+    shape = F.struct(F.lit(geometry_type).alias("type"), coordinates.alias("coordinates"))
+    df.select(F.lit("Feature").alias("type"), F.col(key).alias("id"), F.struct(*fields).alias("properties"), shape.alias("geometry")).write.json(path)
+
+
+def read_feature_lines(spark: SparkSession, path: str, fields: str, coordinates: str) -> DataFrame:
+    """(fid, fields, geometry_type, coordinates) of features that stand a line each; fields and coordinates are types in DDL."""
+    schema = f"type string, id long, properties struct<{fields}>, geometry struct<type: string, coordinates: {coordinates}>"
+    rows = spark.read.schema(schema).json(path)
+    return rows.select(F.col("id").alias("fid"), "properties.*", F.col("geometry.type").alias("geometry_type"), F.col("geometry.coordinates").alias("coordinates"))
 
 
 def scene_dates(name: Column, separator: str = "_", position: int = 2) -> tuple[Column, Column, Column]:
