@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from arpent.functions.geometry import contains
 from arpent.operators.joins import intersection_overlay, points_in_boxes
 
 #: Statistics of a zone's valid pixels, by name.
@@ -22,8 +23,11 @@ STATS = {
 
 
 def pixels_of(zones: DataFrame, px: DataFrame, band: str, size: float, key: str = "fid") -> DataFrame:
-    """(zone key, value) of the pixels whose centre lies in the zone."""
-    hit = points_in_boxes(px.select("x", "y", F.col(band).alias("value")), zones.select(key, "xmin", "ymin", "xmax", "ymax"), size)
+    """(zone key, value) of the pixels whose centre lies in the zone: its box, or its `rings` where it has them."""
+    shape = ["rings"] if "rings" in zones.columns else []
+    hit = points_in_boxes(px.select("x", "y", F.col(band).alias("value")), zones.select(key, "xmin", "ymin", "xmax", "ymax", *shape), size)
+    if shape:
+        hit = hit.where(contains(F.col("b_rings"), F.col("p_x"), F.col("p_y")))
     return hit.select(F.col(f"b_{key}").alias(key), F.col("p_value").alias("value"))
 
 

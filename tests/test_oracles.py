@@ -10,6 +10,7 @@ import pytest
 
 import arpent.catalogue_more  # noqa: F401
 import arpent.catalogue_plans  # noqa: F401
+import arpent.catalogue_shapes  # noqa: F401
 from arpent.catalogue import ORACLES, QUERIES
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
