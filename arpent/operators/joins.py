@@ -171,6 +171,13 @@ def sample_nearest(points: DataFrame, px: DataFrame, band: str, x0: float, y0: f
     return at.join(px.select("r", "c", F.col(band).alias("value")), ["r", "c"], "left")
 
 
+def filter_points_by_raster_range(points: DataFrame, px: DataFrame, ranges: dict[str, tuple[float, float]], x0: float, y0: float, size: float = 1.0, z: str = "z") -> DataFrame:
+    """Points with a z whose pixel has each band within its range, ends included."""
+    at = points.where(F.col(z).isNotNull()).withColumn("r", F.floor((F.lit(y0) - F.col("y")) / size)).withColumn("c", F.floor((F.col("x") - x0) / size))
+    held = px.select("r", "c", *[F.col(b).alias(f"_{b}") for b in ranges]).where(reduce(lambda a, b: a & b, [F.col(f"_{b}").between(lo, hi) for b, (lo, hi) in ranges.items()]))
+    return at.join(held, ["r", "c"]).select(*points.columns)
+
+
 def sample_bilinear(points: DataFrame, px: DataFrame, band: str, x0: float, y0: float, size: float = 1.0, key: str = "fid") -> DataFrame:
     """points with the bilinear value of the four pixel centres around; the nearest pixel where one is missing."""
     u, v = (F.col("x") - x0) / size - 0.5, (F.lit(y0) - F.col("y")) / size - 0.5

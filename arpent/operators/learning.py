@@ -61,6 +61,20 @@ def sample_size(classes: int, share: float, alpha: float, error: float) -> int:
     return math.ceil(z * z * share * (1 - share) / (error * error))
 
 
+def sample_sizes(df: DataFrame, cls: str, alpha: float, error: float) -> DataFrame:
+    """(class, share, n): for each class of df the size of a sample that tells its share within the error."""
+    counts = settle(df.groupBy(cls).agg(F.count("*").alias("_n")))
+    k = counts.count()  # classes
+    z = NormalDist().inv_cdf(1 - alpha / max(1, k) / 2)
+    share = F.col("_n") / F.sum("_n").over(Window.partitionBy(F.lit(1)))
+    return counts.withColumn("share", share).select(cls, "share", F.ceil(z * z * F.col("share") * (1 - F.col("share")) / (error * error)).cast("long").alias("n"))
+
+
+def classify_objects(vectors: DataFrame, features: list[str], label: str, training: Column, method: str = "rf", trees: int = 50, seed: int = 1) -> DataFrame:
+    """Features of a layer classified by their attributes; those that the training filter takes, and that have a label, teach."""
+    return train_and_classify(vectors.where(training & F.col(label).isNotNull()), vectors, features, label, method, trees, seed)
+
+
 def assemble(df: DataFrame, bands: list[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=bands, outputCol=out, handleInvalid="skip").transform(df)
 

@@ -1,4 +1,4 @@
-"""Checkpoints for loops."""
+"""Checkpoints for loops, and places for tables between steps."""
 
 from __future__ import annotations
 
