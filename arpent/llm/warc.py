@@ -25,6 +25,9 @@ BLOCK_LINES = 1000
 #: Entries of the directory that the driver and every task hold, at most about; bytes that are read at once.
 DIRECTORY, READ = 200_000, 1 << 20
 
+#: Bytes of records that a task reads by range, about.
+RANGES = 1 << 24
+
 #: Stands between the gzip members of an archive: readers skip zero bytes there.
 PAD = b"\0"
 
@@ -234,7 +237,11 @@ def look_up(wanted: DataFrame, blocks: DataFrame) -> DataFrame:
 
 
 def read_ranges(places: DataFrame) -> DataFrame:
-    """The records at (file, offset, length), each read by itself from its range; ranges of a file are read in order."""
+    """The records at (file, offset, length), each read by itself from its range; ranges of a file are read in order.
+
+    A task reads about RANGES bytes, as the rows that say what to read are far smaller than what is read.
+    """
+    parts = max(1, -(-(places.agg(F.sum("length")).first()[0] or 0) // RANGES))
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
 
     def run(batches):
@@ -259,7 +266,7 @@ def read_ranges(places: DataFrame) -> DataFrame:
             if stream is not None:
                 stream.close()
 
-    dealt = places.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    dealt = places.repartitionByRange(parts, "file", "offset").sortWithinPartitions("file", "offset")
     return dealt.select("file", "offset", "length").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
