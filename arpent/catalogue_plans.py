@@ -135,7 +135,9 @@ def _(t):
     return s.select("fid", F.round(climate.facade_ratio(F.col("facade"), F.greatest(F.col("whole") - F.col("built"), F.lit(0.0))), 3).alias("ra"))
 
 
-@query("dm_sky_view_indicator", None)
+@query("dm_sky_view_indicator", f"""WITH h AS (SELECT pid, r, c, hgt FROM px JOIN height_px USING (pid)), k AS (SELECT * FROM (VALUES (0, 0, 1), (1, 1, 0), (2, 0, -1), (3, -1, 0)) v(k, dr, dc)), s AS (SELECT * FROM k, range(1, 3) t(s)),
+a AS (SELECT h.pid, s.k, max(atan(greatest(0.0, coalesce(q.hgt - h.hgt, 0)) / s.s)) AS a FROM h CROSS JOIN s LEFT JOIN h q ON q.r = h.r + s.dr * s.s AND q.c = h.c + s.dc * s.s GROUP BY h.pid, s.k), v AS (SELECT pid, avg(cos(a) * cos(a)) AS svf FROM a GROUP BY pid),
+m AS (SELECT fid, avg(svf) AS mean FROM zone JOIN px ON {_IN} JOIN v USING (pid) GROUP BY fid) SELECT zone.fid, round(mean, 6) AS mean FROM zone LEFT JOIN m USING (fid)""")
 def _(t):
     h = t("px").select("pid", "r", "c", "x", "y").join(t("height_px").withColumn("hgt", F.col("hgt").cast("double")), "pid")
     return zo.zonal_stats(t("zone"), fo.sky_view_factor(h, "hgt", 2, 4), "svf", ("mean",)).select("fid", *r6("mean"))
@@ -165,7 +167,9 @@ def _(t):
     return pairs.select("fid", (F.when(side > 0, 1).otherwise(-1) * tb.ring_index(d, 3, 5)).alias("ring")).where("ring IS NOT NULL")
 
 
-@query("dm_coastline_threshold", None)
+@query("dm_coastline_threshold", f"""WITH b AS (SELECT pid, r, c, x, y, (nir < 128)::INT AS sea FROM px), e AS (SELECT p.pid AS a, q.pid AS b FROM b p JOIN b q ON p.sea = 1 AND q.sea = 1 AND abs(p.r - q.r) + abs(p.c - q.c) = 1),
+w(pid, root) AS (SELECT pid, pid FROM b WHERE sea = 1 UNION SELECT e.b, w.root FROM w JOIN e ON e.a = w.pid WHERE w.root < e.b), l AS (SELECT pid, min(root) AS region FROM w GROUP BY pid),
+g AS (SELECT region, count(*) AS pixels, min(x) - 0.5 AS xmin, min(y) - 0.5 AS ymin, max(x) + 0.5 AS xmax, max(y) + 0.5 AS ymax FROM l JOIN b USING (pid) GROUP BY region) SELECT region AS fid, pixels, xmin, ymin, xmax, ymax FROM g WHERE EXISTS (SELECT 1 FROM pt WHERE {_IN})""")
 def _(t):
     """Sea regions by a threshold that hold a sea point, as boxes."""
     from arpent.operators.regions import polygonize
