@@ -282,7 +282,17 @@ def _(t):
     return rg.link_tops(t("pt").withColumn("h", F.col("z").cast("double")), 10.0, 3, 800)
 
 
-@query("cc_sieve", None)
+def _sieved(source: str) -> str:
+    """CTEs up to `sv` (pid, r, c, cls): 8-connected regions of under 3 pixels of a source take the class of their largest neighbour."""
+    return f"""WITH RECURSIVE e AS (SELECT p.pid AS a, q.pid AS b FROM {source} p JOIN {source} q ON p.cls = q.cls AND p.pid <> q.pid AND abs(p.r - q.r) <= 1 AND abs(p.c - q.c) <= 1),
+w(pid, root) AS (SELECT pid, pid FROM {source} UNION SELECT e.b, w.root FROM w JOIN e ON e.a = w.pid WHERE w.root < e.b), l AS (SELECT pid, min(root) AS region FROM w GROUP BY pid),
+g AS (SELECT region, pid, r, c, cls FROM l JOIN {source} USING (pid)), z AS (SELECT region, count(*) AS n, min(cls) AS v FROM g GROUP BY region),
+m AS (SELECT DISTINCT a.region, b.region AS other FROM g a JOIN z ON z.region = a.region AND z.n < 3 CROSS JOIN range(-1, 2) t(d) JOIN g b ON b.r = a.r + t.d AND abs(a.c - b.c) <= 1 AND a.region <> b.region),
+k AS (SELECT m.region, z.v FROM m JOIN z ON z.region = m.other QUALIFY row_number() OVER (PARTITION BY m.region ORDER BY z.n DESC, m.other) = 1),
+sv AS (SELECT pid, r, c, coalesce(k.v, cls) AS cls FROM g LEFT JOIN k USING (region))"""
+
+
+@query("cc_sieve", _recursive(f"{_sieved('px')} SELECT pid, cls FROM sv"))
 def _(t):
     return rg.sieve(t("px").select("pid", "r", "c", "cls"), "cls", 3).select("pid", "cls")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from arpent.catalogue import _AREA, _IN, _MEET, CELL, r6, query
+from arpent.catalogue_more import _sieved
 from arpent.functions import geometry as ge
 from arpent.operators import focal as fo
 from arpent.operators import joins as jn
@@ -178,7 +179,11 @@ def _(t):
     return jn.holding(sea, t("pt").select("x", "y"), CELL).select("fid", "pixels", *jn.BOX)
 
 
-@query("dm_vectorise_land_cover", None)
+@query("dm_vectorise_land_cover", f"""WITH rc AS (SELECT pid, r, c, CASE cls WHEN 200 THEN 100 WHEN 500 THEN 400 ELSE cls END AS cls FROM px), {_sieved("rc")[15:]},
+e4 AS (SELECT p.pid AS a, q.pid AS b FROM sv p JOIN sv q ON p.cls = q.cls AND abs(p.r - q.r) + abs(p.c - q.c) = 1),
+w4(pid, root) AS (SELECT pid, pid FROM sv UNION SELECT e4.b, w4.root FROM w4 JOIN e4 ON e4.a = w4.pid WHERE w4.root < e4.b), l4 AS (SELECT pid, min(root) AS region FROM w4 GROUP BY pid),
+s4 AS (SELECT p.cls, count(*) AS inner_ FROM e4 JOIN sv p ON p.pid = e4.a GROUP BY p.cls)
+SELECT cls AS value, count(DISTINCT region) AS regions, count(*) AS pixels, 4 * count(*) - coalesce(min(inner_), 0) AS perimeter FROM sv JOIN l4 USING (pid) LEFT JOIN s4 USING (cls) GROUP BY cls""")
 def _(t):
     """Reclass, sieve by a minimum unit, regions, and their dissolve by class."""
     from arpent.operators.algebra import reclass
