@@ -177,4 +177,28 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op7_secret_scan": op7_secret_scan}
-ORACLES: dict[str, str] = {}
+
+#: Gaps and matches alternate along a text, so running sums of their lengths are the spans.
+ORACLES = {
+    "op7_secret_scan": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS i, doc_id, coalesce(text, '') AS t, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents
+), found AS (
+  SELECT i, 'assign' AS kind, 0 AS o, 8 AS least, string_split_regex(low, '(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([a-z0-9+/_.=-]+)') AS gaps,
+    regexp_extract_all(low, '(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([a-z0-9+/_.=-]+)') AS hits,
+    regexp_extract_all(low, '(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([a-z0-9+/_.=-]+)', 2) AS parts FROM d
+  UNION ALL SELECT i, 'access', 1, 16, string_split_regex(t, 'AKIA[A-Z0-9]+'), regexp_extract_all(t, 'AKIA[A-Z0-9]+'), regexp_extract_all(t, 'AKIA[A-Z0-9]+') FROM d
+  UNION ALL SELECT i, 'hex', 2, 32, string_split_regex(t, '[0-9a-f]+'), regexp_extract_all(t, '[0-9a-f]+'), regexp_extract_all(t, '[0-9a-f]+') FROM d
+), one AS (
+  SELECT i, kind, o, least, unnest(range(len(hits))) AS j, unnest(gaps[1:len(hits)]) AS gap, unnest(hits) AS hit, unnest(parts) AS part FROM found WHERE len(hits) > 0
+), ended AS (
+  SELECT *, CAST(sum(length(gap) + length(hit)) OVER (PARTITION BY i, o ORDER BY j) AS BIGINT) AS e FROM one
+), span AS (SELECT i, kind, o, e - length(hit) AS s, e FROM ended WHERE length(part) >= least),
+line AS (
+  SELECT i, string_agg(concat_ws(':', kind, s, e), ',' ORDER BY s, o) AS spans, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex
+  FROM span GROUP BY i
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN line USING (i)
+"""
+}
