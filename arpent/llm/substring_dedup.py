@@ -22,9 +22,9 @@ SHORTEST, LONGEST = 12, 256
 #: Words of a match: only words within a window of so many that stands, one after the other, in one other document are cut.
 LEAST_WORDS = 40
 
-#: A run of repeated chunks is looked at where it has so many bytes, together with so many bytes on either side: a passage
-#: may begin and end within a chunk, which is what the second number allows for.
-RUN, MARGIN = 96, LONGEST + WINDOW
+#: A run of repeated chunks is looked at where it has so many bytes, together with at most so many bytes on either side: a
+#: passage may begin and end within a chunk, which is what the second number allows for.
+RUN, MARGIN = 32, LONGEST + WINDOW
 
 #: A word of more bytes counts as several, parted at its own cuts, so that text without spaces has windows too.
 LONG_WORD = 32
@@ -42,6 +42,18 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def chosen(h: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Cuts that the bytes near them choose: places of a low hash with no such place among the SHORTEST - 1 before."""
+    places = np.flatnonzero(h < 65536 // RATE) + 1
+    begin = edges[np.searchsorted(edges, places, "left") - 1]
+    places = places[places - begin >= WINDOW]
+    if len(places):
+        far = np.ones(len(places), bool)
+        far[1:] = (np.diff(places) >= SHORTEST) | (np.searchsorted(edges, places[1:], "left") != np.searchsorted(edges, places[:-1], "left"))
+        places = places[far]
+    return places
+
+
 def cuts(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(ends, counts): where the chunks of texts side by side end, and how many chunks each text has.
 
@@ -52,13 +64,7 @@ def cuts(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(data):
         return np.empty(0, np.int64), np.zeros(len(edges) - 1, np.int64)
     h = gear_hashes(data)
-    places = np.flatnonzero(h < 65536 // RATE) + 1
-    begin = edges[np.searchsorted(edges, places, "left") - 1]
-    places = places[places - begin >= WINDOW]
-    if len(places):
-        far = np.ones(len(places), bool)
-        far[1:] = (np.diff(places) >= SHORTEST) | (np.searchsorted(edges, places[1:], "left") != np.searchsorted(edges, places[:-1], "left"))
-        places = places[far]
+    places = chosen(h, edges)
     ends = np.union1d(places, edges[1:][np.diff(edges) > 0])
     starts = np.concatenate([[0], ends[:-1]])
     extra = []
@@ -134,14 +140,28 @@ def chunk_digests(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "digest long, doc long")
 
 
+def reach(text: str, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How far a passage may go beyond the runs of repeated chunks from a to b that it causes.
+
+    A chosen cut that a passage holds together with the bytes that choose it is a cut in either document, and chunks
+    between two such cuts are the same. So a passage begins after the last chosen cut before its run, less those bytes,
+    and ends before the first chosen one after it. MARGIN bounds both where cuts are rare.
+    """
+    data = np.frombuffer(text.encode(), np.uint8)
+    sure = np.concatenate([[-MARGIN], chosen(gear_hashes(data), np.array([0, len(data)])), [len(data) + MARGIN]])
+    before, after = sure[np.searchsorted(sure, a, "left") - 1], sure[np.minimum(np.searchsorted(sure, b, "right"), len(sure) - 1)]
+    return np.maximum(a - MARGIN, before - WINDOW - SHORTEST), np.minimum(b + MARGIN, after)
+
+
 def candidate_windows(text: str | None, marked: np.ndarray, least_words: int) -> tuple[np.ndarray, list[bytes]]:
     """(places, digests) of the windows of words around the runs of chunks whose digests are marked."""
     starts, ends, digests = chunks(text)
     hit = np.concatenate([[False], np.isin(digests, marked), [False]])
     a, b = starts[np.flatnonzero(hit[1:-1] & ~hit[:-2])], ends[np.flatnonzero(hit[1:-1] & ~hit[2:])]
-    a, b = a[b - a >= RUN] - MARGIN, b[b - a >= RUN] + MARGIN
+    a, b = a[b - a >= RUN], b[b - a >= RUN]
     if not len(a):
         return np.empty(0, np.int32), []
+    a, b = reach(text, a, b)
     words, first, last, shift = units(text)
     lo, hi = np.searchsorted(first + shift, a, "left"), np.searchsorted(last + shift, b, "right") - least_words
     wanted = np.zeros(len(first) + 2, np.int64)
