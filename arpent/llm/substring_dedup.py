@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arpent.llm._shared import BROADCAST_ROWS, read, saved
+from arpent.llm._shared import BROADCAST_ROWS, read, saved, small
 from arpent.llm.hashing import SPACE, lots, mix, span_hashes
 
 #: The gear hash is kept modulo 2^16, so it sees the last WINDOW bytes. One place in RATE may be a cut.
@@ -198,6 +198,30 @@ def _shared(hashes: DataFrame, *by: str) -> DataFrame:
     return hashes.groupBy(*by).agg(F.min("doc").alias("keeper"), F.max("doc").alias("other")).where("keeper <> other").select(*by, "keeper")
 
 
+def exact_copies(texts: DataFrame, least_words: int) -> DataFrame:
+    """(doc, written, copy_of): the documents whose text, of enough bytes for a window, a document of a smaller id has too.
+
+    Texts are told apart by 128-bit digests; only ids and digests are shuffled, combined before that.
+    """
+    keyed = texts.where(F.octet_length("text") >= least_words).select("doc", "written", F.unhex(F.md5("text")).alias("whole"))
+    several = keyed.groupBy("whole").agg(F.min("doc").alias("copy_of"), F.max("doc").alias("last")).where("copy_of <> last").select("whole", "copy_of")
+    return keyed.join(small(saved(several, "copied-texts")), "whole").where("doc <> copy_of").select("doc", "written", "copy_of").distinct()
+
+
+def _repeats(found: DataFrame, copies: DataFrame) -> DataFrame:
+    """(doc, written, places, keepers, copy_of, covered): what to cut of documents, from the windows found and the copies.
+
+    A copy has no places, as all of it goes. covered counts the places of its original that stand in still smaller
+    documents, whose ids are then its keepers; the original keeps the rest.
+    """
+    own = found.select("doc", "written", F.transform("_both", lambda x: x["place"].cast("long")).alias("places"), F.col("_both.keeper").alias("keepers"))
+    originals = copies.select(F.col("copy_of").alias("doc"), "written").distinct()
+    known = own.join(small(saved(originals, "originals")), ["doc", "written"], "left_semi")
+    known = saved(known.select(F.col("doc").alias("copy_of"), "written", F.array_distinct("keepers").alias("keepers"), F.size(F.array_distinct("places")).alias("covered")), "known")
+    rest = copies.join(small(known), ["copy_of", "written"], "left").select("doc", "written", F.array().cast("array<long>").alias("places"), F.coalesce("keepers", F.array().cast("array<long>")).alias("keepers"), "copy_of", F.coalesce("covered", F.lit(0)).alias("covered"))
+    return own.select("*", F.lit(None).cast("long").alias("copy_of"), F.lit(0).alias("covered")).unionByName(rest)
+
+
 def cut_passages(text: str, places: np.ndarray, keepers: np.ndarray, least_words: int) -> tuple[str, list[tuple[int, int]], list[int]]:
     """(text left, spans cut in bytes, ids that keep them): the words that lie in windows at these places go."""
     order = np.argsort(places, kind="stable")
@@ -225,25 +249,28 @@ def remove_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, report: bool
     of a smaller id; so passages go up to their edges, and only white space may differ. A passage of 50 words has about
     ten chunks, so it is missed only where fewer than RUN bytes of it are whole chunks. Words of more than LONG_WORD bytes
     count as several.
+    Texts that stand in several documents word for word are chunked once, for the least of their ids; the other documents
+    are cut from their first word to their last, where there are least_words of them.
     With report, adds removed_chars, spans (start:end in bytes of the old text, comma-joined) and kept_in (the ids that
     keep the windows cut). Null and empty texts stay; rows of one id count as one document, and repeats within a
     document stay. Null ids keep a passage only among themselves.
     Documents without repeats don't pass through Python at last, nor does their text move where the others are counted
     to be few.
     """
-    spark = docs.sparkSession
-    first = chunk_digests(docs.select(document_key().alias("doc"), "text"))
+    texts = docs.select(document_key().alias("doc"), F.xxhash64("text").alias("written"), "text").where("text IS NOT NULL")
+    copies = saved(exact_copies(texts, least_words), "copies")
+    once = texts.join(small(copies.select("doc", "written")), ["doc", "written"], "left_anti")
+    first = chunk_digests(once.select("doc", "text"))
     marks = first.join(saved(_shared(first, "digest").select("digest"), "shared-chunks"), "digest")
     marked = saved(marks.groupBy("doc").agg(F.collect_set("digest").alias("marked")), "marked")
-    texts = docs.select(document_key().alias("doc"), F.xxhash64("text").alias("written"), "text").where("text IS NOT NULL")
     if marked.count() <= BROADCAST_ROWS:  # of ids only
-        texts = texts.join(F.broadcast(marked.select("doc")), "doc", "left_semi")
-    near = saved(word_windows(texts.join(marked, "doc").select("doc", "written", "text", "marked"), least_words), "windows")
+        once = once.join(F.broadcast(marked.select("doc")), "doc", "left_semi")
+    near = saved(word_windows(once.join(marked, "doc").select("doc", "written", "text", "marked"), least_words), "windows")
     again = near.join(saved(_shared(near, "d0", "d1"), "shared-windows"), ["d0", "d1"]).where("doc <> keeper").select("doc", "written", F.struct("place", "keeper").alias("_both")).distinct()
-    lists = again.groupBy("doc", "written").agg(F.collect_list("_both").alias("_both"))
+    found = saved(again.groupBy("doc", "written").agg(F.collect_list("_both").alias("_both")), "found")
+    lists = saved(_repeats(found, copies), "repeats")
     key = ["__arpent_doc", "__arpent_text"]
-    columns = [F.col("doc").alias(key[0]), F.col("written").alias(key[1]), F.transform("_both", lambda x: x["place"].cast("long")).alias("__arpent_places"), F.col("_both.keeper").alias("__arpent_keepers")]
-    lists = saved(lists.select(*columns), "repeats")
+    lists = lists.select(F.col("doc").alias(key[0]), F.col("written").alias(key[1]), F.struct("places", "keepers", "copy_of", "covered").alias("__arpent_cut"))
     keyed = docs.withColumn(key[0], document_key()).withColumn(key[1], F.xxhash64("text"))
     extra = [T.StructField("removed_chars", T.LongType()), T.StructField("spans", T.StringType()), T.StructField("kept_in", T.ArrayType(T.LongType()))] if report else []
     keep = [c for c in docs.columns if c not in {f.name for f in extra}]
@@ -254,10 +281,14 @@ def remove_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, report: bool
             for at in range(0, whole.num_rows, 1000):
                 b = whole.slice(at, 1000)
                 texts, removed, spans, kept = [], [], [], []
-                held = b.column("__arpent_places"), b.column("__arpent_keepers")
+                held = b.column("__arpent_cut")
+                held = dict(zip(("places", "keepers", "copy_of", "covered"), held.flatten(), strict=True))
                 for i, t in enumerate(b.column("text").to_pylist()):
-                    places = _cell(held[0], i)
-                    left, cut, ids = cut_passages(t, places, _cell(held[1], i), least_words) if t and len(places) else (t, [], [])
+                    places, keepers, original = _cell(held["places"], i), _cell(held["keepers"], i), held["copy_of"][i].as_py()
+                    if original is not None:
+                        places = np.arange(max(0, len(units(t)[1]) - least_words + 1))
+                        keepers = keepers if len(places) <= held["covered"][i].as_py() else np.append(keepers, original)
+                    left, cut, ids = cut_passages(t, places, keepers, least_words) if t and len(places) else (t, [], [])
                     texts.append(left)
                     removed.append(len(t or "") - len(left or ""))
                     spans.append(",".join(f"{x}:{y}" for x, y in cut))
@@ -272,8 +303,8 @@ def remove_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, report: bool
         rest = keyed.join(ids, key, "left_anti").select(*keep)
         if report:
             rest = rest.select(*keep, F.lit(0).cast("long").alias("removed_chars"), F.lit("").alias("spans"), F.array().cast("array<long>").alias("kept_in"))
-        return touched.select(*keep, "__arpent_places", "__arpent_keepers").mapInArrow(run, schema).unionByName(rest)
-    return keyed.join(lists, key, "left").select(*keep, "__arpent_places", "__arpent_keepers").mapInArrow(run, schema)
+        return touched.select(*keep, "__arpent_cut").mapInArrow(run, schema).unionByName(rest)
+    return keyed.join(lists, key, "left").select(*keep, "__arpent_cut").mapInArrow(run, schema)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -200,3 +200,23 @@ def test_query_cuts_what_plain_windows_cut(spark, sf_dir):
         assert cut <= want[r["doc_id"]]
         missed += bool(sure[r["doc_id"]] - cut)
     assert missed <= 0.01 * sum(map(bool, sure.values()))
+
+
+def test_copies_go_whole_and_name_what_keeps_them(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    inner, short, other = prose(60), prose(30), prose(70)
+    text = f"{prose(50)} {inner} {prose(50)}"
+    rows = [(5, text), (7, text), (7, text), (9, text), (None, text), (2, f"{prose(30)} {inner}"), (3, short), (4, short), (10, other), (11, other), (11, f"{prose(20)} {inner}")]
+    for most in (sd.BROADCAST_ROWS, 0):
+        sd.BROADCAST_ROWS, held = most, sd.BROADCAST_ROWS
+        got = sd.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), report=True).collect()
+        sd.BROADCAST_ROWS = held
+        assert len(got) == len(rows)
+        whole = [r for r in got if r["doc_id"] in (7, 9, None)]
+        assert len(whole) == 4 and all(r["text"] == "" and r["kept_in"] == [2, 5] for r in whole)
+        by = {(r["doc_id"], len(r["text"])): r for r in got}
+        assert by[5, len(text) - len(inner)]["kept_in"] == [2] and (3, len(short)) in by and (4, len(short)) in by
+        assert (10, len(other)) in by and by[11, 0]["kept_in"] == [10]
+        assert [r["kept_in"] for r in got if r["doc_id"] == 11 and r["text"]] == [[2]]
