@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: Each module has QUERIES and ORACLES.
-MODULES = ["sharding", "secrets", "bpe", "packing", "jaccard", "permutation_index", "exact_topk", "warc", "substring_dedup", "toxicity", "hard_negatives", "alignment"]
+MODULES = ["sharding", "secrets", "bpe", "packing", "jaccard", "permutation_index", "exact_topk", "warc", "substring_dedup", "toxicity", "hard_negatives", "alignment", "quality"]
 
 
 def queries() -> dict:
