@@ -10,6 +10,7 @@ from arpent.functions import geometry as ge
 from arpent.operators import focal as fo
 from arpent.operators import learning as le
 from arpent.operators import regions as rg
+from arpent.operators import textures as tx
 from arpent.operators.joins import BOX
 from arpent.sources import layers as ly
 from arpent.sources import tables as st
@@ -209,8 +210,7 @@ n AS (SELECT p.r, p.c, n.k AS v FROM q p JOIN q n ON n.r BETWEEN p.r - 1 AND p.r
 s AS (SELECT r, c, v, count(*) AS k FROM n GROUP BY r, c, v), w AS (SELECT *, k / sum(k) OVER (PARTITION BY r, c)::DOUBLE AS p, v // 8 AS i, v % 8 AS j FROM s)
 SELECT r, c, round(sum(p * p), 6) AS energy, round(-sum(p * ln(p)), 6) AS entropy, round(sum((i - j) * (i - j) * p), 6) AS inertia, round(sum(p / (1 + (i - j) * (i - j))), 6) AS idm FROM w GROUP BY r, c""")
 def _(t):
-    px = t("px").select("r", "c", "red")
-    return fo.cooccurrence(px, "red", 8, 0, 256, 1).join(px.select("r", "c"), ["r", "c"]).select("r", "c", *r6("energy", "entropy", "inertia", "idm"))
+    return tx.cooccurrence(t("px").select("r", "c", "red"), "red", 8, 0, 256, 1).select("r", "c", *r6("energy", "entropy", "inertia", "idm"))
 
 
 @query("foc_shadow_mask", "SELECT p.pid, coalesce(max((q.hgt - p.hgt > (q.c - p.c) * tan(radians(60)))::INT), 0) AS shadow FROM (SELECT * FROM px JOIN height_px USING (pid)) p LEFT JOIN (SELECT * FROM px JOIN height_px USING (pid)) q ON q.r = p.r AND q.c BETWEEN p.c + 1 AND p.c + 4 GROUP BY p.pid")

@@ -1,57 +1,117 @@
-"""Focal operators: a pixel's neighbours come to it as offset copies and are grouped by pixel."""
+"""Focal operators on halo tiles: each pixel's window is an array step in its tile, whatever its radius."""
 
 from __future__ import annotations
 
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arpent.operators.lineage import settle
+from arpent.operators.tiles import Tile, disk, mean_and_variance, most_frequent, on_tiles, shifted, shrunk, square, window_least
 
+#: Pixels of a line that stand together in a step along the line.
+SEGMENT = 256
 
-def offsets(radius: int, ball: bool = True) -> list[tuple[int, int]]:
-    span = range(-radius, radius + 1)
-    return [(i, j) for i in span for j in span if not ball or i * i + j * j <= radius * radius]
 
+def majority_filter(px: DataFrame, label: str, radius: int) -> DataFrame:
+    """px with `majority`: the most frequent label around; of ties the centre's own, else the smallest. Null is no label."""
 
-def neighbours(px: DataFrame, value: str, cells: list[tuple[int, int]]) -> DataFrame:
-    """(r, c, dr, dc, v): the value at (r + dr, c + dc) for each pixel and offset that exists; sums combine before the shuffle."""
-    o = F.array(*[F.struct(F.lit(i).alias("dr"), F.lit(j).alias("dc")) for i, j in cells])
-    return px.select("r", "c", F.col(value).alias("v"), F.inline(o)).select((F.col("r") - F.col("dr")).alias("r"), (F.col("c") - F.col("dc")).alias("c"), "dr", "dc", "v")
+    def kernel(tile: Tile):
+        codes, values = tile.codes(label)
+        return {"majority": (most_frequent(codes, len(values), disk(radius)), values)}
 
+    return on_tiles(px, [label], radius, kernel, {"majority": dict(px.dtypes)[label]})
 
-def focal(px: DataFrame, value: str, cells: list[tuple[int, int]], agg: Column, name: str) -> DataFrame:
-    """px with an aggregate of `v` over its neighbourhood."""
-    return px.join(neighbours(px, value, cells).groupBy("r", "c").agg(agg.alias(name)), ["r", "c"])
 
+def _least(px: DataFrame, value: str, name: str, signs: list[int], radius: int) -> DataFrame:
+    """Minima (1) or maxima (-1) over a disk, one after the other; pixels outside the raster are ignored."""
 
-def majority_filter(px: DataFrame, label: str, radius: int) -> DataFrame:
-    """px with `majority`: the most frequent label around; of ties the centre's own, else the smallest."""
-    counts = neighbours(px, label, offsets(radius)).groupBy("r", "c", "v").agg(F.count("*").alias("n"), F.max(F.when((F.col("dr") == 0) & (F.col("dc") == 0), 1).otherwise(0)).alias("own"))
-    best = counts.groupBy("r", "c").agg(F.min(F.struct((-F.col("n")).alias("n"), (-F.col("own")).alias("o"), "v"))["v"].alias("majority"))
-    return px.join(best, ["r", "c"])
+    def kernel(tile: Tile):
+        a = tile.grid(value)
+        there = ~np.isnan(a)
+        for s in signs:
+            a = s * window_least(np.where(np.isnan(a), np.inf, s * a), disk(radius))
+            there = shrunk(there, radius)
+            a = np.where(there & np.isfinite(a), a, np.nan)
+        return {name: a}
+
+    return on_tiles(px, [value], radius * len(signs), kernel, {name: dict(px.dtypes)[value]})
 
 
 def erode(px: DataFrame, mask: str, radius: int, name: str) -> DataFrame:
-    return focal(px, mask, offsets(radius), F.min("v"), name)
+    return _least(px, mask, name, [1], radius)
 
 
 def dilate(px: DataFrame, mask: str, radius: int, name: str) -> DataFrame:
-    return focal(px, mask, offsets(radius), F.max("v"), name)
+    return _least(px, mask, name, [-1], radius)
 
 
 def opening(px: DataFrame, mask: str, radius: int, name: str) -> DataFrame:
-    """Erosion, then dilation, by a disk; pixels outside the raster are ignored."""
-    return dilate(erode(px, mask, radius, "_eroded"), "_eroded", radius, name).drop("_eroded")
+    """Erosion, then dilation, by a disk."""
+    return _least(px, mask, name, [1, -1], radius)
+
+
+def closing(px: DataFrame, mask: str, radius: int, name: str) -> DataFrame:
+    """Dilation, then erosion, by a disk."""
+    return _least(px, mask, name, [-1, 1], radius)
 
 
 def sobel(px: DataFrame, value: str, name: str = "gradient") -> DataFrame:
     """Gradient magnitude of 3x3 Sobel kernels; null at pixels without all eight neighbours."""
-    gx = F.sum(F.col("v") * F.col("dc") * F.when(F.col("dr") == 0, 2).otherwise(1))
-    gy = F.sum(F.col("v") * F.col("dr") * F.when(F.col("dc") == 0, 2).otherwise(1))
-    return focal(px, value, offsets(1, ball=False), F.when(F.count("*") == 9, F.sqrt(gx * gx + gy * gy)), name)
+
+    def kernel(tile: Tile):
+        a = tile.grid(value)
+        at = lambda i, j: shifted(a, i, j, 1)
+        gx = sum((2 if i == 0 else 1) * j * at(i, j) for i in (-1, 0, 1) for j in (-1, 1))
+        gy = sum((2 if j == 0 else 1) * i * at(i, j) for i in (-1, 1) for j in (-1, 0, 1))
+        return {name: np.sqrt(gx * gx + gy * gy) + 0 * at(0, 0)}
+
+    return on_tiles(px, [value], 1, kernel, {name: "double"})
+
+
+def gradient(px: DataFrame, value: str, name: str = "gradient") -> DataFrame:
+    """Magnitude of central differences; at the rim the missing neighbour is the pixel itself."""
+
+    def kernel(tile: Tile):
+        a = tile.grid(value)
+        at = lambda i, j: np.where(np.isnan(shifted(a, i, j, 1)), shifted(a, 0, 0, 1), shifted(a, i, j, 1))
+        return {name: np.hypot(at(0, 1) - at(0, -1), at(1, 0) - at(-1, 0)) / 2}
+
+    return on_tiles(px, [value], 1, kernel, {name: "double"})
+
+
+#: Which side of a line through the centre an offset is on, for the four lines that the ratio of means compares.
+SIDES = (lambda i, j: i, lambda i, j: j, lambda i, j: i + j, lambda i, j: i - j)
+
+
+def touzi(px: DataFrame, value: str, radius: int, name: str = "edge") -> DataFrame:
+    """Ratio edge detector: 1 - the least ratio of the means of two window halves, over four directions; 0 where a mean is 0.
+
+    Halves leave out the line between them. Pixels outside the raster are ignored; a half without pixels counts as 0.
+    """
+
+    def kernel(tile: Tile):
+        a = tile.grid(value)
+        ok = ~np.isnan(a)
+        x, best = np.where(ok, a, 0.0), None
+        span = range(-radius, radius + 1)
+        for side in SIDES:
+            means = []
+            for sign in (1, -1):
+                cells = [(i, j) for i in span for j in span if side(i, j) * sign > 0]
+                n = sum(shifted(ok, i, j, radius).astype(float) for i, j in cells)
+                means.append(sum(shifted(x, i, j, radius) for i, j in cells) / np.maximum(n, 1))
+            p, q = means
+            both = (p != 0) & (q != 0)
+            ratio = np.where(both, 1 - np.minimum(p / np.where(both, q, 1), q / np.where(both, p, 1)), 0.0)
+            best = ratio if best is None else np.maximum(best, ratio)
+        return {name: np.where(shrunk(ok, radius), best, np.nan)}
+
+    return on_tiles(px, [value], radius, kernel, {name: "double"})
 
 
 def fill_holes_by_majority(px: DataFrame, label: str, radius: int, forced: int) -> DataFrame:
@@ -61,7 +121,13 @@ def fill_holes_by_majority(px: DataFrame, label: str, radius: int, forced: int)
 
 
 def local_mean_variance(px: DataFrame, value: str, radius: int) -> DataFrame:
-    return px.join(neighbours(px, value, offsets(radius, ball=False)).groupBy("r", "c").agg(F.avg("v").alias("mean"), F.var_pop("v").alias("variance")), ["r", "c"])
+    """px with mean and (population) variance over a square window."""
+
+    def kernel(tile: Tile):
+        _, mean, variance = mean_and_variance(tile.grid(value), square(radius))
+        return {"mean": mean, "variance": variance}
+
+    return on_tiles(px, [value], radius, kernel, {"mean": "double", "variance": "double"})
 
 
 def ratio_sharpen(px: DataFrame, pan: str, xs: str, radius: int) -> DataFrame:
@@ -70,59 +136,138 @@ def ratio_sharpen(px: DataFrame, pan: str, xs: str, radius: int) -> DataFrame:
     return out.withColumn("sharp", F.try_divide(F.col(xs) * F.col(pan), F.col("mean")))
 
 
-def cooccurrence(px: DataFrame, value: str, bins: int, low: float, high: float, radius: int, shift: tuple[int, int] = (0, 1)) -> DataFrame:
-    """(r, c, energy, entropy, inertia, idm, mean_): moments of grey-level pairs at a shift, in a square window of each pixel."""
-    level = F.least(F.lit(bins - 1), F.greatest(F.lit(0), F.floor((F.col(value) - low) / (high - low) * bins))).cast("int")
-    p = px.select("r", "c", level.alias("a"))
-    pairs = p.join(p.select((F.col("r") - shift[0]).alias("r"), (F.col("c") - shift[1]).alias("c"), F.col("a").alias("b")), ["r", "c"])
-    seen = neighbours(pairs.withColumn("pair", F.col("a") * bins + F.col("b")), "pair", offsets(radius, ball=False)).groupBy("r", "c", "v").count()
-    total = seen.groupBy("r", "c").agg(F.sum("count").alias("t"))
-    q = seen.join(total, ["r", "c"]).withColumn("p", F.col("count") / F.col("t")).withColumn("i", F.floor(F.col("v") / bins)).withColumn("j", F.col("v") % bins)
-    d = F.col("i") - F.col("j")
-    return q.groupBy("r", "c").agg(F.sum(F.col("p") * F.col("p")).alias("energy"), (-F.sum(F.col("p") * F.ln("p"))).alias("entropy"), F.sum(d * d * F.col("p")).alias("inertia"), F.sum(F.col("p") / (1 + d * d)).alias("idm"), F.sum(F.col("i") * F.col("p")).alias("mean_"))
-
-
 def extent(px: DataFrame, height: str) -> tuple[float, int]:
     """Span of the heights, and the number of steps that cross the raster from corner to corner."""
     dh, dr, dc = px.agg(F.max(height) - F.min(height), F.max("r") - F.min("r"), F.max("c") - F.min("c")).first()
     return float(dh or 0), max(1, math.ceil(math.hypot(dr or 0, dc or 0)))
 
 
+def _step(turn: float, s: int) -> tuple[int, int]:
+    """Rows and columns of s steps at an angle from the row's direction, rounded to even halves like the grid's own."""
+    dr, dc = math.sin(turn) * s, math.cos(turn) * s
+    away = lambda x: int(math.copysign(math.floor(abs(x) + 0.5), x))
+    return away(dr), away(dc)
+
+
+def horizon_along(px: DataFrame, height: str, dr: int, dc: int, name: str) -> DataFrame:
+    """px with the steepest rise (height over pixels, -inf at the end) to any pixel ahead along rows or columns.
+
+    Lines are cut into segments. In one step over blocks of segments a pixel finds the steepest rise in its own, and
+    whether it is a corner of the segment's upper hull; only corners can be steepest from outside. The hulls of all
+    segments ahead are joined to one, corner by corner, and each pixel looks at the corners of that one.
+    """
+    lines, at = 64, F.col("r") * dr + F.col("c") * dc
+    p = px.withColumns({"_line": F.col("c") if dr else F.col("r"), "_at": at, "_seg": F.floor(at / SEGMENT)})
+    schema = "_line long, _seg long, _at long, _near double, _corner boolean, _h double"
+
+    def near(key, table):
+        h = np.full((lines, SEGMENT), np.nan)
+        line, along = table["_line"].to_numpy() - key[0].as_py() * lines, table["_at"].to_numpy() - key[1].as_py() * SEGMENT
+        h[line, along] = table["_h"].to_numpy()
+        ahead, behind = np.full(h.shape, -np.inf), np.full(h.shape, np.inf)
+        for d in range(1, SEGMENT):
+            slope = (h[:, d:] - h[:, :-d]) / d
+            ahead[:, :-d], behind[:, d:] = np.fmax(ahead[:, :-d], slope), np.fmin(behind[:, d:], slope)
+        at_ = line, along
+        return pa.table({"_line": table["_line"], "_seg": pa.array(np.full(len(line), key[1].as_py())), "_at": table["_at"], "_near": pa.array(ahead[at_]), "_corner": pa.array((ahead <= behind)[at_]), "_h": table["_h"]})
+
+    block = F.floor(F.col("_line") / lines).alias("_block")
+    seen = settle(p.where(F.col(height).isNotNull()).select(F.col("_line").cast("long"), F.col("_at").cast("long"), "_seg", F.col(height).cast("double").alias("_h")).groupBy(block, "_seg").applyInArrow(near, schema))
+
+    def beyond(key, table):
+        order = np.lexsort((table["_at"].to_numpy(), -table["_seg"].to_numpy()))
+        seg, at_, h = (table[c].to_numpy()[order] for c in ("_seg", "_at", "_h"))
+        out_seg, out_at, out_h, hull = [], [], [], []
+        for s in np.unique(seg)[::-1].tolist():
+            out_seg += [s] * len(hull)
+            out_at += [x for x, _ in hull]
+            out_h += [y for _, y in hull]
+            own = sorted(zip(at_[seg == s].tolist(), h[seg == s].tolist(), strict=True), reverse=True)
+            for x, y in own:  # from the far end: hull[-1] is the nearest corner so far
+                while len(hull) > 1 and (hull[-1][1] - y) * (hull[-2][0] - x) <= (hull[-2][1] - y) * (hull[-1][0] - x):
+                    hull.pop()
+                hull.append((x, y))
+        return pa.table({"_line": pa.array([key[0].as_py()] * len(out_seg), pa.int64()), "_seg": pa.array(out_seg, pa.int64()), "_x": pa.array(out_at, pa.int64()), "_y": pa.array(out_h, pa.float64())})
+
+    corners = seen.where("_corner").select("_line", "_seg", "_at", "_h").groupBy("_line").applyInArrow(beyond, "_line long, _seg long, _x long, _y double")
+    far = corners.groupBy("_line", "_seg").agg(F.collect_list(F.struct("_x", "_y")).alias("_far"))  # the corners of one hull
+    steepest = F.array_max(F.transform("_far", lambda k: (k["_y"] - F.col("_h")) / (k["_x"] - F.col("_at"))))
+    found = seen.join(far, ["_line", "_seg"], "left").select("_line", "_at", F.greatest("_near", F.coalesce(steepest, F.lit(float("-inf")))).alias(name))
+    return p.join(found, ["_line", "_at"], "left").drop("_line", "_at", "_seg")
+
+
 def sky_view_factor(px: DataFrame, height: str, radius: int | None = None, directions: int = 8) -> DataFrame:
     """px with `svf`: mean over directions of the squared cosine of the horizon angle within the radius, or else the whole raster.
 
-    Each pixel is compared with radius pixels a direction, so the whole raster costs pixels times its diagonal.
+    Directions along rows and columns look over the whole raster by `horizon_along`; others, without a radius, have tiles
+    whose margin is the raster's diagonal.
     """
-    if radius is None:
-        radius = extent(px, height)[1]
-    steps = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(s).alias("s"), F.round(F.sin(F.lit(2 * 3.141592653589793 * k / directions)) * s).cast("long").alias("dr"), F.round(F.cos(F.lit(2 * 3.141592653589793 * k / directions)) * s).cast("long").alias("dc")) for k in range(directions) for s in range(1, radius + 1)])
-    seen = px.select("r", "c", F.col(height).alias("h0"), F.inline(steps)).withColumn("rr", F.col("r") + F.col("dr")).withColumn("cc", F.col("c") + F.col("dc"))
-    there = px.select(F.col("r").alias("rr"), F.col("c").alias("cc"), F.col(height).alias("h1"))
-    rise = F.atan(F.greatest(F.lit(0.0), F.coalesce(F.col("h1") - F.col("h0"), F.lit(0.0))) / F.col("s"))
-    horizon = seen.join(there, ["rr", "cc"], "left").groupBy("r", "c", "k").agg(F.max(rise).alias("a"))
-    return px.join(horizon.groupBy("r", "c").agg(F.avg(F.cos("a") * F.cos("a")).alias("svf")), ["r", "c"])
+    kinds = [_step(2 * math.pi * k / directions, 1) if 4 * k % directions == 0 else None for k in range(directions)]
+    lines = [k for k in kinds if k] if radius is None else []
+    turns = [2 * math.pi * k / directions for k in range(directions) if radius is not None or kinds[k] is None]
+    out, names = px, []
+    for k, (dr, dc) in enumerate(lines):
+        names.append(f"_horizon{k}")
+        out = horizon_along(out, height, dr, dc, names[-1])
+    if turns:
+        reach = radius if radius is not None else extent(px, height)[1]
+
+        def kernel(tile: Tile):
+            h = tile.grid(height)
+            total = 0.0
+            for turn in turns:
+                steep = np.zeros(shrunk(h, reach).shape)
+                for s in range(1, reach + 1):
+                    steep = np.fmax(steep, (shifted(h, *_step(turn, s), reach) - shrunk(h, reach)) / s)
+                total = total + 1 / (1 + steep * steep)
+            return {"_rest": total}
+
+        out = on_tiles(out, [height], reach, kernel, {"_rest": "double"})
+    cosine = [1 / (1 + F.pow(F.greatest(F.lit(0.0), F.col(n)), 2)) for n in names] + ([F.col("_rest")] if turns else [])
+    return out.withColumn("svf", reduce(lambda a, b: a + b, cosine) / directions).drop("_rest", *names)
 
 
 def shadow_mask(px: DataFrame, height: str, azimuth: float, elevation: float, reach: int | None = None) -> DataFrame:
     """px with `shadow`: 1 where a pixel towards the sun rises above the ray, within reach or else wherever the heights let it.
 
-    Without reach, along rows or columns the greatest height less the ray's rise is carried on from the sun's side;
-    other azimuths look as far as the span of the heights throws a shadow.
+    Without reach, along rows or columns the greatest height less the ray's rise is carried on from the sun's side, first
+    over segments and then within each; other azimuths have tiles whose margin is the longest shadow of the raster.
     """
     dr, dc, slope = -math.cos(math.radians(azimuth)), math.sin(math.radians(azimuth)), math.tan(math.radians(elevation))
     if reach is None and azimuth % 90 == 0:
         at = F.col("r") * round(dr) + F.col("c") * round(dc)
-        level = F.col(height) - at * slope
-        before = Window.partitionBy("c" if round(dr) else "r").orderBy(at.desc()).rowsBetween(Window.unboundedPreceding, -1)
-        return px.withColumn("shadow", F.coalesce((F.max(level).over(before) > level).cast("int"), F.lit(0)))
+        line = "c" if round(dr) else "r"
+        p = px.withColumns({"_at": at, "_seg": F.floor(at / SEGMENT), "_level": F.col(height) - at * slope})
+        ahead = Window.partitionBy(line).orderBy(F.desc("_seg")).rowsBetween(Window.unboundedPreceding, -1)
+        far = p.groupBy(line, "_seg").agg(F.max("_level").alias("_m")).select(line, "_seg", F.max("_m").over(ahead).alias("_far"))
+        before = Window.partitionBy(line, "_seg").orderBy(F.desc("_at")).rowsBetween(Window.unboundedPreceding, -1)
+        most = F.greatest(F.max("_level").over(before), F.col("_far"))
+        return p.join(far, [line, "_seg"]).withColumn("shadow", F.coalesce((most > F.col("_level")).cast("int"), F.lit(0))).select(*px.columns, "shadow")
+    return shadows(px, height, [(azimuth, elevation)], reach).withColumn("shadow", F.col("shadows")).drop("shadows")
+
+
+def shadows(px: DataFrame, height: str, suns: list[tuple[float, float]], reach: int | None = None) -> DataFrame:
+    """px with `shadows`: under how many of the suns (azimuth, elevation in degrees) a pixel lies in shadow.
+
+    A sun below the horizon leaves every pixel in shadow. Without reach the margin is the longest shadow of the raster.
+    """
+    up = [(math.radians(a), math.tan(math.radians(e))) for a, e in suns if e > 0]
     if reach is None:
         dh, most = extent(px, height)
-        reach = max(1, min(most, math.ceil(dh / slope) if slope > 0 else most))
-    steps = F.array(*[F.struct(F.lit(float(s)).alias("s"), F.lit(round(dr * s)).cast("long").alias("dr"), F.lit(round(dc * s)).cast("long").alias("dc")) for s in range(1, reach + 1)])
-    seen = px.select("r", "c", F.col(height).alias("h0"), F.inline(steps)).withColumn("rr", F.col("r") + F.col("dr")).withColumn("cc", F.col("c") + F.col("dc"))
-    there = px.select(F.col("r").alias("rr"), F.col("c").alias("cc"), F.col(height).alias("h1"))
-    hit = seen.join(there, ["rr", "cc"]).groupBy("r", "c").agg(F.max((F.col("h1") - F.col("h0") > F.col("s") * slope).cast("int")).alias("shadow"))
-    return px.join(hit, ["r", "c"], "left").withColumn("shadow", F.coalesce("shadow", F.lit(0)))
+        reach = max([1, *[min(most, math.ceil(dh / slope)) for _, slope in up]])
+
+    def kernel(tile: Tile):
+        h = tile.grid(height)
+        own = shrunk(h, reach)
+        count = np.full(own.shape, float(len(suns) - len(up)))
+        for turn, slope in up:
+            hit = np.zeros(own.shape, bool)
+            for s in range(1, reach + 1):
+                hit |= shifted(h, round(-math.cos(turn) * s), round(math.sin(turn) * s), reach) - own > s * slope
+            count += hit
+        return {"shadows": count}
+
+    return on_tiles(px, [height], reach, kernel, {"shadows": "int"})
 
 
 def interpolate_from_points(cells: DataFrame, points: DataFrame, size: float, k: int = 4) -> DataFrame:
