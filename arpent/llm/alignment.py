@@ -14,6 +14,7 @@ import os
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,11 +25,19 @@ from arpent.llm.hashing import lots
 #: Characters after which a long text is parted at the next space after another character, which changes no token.
 PART = 1 << 16
 
+#: Characters outside of blocks whose letters and numbers have long been settled.
+UNUSUAL = regex.compile(r"[^\u0000-\u052F\u2000-\u206F]")
+
+WORD = regex.compile(public_tokenizers.PATTERN)
+
+#: Most different words that a worker keeps, about.
+WORDS = 1 << 19
+
 #: UTF-8 bytes of texts that are encoded together, and codes of links that are handled together.
 LOT, LINKS = 1 << 20, 1 << 21
 
 #: Most id pairs of a bucket of counts, about.
-BUCKET = 1 << 17
+BUCKET = 1 << 15
 
 LOWER_BLOCK = "▁"  # U+2581, a space in the pieces
 
@@ -40,8 +49,45 @@ def letter_bytes() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Words:
+    """Token ids of different words, each encoded once, and whether their bytes are the word's (after what goes before it);
+    cleared when it has grown beyond a bound."""
+
+    def __init__(self, encode, raw: list[bytes], before: str = ""):
+        self.encode, self.raw, self.before = encode, raw, before
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids, self.used = np.zeros(1 << 16, np.int64), 0
+        self.begin, self.count, self.whole = [], [], []
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        new = list(dict.fromkeys(w for w in words if w not in self.number))
+        for word, ids in zip(new, self.encode(new), strict=True) if new else ():
+            self.number[word] = len(self.begin)
+            self.begin.append(self.used)
+            self.count.append(len(ids))
+            self.whole.append(b"".join(map(self.raw.__getitem__, ids)) == (self.before + word).encode())
+            while self.used + len(ids) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            self.ids[self.used : self.used + len(ids)] = ids
+            self.used += len(ids)
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+
+    def tokens(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all the words in order, number of each word's)."""
+        begin, count = np.array(self.begin, np.int64)[numbers], np.array(self.count, np.int64)[numbers]
+        return self.ids[np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())], count
+
+
 class Tokenizers:
-    """Both tokenizers of a worker with the bytes of each id."""
+    """Both tokenizers of a worker with the bytes of each id.
+
+    No token of the first crosses a match of its pattern, none of the second a space after another character, so texts
+    are encoded word by word, and each different word once. Where the pattern's letter classes may depend on the Unicode
+    version, or spaces stand together, longer parts take the place of words.
+    """
 
     _held: dict[tuple[str, str], Tokenizers] = {}
 
@@ -50,18 +96,20 @@ class Tokenizers:
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
-        self.first, self.second = Tokenizer.from_file(a), SentencePieceProcessor(model_file=b)
-        self.first.encode_special_tokens = True
-        of, names = letter_bytes(), {i: t for t, i in self.first.get_vocab().items()}
-        self.n_a, self.n_b = max(names) + 1, self.second.vocab_size()
-        self.bytes_a = [bytes(of[c] for c in names[i]) if i in names and all(c in of for c in names[i]) else b"" for i in range(self.n_a)]
-        pieces = [self.second.id_to_piece(i) for i in range(self.n_b)]
-        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.second.is_byte(i) else p.replace(LOWER_BLOCK, " ").encode() for i, p in enumerate(pieces)]
-        self.length_a, self.length_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
+        first, second = Tokenizer.from_file(a), SentencePieceProcessor(model_file=b)
+        first.encode_special_tokens = True
+        of, names = letter_bytes(), {i: t for t, i in first.get_vocab().items()}
+        self.n_a, self.n_b = max(names) + 1, second.vocab_size()
+        bytes_a = [bytes(of[c] for c in names[i]) if i in names and all(c in of for c in names[i]) else b"" for i in range(self.n_a)]
+        pieces = [second.id_to_piece(i) for i in range(self.n_b)]
+        bytes_b = [bytes([int(p[3:5], 16)]) if second.is_byte(i) else p.replace(LOWER_BLOCK, " ").encode() for i, p in enumerate(pieces)]
+        self.length_a, self.length_b = (np.array([len(x) for x in t], np.int64) for t in (bytes_a, bytes_b))
         # a token with what stands after it: within the group and side, after the first side, after the group
-        self.text_a = [[f"{i}{s}" for i in range(self.n_a)] for s in ",|"]
-        self.text_b = [[f"{i}{s}" for i in range(self.n_b)] for s in ",;"]
+        self.text_a = np.array([f"{i}{s}" for s in ",|" for i in range(self.n_a)], object)
+        self.text_b = np.array([f"{i}{s}" for s in ",;" for i in range(self.n_b)], object)
         self.parts = all(LOWER_BLOCK not in p.lstrip(LOWER_BLOCK) for p in pieces)
+        self.words_a = Words(lambda words: [e.ids for e in first.encode_batch_fast(words, add_special_tokens=False)], bytes_a)
+        self.words_b = Words(lambda words: second.encode(words, num_threads=1), bytes_b, " ")
 
     @classmethod
     def at(cls, a: str, b: str) -> Tokenizers:
@@ -82,20 +130,29 @@ class Tokenizers:
             begin = at + 1
         return [*out, text[begin:]]
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        parts = [self.cut(t) for t in texts]
-        flat = [p for held in parts for p in held]
-        a = [e.ids for e in self.first.encode_batch_fast([" " + p for p in flat], add_special_tokens=False)]
-        b = self.second.encode(flat, num_threads=1)
-        if len(flat) == len(texts):
-            return a, b
-        edges = np.cumsum([0, *map(len, parts)]).tolist()
-        return tuple([sum(ids[i:j], []) if j > i + 1 else ids[i] for i, j in zip(edges, edges[1:], strict=False)] for ids in (a, b))
-
-    def whole(self, text: str, a: list[int], b: list[int]) -> bool:
-        """Whether both sides' bytes are those of a space and the text."""
-        raw = (" " + text).encode()
-        return b"".join(map(self.bytes_a.__getitem__, a)) == raw and b"".join(map(self.bytes_b.__getitem__, b)) == raw
+    def split(self, text: str) -> tuple[list[str], list[str]]:
+        """Words of a text for each side; the first's begin with the space before the text, the second adds it to each."""
+        parts = self.cut(text)
+        plain = self.parts and "  " not in text and text[0] != " " and text[-1] != " "
+        return [" " + p for p in parts] if UNUSUAL.search(text) else WORD.findall(" " + text), text.split(" ") if plain else parts
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(texts that are whole on both sides, then ids and the number of each text's for each side)."""
+        both = [self.split(t) for t in texts]
+        sides, good = [], np.ones(len(texts), bool)
+        for k, words in enumerate((self.words_a, self.words_b)):
+            if len(words.begin) > WORDS or words.used > 8 * WORDS:
+                words.clear()
+            counts = np.array([len(b[k]) for b in both])
+            numbers = words.numbers([w for b in both for w in b[k]])
+            text = np.repeat(np.arange(len(texts)), counts)
+            good[text[~np.array(words.whole, bool)[numbers]]] = False
+            sides.append((words, numbers, text))
+        out = [np.flatnonzero(good)]
+        for words, numbers, text in sides:
+            ids, count = words.tokens(numbers[good[text]])
+            out += [ids, np.bincount(text[good[text]], count, len(texts)).astype(np.int64)[good]]
+        return tuple(out)
 
 
 def group_labels(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -106,18 +163,21 @@ def group_labels(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np
     n = len(ends_a)
     over_a = np.searchsorted(ends_b, ends_a)  # the token of B over A's last byte, which is the farthest that overlaps it
     to = np.concatenate([np.where(ends_b[over_a] > ends_a, n + over_a, np.arange(n)), np.searchsorted(ends_a, ends_b)])
+    last = to[:n] == np.arange(n)
     while True:
         further = to[to]
         if np.array_equal(further, to):
             break
         to = further
-    last, group = np.unique(to, return_inverse=True)
-    return group[:n], group[n:], len(last)
+    rank = np.cumsum(last) - 1
+    group = rank[to]
+    return group[:n], group[n:], int(last.sum())
 
 
 def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(token of A, token of B, last byte + 1) of each overlap: one for each stretch between ends of either."""
-    ends = np.union1d(ends_a, ends_b)
+    both = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+    ends = both[np.append(both[1:] != both[:-1], True)]
     return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends), ends
 
 
@@ -130,11 +190,11 @@ def aligned_lot(texts: list[str | None], t: Tokenizers, digest: bool) -> dict[st
         if text:
             places.setdefault(text, []).append(i)
     different = list(places)
-    held = [(x, a, b) for x, a, b in zip(different, *t.encode(different), strict=True) if t.whole(x, a, b)] if different else []
-    if not held:
+    if not different:
+        return out
+    held, ids_a, count_a, ids_b, count_b = t.encode(different)
+    if not len(held):
         return out
-    count_a, count_b = (np.array([len(h[k]) for h in held]) for k in (1, 2))
-    ids_a, ids_b = (np.concatenate([np.array(h[k], np.int64) for h in held]) for k in (1, 2))
     ends_a, ends_b = np.cumsum(t.length_a[ids_a]), np.cumsum(t.length_b[ids_b])
     group_a, group_b, groups = group_labels(ends_a, ends_b)
     edge_a, edge_b = np.cumsum(count_a), np.cumsum(count_b)
@@ -142,11 +202,10 @@ def aligned_lot(texts: list[str | None], t: Tokenizers, digest: bool) -> dict[st
     in_a, in_b = np.bincount(group_a, minlength=groups), np.bincount(group_b, minlength=groups)
     upto_a, upto_b = np.cumsum(in_a), np.cumsum(in_b)
     written = np.empty(len(ids_a) + len(ids_b), object)
-    tail_a, tail_b = np.zeros(len(ids_a), np.int8), np.zeros(len(ids_b), np.int8)
+    tail_a, tail_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
     tail_a[upto_a - 1], tail_b[upto_b - 1] = 1, 1
-    for ids, tail, group, before, tables in ((ids_a, tail_a, group_a, (upto_b - in_b), t.text_a), (ids_b, tail_b, group_b, upto_a, t.text_b)):
-        texts_of = [tables[s][i] for i, s in zip(ids.tolist(), tail.tolist(), strict=True)]
-        written[np.arange(len(ids)) + before[group]] = texts_of
+    written[np.arange(len(ids_a)) + (upto_b - in_b)[group_a]] = t.text_a[ids_a + tail_a * t.n_a]
+    written[np.arange(len(ids_b)) + upto_a[group_b]] = t.text_b[ids_b + tail_b * t.n_b]
     of_a, of_b, ends = links(ends_a, ends_b)
     link_edge = np.searchsorted(ends, ends_a[edge_a - 1], "right")
     doc = np.repeat(np.arange(len(held)), np.diff(link_edge, prepend=0)).astype(np.uint64)
@@ -155,7 +214,7 @@ def aligned_lot(texts: list[str | None], t: Tokenizers, digest: bool) -> dict[st
     code_edge = np.searchsorted(key // size, np.arange(len(held) + 1, dtype=np.uint64)).tolist()
     codes = key % size
     tokens = written.tolist()
-    for i, (text, _, _) in enumerate(held):
+    for i, k in enumerate(held.tolist()):
         b = int(edge_a[i] + edge_b[i])
         a = b - int(count_a[i] + count_b[i])
         shown = "".join(tokens[a:b])[:-1]
@@ -164,7 +223,7 @@ def aligned_lot(texts: list[str | None], t: Tokenizers, digest: bool) -> dict[st
             "n_a": int(count_a[i]), "n_b": int(count_b[i]), "n_groups": int(group_edge[i] - (group_edge[i - 1] if i else 0)), "n_links": int(link_edge[i] - (link_edge[i - 1] if i else 0)),
             "groups": hashlib.sha256(shown.encode()).hexdigest() if digest else shown, "codes": codes[c].astype("<u8" if size > 1 << 32 else "<u4").tobytes(), "times": times[c].astype("<u4").tobytes(),
         }
-        for at in places[text]:
+        for at in places[different[k]]:
             for k, v in row.items():
                 out[k][at] = v
     return out
@@ -275,7 +334,7 @@ def link_sums(found: DataFrame, counts: DataFrame, n_b: int, width: str) -> Data
                 best, total = (np.add.reduceat(number * np.frombuffer(x, kind)[at].astype(np.int64), np.frombuffer(begin, "<i8")) for x, kind in ((top, np.uint8), (n, "<i8")))
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(rows, "<i8")), pa.array(best), pa.array(total)], ["row", "n_best", "count_sum"])
 
-    parts = slices.join(held, "bucket").select("rows", "begin", "codes", "times", "code", "n", "top").mapInArrow(sums, "row long, n_best long, count_sum long")
+    parts = slices.join(held.hint("merge"), "bucket").select("rows", "begin", "codes", "times", "code", "n", "top").mapInArrow(sums, "row long, n_best long, count_sum long")
     return parts.groupBy("row").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
 
 

@@ -102,12 +102,18 @@ def test_odd_rows_long_texts_and_small_lots(spark, odd, no_docs, monkeypatch):
     assert alignment.cross_alignment(no_docs, A, B).count() == 0
 
 
-def test_parts_of_long_texts_change_no_token(monkeypatch):
+def test_parts_and_words_change_no_token(monkeypatch):
+    """Parts of long texts and words encoded once, with and without room for all of them."""
     t = alignment.Tokenizers.at(A, B)
-    texts = ["word  and, otheré words\n  x " * 300, " ".join(["12 !?"] * 900), "a" * 900 + " " + "b " * 50, "\n \n  " * 300, *STRANGE]
-    whole = t.encode(texts)
-    monkeypatch.setattr(alignment, "PART", 40)
-    assert len(t.cut(texts[0])) > 50 and t.encode(texts) == whole
+    texts = ["word  and, otheré words\n  x " * 300, " ".join(["12 !?'s don't"] * 900), "a" * 900 + " " + "b " * 50, "\n \n  " * 300, "日本語 ひらがな ab " * 200, "one two  three", *STRANGE]
+    for part, room in ((40, 1 << 19), (1 << 16, 5)):
+        monkeypatch.setattr(alignment, "PART", part)
+        monkeypatch.setattr(alignment, "WORDS", room)
+        for text in texts:
+            a, b, _, _ = pieces(text)
+            good, ids_a, count_a, ids_b, count_b = t.encode([text])
+            assert (ids_a.tolist(), ids_b.tolist()) == (a, b) and good.tolist() == ([0] if a else []) and count_a.sum() == len(a) and count_b.sum() == len(b)
+    assert len(alignment.Tokenizers.at(A, B).cut("a b " * 100_000)) > 1
 
 
 def test_groups_as_text(spark):
