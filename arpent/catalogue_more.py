@@ -366,10 +366,3 @@ def _(t):
 
     m = ((F.abs(F.col("nir") - F.col("swir1")) > 40) & (index("ndvi", CHANNELS) < 0.3)).cast("int")
     return fo.opening(t("px").select("pid", "r", "c", m.alias("m")), "m", 1, "changed").select("pid", "changed")
-
-
-@query("dm_side_of_coast", "SELECT pt.fid, CASE WHEN (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1) > 0 THEN 1 ELSE -1 END AS side FROM pt JOIN coast ON x >= x1 AND x < x2")
-def _(t):
-    side = (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) - (F.col("y2") - F.col("y1")) * (F.col("x") - F.col("x1"))
-    pairs = t("pt").join(t("coast"), (F.col("x") >= F.col("x1")) & (F.col("x") < F.col("x2")))
-    return pairs.select("fid", F.when(side > 0, 1).otherwise(-1).alias("side"))

@@ -159,15 +159,6 @@ def _(t):
     return px.join(F.broadcast(grid), F.col("red") > F.col("threshold")).groupBy("threshold").agg(F.count("*").alias("n"), F.round(F.avg("nir"), 6).alias("mean"))
 
 
-@query("dm_signed_distance_rings", """WITH s AS (SELECT pt.fid, CASE WHEN (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1) > 0 THEN 1 ELSE -1 END AS side, abs(y - (y1 + (x - x1) / (x2 - x1) * (y2 - y1))) AS d FROM pt JOIN coast ON x >= x1 AND x < x2)
-SELECT fid, side * CAST(greatest(1, ceil(d / 3)) AS INTEGER) AS ring FROM s WHERE greatest(1, ceil(d / 3)) <= 5""")
-def _(t):
-    pairs = t("pt").join(t("coast"), (F.col("x") >= F.col("x1")) & (F.col("x") < F.col("x2")))
-    side = (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) - (F.col("y2") - F.col("y1")) * (F.col("x") - F.col("x1"))
-    d = F.abs(F.col("y") - (F.col("y1") + (F.col("x") - F.col("x1")) / (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))))
-    return pairs.select("fid", (F.when(side > 0, 1).otherwise(-1) * tb.ring_index(d, 3, 5)).alias("ring")).where("ring IS NOT NULL")
-
-
 @query("dm_coastline_threshold", f"""WITH b AS (SELECT pid, r, c, x, y, (nir < 128)::INT AS sea FROM px), e AS (SELECT p.pid AS a, q.pid AS b FROM b p JOIN b q ON p.sea = 1 AND q.sea = 1 AND abs(p.r - q.r) + abs(p.c - q.c) = 1),
 w(pid, root) AS (SELECT pid, pid FROM b WHERE sea = 1 UNION SELECT e.b, w.root FROM w JOIN e ON e.a = w.pid WHERE w.root < e.b), l AS (SELECT pid, min(root) AS region FROM w GROUP BY pid),
 g AS (SELECT region, count(*) AS pixels, min(x) - 0.5 AS xmin, min(y) - 0.5 AS ymin, max(x) + 0.5 AS xmax, max(y) + 0.5 AS ymax FROM l JOIN b USING (pid) GROUP BY region) SELECT region AS fid, pixels, xmin, ymin, xmax, ymax FROM g WHERE EXISTS (SELECT 1 FROM pt WHERE {_IN})""")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from arpent.catalogue import CELL, query, r6
 from arpent.functions import geometry as ge
+from arpent.operators import outlines as ou
 from arpent.operators import polygons as po
 from arpent.operators.joins import BOX
 
@@ -210,5 +211,5 @@ def _(t):
     from arpent.operators.regions import connected_components
 
     reg = settle(connected_components(t("px").select("pid", "r", "c", "x", "y", "cls"), "cls"))
-    p = po.region_polygons(reg, "region")
-    return p.select("region", F.round(po.parts_area(F.col("parts")), 6).alias("area"), F.round(F.aggregate("parts", F.lit(0.0), lambda s, q: s + ge.perimeter(q)), 6).alias("outline"))
+    p = ou.region_outlines(reg, "region", tile=64.0)
+    return p.select("region", F.round("area", 6).alias("area"), F.round(ge.perimeter(F.col("rings")), 6).alias("outline"))

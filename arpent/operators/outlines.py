@@ -19,7 +19,7 @@ from arpent.functions import geometry as ge
 from arpent.functions import shapes
 from arpent.operators.joins import points_in_boxes
 from arpent.operators.lineage import settle
-from arpent.operators.polygons import PARTS, _pair, _read, _write, _PARTS, explode_parts, with_box
+from arpent.operators.polygons import _PARTS, PARTS, _read, _write, explode_parts, with_box
 
 LINE = "array<struct<x:double,y:double>>"
 _POINT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
@@ -164,16 +164,42 @@ def joined_up(edges: DataFrame, size: float, g: str = "g", keep: list[str] | Non
     return whole.select(*dict.fromkeys([g, *keep]), "closed", F.concat(flat, F.array(end)).alias("points"))
 
 
+def _without_spikes(x: np.ndarray, y: np.ndarray) -> list[int]:
+    """Places of a ring's points without ways that go back where they came from."""
+    held: list[int] = []
+    for i in range(len(x)):
+        held.append(i)
+        while len(held) > 2 and x[held[-1]] == x[held[-3]] and y[held[-1]] == y[held[-3]]:
+            del held[-2:]
+    a, b = 0, len(held) - 1
+    while b - a > 1 and x[held[a + 1]] == x[held[b]] and y[held[a + 1]] == y[held[b]]:
+        a, b = a + 1, b - 1
+    return held[a + 1 if a else 0 : b + 1]
+
+
 def _tidy(points: pa.Array) -> pa.Array:
-    """Closed rings without points on straight lines, and their signed areas; all rings of a batch in one step."""
+    """Closed rings without spikes and points on straight lines, and their signed areas; all rings of a batch in one step."""
     values, at = points.flatten(), np.concatenate([[0], np.cumsum(np.array(points.value_lengths().fill_null(0)))])
     x, y = (values.field(c).to_numpy() for c in (0, 1))
     own = np.ones(len(x), bool)
     own[(at[1:] - 1)[np.diff(at) > 0]] = False  # the closing points
     x, y, n = x[own], y[own], np.maximum(np.diff(at) - 1, 0)
-    ring, first = np.repeat(np.arange(len(n)), n), np.cumsum(n) - n
-    i = np.arange(len(x))
-    prev, next_ = np.where(i == first[ring], first[ring] + n[ring] - 1, i - 1), np.where(i == (first + n - 1)[ring], first[ring], i + 1)
+
+    def around(n: np.ndarray):
+        ring, first = np.repeat(np.arange(len(n)), n), np.cumsum(n) - n
+        i = np.arange(n.sum())
+        return ring, first, np.where(i == first[ring], first[ring] + n[ring] - 1, i - 1), np.where(i == (first + n - 1)[ring], first[ring], i + 1)
+
+    ring, first, prev, next_ = around(n)
+    spiked = np.unique(ring[(x[prev] == x[next_]) & (y[prev] == y[next_])])
+    if len(spiked):
+        keep = np.ones(len(x), bool)
+        for k in spiked.tolist():
+            a, b = first[k], first[k] + n[k]
+            keep[a:b] = False
+            keep[a + np.array(_without_spikes(x[a:b], y[a:b]), int)] = True
+        x, y, n = x[keep], y[keep], np.bincount(ring[keep], minlength=len(n))
+        ring, first, prev, next_ = around(n)
     ax, ay, bx, by = x - x[prev], y - y[prev], x[next_] - x, y[next_] - y
     bend = np.abs(ax * by - ay * bx) > 1e-9 * (np.hypot(ax, ay) * np.hypot(bx, by) + 1e-300)
     cx, cy = x - x[first[ring]], y - y[first[ring]]
@@ -282,15 +308,17 @@ def rebuilt(lines: DataFrame, tile: float) -> DataFrame:
     return polygons_of(joined_up(edges.withColumn("stop", F.lit(False)), tile, "region"), tile, "region")
 
 
-def simplify_coverage(borders: DataFrame, tolerance: float, tile: float) -> DataFrame:
+def simplify_coverage(borders: DataFrame, tolerance: float, tile: float, outer: bool = True) -> DataFrame:
     """(region, rid, rings, area): a coverage whose borders are simplified, each once for both regions, nodes staying.
+    Without `outer` the borders to the outside stay as they are.
 
     borders: as of pixel_borders or polygon_borders. As both sides take the same line, no gap or overlap arises between
     neighbours. A region thinner than the tolerance may go, or overlap another where its borders cross. Islands keep four
     points at least.
     """
     lines = arcs(borders, tile)
-    return rebuilt(lines.withColumn("points", simplified_line(F.col("points"), float(tolerance))), tile)
+    points = simplified_line(F.col("points"), float(tolerance))
+    return rebuilt(lines.withColumn("points", points if outer else F.when(F.col("b").isNull(), F.col("points")).otherwise(points)), tile)
 
 
 def with_source(made: DataFrame, source: DataFrame, size: float, key: str = "fid", least: float = 0.5) -> DataFrame:
@@ -316,17 +344,22 @@ SNAP = 1e-9
 
 
 def _cell_unions(df: DataFrame, by: str, size: float) -> DataFrame:
-    """(by, _cx, _cy, parts): the union of each group's polygons in each cell of a grid."""
+    """(by, _cx, _cy, parts): in each cell of a grid the union of each group's polygons, without those marked `minus`."""
     span = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / size), F.floor(F.col(b) / size)))
-    cells = with_box(df.select(by, "rings")).withColumn("_cx", span("xmin", "xmax")).withColumn("_cy", span("ymin", "ymax"))
-    box = ge.box_polygon(F.col("_cx") * size, F.col("_cy") * size, (F.col("_cx") + 1) * size, (F.col("_cy") + 1) * size)
-    inside = cells.select(by, "_cx", "_cy", _pair(lambda x, y: shapes.combine(x, y, lambda p, q: p & q))(F.col("rings"), box).alias("_p")).where(F.size("_p") > 0)
+    cells = with_box(df.select(by, "rings", "minus")).withColumn("_cx", span("xmin", "xmax")).withColumn("_cy", span("ymin", "ymax"))
 
     @F.arrow_udf(PARTS)
-    def joined(lists: pa.Array) -> pa.Array:
-        return pa.array([[_write(p) for p in shapes.union([_read(x) for parts in many for x in parts])] for many in lists.to_pylist()], _PARTS)
+    def joined(plus: pa.Array, minus: pa.Array, cx: pa.Array, cy: pa.Array) -> pa.Array:
+        out = []
+        for own, away, i, j in zip(plus.to_pylist(), minus.to_pylist(), cx.to_pylist(), cy.to_pylist(), strict=True):
+            box = (i * size, j * size, (i + 1) * size, (j + 1) * size)
+            frame = np.array([(box[0], box[1]), (box[2], box[1]), (box[2], box[3]), (box[0], box[3]), (box[0], box[1])])
+            layers = [[r for p in many for r in shapes.oriented(_read(p))] for many in (own, away)]
+            out.append([_write(p) for p in shapes.stitch(*shapes.trapezoids([*layers, [frame]], lambda p, m, b: p & ~m & b, winding=True, box=box))])
+        return pa.array(out, _PARTS)
 
-    return inside.groupBy(by, "_cx", "_cy").agg(F.collect_list("_p").alias("_l")).select(by, "_cx", "_cy", joined("_l").alias("parts"))
+    lists = cells.groupBy(by, "_cx", "_cy").agg(F.collect_list(F.when(~F.col("minus"), F.col("rings"))).alias("_l"), F.collect_list(F.when(F.col("minus"), F.col("rings"))).alias("_m"))
+    return lists.where(F.size("_l") > 0).select(by, "_cx", "_cy", joined("_l", "_m", "_cx", "_cy").alias("parts")).where(F.size("parts") > 0)
 
 
 def _meet_on_sides(by: str, size: float):
@@ -365,9 +398,10 @@ def _meet_on_sides(by: str, size: float):
 def dissolve_whole(df: DataFrame, by: str, size: float) -> DataFrame:
     """(by, rid, rings, area): the union of each group's polygons, one row for each connected part, seamless.
 
-    The union is made cell by cell. Then edges along a side between two cells cancel, places on sides get one name for both
+    Polygons have no ring that crosses itself or another; those with a true `minus` are taken away. The union is made cell by cell. Then edges along a side between two cells cancel, places on sides get one name for both
     cells, and the edges that are left are joined up to rings. Every step but the last sees a cell or a side only.
     """
+    df = df if "minus" in df.columns else df.withColumn("minus", F.lit(False))
     one = explode_parts(_cell_unions(df, by, size), "parts")
     near = lambda v, c: F.when(F.abs(v - c * size) <= SNAP * size, c * size).when(F.abs(v - (c + 1) * size) <= SNAP * size, (c + 1) * size).otherwise(v)
     e = one.select(by, "_cx", "_cy", _doubles()).withColumns({n: near(F.col(n), F.col("_cx" if n[0] == "x" else "_cy")) for n in ENDS}).where("x1 <> x2 OR y1 <> y2")

@@ -85,11 +85,6 @@ def buffered(rings: Column, d: Column | float, default: float = 1.0, quarter: in
     return _shape(lambda r, k: shapes.buffer(r, k, quarter))(rings, F.coalesce(F.nullif(d.cast("double"), F.lit(0.0)), F.lit(float(default))))
 
 
-def line_buffered(line: Column, d: float, quarter: int = 8) -> Column:
-    """All within d of a line (array of points)."""
-    return _shape(lambda r, k: shapes.buffer(r, k, quarter, line=True))(F.array(line), F.lit(float(d)))
-
-
 def simplified(rings: Column, tolerance: float) -> Column:
     return _shape(lambda r, k: [[shapes.simplify(x, k) for x in r]])(rings, F.lit(float(tolerance)))[0]
 
@@ -202,29 +197,6 @@ def dissolve(df: DataFrame, by: str, size: float) -> DataFrame:
     return inside.groupBy(by, "_cx", "_cy").agg(F.collect_list("_p").alias("_l")).select(by, "_cx", "_cy", joined("_l").alias("parts"))
 
 
-def split_by_lines(df: DataFrame, lines: DataFrame, size: float, key: str = "fid", reach: float = 1e6) -> DataFrame:
-    """(key, parts): polygons cut by the straight lines through the segments (x1, y1, x2, y2) that cross their box."""
-    seg = lines.select(F.monotonically_increasing_id().alias("fid"), "x1", "y1", "x2", "y2", F.least("x1", "x2").alias("xmin"), F.least("y1", "y2").alias("ymin"), F.greatest("x1", "x2").alias("xmax"), F.greatest("y1", "y2").alias("ymax"))
-    pairs = box_join(with_box(df.select(key, "rings")), seg, size, closed=True)
-    met = pairs.groupBy(F.col(f"a_{key}").alias(key)).agg(F.collect_set(F.array("b_x1", "b_y1", "b_x2", "b_y2")).alias("_l"))
-
-    @F.arrow_udf(PARTS)
-    def cut(own: pa.Array, by: pa.Array) -> pa.Array:
-        out = []
-        for x, many in zip(own.to_pylist(), by.to_pylist(), strict=True):
-            parts = [_read(x)]
-            for x1, y1, x2, y2 in many or []:
-                p, u = np.array([x1, y1]), np.array([x2 - x1, y2 - y1])
-                u = u / max(float(np.hypot(*u)), 1e-300) * reach
-                side = np.array([-u[1], u[0]])
-                half = np.array([p - u, p + u, p + u + side, p - u + side, p - u])
-                parts = [q for r in parts for f in (lambda a, b: a & b, lambda a, b: a & ~b) for q in shapes.combine(r, [half], f)]
-            out.append([_write(p) for p in parts])
-        return pa.array(out, _PARTS)
-
-    return df.select(key, "rings").join(met, key, "left").select(key, cut("rings", "_l").alias("parts"))
-
-
 def split_each(df: DataFrame, line: tuple[str, str, str, str], reach: float = 1e6) -> DataFrame:
     """df with `parts`: each polygon cut along the straight line through two points of its own."""
     p, q = [F.col(c) for c in line[:2]], [F.col(c) for c in line[2:]]
@@ -235,26 +207,3 @@ def split_each(df: DataFrame, line: tuple[str, str, str, str], reach: float = 1e
     left = _pair(lambda x, y: shapes.combine(x, y, lambda a, b: a & b))(F.col("rings"), half)
     right = _pair(lambda x, y: shapes.combine(x, y, lambda a, b: a & ~b))(F.col("rings"), half)
     return df.withColumn("parts", F.concat(left, right))
-
-
-def region_polygons(px: DataFrame, region: str, size: float = 1.0) -> DataFrame:
-    """(region, parts): the polygons of labelled pixels (r, c, x, y), holes included; edges between equal regions drop out in
-    a join, and only a region's outline comes together."""
-    h = size / 2
-    corner = lambda i, j: F.struct((F.col("x") + i * h).alias("x"), (F.col("y") + j * h).alias("y"))
-    sides = [(1, 0, (-1, -1), (1, -1)), (0, 1, (1, -1), (1, 1)), (-1, 0, (1, 1), (-1, 1)), (0, -1, (-1, 1), (-1, -1))]  # rows grow downwards
-    edges = px.select(F.col(region).alias("region"), "r", "c", F.inline(F.array(*[F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc"), corner(*p).alias("p"), corner(*q).alias("q")) for dr, dc, p, q in sides])))
-    edges = edges.withColumn("r", F.col("r") + F.col("dr")).withColumn("c", F.col("c") + F.col("dc")).drop("dr", "dc")
-    outline = edges.join(px.select("r", "c", F.col(region).alias("_o")), ["r", "c"], "left").where("_o IS NULL OR _o <> region")
-
-    @F.arrow_udf(PARTS)
-    def closed(lists: pa.Array) -> pa.Array:
-        out = []
-        for many in lists.to_pylist():
-            links: dict = {}
-            for e in many:
-                links.setdefault((e["p"]["x"], e["p"]["y"]), []).append((e["q"]["x"], e["q"]["y"]))
-            out.append([_write(p) for p in shapes.nested(shapes.rings_of(links))])
-        return pa.array(out, _PARTS)
-
-    return outline.groupBy("region").agg(F.collect_list(F.struct("p", "q")).alias("_e")).select("region", closed("_e").alias("parts"))

@@ -11,6 +11,7 @@ import pytest
 import arpent.catalogue_extra  # noqa: F401
 import arpent.catalogue_focal  # noqa: F401
 import arpent.catalogue_more  # noqa: F401
+import arpent.catalogue_outlines  # noqa: F401
 import arpent.catalogue_plans  # noqa: F401
 import arpent.catalogue_shapes  # noqa: F401
 from arpent.catalogue import ORACLES, QUERIES
