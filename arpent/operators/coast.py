@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from arpent.functions import geometry as ge
 from arpent.operators.joins import on_cells, segment_distance
-from arpent.operators.lineage import settle
+from arpent.operators.lineage import stored
 from arpent.operators.noding import _boxed, noded
 from arpent.operators.outlines import ENDS, _doubles, dissolve_whole, joined_up, polygons_of, region_outlines, simplified_line
 from arpent.operators.polygons import points_in_polygons
@@ -37,7 +37,7 @@ def offset_curves(lines: DataFrame, d: float, size: float, key: str = "lid", lin
     trimmed. A row a segment makes the points, a join on the line and the cells of a grid finds those to trim.
     """
     seg = ge.segments(_bounded(F.col(line)))
-    each = settle(lines.select(key, seg.alias("_s")).select(key, F.posexplode("_s").alias("k", "s"), "_s").select(key, "k", F.col("s.p.x").alias("x1"), F.col("s.p.y").alias("y1"), F.col("s.q.x").alias("x2"), F.col("s.q.y").alias("y2"), F.try_element_at("_s", F.col("k") + 2)["q"].alias("n")))
+    each = stored(lines.select(key, seg.alias("_s")).select(key, F.posexplode("_s").alias("k", "s"), "_s").select(key, "k", F.col("s.p.x").alias("x1"), F.col("s.p.y").alias("y1"), F.col("s.q.x").alias("x2"), F.col("s.q.y").alias("y2"), F.try_element_at("_s", F.col("k") + 2)["q"].alias("n")))
     length, ahead = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")), F.hypot(F.col("n.x") - F.col("x2"), F.col("n.y") - F.col("y2"))
     e = each.withColumns({"ux": (F.col("x2") - F.col("x1")) / length, "uy": (F.col("y2") - F.col("y1")) / length, "vx": (F.col("n.x") - F.col("x2")) / ahead, "vy": (F.col("n.y") - F.col("y2")) / ahead})
     e = e.withColumn("turn", _turn((F.col("ux"), F.col("uy")), (F.col("vx"), F.col("vy"))))
@@ -48,9 +48,11 @@ def offset_curves(lines: DataFrame, d: float, size: float, key: str = "lid", lin
     arc = F.transform(F.sequence(F.lit(0), steps), lambda k: _p(F.col("x2") + abs(d) * F.cos(start + F.col("turn") * k / steps), F.col("y2") + abs(d) * F.sin(start + F.col("turn") * k / steps)))
     back = F.tan(F.col("turn") / 2) * d
     inner = F.array(_p(F.col("x2") - F.col("uy") * d - F.col("ux") * back, F.col("y2") + F.col("ux") * d - F.col("uy") * back))
-    bend = F.when(F.col("turn").isNull() | (F.abs("turn") < 1e-12), F.array(at("x2", "y2"))).when(F.col("turn") * d > 0, inner).otherwise(arc)
+    apart = F.array(at("x2", "y2"), _p(F.col("x2") - F.col("vy") * d, F.col("y2") + F.col("vx") * d))  # they do not meet before their ends
+    meets = F.abs(back) <= F.least(length, ahead)
+    bend = F.when(F.col("turn").isNull() | (F.abs("turn") < 1e-12), F.array(at("x2", "y2"))).when(F.col("turn") * d > 0, F.when(meets, inner).otherwise(apart)).otherwise(arc)
     first = F.when(F.col("k") == 0, F.array(at("x1", "y1"))).otherwise(F.array().cast("array<struct<x:double,y:double>>"))
-    made = settle(e.select(key, "k", F.posexplode(F.concat(first, bend)).alias("j", "p")).select(key, "k", "j", "p.x", "p.y"))
+    made = stored(e.select(key, "k", F.posexplode(F.concat(first, bend)).alias("j", "p")).select(key, "k", "j", "p.x", "p.y"))
     reach = abs(d)
     cells = on_cells(each, size, F.least("x1", "x2") - reach, F.least("y1", "y2") - reach, F.greatest("x1", "x2") + reach, F.greatest("y1", "y2") + reach).select(key, "_cx", "_cy", *ENDS)
     near = made.withColumns({"_cx": F.floor(F.col("x") / size), "_cy": F.floor(F.col("y") / size)}).join(cells, [key, "_cx", "_cy"])
@@ -114,9 +116,9 @@ def ring_zones(lines: DataFrame, width: float, n: int, size: float, key: str = "
     that of the smaller one turned round, as one set of outlines. Rings do not overlap, whatever the line's bends.
     """
     each = lines.select(key, *ENDS, F.explode(F.sequence(F.lit(1), F.lit(n))).alias("ring"))
-    names = settle(each.select(key, "ring").distinct().withColumn("g", F.monotonically_increasing_id()))
+    names = stored(each.select(key, "ring").distinct().withColumn("g", F.monotonically_increasing_id()))
     pieces = capsules(each.join(names, [key, "ring"]), F.col("ring") * float(width), ["g"], quarter)
-    zones = settle(dissolve_whole(pieces, "g", size).join(names, "g").select(key, "ring", "rings"))
+    zones = stored(dissolve_whole(pieces, "g", size).join(names, "g").select(key, "ring", "rings"))
     out = zones.select(key, "ring", _doubles())
     back = zones.where(F.col("ring") < n).select(key, (F.col("ring") + 1).alias("ring"), _doubles()).select(key, "ring", F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2"))
     edges = out.unionByName(back).join(names, [key, "ring"]).select("g", *ENDS, F.lit(False).alias("stop"))
@@ -128,7 +130,7 @@ def ring_zones(lines: DataFrame, width: float, n: int, size: float, key: str = "
 
 def sea_regions(px: DataFrame, sea: str, seeds: DataFrame) -> DataFrame:
     """px (r, c, x, y) of the regions of sea pixels (value 1) that hold a seed's pixel (r, c), with `region`."""
-    reg = settle(connected_components(px.where(F.col(sea) == 1).select("pid", "r", "c", "x", "y", sea), sea))
+    reg = stored(connected_components(px.where(F.col(sea) == 1).select("pid", "r", "c", "x", "y", sea), sea))
     held = reg.join(seeds.select("r", "c").distinct(), ["r", "c"], "left_semi").select("region").distinct()
     return reg.join(held, "region", "left_semi").select("r", "c", "x", "y", "region")
 
@@ -136,7 +138,7 @@ def sea_regions(px: DataFrame, sea: str, seeds: DataFrame) -> DataFrame:
 def lines_within(segments: DataFrame, polygons: DataFrame, size: float) -> DataFrame:
     """Segments (x1, y1, x2, y2) cut at the edges of polygons (rings), those pieces that lie in one."""
     rim = polygons.select(_doubles())
-    every = settle(segments.select(*ENDS, F.lit(True).alias("own")).union(rim.select(*ENDS, F.lit(False))).withColumns({"sid": F.monotonically_increasing_id(), "g": F.lit(0)}))
+    every = stored(segments.select(*ENDS, F.lit(True).alias("own")).union(rim.select(*ENDS, F.lit(False))).withColumns({"sid": F.monotonically_increasing_id(), "g": F.lit(0)}))
     pieces = noded(every, size).join(every.where("own").select("sid"), "sid", "left_semi").drop("sid")
     mid = pieces.withColumns({"mx": (F.col("x1") + F.col("x2")) / 2, "my": (F.col("y1") + F.col("y2")) / 2})
     inside = points_in_polygons(mid, polygons.select("rings").withColumn("fid", F.lit(0)), size, "mx", "my")
@@ -152,12 +154,12 @@ def coastline(px: DataFrame, sea: str, seeds: DataFrame, valid: str, size: float
     """
     water = region_outlines(sea_regions(px, sea, seeds), "region", size).select("rings", F.lit(0).alias("g"))
     if close:
-        wide = settle(joint_buffer(water, close, cell, "g", quarter).select("g", "rings"))
-        water = settle(joint_buffer(wide, -close, cell, "g", quarter))
+        wide = stored(joint_buffer(water, close, cell, "g", quarter).select("g", "rings"))
+        water = stored(joint_buffer(wide, -close, cell, "g", quarter))
     ground = connected_components(px.where(F.col(valid) == 1).select("pid", "r", "c", "x", "y", valid), valid)
     inner = region_outlines(ground, "region", size).select("rings", F.lit(0).alias("g"))
-    inner = settle(joint_buffer(inner, -rim, cell, "g", quarter) if rim else inner)
-    kept = lines_within(water.select(_doubles()), inner, 4 * size)
+    inner = stored(joint_buffer(inner, -rim, cell, "g", quarter) if rim else inner)
+    kept = stored(lines_within(water.select(_doubles()), inner, 4 * size))
     lines = joined_up(kept.withColumns({"g": F.lit(0), "stop": F.lit(False)}), 8 * cell)
     points = simplified_line(F.col("points"), float(tolerance))
     return lines.select("closed", points.alias("points")).withColumn("length", ge.length(F.col("points")))
@@ -181,11 +183,11 @@ def side_and_distance(points: DataFrame, segments: DataFrame, size: float, x: st
         side = F.when(dx * (F.col("py") - F.col("y1")) - dy * (F.col("px") - F.col("x1")) > 0, 1).otherwise(-1)
         best = q.groupBy(key).agg(F.min(F.struct(F.round(d, 9).alias("distance"), "seg", side.alias("side"))).alias("_b")).select(key, "_b.distance", "_b.side")
         last = size >= reach
-        held = settle(best if last else best.where(F.col("distance") <= size))
+        held = stored(best if last else best.where(F.col("distance") <= size))
         done.append(held)
         if last:
             break
-        open_ = settle(open_.join(held.select(key), key, "left_anti"))
+        open_ = stored(open_.join(held.select(key), key, "left_anti"))
         if open_.isEmpty():
             break
         size *= 2

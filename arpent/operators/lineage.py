@@ -25,3 +25,11 @@ def settle(df: DataFrame) -> DataFrame:
     """Cuts the lineage by a checkpoint in the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df written as Parquet in the shared folder and read again. Unlike a checkpoint it also forgets what the optimiser has
+    inferred about the rows, which grows from round to round in loops of joins."""
+    path = fresh_path(df.sparkSession, "step")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

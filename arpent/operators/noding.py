@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from arpent.functions import geometry as ge
 from arpent.operators.joins import box_join, on_cells
-from arpent.operators.lineage import settle
+from arpent.operators.lineage import stored
 from arpent.operators.outlines import ENDS, joined_up, polygons_of
 from arpent.operators.polygons import with_box
 
@@ -81,10 +81,10 @@ def split_by_polylines(df: DataFrame, lines: DataFrame, size: float, key: str =
     ring = lambda r, i: F.when((ge.ring_area(r) > 0) == (i == 0), r).otherwise(F.reverse(r))
     whole = with_box(df.select(F.col(key).alias("g"), F.transform("rings", ring).alias("rings")))
     segs = _boxed(line_pieces(lines.withColumn("_l", F.lit(0)), key="_l"))
-    met = settle(box_join(whole.select("g", "xmin", "ymin", "xmax", "ymax"), segs, size, closed=True).select(F.col("a_g").alias("g"), *[F.col(f"b_{c}").alias(c) for c in ENDS]).distinct())
+    met = stored(box_join(whole.select("g", "xmin", "ymin", "xmax", "ymax"), segs, size, closed=True).select(F.col("a_g").alias("g"), *[F.col(f"b_{c}").alias(c) for c in ENDS]).distinct())
     edges = whole.join(met.select("g").distinct(), "g", "left_semi").select("g", F.inline(F.flatten(F.transform("rings", lambda r: F.transform(ge.segments(r), lambda s: F.struct(s["p"]["x"].alias("x1"), s["p"]["y"].alias("y1"), s["q"]["x"].alias("x2"), s["q"]["y"].alias("y2")))))), F.lit(True).alias("own"))
-    every = settle(edges.unionByName(met.withColumn("own", F.lit(False))).withColumn("sid", F.monotonically_increasing_id()))
-    pieces = settle(noded(every, size).join(every.select("sid", "g", "own"), "sid").drop("sid"))
+    every = stored(edges.unionByName(met.withColumn("own", F.lit(False))).withColumn("sid", F.monotonically_increasing_id()))
+    pieces = stored(noded(every, size).join(every.select("sid", "g", "own"), "sid").drop("sid"))
     rim = pieces.where("own").drop("own").distinct()
     turned = F.when((F.col("x1") < F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") < F.col("y2"))), True).otherwise(False)
     way = lambda df: df.select("g", *[F.when(turned, F.col(c)).otherwise(F.col(o)).alias(c) for c, o in zip(ENDS, ("x2", "y2", "x1", "y1"), strict=True)]).distinct()

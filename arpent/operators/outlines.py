@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from arpent.functions import geometry as ge
 from arpent.functions import shapes
 from arpent.operators.joins import points_in_boxes
-from arpent.operators.lineage import settle
+from arpent.operators.lineage import stored
 from arpent.operators.polygons import _PARTS, PARTS, _read, _write, explode_parts, with_box
 
 LINE = "array<struct<x:double,y:double>>"
@@ -51,6 +51,7 @@ def successors(start: np.ndarray, end: np.ndarray, out_angle: np.ndarray, in_ang
         step = np.arange(len(of)) - np.repeat(np.cumsum(n[many]) - n[many], n[many])
         to = order[first[of] + step]
         turn = (out_angle[to] - in_angle[of] + math.pi) % (2 * math.pi)
+        turn[turn > 2 * math.pi - 1e-9] = 0.0  # straight back, but for rounding
         best = np.lexsort((to, -turn, of))
         head = np.concatenate([[True], of[best][1:] != of[best][:-1]])
         out[of[best][head]] = to[best][head]
@@ -113,12 +114,12 @@ def _doubled(links: DataFrame, nodes: DataFrame) -> DataFrame:
     links: (pid, before). In each round a path sees as far again as what it has seen to. On a ring there is no start, and
     `at` keeps going round; the rounds end when nothing lower is seen and no more starts are reached.
     """
-    state = settle(nodes.join(links, "pid", "left").select("pid", F.coalesce("before", "pid").alias("at"), F.col("before").isNotNull().cast("long").alias("far"), F.least("pid", F.coalesce("before", "pid")).alias("low"), F.col("before").isNull().alias("done")))
+    state = stored(nodes.join(links, "pid", "left").select("pid", F.coalesce("before", "pid").alias("at"), F.col("before").isNotNull().cast("long").alias("far"), F.least("pid", F.coalesce("before", "pid")).alias("low"), F.col("before").isNull().alias("done")))
     waiting = -1
     while True:
         back = state.select(F.col("pid").alias("at"), F.col("at").alias("_at"), F.col("far").alias("_far"), F.col("low").alias("_low"), F.col("done").alias("_done"))
         new = state.join(back, "at")
-        new = settle(new.select("pid", F.when(F.col("done"), F.col("at")).otherwise(F.col("_at")).alias("at"), F.when(F.col("done"), F.col("far")).otherwise(F.col("far") + F.col("_far")).alias("far"), F.least("low", "_low").alias("low"), (F.col("done") | F.col("_done")).alias("done"), (F.col("_low") < F.col("low")).alias("_moved")))
+        new = stored(new.select("pid", F.when(F.col("done"), F.col("at")).otherwise(F.col("_at")).alias("at"), F.when(F.col("done"), F.col("far")).otherwise(F.col("far") + F.col("_far")).alias("far"), F.least("low", "_low").alias("low"), (F.col("done") | F.col("_done")).alias("done"), (F.col("_low") < F.col("low")).alias("_moved")))
         moved, open_ = new.agg(F.sum(F.col("_moved").cast("long")), F.sum((~F.col("done")).cast("long"))).first()
         state = new.drop("_moved")
         if not open_ or (not moved and open_ == waiting):
@@ -137,13 +138,14 @@ def joined_up(edges: DataFrame, size: float, g: str = "g", keep: list[str] | Non
     fields = [edges.schema[c] for c in dict.fromkeys([g, *keep])]
     schema = T.StructType([*fields, *[T.StructField(c, T.BooleanType()) for c in ("closed", "stop")], *[T.StructField(c, T.DoubleType()) for c in ("sx", "sy", "ex", "ey", "out_angle", "in_angle")], T.StructField("points", T._parse_datatype_string(LINE))])
     tiles = edges.select(*dict.fromkeys([g, *keep]), *[F.col(c).cast("double").alias(c) for c in ENDS], "stop").withColumns({"_tx": F.floor(F.col("x1") / size), "_ty": F.floor(F.col("y1") / size)})
-    paths = settle(tiles.groupBy("_tx", "_ty").applyInArrow(_chain_tile(keep, g), schema).withColumn("pid", F.monotonically_increasing_id()))
+    paths = stored(tiles.groupBy("_tx", "_ty").applyInArrow(_chain_tile(keep, g), schema).withColumn("pid", F.monotonically_increasing_id()))
     ends = paths.where("NOT closed AND NOT stop").select(F.col("pid").alias("before"), F.col(g).alias("_g"), "ex", "ey", "in_angle")
     starts = paths.where("NOT closed").select("pid", F.col(g).alias("_h"), "sx", "sy", "out_angle")
     turn = F.pmod(F.col("out_angle") - F.col("in_angle") + math.pi, F.lit(2 * math.pi))
+    turn = F.when(turn > 2 * math.pi - 1e-9, 0.0).otherwise(turn)
     meet = ends.join(starts, F.col("_g").eqNullSafe(F.col("_h")) & (F.col("ex") == F.col("sx")) & (F.col("ey") == F.col("sy")))
     best = meet.groupBy("before").agg(F.max(F.struct(turn.alias("t"), (-F.col("pid")).alias("p"), "pid"))["pid"].alias("pid"))
-    links = settle(best.groupBy("pid").agg(F.min("before").alias("before")))
+    links = stored(best.groupBy("pid").agg(F.min("before").alias("before")))
     if links.isEmpty():
         ranked = paths.select("pid", F.col("pid").alias("chain"), F.lit(0).cast("long").alias("far"), F.lit(False).alias("ring"))
     else:
@@ -227,7 +229,7 @@ def polygons_of(lines: DataFrame, size: float, g: str = "g") -> DataFrame:
     Rings against the clock are outer ones. A hole goes to the smallest outer ring of its g that holds a point just beside
     it. Boxes find the candidates on a grid of the given size; part numbers the polygons of a g from 0.
     """
-    r = settle(lines.where("closed").select(g, tidy(F.col("points")).alias("_t")).select(g, F.col("_t.ring").alias("ring"), F.col("_t.area").alias("area")).where(F.size("ring") > 3).withColumn("rid", F.monotonically_increasing_id()))
+    r = stored(lines.where("closed").select(g, tidy(F.col("points")).alias("_t")).select(g, F.col("_t.ring").alias("ring"), F.col("_t.area").alias("area")).where(F.size("ring") > 3).withColumn("rid", F.monotonically_increasing_id()))
     outer = r.where("area > 0").select(F.col(g).alias("g"), "rid", "area", F.array("ring").alias("rings"))
     holes = r.where("area < 0").select(F.col(g).alias("_g"), F.col("ring").alias("hole"), F.col("area").alias("_less"), F.col("rid").alias("hid"))
     p, q = F.element_at("hole", 1), F.element_at("hole", 2)
@@ -405,7 +407,7 @@ def dissolve_whole(df: DataFrame, by: str, size: float) -> DataFrame:
     one = explode_parts(_cell_unions(df, by, size), "parts")
     near = lambda v, c: F.when(F.abs(v - c * size) <= SNAP * size, c * size).when(F.abs(v - (c + 1) * size) <= SNAP * size, (c + 1) * size).otherwise(v)
     e = one.select(by, "_cx", "_cy", _doubles()).withColumns({n: near(F.col(n), F.col("_cx" if n[0] == "x" else "_cy")) for n in ENDS}).where("x1 <> x2 OR y1 <> y2")
-    e = settle(e)
+    e = stored(e)
     on = {("x", k): (F.col(f"x{k}") == F.col("_cx") * size) | (F.col(f"x{k}") == (F.col("_cx") + 1) * size) for k in (1, 2)} | {("y", k): (F.col(f"y{k}") == F.col("_cy") * size) | (F.col(f"y{k}") == (F.col("_cy") + 1) * size) for k in (1, 2)}
     upright = (F.col("x1") == F.col("x2")) & on["x", 1]
     level = (F.col("y1") == F.col("y2")) & on["y", 1]
@@ -420,7 +422,7 @@ def dissolve_whole(df: DataFrame, by: str, size: float) -> DataFrame:
     for more in along[1:]:
         sides = sides.union(more)
     kind = df.schema[by].dataType.simpleString()
-    met = settle(sides.groupBy("upright", "line", "cell").applyInPandas(_meet_on_sides(by, size), f"`{by}` {kind}, edge boolean, a double, b double, upright boolean, line long, cell long"))
+    met = stored(sides.groupBy("upright", "line", "cell").applyInPandas(_meet_on_sides(by, size), f"`{by}` {kind}, edge boolean, a double, b double, upright boolean, line long, cell long"))
     at = F.col("line") * size
     left = met.where("edge").select(by, *[F.when(F.col("upright"), v if i % 2 == 0 else w).otherwise(w if i % 2 == 0 else v).alias(n) for i, (n, v, w) in enumerate(zip(ENDS, (at, at, at, at), (F.col("a"), F.col("a"), F.col("b"), F.col("b")), strict=True))])
     names = met.where("NOT edge").select(F.col(by).alias("_by"), *[F.when(F.col("upright"), at if c == "x" else F.col(v)).otherwise(F.col(v) if c == "x" else at).alias(n) for n, c, v in (("_x", "x", "a"), ("_y", "y", "a"), ("_u", "x", "b"), ("_v", "y", "b"))]).dropDuplicates(["_by", "_x", "_y"])
