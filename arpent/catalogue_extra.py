@@ -149,15 +149,16 @@ _RX, _RY = _slab("px", "ux", "xmin", "xmax"), _slab("py", "uy", "ymin", "ymax")
 
 @query("dm_aspect_ratio", f"""WITH s AS (SELECT *, CAST(greatest(1, ceil(sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) / 2.5)) AS INTEGER) AS n FROM coast),
 g AS (SELECT seg * 100 + k AS seg, x1 + k / n * (x2 - x1) AS x1, y1 + k / n * (y2 - y1) AS y1, x1 + (k + 1) / n * (x2 - x1) AS x2, y1 + (k + 1) / n * (y2 - y1) AS y2 FROM s, range(0, 100) r(k) WHERE k < n),
-m AS (SELECT seg, (x1 + x2) / 2 AS px, (y1 + y2) / 2 AS py, -(y2 - y1) / sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) AS ax, (x2 - x1) / sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) AS ay FROM g),
+m AS (SELECT seg, x1 AS px, y1 AS py, -(y2 - y1) / sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) AS ax, (x2 - x1) / sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) AS ay FROM g WHERE sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) >= 1.25),
 w AS (SELECT seg, px, py, 1 AS side, ax AS ux, ay AS uy FROM m UNION ALL SELECT seg, px, py, 2, -ax, -ay FROM m),
 h AS (SELECT seg, side, px, py, hauteur, fid, greatest({_RX[0]}, {_RY[0]}, 0.0) AS t, least({_RX[1]}, {_RY[1]}) AS o FROM w CROSS JOIN bld),
 b AS (SELECT seg, side, px, py, min(t) AS t, arg_min(hauteur, (t, fid)) AS hh FROM h WHERE t <= o AND t <= 12 GROUP BY seg, side, px, py),
 a AS (SELECT seg, px AS x, py AS y, CASE WHEN sum(t) > 0 THEN sum(hh) / 2 / sum(t) END AS ratio FROM b GROUP BY seg, px, py HAVING count(*) = 2),
-z AS (SELECT zone.fid, avg(ratio) AS aspect FROM zone JOIN a ON {_IN} GROUP BY zone.fid) SELECT zone.fid, round(coalesce(aspect, 0), 6) AS aspect FROM zone LEFT JOIN z USING (fid)""")
+z AS (SELECT zone.fid, avg(ratio) AS aspect FROM zone JOIN a ON ratio > 0 AND sqrt(greatest(xmin - x, x - xmax, 0) ** 2 + greatest(ymin - y, y - ymax, 0) ** 2) <= 3 GROUP BY zone.fid) SELECT zone.fid, round(coalesce(aspect, 0), 6) AS aspect FROM zone LEFT JOIN z USING (fid)""")
 def _(t):
     roads = ge.split_segments(t("coast"), 2.5).withColumn("seg", F.col("seg") * 100 + F.col("k"))
-    return urban.aspect_ratio(roads, t("bld"), t("zone"), 12.0, CELL).select("fid", *r6("aspect"))
+    zones = t("zone").select("fid", ge.box_polygon(*[F.col(c) for c in jn.BOX]).alias("rings"))
+    return urban.aspect_ratio(roads, t("bld"), zones, 12.0, CELL, 2.5, 3.0).select("fid", *r6("aspect"))
 
 
 # --- segments --------------------------------------------------------------------------------------------------------
@@ -184,6 +185,23 @@ def _(t):
     return sg.superpixels(t("px").select("pid", "r", "c", "red", "nir"), ["red", "nir"], 10, 20.0, 3).select("pid", "superpixel")
 
 
+_STATE = "s AS (SELECT fid AS g, (xmax - xmin) * (ymax - ymin) AS size, zoning % 7 / 7.0 AS f, zoning % 3 AS cls FROM zone_ov), k AS (SELECT a.fid AS a, b.fid AS b, greatest(least(a.xmax, b.xmax) - greatest(a.xmin, b.xmin), least(a.ymax, b.ymax) - greatest(a.ymin, b.ymin)) AS length FROM zone_ov a JOIN zone_ov b ON a.fid <> b.fid AND a.xmin < b.xmax AND b.xmin < a.xmax AND a.ymin < b.ymax AND b.ymin < a.ymax)"
+
+
+@query("cc_merge_round", f"""WITH {_STATE}, o AS (SELECT *, CASE WHEN cls = 1 THEN 60 ELSE 90 END AS most FROM s), c AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY a ORDER BY length DESC, b) <= 4),
+p AS (SELECT c.a, c.b, sqrt((x.f - y.f) ** 2) AS d FROM c JOIN o x ON x.g = c.a AND x.size <= x.most JOIN s y ON y.g = c.b WHERE x.size <= 30 OR (sqrt((x.f - y.f) ** 2) < 0.3 AND x.size + y.size <= 2.5 * x.most)),
+w AS (SELECT DISTINCT least(a, b) AS lo, greatest(a, b) AS hi, d FROM p QUALIFY row_number() OVER (PARTITION BY a ORDER BY d, b) = 1), e AS (SELECT lo AS g, * FROM w UNION ALL SELECT hi, * FROM w), q AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY g ORDER BY d, lo, hi) = 1)
+SELECT lo, hi FROM q GROUP BY lo, hi HAVING count(*) = 2""")
+def _(t):
+    """Pairs of a round among overlapping zones, class 1 as urban."""
+    z = t("zone_ov")
+    state = z.select(F.col("fid").alias("g"), ((F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))).alias("size"), F.array(F.col("zoning") % 7 / 7.0).alias("features"), (F.col("zoning") % 3).alias("cls"))
+    pairs = jn.box_join(z.select("fid", *jn.BOX), z.select("fid", *jn.BOX), CELL).where("a_fid <> b_fid")
+    length = F.greatest(F.least("a_xmax", "b_xmax") - F.greatest("a_xmin", "b_xmin"), F.least("a_ymax", "b_ymax") - F.greatest("a_ymin", "b_ymin"))
+    border = pairs.select(F.col("a_fid").alias("a"), F.col("b_fid").alias("b"), length.alias("length"))
+    return sg.merge_round(state, border, 30, 60, 90, (1,), 0.3, 2.5, 4)
+
+
 @query("cc_merge_similar_polygons", None)
 def _(t):
     z = t("zone_ov").withColumn("size", (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin")))
@@ -289,6 +307,19 @@ def _(t):
     return le.classify_objects(b, ["w", "d", "hauteur"], "label", F.col("fid") % 5 == 0, trees=10).select("fid", "label", "predicted")
 
 
+@query("ml_threshold_of_counts", """WITH h AS (SELECT event_type, CAST(least(24, floor(value / 40)) AS BIGINT) AS k, count(*) AS n FROM events WHERE value >= 0 GROUP BY 1, 2), f AS (SELECT t.event_type, r.k, coalesce(h.n, 0) AS n FROM (SELECT DISTINCT event_type FROM events) t CROSS JOIN range(0, 25) r(k) LEFT JOIN h ON h.event_type = t.event_type AND h.k = r.k),
+m AS (SELECT *, lag(n) OVER w AS b, lead(n) OVER w AS a FROM f WINDOW w AS (PARTITION BY event_type ORDER BY k)), l AS (SELECT event_type, k, row_number() OVER (PARTITION BY event_type ORDER BY k) AS i FROM m WHERE n < b AND n < a)
+SELECT event_type, max(k) FILTER (i = 1) * 40.0 AS lower, coalesce(max(k) FILTER (i = 2), max(k) FILTER (i = 1)) * 40.0 + 20 AS centre FROM l GROUP BY event_type""")
+def _(t):
+    """The choice of the minimum, on 25 classes of equal width."""
+    e = t("events").where("value >= 0").select("event_type", F.least(F.lit(24), F.floor(F.col("value") / 40)).cast("long").alias("k"))
+    every = t("events").select("event_type").distinct().select("event_type", F.explode(F.sequence(F.lit(0), F.lit(24)).cast("array<long>")).alias("k"))
+    n = every.join(e.groupBy("event_type", "k").agg(F.count("*").alias("n")), ["event_type", "k"], "left")
+    lists = n.groupBy("event_type").agg(F.array_sort(F.collect_list(F.struct("k", F.coalesce("n", F.lit(0)).alias("n")))).alias("l"))  # 25 classes
+    centre, lower = le.threshold_of_counts(F.transform("l", lambda x: x["n"]), F.transform("l", lambda x: x["k"] * 40.0))
+    return lists.select("event_type", lower.alias("lower"), centre.alias("centre")).where("lower IS NOT NULL")
+
+
 @query("ml_natural_breaks_threshold", None)
 def _(t):
     return le.natural_breaks_threshold(t("events").select("event_type", "value"), "event_type", "value", range(20, 23))

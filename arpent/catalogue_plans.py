@@ -161,13 +161,16 @@ def _(t):
 
 @query("dm_coastline_threshold", f"""WITH b AS (SELECT pid, r, c, x, y, (nir < 128)::INT AS sea FROM px), e AS (SELECT p.pid AS a, q.pid AS b FROM b p JOIN b q ON p.sea = 1 AND q.sea = 1 AND abs(p.r - q.r) + abs(p.c - q.c) = 1),
 w(pid, root) AS (SELECT pid, pid FROM b WHERE sea = 1 UNION SELECT e.b, w.root FROM w JOIN e ON e.a = w.pid WHERE w.root < e.b), l AS (SELECT pid, min(root) AS region FROM w GROUP BY pid),
-g AS (SELECT region, count(*) AS pixels, min(x) - 0.5 AS xmin, min(y) - 0.5 AS ymin, max(x) + 0.5 AS xmax, max(y) + 0.5 AS ymax FROM l JOIN b USING (pid) GROUP BY region) SELECT region AS fid, pixels, xmin, ymin, xmax, ymax FROM g WHERE EXISTS (SELECT 1 FROM pt WHERE {_IN})""")
+s AS (SELECT DISTINCT l.region FROM pt, grid_meta JOIN b ON b.c = floor(pt.x) AND b.r = h - 1 - floor(pt.y) JOIN l USING (pid))
+SELECT region AS fid, count(*) AS pixels, min(x) - 0.5 AS xmin, min(y) - 0.5 AS ymin, max(x) + 0.5 AS xmax, max(y) + 0.5 AS ymax FROM l JOIN s USING (region) JOIN b USING (pid) GROUP BY region""")
 def _(t):
-    """Sea regions by a threshold that hold a sea point, as boxes."""
-    from arpent.operators.regions import polygonize
+    """Sea regions by a threshold that hold a sea point in one of their pixels, with their boxes."""
+    from arpent.operators.coast import sea_regions
 
-    sea = polygonize(t("px").withColumn("sea", (F.col("nir") < 128).cast("int")), "sea").where("value = 1").withColumnRenamed("region", "fid")
-    return jn.holding(sea, t("pt").select("x", "y"), CELL).select("fid", "pixels", *jn.BOX)
+    h = t("grid_meta").select("h")
+    seeds = t("pt").crossJoin(F.broadcast(h)).select((F.col("h") - 1 - F.floor("y")).alias("r"), F.floor("x").alias("c"))  # grid_meta has one row
+    sea = sea_regions(t("px").select("pid", "r", "c", "x", "y", (F.col("nir") < 128).cast("int").alias("sea")), "sea", seeds)
+    return sea.groupBy(F.col("region").alias("fid")).agg(F.count("*").alias("pixels"), (F.min("x") - 0.5).alias("xmin"), (F.min("y") - 0.5).alias("ymin"), (F.max("x") + 0.5).alias("xmax"), (F.max("y") + 0.5).alias("ymax"))
 
 
 @query("dm_vectorise_land_cover", f"""WITH rc AS (SELECT pid, r, c, CASE cls WHEN 200 THEN 100 WHEN 500 THEN 400 ELSE cls END AS cls FROM px), {_sieved("rc")[15:]},

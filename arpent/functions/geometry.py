@@ -68,6 +68,17 @@ def contains(polygon: Column, x: Column, y: Column) -> Column:
     return hits % 2 == 1
 
 
+def point_distance(polygon: Column, x: Column, y: Column) -> Column:
+    """Distance of a point from a polygon, 0 inside."""
+
+    def apart(s: Column) -> Column:
+        dx, dy = s["q"]["x"] - s["p"]["x"], s["q"]["y"] - s["p"]["y"]
+        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide((x - s["p"]["x"]) * dx + (y - s["p"]["y"]) * dy, dx * dx + dy * dy), F.lit(0.0))))
+        return F.hypot(x - s["p"]["x"] - t * dx, y - s["p"]["y"] - t * dy)
+
+    return F.when(contains(polygon, x, y), 0.0).otherwise(F.array_min(F.transform(F.flatten(F.transform(polygon, segments)), apart)))
+
+
 def remove_small_rings(polygon: Column, least: float = 500) -> Column:
     """Holes under an area go; the outer ring stays."""
     holes = F.filter(F.slice(polygon, 2, F.size(polygon)), lambda r: F.abs(ring_area(r)) >= least)

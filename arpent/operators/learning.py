@@ -178,17 +178,28 @@ def natural_breaks(df: DataFrame, scene: str, value: str, classes: int, bins: in
     return hist.select(scene, "_v", "_w").groupBy(scene).applyInPandas(one, f"{scene} {df.schema[scene].dataType.simpleString()}, breaks array<double>, fit double, counts array<long>")
 
 
+def low_classes(counts: Column) -> Column:
+    """Numbers (from 1) of the classes inside that hold fewer values than both their neighbours."""
+    inside = F.sequence(F.lit(2), F.greatest(F.lit(2), F.size(counts) - 1))
+    return F.filter(inside, lambda i: (F.element_at(counts, i) < F.element_at(counts, i - 1)) & (F.element_at(counts, i) < F.try_element_at(counts, i + 1)))
+
+
+def threshold_of_counts(counts: Column, breaks: Column) -> tuple[Column, Column]:
+    """(centre, lower): the centre of the second class that holds fewer values than its neighbours, and the lower bound of the
+    first one; both of the first where there is only one, null where there is none. breaks: lower bounds of the classes."""
+    low = low_classes(counts)
+    first, second = F.try_element_at(low, F.lit(1)), F.coalesce(F.try_element_at(low, F.lit(2)), F.try_element_at(low, F.lit(1)))
+    return (F.try_element_at(breaks, second) + F.try_element_at(breaks, second + 1)) / 2, F.try_element_at(breaks, first)
+
+
 def natural_breaks_threshold(df: DataFrame, scene: str, value: str, classes: range = range(20, 31), least_fit: float = 0.9) -> DataFrame:
-    """(scene, centre, lower, rounds): where few values lie. For each number of classes that fits well enough, the first class
-    inside that holds fewer values than both its neighbours; the means over those numbers of its centre and its lower bound.
-    """
+    """(scene, centre, lower, rounds): where few values lie, by `threshold_of_counts` for each number of classes that fits
+    well enough, averaged over those numbers."""
     rounds = []
     for k in classes:
         b = natural_breaks(df, scene, value, k).where(F.col("fit") >= least_fit)
-        i = F.filter(F.sequence(F.lit(2), F.greatest(F.lit(2), F.size("counts") - 1)), lambda i: (F.element_at("counts", i) < F.element_at("counts", i - 1)) & (F.element_at("counts", i) < F.try_element_at("counts", i + 1)))
-        b = b.withColumn("_i", F.try_element_at(i, F.lit(1))).where("_i IS NOT NULL")
-        lower = F.element_at("breaks", F.col("_i"))
-        rounds.append(b.select(scene, lower.alias("lower"), ((lower + F.element_at("breaks", F.col("_i") + 1)) / 2).alias("centre")))
+        centre, lower = threshold_of_counts(F.col("counts"), F.col("breaks"))
+        rounds.append(b.select(scene, lower.alias("lower"), centre.alias("centre")).where("lower IS NOT NULL"))
     return reduce(lambda a, b: a.unionByName(b), rounds).groupBy(scene).agg(F.avg("centre").alias("centre"), F.avg("lower").alias("lower"), F.count("*").alias("rounds"))
 
 

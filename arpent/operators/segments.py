@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arpent.operators.lineage import settle
+from arpent.operators.lineage import settle, stored
 from arpent.operators.regions import connected_components
 
 
@@ -47,36 +47,51 @@ def feature_distance(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
 
 
-def merge_similar(regions: DataFrame, contacts: DataFrame, medium: float, limit: float, alike: float = 0.7, growth: float = 2.5, top: int = 4) -> DataFrame:
-    """(node, into): regions (node, size, features) merged by likeness with neighbours (a, b, length).
+def merge_round(state: DataFrame, border: DataFrame, medium: float, limit: float, rural: float | None = None, urban: tuple = (), alike: float = 0.7, growth: float = 2.5, top: int = 4) -> DataFrame:
+    """(lo, hi): the pairs of regions that merge in a round.
 
-    A region may merge with one of the `top` neighbours of longest contact: in any case while either is under the medium
-    size, else only where their features are nearer than `alike` and both together are no larger than growth * limit. In
-    each round pairs merge that are each other's nearest; features are averaged by size. It ends when no pair may merge.
+    state: g, size, features and, with `rural`, cls; border: a, b, length both ways. Only a region of at most its own limit
+    starts a merge: `limit` if its class is urban or null (or without `rural`), else `rural`. It looks at the `top`
+    neighbours of longest contact. Up to the medium size it takes the one of nearest features; above, the nearest that is
+    nearer than `alike` and with which it stays within growth times its limit. Ties go to the lower region. A region takes
+    part in the nearest of what it starts and of what others start with it, and a pair merges that is so for both.
     """
-    into = settle(regions.select("node", F.col("node").alias("into")))
-    state = settle(regions.select(F.col("node").alias("g"), "size", "features"))
-    border = settle(contacts.select("a", "b", "length").union(contacts.select("b", "a", "length")))
+    town = F.lit(True) if rural is None else F.col("cls").isNull() | F.col("cls").isin(*urban)
+    own = state.select(F.col("g").alias("a"), F.col("size").alias("sa"), F.col("features").alias("fa"), F.when(town, F.lit(float(limit))).otherwise(F.lit(float(rural if rural is not None else limit))).alias("most")).where("sa <= most")
+    other = state.select(F.col("g").alias("b"), F.col("size").alias("sb"), F.col("features").alias("fb"))
+    near = Window.partitionBy("a").orderBy(F.desc("length"), "b")
+    close = border.withColumn("_n", F.row_number().over(near)).where(F.col("_n") <= top)
+    pairs = close.join(own, "a").join(other, "b").withColumn("d", feature_distance(F.col("fa"), F.col("fb")))
+    legal = pairs.where((F.col("sa") <= medium) | ((F.col("d") < alike) & (F.col("sa") + F.col("sb") <= growth * F.col("most"))))
+    starts = legal.groupBy("a").agg(F.min(F.struct("d", "b")).alias("x")).select(F.least("a", "x.b").alias("lo"), F.greatest("a", "x.b").alias("hi"), "x.d").distinct()
+    sides = starts.select(F.col("lo").alias("g"), "d", "lo", "hi").union(starts.select(F.col("hi").alias("g"), "d", "lo", "hi"))
+    return sides.groupBy("g").agg(F.min(F.struct("d", "lo", "hi")).alias("x")).groupBy("x.lo", "x.hi").agg(F.count("*").alias("n")).where("n = 2").select("lo", "hi")
+
+
+def merge_similar(regions: DataFrame, contacts: DataFrame, medium: float, limit: float, alike: float = 0.7, growth: float = 2.5, top: int = 4, rural: float | None = None, urban: tuple = ()) -> DataFrame:
+    """(node, into): regions (node, size, features and, with `rural`, cls and share) merged with neighbours (a, b, length).
+
+    Rounds of `merge_round`, whose rules these are, until no pair may merge. Features are averaged by size; a merged region
+    has the class whose part of it is the largest, and that part as its share. Many small regions take many rounds.
+    """
+    into = stored(regions.select("node", F.col("node").alias("into")))
+    named = "cls" in regions.columns
+    state = stored(regions.select(F.col("node").alias("g"), "size", "features", *(["cls", "share"] if named else [])))
+    border = stored(contacts.select("a", "b", "length").union(contacts.select("b", "a", "length")))
     while True:
-        own = state.select(F.col("g").alias("a"), F.col("size").alias("sa"), F.col("features").alias("fa"))
-        other = state.select(F.col("g").alias("b"), F.col("size").alias("sb"), F.col("features").alias("fb"))
-        pairs = border.join(own, "a").join(other, "b").withColumn("d", feature_distance(F.col("fa"), F.col("fb")))
-        ranked = pairs.groupBy("a").agg(F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("length", (-F.col("b")).alias("o"), "b", "d", "sa", "sb")))), 1, top).alias("n"))
-        close = ranked.select("a", F.inline("n"))
-        both = close.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"), "d", "sa", "sb").distinct()
-        legal = both.where((F.least("sa", "sb") < medium) | ((F.col("d") < alike) & (F.col("sa") + F.col("sb") <= growth * limit))).select("lo", "hi", "d").distinct()
-        sides = legal.select(F.col("lo").alias("g"), "d", "lo", "hi").union(legal.select(F.col("hi").alias("g"), "d", "lo", "hi"))
-        best = sides.groupBy("g").agg(F.min(F.struct("d", "lo", "hi")).alias("x")).groupBy("x.lo", "x.hi").agg(F.count("*").alias("n")).where("n = 2").select("lo", "hi")
-        best = settle(best)
+        best = stored(merge_round(state, border, medium, limit, rural, urban, alike, growth, top))
         if best.isEmpty():
             return into
         move = best.select(F.col("hi").alias("g"), F.col("lo").alias("new"))  # a pair each: nothing moves twice
-        now = lambda df, c: df.join(move.select(F.col("g").alias(c), "new"), c, "left").withColumn(c, F.coalesce("new", c)).drop("new")
-        into = settle(now(into, "into"))
-        border = settle(now(now(border, "a"), "b").where("a <> b").groupBy("a", "b").agg(F.sum("length").alias("length")))
+        now = lambda df, c: df.join(move.select(F.col("g").alias(c), "new"), c, "left").withColumn(c, F.coalesce("new", c)).drop("new")  # noqa: E731, B023
+        into = stored(now(into, "into"))
+        border = stored(now(now(border, "a"), "b").where("a <> b").groupBy("a", "b").agg(F.sum("length").alias("length")))
         weighted = now(state, "g").withColumn("features", F.transform("features", lambda f: f * F.col("size")))
-        parts = weighted.groupBy("g").agg(F.sum("size").alias("size"), F.array_sort(F.collect_list(F.struct("features"))).alias("l"))  # two at most
-        state = settle(parts.select("g", "size", F.transform(F.aggregate(F.slice("l", 2, 2), F.element_at("l", 1)["features"], lambda s, x: F.zip_with(s, x["features"], lambda p, q: p + q)), lambda f: f / F.col("size")).alias("features")))
+        part = [F.max(F.struct((F.col("size") * F.col("share")).alias("w"), "cls")).alias("_c"), F.count_distinct("cls").alias("_k"), F.sum(F.col("size") * F.col("share")).alias("_w")] if named else []
+        parts = weighted.groupBy("g").agg(F.sum("size").alias("size"), F.array_sort(F.collect_list(F.struct("features"))).alias("l"), *part)  # two at most
+        features = F.transform(F.aggregate(F.slice("l", 2, 2), F.element_at("l", 1)["features"], lambda s, x: F.zip_with(s, x["features"], lambda p, q: p + q)), lambda f: f / F.col("size")).alias("features")
+        own = [F.col("_c.cls").alias("cls"), (F.when(F.col("_k") == 1, F.col("_w")).otherwise(F.col("_c.w")) / F.col("size")).alias("share")] if named else []
+        state = stored(parts.select("g", "size", features, *own))
 
 
 def segment_by_similarity(px: DataFrame, bands: list[str], step: int, compactness: float, medium: float, limit: float, alike: float) -> DataFrame:
@@ -109,10 +124,3 @@ def simplify_coverage(px: DataFrame, region: str, size: float = 1.0) -> DataFram
     point = lambda k: (F.when(F.col("u"), F.col("at")).otherwise(F.col(k)) * size, F.when(F.col("u"), F.col(k)).otherwise(F.col("at")) * -size)
     (x1, y1), (x2, y2) = point("s"), point("t")
     return e.select("a", "b", x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
-
-
-def sea_labels(px: DataFrame, mask: str, seeds: DataFrame) -> DataFrame:
-    """(region): connected regions of the mask that hold a seed pixel (r, c)."""
-    reg = connected_components(px.where(F.col(mask) == 1), mask)
-    return reg.join(seeds.select("r", "c").distinct(), ["r", "c"]).select("region").distinct()
-

@@ -6,29 +6,36 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arpent.functions.geometry import perpendicular
+from arpent.functions.geometry import point_distance
 from arpent.operators import focal as fo
 from arpent.operators import segments as sg
 from arpent.operators.joins import BOX, box_join, points_in_boxes
 from arpent.operators.learning import assemble
 from arpent.operators.lineage import settle
 from arpent.operators.lines import allowed_merges, first_hits, ray_hits_box, tag_by_line
+from arpent.operators.polygons import with_box
 from arpent.operators.regions import connected_components, link_tops
 from arpent.plans.climate import Tree, compile_tree
 
 
-def aspect_ratio(roads: DataFrame, buildings: DataFrame, zones: DataFrame, reach: float, size: float, default: float = 0.0) -> DataFrame:
-    """(fid, aspect): mean over the road segments whose middle lies in a zone of ((h1 + h2) / 2) / (w1 + w2), where h and w are
-    height and distance of the nearest building on either side, sought at right angles within reach; the default elsewhere."""
-    lx, ly, rx, ry = perpendicular(*[F.col(c) for c in ("x1", "y1", "x2", "y2")], 1.0)
-    mid = roads.withColumn("px", (F.col("x1") + F.col("x2")) / 2).withColumn("py", (F.col("y1") + F.col("y2")) / 2)
-    ray = lambda k, x, y: mid.select((F.col("seg") * 2 + k).alias("id"), "px", "py", (x - F.col("px")).alias("ux"), (y - F.col("py")).alias("uy"))
+def aspect_ratio(roads: DataFrame, buildings: DataFrame, zones: DataFrame, reach: float, size: float, step: float, buffer: float, default: float = 0.0) -> DataFrame:
+    """(fid, aspect): mean over the road points within `buffer` of a zone of ((h1 + h2) / 2) / (w1 + w2), where it is above 0.
+
+    Road points are the first points of segments (seg, x1, y1, x2, y2) of half a step or more. h and w are height and
+    distance of the nearest building on either side, sought from the point at right angles to the segment within reach.
+    Zones (rings) without such a point get the default.
+    """
+    length = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    at = roads.where(length >= step / 2).withColumns({"px": F.col("x1"), "py": F.col("y1"), "nx": -(F.col("y2") - F.col("y1")) / length, "ny": (F.col("x2") - F.col("x1")) / length})
+    ray = lambda k, s: at.select((F.col("seg") * 2 + k).alias("id"), "px", "py", (s * F.col("nx")).alias("ux"), (s * F.col("ny")).alias("uy"))
     hit = lambda px, py, ux, uy, pairs: ray_hits_box(px, py, ux, uy, *[F.col(f"b_{c}") for c in BOX])
-    hits = first_hits(ray(0, lx, ly).unionByName(ray(1, rx, ry)), buildings.select("fid", "hauteur", *BOX), reach, size, hit, ["hauteur"])
+    hits = first_hits(ray(0, 1.0).unionByName(ray(1, -1.0)), buildings.select("fid", "hauteur", *BOX), reach, size, hit, ["hauteur"])
     two = hits.groupBy(F.floor(F.col("id") / 2).cast("long").alias("seg")).agg(F.count("*").alias("n"), F.sum("hauteur").alias("h"), F.sum("t").alias("w")).where("n = 2")
-    ratio = two.select("seg", F.try_divide(F.col("h") / 2, F.col("w")).alias("ratio"))
-    held = points_in_boxes(mid.join(ratio, "seg").select("seg", F.col("px").alias("x"), F.col("py").alias("y"), "ratio"), zones, size)
-    mean = held.groupBy(F.col("b_fid").alias("fid")).agg(F.avg("p_ratio").alias("aspect"))
+    ratio = two.select("seg", F.try_divide(F.col("h") / 2, F.col("w")).alias("ratio")).where("ratio > 0")
+    points = at.join(ratio, "seg").select("seg", F.col("px").alias("xmin"), F.col("py").alias("ymin"), F.col("px").alias("xmax"), F.col("py").alias("ymax"), "ratio")
+    near = box_join(with_box(zones.select("fid", "rings")), points, size, pad=buffer, closed=True)
+    held = near.where(point_distance(F.col("a_rings"), F.col("b_xmin"), F.col("b_ymin")) <= buffer)
+    mean = held.groupBy(F.col("a_fid").alias("fid")).agg(F.avg("b_ratio").alias("aspect"))
     return zones.select("fid").join(mean, "fid", "left").select("fid", F.coalesce("aspect", F.lit(default)).alias("aspect"))
 
 

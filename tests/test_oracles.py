@@ -8,6 +8,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
+import arpent.catalogue_bands  # noqa: F401
 import arpent.catalogue_extra  # noqa: F401
 import arpent.catalogue_focal  # noqa: F401
 import arpent.catalogue_more  # noqa: F401
