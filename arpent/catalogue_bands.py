@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from arpent.catalogue import query, r6
 from arpent.operators import bands as bd
+from arpent.operators import learning as le
 
 
 def _superimposed(ratio: float) -> str:
@@ -80,3 +81,11 @@ def _(t):
 def _(t):
     out = bd.independent_components(t("px").select("pid", "red", "nir", "swir1"), ["red", "nir", "swir1"], 2, 10)
     return out.select("pid", "component_0", "component_1")
+
+
+@query("ml_principal_variances", "SELECT CAST(k AS INTEGER) AS component, round((a + c + (1 - 2 * k) * sqrt((a - c) ** 2 + 4 * b * b)) / 2, 4) AS variance FROM (SELECT var_pop(red) AS a, covar_pop(red, nir) AS b, var_pop(nir) AS c FROM px) CROSS JOIN range(0, 2) r(k)")
+def _(t):
+    """Variances of the principal components of two bands, measured on the components."""
+    out = le.reduce_dimensions(t("px").select("pid", "red", "nir"), ["red", "nir"], 2)
+    own = out.agg(*[F.round(F.var_pop(F.element_at("components", k + 1)), 4).alias(f"v{k}") for k in (0, 1)])
+    return own.select(F.inline(F.array(*[F.struct(F.lit(k).alias("component"), F.col(f"v{k}").alias("variance")) for k in (0, 1)])))

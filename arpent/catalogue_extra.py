@@ -251,7 +251,10 @@ def _(t):
     return urban.structures_by_edges(t("px").select("pid", "r", "c", "nir"), "nir", 500.0, 5)
 
 
-@query("dm_tree_crowns", None)
+@query("dm_tree_crowns", """WITH h AS (SELECT pid, r, c, x, y, CAST(hgt AS DOUBLE) AS hgt FROM px JOIN height_px USING (pid) WHERE nir / (nir + red + 1) > 0.5 AND hgt > 100), e AS (SELECT p.pid AS a, q.pid AS b FROM h p JOIN h q ON abs(p.r - q.r) + abs(p.c - q.c) = 1),
+w(pid, root) AS (SELECT pid, pid FROM h UNION SELECT e.b, w.root FROM w JOIN e ON e.a = w.pid WHERE w.root < e.b), l AS (SELECT pid, min(root) AS region FROM w GROUP BY pid),
+t AS (SELECT region, count(*) AS pixels, max(hgt) AS top, arg_max(x, (hgt, -pid)) AS x, arg_max(y, (hgt, -pid)) AS y FROM l JOIN h USING (pid) GROUP BY region), f AS (SELECT p.region AS a, q.region AS b FROM t p JOIN t q ON p.region <> q.region AND sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2) <= 3 AND abs(p.top - q.top) <= 20),
+v(region, root) AS (SELECT region, region FROM t UNION SELECT f.b, v.root FROM v JOIN f ON f.a = v.region WHERE v.root < f.b), u AS (SELECT region, min(root) AS crown FROM v GROUP BY region) SELECT region, pixels, top, crown FROM t JOIN u USING (region)""")
 def _(t):
     h = t("px").join(t("height_px").withColumn("hgt", F.col("hgt").cast("double")), "pid").select("pid", "r", "c", "x", "y", "hgt", (F.col("nir") / (F.col("nir") + F.col("red") + 1)).alias("green"))
     return urban.tree_crowns(h, "green", "hgt", 0.5, 100, 10.0, 3.0, 20.0).select("region", "pixels", "top", "crown")
