@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,10 @@ REMEMBERED, SLICE_CHARS, QUERY_BYTES = 400_000, 2_000_000, 1_000_000
 #: ROUNDS rounds a query, so that its rows stay bounded. Ids that are decoded as one sequence.
 LONG_WORD, ROUNDS, SEQUENCE = 256, 48, 100_000
 
+#: A long word is first cut wherever two bytes meet that no token holds side by side, as no merge crosses such a place. What
+#: is still longer than this contracts by a heap of pairs, in time n log n and memory in proportion, and not in a query.
+HEAPED = 60_000
+
 #: A row is a token at its position with the token after it (-1: none). A round joins the live rows to the merges, takes each
 #: word's leftmost pair of least rank and contracts it; a word without such a pair is passed on once more, no longer live.
 CONTRACT = """
@@ -97,14 +102,56 @@ class Codec:
         self.con.register("vocabulary_in", pa.table({"token": pa.array(self.ranks.values(), pa.int32()), "piece": [t.hex() for t in self.ranks]}))
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary_in")
         self.known: dict[str, bytes] = {}
+        self.pairs = dict(pairs)
+        self.beside = np.zeros((256, 256), bool)  # bytes that stand side by side in a token
+        for t in self.ranks:
+            if len(t) > 1:
+                b = np.frombuffer(t, np.uint8)
+                self.beside[b[:-1], b[1:]] = True
 
     def contract(self, words: list[bytes]) -> list[bytes]:
-        """The ids of each word, as little-endian 32-bit integers."""
+        """The ids of each word, as little-endian 32-bit integers; long words part by part."""
+        parts = [self._parts(w) if len(w) > LONG_WORD else [w] for w in words]
+        if len(parts) == sum(map(len, parts)):
+            return self._contract(words)
+        done = iter(self._contract([p for held in parts for p in held]))
+        return [b"".join([next(done) for _ in held]) for held in parts]
+
+    def _parts(self, word: bytes) -> list[bytes]:
+        b = np.frombuffer(word, np.uint8)
+        at = [0, *(np.flatnonzero(~self.beside[b[:-1], b[1:]]) + 1).tolist(), len(word)]
+        return [word[i:j] for i, j in zip(at, at[1:], strict=False)]
+
+    def _heap(self, word: bytes) -> bytes:
+        """The leftmost pair of least rank again and again, from a heap of rank and place; pairs that are gone are passed over."""
+        token, n = self.byte[np.frombuffer(word, np.uint8)].tolist(), len(word)
+        after, before, pairs = list(range(1, n + 1)), list(range(-1, n - 1)), self.pairs
+        heap = [r << 32 | i for i in range(n - 1) if (r := pairs.get(token[i] << 32 | token[i + 1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            top = heapq.heappop(heap)
+            rank, i = top >> 32, top & 0xFFFFFFFF
+            j = after[i]
+            if token[i] < 0 or j >= n or pairs.get(token[i] << 32 | token[j]) != rank:
+                continue
+            token[i], token[j], k, h = rank, -1, after[j], before[i]
+            after[i] = k
+            if k < n:
+                before[k] = i
+                if (r := pairs.get(rank << 32 | token[k])) is not None:
+                    heapq.heappush(heap, r << 32 | i)
+            if h >= 0 and (r := pairs.get(token[h] << 32 | rank)) is not None:
+                heapq.heappush(heap, r << 32 | h)
+        return np.array([t for t in token if t >= 0], "<u4").tobytes()
+
+    def _contract(self, words: list[bytes]) -> list[bytes]:
         out = [b""] * len(words)
         short, long = [], []
         for i, w in enumerate(words):
             if w in self.ranks:
                 out[i] = self.ranks[w].to_bytes(4, "little")
+            elif len(w) > HEAPED:
+                out[i] = self._heap(w)
             else:
                 (long if len(w) > LONG_WORD else short).append(i)
         for todo, way in ((short, self._short), (long, self._long)):

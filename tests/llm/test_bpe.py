@@ -52,3 +52,15 @@ def test_long_words_equal_the_library():
     got = c.contract([w.encode() for w in words])
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [enc.encode_ordinary(w) for w in words]
     assert c.decode([*got, b""]) == [*[w.encode() for w in words], b""]
+
+
+def test_very_long_words():
+    """Cut where no token goes on, by a heap beyond: equal letters, random ones, a period, and other scripts."""
+    rng = random.Random(4)
+    codec, enc = bpe.Codec(open(PATH, "rb").read(), P.PATTERN), encoding()
+    letters = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=100_000))
+    words = ["a" * 1_500_000, letters, "ab" * 50_000, "\u65e5\u672c" * 40_000, "=" * 70_001, "".join(rng.choices("ea", k=70_000)), "x" * 300]
+    for word in words:
+        text = "one " + word + " two"
+        (got,) = next(codec.encoded([text]))
+        assert got == np.array(enc.encode_ordinary(text), "<u4").tobytes()
