@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arpent.catalogue import CELL, INDEX_SQL, r6, query

@@ -10,7 +10,6 @@ from arpent.functions import geometry as ge
 from arpent.operators import focal as fo
 from arpent.operators import joins as jn
 from arpent.operators import overlay as ov
-from arpent.operators import tables as tb
 from arpent.operators import zonal as zo
 from arpent.plans import climate
 from arpent.plans import landcover as lc

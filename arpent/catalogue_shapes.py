@@ -147,6 +147,18 @@ def _(t):
     return po.points_in_polygons(t("pt"), ell(t("zone_ov"), "fid"), CELL).groupBy(F.col("b_fid").alias("fid")).agg(F.count("*").alias("n"))
 
 
+@query("jn_polygons_containing", f"SELECT fid FROM zone_ov WHERE EXISTS (SELECT 1 FROM pt WHERE pt.z > 5000 AND {_IN_ELL})")
+def _(t):
+    return po.polygons_containing(ell(t("zone_ov"), "fid"), t("pt").where("z > 5000"), CELL).select("fid")
+
+
+@query("jn_polygons_met_by_lines", "SELECT fid FROM zone_ov WHERE EXISTS (SELECT 1 FROM bld b WHERE b.ymin > zone_ov.ymin AND b.ymin < zone_ov.ymax AND b.xmin < CASE WHEN b.ymin < (zone_ov.ymin + zone_ov.ymax) / 2 THEN zone_ov.xmax ELSE (zone_ov.xmin + zone_ov.xmax) / 2 END AND b.xmax > zone_ov.xmin)")
+def _(t):
+    """L shapes that the lower side of a building, moved off their edges, lies in, ends in or crosses."""
+    lines = t("bld").select(F.col("xmin").alias("x1"), F.col("ymin").alias("y1"), F.col("xmax").alias("x2"), F.col("ymin").alias("y2"))
+    return po.polygons_met_by_lines(ell(t("zone_ov"), "fid"), lines, CELL).select("fid")
+
+
 @query("jn_polygon_covered_by", "SELECT a.fid, (SELECT b.fid FROM zone_ov b WHERE b.fid <> a.fid AND b.xmin <= a.xmin AND b.ymin <= a.ymin AND b.xmax >= a.xmax AND b.ymax >= a.ymax ORDER BY (b.xmax - b.xmin) * (b.ymax - b.ymin), b.fid LIMIT 1) AS within FROM zone_ov a")
 def _(t):
     return po.covered_by(boxes(t("zone_ov"), "fid"), CELL)

@@ -125,12 +125,6 @@ def perpendicular(x1: Column, y1: Column, x2: Column, y2: Column, d: float) -> l
     return [mx + ux, my + uy, mx - ux, my - uy]
 
 
-def line_segments(df: DataFrame, line: str) -> DataFrame:
-    """A row for each segment of a line of many points: k, x1, y1, x2, y2."""
-    parts = df.select(*[c for c in df.columns if c != line], F.posexplode(segments(F.col(line))).alias("k", "_s"))
-    return parts.select("*", F.col("_s.p.x").alias("x1"), F.col("_s.p.y").alias("y1"), F.col("_s.q.x").alias("x2"), F.col("_s.q.y").alias("y2")).drop("_s")
-
-
 def points_along(df: DataFrame, most: float) -> DataFrame:
     """Points of segments (x1, y1, x2, y2) spaced at most `most` apart, ends included: k, x, y."""
     n = F.greatest(F.lit(1), F.ceil(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")) / most)).cast("int")

@@ -244,10 +244,6 @@ def polygons_of(lines: DataFrame, size: float, g: str = "g") -> DataFrame:
     return whole
 
 
-def outline_length(rings: Column) -> Column:
-    return ge.perimeter(rings)
-
-
 # --- regions of pixels -------------------------------------------------------------------------------------------------
 
 _SIDES = [(1, 0, (-1, -1), (1, -1)), (0, 1, (1, -1), (1, 1)), (-1, 0, (1, 1), (-1, 1)), (0, -1, (-1, 1), (-1, -1))]  # rows grow downwards

@@ -158,11 +158,22 @@ def polygons_within(a: DataFrame, b: DataFrame, d: float, size: float) -> DataFr
 
 
 def polygons_containing(polygons: DataFrame, points: DataFrame, size: float, key: str = "fid") -> DataFrame:
-    """Polygons that hold a point or more."""
+    """Polygons that hold a point (x, y) or more."""
     ids = points_in_polygons(points, polygons, size).select(F.col(f"b_{key}").alias(key)).distinct()
     return polygons.join(ids, key, "left_semi")
 
 
+def polygons_met_by_lines(polygons: DataFrame, segments: DataFrame, size: float, key: str = "fid") -> DataFrame:
+    """Polygons that a segment (x1, y1, x2, y2) or more of a layer of lines lies in, ends in or crosses; JVM-side."""
+    seg = segments.select("x1", "y1", "x2", "y2", F.least("x1", "x2").alias("xmin"), F.least("y1", "y2").alias("ymin"), F.greatest("x1", "x2").alias("xmax"), F.greatest("y1", "y2").alias("ymax"))
+    pairs = box_join(with_box(polygons.select(key, "rings")), seg, size, closed=True)
+    x1, y1, x2, y2 = (F.col(f"b_{c}") for c in ("x1", "y1", "x2", "y2"))
+    turn = lambda ax, ay, bx, by, cx, cy: F.signum((bx - ax) * (cy - ay) - (by - ay) * (cx - ax))
+    crosses = lambda s: (turn(x1, y1, x2, y2, s["p"]["x"], s["p"]["y"]) * turn(x1, y1, x2, y2, s["q"]["x"], s["q"]["y"]) < 0) & (turn(s["p"]["x"], s["p"]["y"], s["q"]["x"], s["q"]["y"], x1, y1) * turn(s["p"]["x"], s["p"]["y"], s["q"]["x"], s["q"]["y"], x2, y2) < 0)
+    met = ge.contains(F.col("a_rings"), x1, y1) | ge.contains(F.col("a_rings"), x2, y2) | F.exists(F.flatten(F.transform("a_rings", ge.segments)), crosses)
+    return polygons.join(pairs.where(met).select(F.col(f"a_{key}").alias(key)).distinct(), key, "left_semi")
+
+
 def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float, x: str = "x", y: str = "y") -> DataFrame:
     """(p_*, b_*) where a point lies in a polygon by the even-odd rule; JVM-side."""
     return points_in_boxes(points, with_box(polygons), size, x, y).where(ge.contains(F.col("b_rings"), F.col(f"p_{x}"), F.col(f"p_{y}")))

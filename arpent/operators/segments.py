@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arpent.operators.lineage import settle, stored
-from arpent.operators.regions import connected_components
 
 
 def superpixels(px: DataFrame, bands: list[str], step: int, compactness: float, rounds: int = 5) -> DataFrame:
