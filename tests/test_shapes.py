@@ -67,3 +67,13 @@ def test_surrogate_forest_follows_its_tree(spark):
     tree = [{"h": [-1, 30, [{"b": [-1, 50, "low"]}, {"b": [50, 101, "dense"]}]]}, {"h": [30, 60, "high"]}]
     out = urban.forest_zones(zones, tree, ["h", "b"], 800, 10)
     assert out.where("lcz = lcz_rf").count() >= 570
+
+
+def test_only_regions_up_to_their_own_limit_start_a_merge(spark):
+    """Two large regions stay apart however alike; a rural one under its limit joins a large one; classes follow the larger part."""
+    regions = spark.createDataFrame([(1, 12.0, [0.0], 1, 1.0), (2, 12.0, [0.0], 1, 1.0), (3, 15.0, [0.1], 2, 0.8), (4, 40.0, [0.1], 2, 1.0), (5, 2.0, [0.9], 1, 1.0)], "node long, size double, features array<double>, cls int, share double")
+    contacts = spark.createDataFrame([(1, 2, 5.0), (3, 4, 5.0), (4, 5, 1.0)], "a long, b long, length double")
+    into = {r["node"]: r["into"] for r in sg.merge_similar(regions, contacts, 4.0, 10.0, 0.5, 10.0, 4, rural=20.0, urban=(1,)).collect()}
+    assert into == {1: 1, 2: 2, 3: 3, 4: 3, 5: 3}
+    free = {r["node"]: r["into"] for r in sg.merge_similar(regions.drop("cls", "share"), contacts, 4.0, 12.0, 0.5, 10.0, 4).collect()}
+    assert free == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4}
