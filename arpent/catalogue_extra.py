@@ -113,7 +113,8 @@ def _(t):
     y = (F.col("ymin") + F.col("ymax")) / 2
     stubs = t("bld").select(F.col("fid").alias("seg"), F.col("xmin").alias("x1"), y.alias("y1"), F.col("xmax").alias("x2"), y.alias("y2"))
     x = ((F.col("n_nationkey") * 9) % 125).cast("double")
-    refs = t("nation").select(F.col("n_nationkey").alias("fid"), x.alias("x1"), F.lit(-10.0).alias("y1"), x.alias("x2"), F.lit(2000.0).alias("y2"))
+    h = F.broadcast(t("grid_meta").select("h"))  # one row
+    refs = t("nation").crossJoin(h).select(F.col("n_nationkey").alias("fid"), x.alias("x1"), F.lit(-20.0).alias("y1"), x.alias("x2"), (F.col("h") + 20.0).alias("y2"))
     return ln.extend_to_reference(stubs, refs, 3.0, CELL).select("seg", F.round("x1", 6).alias("x1"), F.round("x2", 6).alias("x2"), F.round("y1", 6).alias("y"))
 
 
