@@ -403,7 +403,7 @@ def _(t):
     return jn.points_in_boxes(t("px").select("pid", "x", "y"), t("zone_ov"), CELL).select(F.col("b_fid").alias("fid"), F.col("p_pid").alias("pid"))
 
 
-@query("jn_cut_grid", "SELECT CAST(tx AS BIGINT) AS tx, CAST(ty AS BIGINT) AS ty, count(*) AS n FROM px, range(0, 7) a(tx), range(0, 100) b(ty) WHERE c BETWEEN tx * 20 - 2 AND tx * 20 + 21 AND r BETWEEN ty * 20 - 2 AND ty * 20 + 21 GROUP BY tx, ty")
+@query("jn_cut_grid", "SELECT tx, ty, count(*) AS n FROM (SELECT *, unnest(range(CAST(greatest(0, ceil((r - 21) / 20)) AS BIGINT), CAST(floor((r + 2) / 20) AS BIGINT) + 1)) AS ty FROM (SELECT r, unnest(range(CAST(greatest(0, ceil((c - 21) / 20)) AS BIGINT), CAST(floor((c + 2) / 20) AS BIGINT) + 1)) AS tx FROM px)) GROUP BY tx, ty")
 def _(t):
     return jn.cut_grid(t("px"), 20, 2).groupBy("tx", "ty").agg(F.count("*").alias("n"))
 
