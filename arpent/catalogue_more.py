@@ -132,7 +132,7 @@ def _(t):
     return ly.select_scenes(s, (20, 0, 60, 1)).select("date", "n", "xmin", "xmax")
 
 
-@query("src_select_tiles", "SELECT fid, lpad(CAST(CAST(tx AS BIGINT) AS VARCHAR), 4, '0') || '_' || lpad(CAST(CAST(ty AS BIGINT) AS VARCHAR), 4, '0') AS tile FROM zone_ov, range(0, 40) a(tx), range(0, 400) b(ty) WHERE tx BETWEEN floor(xmin / 4) AND ceil(xmax / 4) - 1 AND ty BETWEEN floor(ymin / 4) AND ceil(ymax / 4) - 1")
+@query("src_select_tiles", "SELECT fid, lpad(CAST(tx AS VARCHAR), greatest(4, length(CAST(tx AS VARCHAR)))::INT, '0') || '_' || lpad(CAST(ty AS VARCHAR), greatest(4, length(CAST(ty AS VARCHAR)))::INT, '0') AS tile FROM (SELECT *, unnest(range(CAST(floor(ymin / 4) AS BIGINT), CAST(ceil(ymax / 4) AS BIGINT))) AS ty FROM (SELECT *, unnest(range(CAST(floor(xmin / 4) AS BIGINT), CAST(ceil(xmax / 4) AS BIGINT))) AS tx FROM zone_ov))")
 def _(t):
     return ly.select_tiles(t("zone_ov"), 4.0, 4.0).select("fid", "tile")
 

@@ -103,10 +103,11 @@ def select_scenes(scenes: DataFrame, bbox: tuple[float, float, float, float]) ->
 
 
 def select_tiles(rois: DataFrame, size: float, unit: float = 1000.0) -> DataFrame:
-    """Aligned square tiles that meet each region's box, named by padded x_y in the unit."""
+    """Aligned square tiles that meet each region's box, named by x_y in the unit, padded to four digits; longer ones stay whole."""
     span = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / size), F.ceil(F.col(b) / size) - 1))
     t = rois.where("xmax > xmin AND ymax > ymin").withColumn("tx", span("xmin", "xmax")).withColumn("ty", span("ymin", "ymax"))
-    pad = lambda c: F.lpad((F.col(c) * size / unit).cast("long").cast("string"), 4, "0")
+    name = lambda c: (F.col(c) * size / unit).cast("long").cast("string")
+    pad = lambda c: F.lpad(name(c), F.greatest(F.lit(4), F.length(name(c))), F.lit("0"))
     return t.withColumn("tile", F.concat_ws("_", pad("tx"), pad("ty")))
 
 
