@@ -14,10 +14,11 @@ from arpent.operators import zonal as zo
 from arpent.plans import climate
 from arpent.plans import landcover as lc
 
-_UNIT = "SELECT a.fid, i, j FROM zone_ov a, range(0, 140) u(i), range(-5, 1300) v(j) WHERE i >= a.xmin AND i < a.xmax AND j >= a.ymin AND j < a.ymax"
+#: Unit squares of each box, whose corners are whole numbers.
+_UNIT = "SELECT fid, i, unnest(range(CAST(ymin AS BIGINT), CAST(ymax AS BIGINT))) AS j FROM (SELECT *, unnest(range(CAST(xmin AS BIGINT), CAST(xmax AS BIGINT))) AS i FROM zone_ov)"
 
 
-@query("jn_difference_overlay", f"WITH u AS ({_UNIT}) SELECT fid, CAST(count(*) AS DOUBLE) AS area FROM u WHERE NOT EXISTS (SELECT 1 FROM zone_ov b WHERE b.fid % 3 = 0 AND u.fid % 3 <> 0 AND i >= b.xmin AND i < b.xmax AND j >= b.ymin AND j < b.ymax) AND fid % 3 <> 0 GROUP BY fid")
+@query("jn_difference_overlay", f"WITH u AS ({_UNIT}) SELECT fid, CAST(count(*) AS DOUBLE) AS area FROM u WHERE NOT EXISTS (SELECT 1 FROM u b WHERE b.fid % 3 = 0 AND b.i = u.i AND b.j = u.j) AND fid % 3 <> 0 GROUP BY fid")
 def _(t):
     z = t("zone_ov")
     out = ov.difference_overlay(z.where("fid % 3 <> 0"), z.where("fid % 3 = 0"), CELL)

@@ -28,7 +28,7 @@ def tall(spark, sf_dir, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["cc_extend_to_reference", "jn_cut_grid", "src_select_tiles"])
+@pytest.mark.parametrize("name", ["cc_extend_to_reference", "jn_cut_grid", "jn_difference_overlay", "src_select_tiles"])
 def test_query_equals_sql_on_a_tall_grid(spark, tall, name):
     con = duckdb.connect()
     for t in ("orders", "supplier", "part", "nation", "region", "customer", "lineitem", "events"):
