@@ -25,7 +25,7 @@ def _(t):
     return out.groupBy("fid").agg(F.sum((F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))).alias("area"))
 
 
-@query("wn_priority_remove_overlaps", f"WITH u AS ({_UNIT}) SELECT fid, CAST(count(*) AS DOUBLE) AS area FROM u WHERE NOT EXISTS (SELECT 1 FROM zone_ov b WHERE b.fid > u.fid AND i >= b.xmin AND i < b.xmax AND j >= b.ymin AND j < b.ymax) GROUP BY fid HAVING count(*) > 4")
+@query("wn_priority_remove_overlaps", f"WITH u AS ({_UNIT}) SELECT fid, CAST(count(*) AS DOUBLE) AS area FROM u WHERE NOT EXISTS (SELECT 1 FROM u b WHERE b.fid > u.fid AND b.i = u.i AND b.j = u.j) GROUP BY fid HAVING count(*) > 4")
 def _(t):
     out = ov.priority_remove_overlaps(t("zone_ov"), CELL, 4)
     return out.groupBy("fid").agg(F.sum((F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))).alias("area"))
