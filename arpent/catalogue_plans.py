@@ -31,7 +31,7 @@ def _(t):
     return out.groupBy("fid").agg(F.sum((F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))).alias("area"))
 
 
-@query("geo_subdivide", "SELECT fid, count(*) AS pieces, sum((least(xmax, i * 10 + 10) - greatest(xmin, i * 10)) * (least(ymax, j * 10 + 10) - greatest(ymin, j * 10))) AS area FROM zone_ov, range(0, 14) u(i), range(-1, 140) v(j) WHERE i * 10 < xmax AND i * 10 + 10 > xmin AND j * 10 < ymax AND j * 10 + 10 > ymin GROUP BY fid")
+@query("geo_subdivide", "SELECT fid, count(*) AS pieces, sum((least(xmax, i * 10 + 10) - greatest(xmin, i * 10)) * (least(ymax, j * 10 + 10) - greatest(ymin, j * 10))) AS area FROM (SELECT *, unnest(range(CAST(floor(ymin / 10) AS BIGINT), CAST(ceil(ymax / 10) AS BIGINT))) AS j FROM (SELECT *, unnest(range(CAST(floor(xmin / 10) AS BIGINT), CAST(ceil(xmax / 10) AS BIGINT))) AS i FROM zone_ov)) GROUP BY fid")
 def _(t):
     p = ov.subdivide(t("zone_ov"), 10.0)
     return p.groupBy("fid").agg(F.count("*").alias("pieces"), F.sum((F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))).alias("area"))
