@@ -39,7 +39,9 @@ def _(t):
 
 @query("jn_split_polygons_by_lines", "SELECT fid, 1 + (SELECT count(*) FROM (SELECT DISTINCT (n_nationkey * 9) % 125 AS x FROM nation) l WHERE x > xmin AND x < xmax) AS pieces FROM zone_ov")
 def _(t):
-    lines = t("nation").select(((F.col("n_nationkey") * 9) % 125).cast("double").alias("x"), F.lit(-10.0).alias("y1"), F.lit(2000.0).alias("y2")).distinct()
+    """Lines from below the grid to above it, whatever its height."""
+    h = F.broadcast(t("grid_meta").select("h"))  # one row
+    lines = t("nation").crossJoin(h).select(((F.col("n_nationkey") * 9) % 125).cast("double").alias("x"), F.lit(-20.0).alias("y1"), (F.col("h") + 20.0).alias("y2")).distinct()
     return ov.split_by_vertical_lines(t("zone_ov"), lines, CELL).groupBy("fid").agg(F.count("*").alias("pieces"))
 
 

@@ -28,7 +28,7 @@ def tall(spark, sf_dir, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["cc_extend_to_reference", "geo_subdivide", "jn_cut_grid", "jn_difference_overlay", "src_select_tiles", "wn_priority_remove_overlaps"])
+@pytest.mark.parametrize("name", ["cc_extend_to_reference", "geo_subdivide", "jn_cut_grid", "jn_difference_overlay", "jn_split_polygons_by_lines", "src_select_tiles", "wn_priority_remove_overlaps"])
 def test_query_equals_sql_on_a_tall_grid(spark, tall, name):
     con = duckdb.connect()
     for t in ("orders", "supplier", "part", "nation", "region", "customer", "lineitem", "events"):
