@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
 from statistics import NormalDist
 
 from pyspark.ml.classification import LinearSVC, OneVsRest, RandomForestClassifier
@@ -116,8 +115,9 @@ def reduce_dimensions(px: DataFrame, bands: list[str], k: int) -> DataFrame:
     return PCA(k=k, inputCol="features", outputCol="_pc").fit(wide).transform(wide).withColumn("components", vector_to_array("_pc")).drop("features", "_pc")
 
 
-def fisher_jenks(values: list[float], weights: list[int], classes: int) -> tuple[list[int], float]:
-    """First bin of each class, and goodness of variance fit, for sorted weighted bins: exact, quadratic in the bins."""
+def fisher_jenks_each(values: list[float], weights: list[int], classes: list[int]) -> list[tuple[list[int], float]]:
+    """First bin of each class, and goodness of variance fit, for sorted weighted bins and each number of classes: exact,
+    quadratic in the bins. Fewer classes are met on the way to the most."""
     import numpy as np
 
     v, w = np.asarray(values, float), np.asarray(weights, float)
@@ -127,10 +127,10 @@ def fisher_jenks(values: list[float], weights: list[int], classes: int) -> tuple
         n = sw[j] - sw[i]
         return sq[j] - sq[i] - (sv[j] - sv[i]) ** 2 / np.where(n > 0, n, 1)
 
-    m = len(v)
-    ends = np.arange(m + 1)
-    best, cut = cost(0, ends), np.zeros((classes, m + 1), int)
-    for k in range(1, classes):
+    m, most = len(v), max(classes)
+    best, cut = cost(0, np.arange(m + 1)), np.zeros((most, m + 1), int)
+    left = {1: best[m]}
+    for k in range(1, most):
         new = best.copy()
         for j in range(k + 1, m + 1):
             i = np.arange(k, j)
@@ -138,44 +138,66 @@ def fisher_jenks(values: list[float], weights: list[int], classes: int) -> tuple
             a = int(c.argmin())
             new[j], cut[k, j] = c[a], i[a]
         best = new
-    starts, j = [], m
-    for k in range(classes - 1, -1, -1):
-        j = int(cut[k, j])
-        starts.append(j)
+        left[k + 1] = best[m]
     total = cost(0, m)
-    return starts[::-1], float(1 - best[m] / total) if total > 0 else 1.0
 
+    def one(n: int):
+        starts, j = [], m
+        for k in range(n - 1, -1, -1):
+            j = int(cut[k, j])
+            starts.append(j)
+        return starts[::-1], float(1 - left[n] / total) if total > 0 else 1.0
 
-def natural_breaks(df: DataFrame, scene: str, value: str, classes: int, bins: int = 1024, loss: float = 1e-4) -> DataFrame:
-    """(scene, breaks, fit, counts): Fisher-Jenks on weighted bins of each scene; scenes in parallel.
+    return [one(n) for n in classes]
+
+
+def fisher_jenks(values: list[float], weights: list[int], classes: int) -> tuple[list[int], float]:
+    """`fisher_jenks_each` for one number of classes."""
+    return fisher_jenks_each(values, weights, [classes])[0]
+
+
+def _natural_bins(df: DataFrame, scene: str, value: str, bins: int, loss: float) -> DataFrame:
+    """(scene, _v, _w): mean and number of the values of each bin of each scene.
 
     Bins start at quantiles; those that hold more than their part of a loss (as a share of the scene's variance) are cut
     at their mean until none does, so outliers get bins of their own. Up to `bins` distinct values are bins of their own
-    from the start. The bins, not the rows, of a scene come together.
+    from the start. A row finds its bin by halving: `_p` holds the powers of 2 up to the number of edges, largest first.
     """
-    import pandas as pd
-
     rows = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(scene, F.col(value).cast("double").alias("_x"))
     share = [i / bins for i in range(bins)]
-    edges = settle(rows.groupBy(scene).agg(F.array_sort(F.array_distinct(F.percentile_approx("_x", F.lit(share), 100 * bins))).alias("_e"), F.var_pop("_x").alias("_var"), F.count("*").alias("_n")))
+    powers = F.transform(F.sequence(F.floor(F.log2(F.size("_e"))).cast("int"), F.lit(0)), lambda k: F.pow(F.lit(2.0), k).cast("int"))
+    edges = settle(rows.groupBy(scene).agg(F.array_sort(F.array_distinct(F.percentile_approx("_x", F.lit(share), 100 * bins))).alias("_e"), F.var_pop("_x").alias("_var"), F.count("*").alias("_n")).withColumn("_p", powers))
     while True:
-        at = F.size(F.filter("_e", lambda e: e <= F.col("_x")))
+        at = F.aggregate("_p", F.lit(0), lambda k, p: F.when(F.try_element_at("_e", k + p) <= F.col("_x"), k + p).otherwise(k))
         hist = rows.join(edges, scene).groupBy(scene, at.alias("_b")).agg(F.avg("_x").alias("_v"), F.count("*").alias("_w"), F.var_pop("_x").alias("_s"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.first("_var").alias("_var"), F.first("_n").alias("_n"))
         hist = settle(hist)
         cut = hist.where((F.col("_lo") < F.col("_hi")) & (F.col("_s") * F.col("_w") * bins > loss * F.col("_var") * F.col("_n")) & (F.col("_v") > F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
         more = settle(cut.groupBy(scene).agg(F.collect_list("_v").alias("_m")))
         if more.isEmpty():
-            break
-        edges = settle(edges.join(more, scene, "left").withColumn("_e", F.array_sort(F.array_distinct(F.concat("_e", F.coalesce("_m", F.array().cast("array<double>")))))).drop("_m"))
+            return hist.select(scene, "_v", "_w")
+        edges = settle(edges.join(more, scene, "left").withColumn("_e", F.array_sort(F.array_distinct(F.concat("_e", F.coalesce("_m", F.array().cast("array<double>")))))).drop("_m").withColumn("_p", powers))
+
+
+def _breaks_each(hist: DataFrame, scene: str, classes: list[int]) -> DataFrame:
+    """(scene, classes, breaks, fit, counts) for each number of classes; the bins of a scene come together."""
+    import pandas as pd
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_v")
         v, w = pdf["_v"].tolist(), pdf["_w"].tolist()
-        starts, fit = fisher_jenks(v, w, min(classes, len(pdf)))
-        sizes = [int(sum(w[a:b])) for a, b in zip(starts, [*starts[1:], len(w)], strict=True)]
-        return pd.DataFrame({scene: [pdf[scene].iloc[0]], "breaks": [[float(v[s]) for s in starts]], "fit": [fit], "counts": [sizes]})
+        found = fisher_jenks_each(v, w, [min(k, len(pdf)) for k in classes])
+        sizes = [[int(sum(w[a:b])) for a, b in zip(starts, [*starts[1:], len(w)], strict=True)] for starts, _ in found]
+        return pd.DataFrame({scene: [pdf[scene].iloc[0]] * len(classes), "classes": classes, "breaks": [[float(v[s]) for s in starts] for starts, _ in found], "fit": [fit for _, fit in found], "counts": sizes})
+
+    return hist.groupBy(scene).applyInPandas(one, f"{scene} {hist.schema[scene].dataType.simpleString()}, classes long, breaks array<double>, fit double, counts array<long>")
 
-    return hist.select(scene, "_v", "_w").groupBy(scene).applyInPandas(one, f"{scene} {df.schema[scene].dataType.simpleString()}, breaks array<double>, fit double, counts array<long>")
+
+def natural_breaks(df: DataFrame, scene: str, value: str, classes: int, bins: int = 1024, loss: float = 1e-4) -> DataFrame:
+    """(scene, breaks, fit, counts): Fisher-Jenks on weighted bins of each scene (`_natural_bins`); scenes in parallel.
+
+    The bins, not the rows, of a scene come together.
+    """
+    return _breaks_each(_natural_bins(df, scene, value, bins, loss), scene, [classes]).drop("classes")
 
 
 def low_classes(counts: Column) -> Column:
@@ -194,13 +216,11 @@ def threshold_of_counts(counts: Column, breaks: Column) -> tuple[Column, Column]
 
 def natural_breaks_threshold(df: DataFrame, scene: str, value: str, classes: range = range(20, 31), least_fit: float = 0.9) -> DataFrame:
     """(scene, centre, lower, rounds): where few values lie, by `threshold_of_counts` for each number of classes that fits
-    well enough, averaged over those numbers."""
-    rounds = []
-    for k in classes:
-        b = natural_breaks(df, scene, value, k).where(F.col("fit") >= least_fit)
-        centre, lower = threshold_of_counts(F.col("counts"), F.col("breaks"))
-        rounds.append(b.select(scene, lower.alias("lower"), centre.alias("centre")).where("lower IS NOT NULL"))
-    return reduce(lambda a, b: a.unionByName(b), rounds).groupBy(scene).agg(F.avg("centre").alias("centre"), F.avg("lower").alias("lower"), F.count("*").alias("rounds"))
+    well enough, averaged over those numbers. All numbers share their bins and one pass over them."""
+    b = _breaks_each(_natural_bins(df, scene, value, 1024, 1e-4), scene, list(classes)).where(F.col("fit") >= least_fit)
+    centre, lower = threshold_of_counts(F.col("counts"), F.col("breaks"))
+    found = b.select(scene, lower.alias("lower"), centre.alias("centre")).where("lower IS NOT NULL")
+    return found.groupBy(scene).agg(F.avg("centre").alias("centre"), F.avg("lower").alias("lower"), F.count("*").alias("rounds"))
 
 
 def split_train_validation(df: DataFrame, key: str, empty: str, percent: float, most_empty: float, seed: int = 1) -> DataFrame:
