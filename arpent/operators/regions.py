@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arpent.operators.joins import box_join
-from arpent.operators.lineage import settle
+from arpent.operators.lineage import stored
 
 
 #: Columns of a cell in which runs of neighbouring rows meet.
@@ -17,10 +17,11 @@ def label_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, label): the least node that edges (a, b) reach.
 
     Each round every node takes the least label of its neighbours, then the label of its label (pointer jumping), so the
-    number of rounds follows the logarithm of the diameter. A round is two grouped minima and two joins, checkpointed.
+    number of rounds follows the logarithm of the diameter. A round is two grouped minima and two joins, stored as files:
+    a checkpoint would hand on to the next round what the optimiser has inferred about the labels.
     """
-    both = settle(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
-    labels = settle(nodes.select("node", F.col("node").alias("label")))
+    both = stored(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
+    labels = stored(nodes.select("node", F.col("node").alias("label")))
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("m")).withColumnRenamed("a", "node")
         new = labels.join(near, "node", "left").select("node", "label", F.least("label", F.coalesce("m", "label")).alias("m"))
@@ -28,7 +29,7 @@ def label_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         hook = new.where("m < label").groupBy(F.col("label").alias("node")).agg(F.min("m").alias("h"))
         new = new.join(hook, "node", "left").select("node", F.least("m", F.coalesce("h", "m")).alias("label"))
         jump = new.select(F.col("node").alias("label"), F.col("label").alias("j"))
-        new = settle(new.join(jump, "label", "left").select("node", F.coalesce("j", "label").alias("label")))
+        new = stored(new.join(jump, "label", "left").select("node", F.coalesce("j", "label").alias("label")))
         if new.join(labels.withColumnRenamed("label", "was"), "node").where("label <> was").isEmpty():
             return new
         labels = new
@@ -46,7 +47,7 @@ def runs(px: DataFrame, value: str) -> DataFrame:
 
 def connected_components(px: DataFrame, value: str, eight: bool = False) -> DataFrame:
     """px with `region`: the least pid of its region of equal value, 4- or 8-connected."""
-    r = settle(runs(px, value))
+    r = stored(runs(px, value))
     reach = 1 if eight else 0
     cells = F.explode(F.sequence(F.floor(F.col("c0") / CELL_COLUMNS), F.floor((F.col("c1") + reach) / CELL_COLUMNS)))
     p = r.withColumn("_k", cells)
@@ -61,7 +62,7 @@ def connected_components(px: DataFrame, value: str, eight: bool = False) -> Data
 def polygonize(px: DataFrame, value: str, eight: bool = False, size: float = 1.0) -> DataFrame:
     """One row per region: value, pixels, bounding box and number of boundary edges, of pixels of a size."""
     half = size / 2
-    reg = settle(connected_components(px, value, eight).select("r", "c", "x", "y", "region", F.col(value).alias("value")))
+    reg = stored(connected_components(px, value, eight).select("r", "c", "x", "y", "region", F.col(value).alias("value")))
     side = F.inline(F.array(*[F.struct(F.lit(i).alias("dr"), F.lit(j).alias("dc")) for i, j in ((0, 1), (0, -1), (1, 0), (-1, 0))]))
     want = reg.select("region", "r", "c", side).withColumn("r", F.col("r") + F.col("dr")).withColumn("c", F.col("c") + F.col("dc"))
     there = reg.select("r", "c", F.col("region").alias("other"))
@@ -72,7 +73,7 @@ def polygonize(px: DataFrame, value: str, eight: bool = False, size: float = 1.0
 
 def sieve(px: DataFrame, value: str, least: int) -> DataFrame:
     """px whose regions (8-connected) of fewer than `least` pixels take the value of their largest neighbour region."""
-    reg = settle(connected_components(px, value, eight=True))
+    reg = stored(connected_components(px, value, eight=True))
     size = reg.groupBy("region").agg(F.count("*").alias("n"), F.first(value).alias("v"))
     side = F.inline(F.array(*[F.struct(F.lit(i).alias("dr"), F.lit(j).alias("dc")) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j]))
     small = size.where(F.col("n") < least).select("region")
@@ -95,7 +96,7 @@ def prune_dangling(lines: DataFrame, rounds: int = 5) -> DataFrame:
     for _ in range(rounds):
         ends = now.select("seg", F.inline(F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))))
         lone = ends.groupBy("x", "y").agg(F.count("*").alias("n"), F.min("seg").alias("seg")).where("n = 1").select("seg").distinct()
-        now = settle(now.join(lone, "seg", "left_anti"))
+        now = stored(now.join(lone, "seg", "left_anti"))
     return now
 
 
@@ -114,15 +115,15 @@ def merge_small(regions: DataFrame, contacts: DataFrame, least: float) -> DataFr
     Each round, a small group and the neighbour it likes best merge; ties go to the lower id. It ends when no group under
     the limit has a neighbour, so the result may differ from merging one at a time, smallest first.
     """
-    into = settle(regions.select("node", F.col("node").alias("into")))
-    sym = settle(contacts.select("a", "b", "length").union(contacts.select("b", "a", "length")))
+    into = stored(regions.select("node", F.col("node").alias("into")))
+    sym = stored(contacts.select("a", "b", "length").union(contacts.select("b", "a", "length")))
     while True:
         size = regions.join(into, "node").groupBy("into").agg(F.sum("size").alias("s"))
         small = size.where(F.col("s") < least).select(F.col("into").alias("ga"))
         g = sym.join(into.select(F.col("node").alias("a"), F.col("into").alias("ga")), "a").join(into.select(F.col("node").alias("b"), F.col("into").alias("gb")), "b").where("ga <> gb")
         best = g.join(small, "ga").groupBy("ga", "gb").agg(F.sum("length").alias("l")).groupBy("ga").agg(F.max(F.struct("l", (-F.col("gb")).alias("o"), "gb"))["gb"].alias("gb"))
-        best = settle(best)
+        best = stored(best)
         if best.isEmpty():
             return into
         labels = label_components(into.select(F.col("into").alias("node")).distinct(), best.select(F.col("ga").alias("a"), F.col("gb").alias("b")))
-        into = settle(into.join(labels.select(F.col("node").alias("into"), "label"), "into").select("node", F.col("label").alias("into")))
+        into = stored(into.join(labels.select(F.col("node").alias("into"), "label"), "into").select("node", F.col("label").alias("into")))
