@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arpent.functions import batches, shapes
 from arpent.functions import geometry as ge
-from arpent.functions import shapes
+from arpent.functions.batches import in_order, successors
 from arpent.operators.joins import points_in_boxes
 from arpent.operators.lineage import stored
-from arpent.operators.polygons import _PARTS, PARTS, _read, _write, explode_parts, with_box
+from arpent.operators.polygons import PARTS, explode_parts, with_box
 
 LINE = "array<struct<x:double,y:double>>"
 _POINT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
@@ -34,55 +35,6 @@ def _points(x: np.ndarray, y: np.ndarray, offsets: np.ndarray) -> pa.Array:
 # --- one tile ----------------------------------------------------------------------------------------------------------
 
 
-def successors(start: np.ndarray, end: np.ndarray, out_angle: np.ndarray, in_angle: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """The edge that goes on from the end of each one, -1 for none or a stop; of several the sharpest turn to the left.
-
-    start, end: numbers of the places where edges begin and end.
-    """
-    order = np.argsort(start, kind="stable")
-    first, after = (np.searchsorted(start[order], end, side) for side in ("left", "right"))
-    n = np.where(stop, 0, after - first)
-    out = np.full(len(start), -1)
-    one = n == 1
-    out[one] = order[first[one]]
-    many = np.flatnonzero(n > 1)
-    if len(many):
-        of = np.repeat(many, n[many])
-        step = np.arange(len(of)) - np.repeat(np.cumsum(n[many]) - n[many], n[many])
-        to = order[first[of] + step]
-        turn = (out_angle[to] - in_angle[of] + math.pi) % (2 * math.pi)
-        turn[turn > 2 * math.pi - 1e-9] = 0.0  # straight back, but for rounding
-        best = np.lexsort((to, -turn, of))
-        head = np.concatenate([[True], of[best][1:] != of[best][:-1]])
-        out[of[best][head]] = to[best][head]
-    seen = np.flatnonzero(out >= 0)
-    _, first_of = np.unique(out[seen], return_index=True)  # an edge goes on from one other at most
-    kept = np.full(len(out), -1)
-    kept[seen[first_of]] = out[seen[first_of]]
-    return kept
-
-
-def in_order(after: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first edge of its chain, place in the chain, whether the chain is closed) of each edge; a closed one begins at its least."""
-    n = len(after)
-    before = np.full(n, -1)
-    linked = np.flatnonzero(after >= 0)
-    before[after[linked]] = linked
-
-    def doubled(before: np.ndarray):
-        at, far, low = np.where(before < 0, np.arange(n), before), (before >= 0).astype(np.int64), np.arange(n)
-        for _ in range(max(1, n).bit_length() + 1):
-            low, far, at = np.minimum(low, low[at]), far + far[at], at[at]
-        return at, far, low
-
-    at, far, low = doubled(before)
-    closed = before[at] >= 0
-    if closed.any():
-        before[low[closed]] = -1
-        at, far, _ = doubled(before)
-    return at, far, closed
-
-
 def _chain_tile(keep: list[str], g: str):
     def run(key, table):
         k = table[g].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False) if len(table) else np.zeros(0, int)
@@ -348,13 +300,8 @@ def _cell_unions(df: DataFrame, by: str, size: float) -> DataFrame:
 
     @F.arrow_udf(PARTS)
     def joined(plus: pa.Array, minus: pa.Array, cx: pa.Array, cy: pa.Array) -> pa.Array:
-        out = []
-        for own, away, i, j in zip(plus.to_pylist(), minus.to_pylist(), cx.to_pylist(), cy.to_pylist(), strict=True):
-            box = (i * size, j * size, (i + 1) * size, (j + 1) * size)
-            frame = np.array([(box[0], box[1]), (box[2], box[1]), (box[2], box[3]), (box[0], box[3]), (box[0], box[1])])
-            layers = [[r for p in many for r in shapes.oriented(_read(p))] for many in (own, away)]
-            out.append([_write(p) for p in shapes.stitch(*shapes.trapezoids([*layers, [frame]], lambda p, m, b: p & ~m & b, winding=True, box=box))])
-        return pa.array(out, _PARTS)
+        i, j = (c.to_numpy(zero_copy_only=False).astype(float) for c in (cx, cy))
+        return batches.in_cells(plus, minus, np.column_stack([i * size, j * size, (i + 1) * size, (j + 1) * size]))
 
     lists = cells.groupBy(by, "_cx", "_cy").agg(F.collect_list(F.when(~F.col("minus"), F.col("rings"))).alias("_l"), F.collect_list(F.when(F.col("minus"), F.col("rings"))).alias("_m"))
     return lists.where(F.size("_l") > 0).select(by, "_cx", "_cy", joined("_l", "_m", "_cx", "_cy").alias("parts")).where(F.size("parts") > 0)

@@ -1,18 +1,19 @@
 """Polygons with any number of corners and holes: features, pairs and overlays.
 
 A layer carries `rings` (array of rings of points x, y; the first is the outer one) beside its box. Boxes find the
-candidates by joins.box_join; kernels in NumPy decide and cut, one feature or pair at a time in Arrow batches.
+candidates by joins.box_join; kernels in NumPy decide and cut, many features or pairs at a time in Arrow batches.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arpent.functions import batches, shapes
 from arpent.functions import geometry as ge
-from arpent.functions import shapes
 from arpent.operators.joins import BOX, box_join, points_in_boxes
 
 RINGS = "array<array<struct<x:double,y:double>>>"
@@ -32,17 +33,20 @@ def _write(rings: shapes.Rings) -> list:
 
 
 def _measure(f):
-    """A double from the rings of one or two features."""
+    """A double from the rings of one or two features; f takes the columns of those that have both."""
 
     @F.arrow_udf("double")
     def two(a: pa.Array, b: pa.Array) -> pa.Array:
-        return pa.array([f(_read(x), _read(y)) if x and y else None for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.float64())
+        held = np.flatnonzero((pc.fill_null(pc.list_value_length(a), 0).to_numpy(zero_copy_only=False) > 0) & (pc.fill_null(pc.list_value_length(b), 0).to_numpy(zero_copy_only=False) > 0))
+        out, has = np.zeros(len(a)), np.zeros(len(a), bool)
+        out[held], has[held] = f(a.take(pa.array(held)), b.take(pa.array(held))), True
+        return pa.array(out, pa.float64(), mask=~has)
 
     return two
 
 
 def _shape(f):
-    """Polygons from the rings of a feature and a number."""
+    """Polygons from the rings of a feature and a number, one at a time."""
 
     @F.arrow_udf(PARTS)
     def made(a: pa.Array, d: pa.Array) -> pa.Array:
@@ -51,10 +55,12 @@ def _shape(f):
     return made
 
 
-def _pair(f):
+def _pair(keep):
+    """Polygons from the rings of two features, where keep holds."""
+
     @F.arrow_udf(PARTS)
     def made(a: pa.Array, b: pa.Array) -> pa.Array:
-        return pa.array([[_write(p) for p in f(_read(x), _read(y))] for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], _PARTS)
+        return batches.combined(a, b, keep)
 
     return made
 
@@ -82,7 +88,12 @@ def explode_parts(df: DataFrame, parts: str, name: str = "rings") -> DataFrame:
 def buffered(rings: Column, d: Column | float, default: float = 1.0, quarter: int = 8) -> Column:
     """All within d of a polygon, as polygons; what lies deeper than -d for negative d; the default where d is 0 or null."""
     d = d if isinstance(d, Column) else F.lit(float(d))
-    return _shape(lambda r, k: shapes.buffer(r, k, quarter))(rings, F.coalesce(F.nullif(d.cast("double"), F.lit(0.0)), F.lit(float(default))))
+
+    @F.arrow_udf(PARTS)
+    def made(a: pa.Array, by: pa.Array) -> pa.Array:
+        return batches.buffered(a, by.to_numpy(zero_copy_only=False), quarter)
+
+    return made(rings, F.coalesce(F.nullif(d.cast("double"), F.lit(0.0)), F.lit(float(default))))
 
 
 def simplified(rings: Column, tolerance: float) -> Column:
@@ -99,7 +110,12 @@ def outer_contour(rings: Column) -> Column:
 
 def made_valid(rings: Column) -> Column:
     """Simple polygons that cover what the even-odd rule calls inside."""
-    return _shape(lambda r, _: shapes.valid(r))(rings, F.lit(0.0))
+
+    @F.arrow_udf(PARTS)
+    def made(a: pa.Array) -> pa.Array:
+        return batches.valid(a)
+
+    return made(rings)
 
 
 def is_valid(rings: Column) -> Column:
@@ -114,12 +130,12 @@ def is_valid(rings: Column) -> Column:
 def meeting(a: DataFrame, b: DataFrame, size: float) -> DataFrame:
     """Pairs of polygons that share an area, which is added; columns are prefixed a_ and b_."""
     pairs = box_join(with_box(a), with_box(b), size)
-    return pairs.withColumn("area", _measure(shapes.overlap)(F.col("a_rings"), F.col("b_rings"))).where("area > 1e-9")
+    return pairs.withColumn("area", _measure(batches.overlaps)(F.col("a_rings"), F.col("b_rings"))).where("area > 1e-9")
 
 
 def intersection(a: DataFrame, b: DataFrame, size: float) -> DataFrame:
     """meeting with the shared polygons as `parts`."""
-    return meeting(a, b, size).withColumn("parts", _pair(lambda x, y: shapes.combine(x, y, lambda p, q: p & q))(F.col("a_rings"), F.col("b_rings")))
+    return meeting(a, b, size).withColumn("parts", _pair(lambda p, q: p & q)(F.col("a_rings"), F.col("b_rings")))
 
 
 def difference(a: DataFrame, b: DataFrame, size: float, key: str = "fid", where: str | None = None) -> DataFrame:
@@ -131,11 +147,7 @@ def difference(a: DataFrame, b: DataFrame, size: float, key: str = "fid", where:
 
     @F.arrow_udf(PARTS)
     def left(own: pa.Array, others: pa.Array) -> pa.Array:
-        out = []
-        for x, many in zip(own.to_pylist(), others.to_pylist(), strict=True):
-            cover = [r for p in shapes.union([p for o in many or [] for p in shapes.valid(_read(o))]) for r in p] if many else []
-            out.append([_write(p) for p in (shapes.combine(_read(x), cover, lambda p, q: p & ~q) if cover else shapes.valid(_read(x)))])
-        return pa.array(out, _PARTS)
+        return batches.outside(own, others)
 
     return a.select(key, "rings").join(met, key, "left").select(key, left("rings", "_b").alias("parts"))
 
@@ -154,7 +166,7 @@ def delete_meeting_polygons(a: DataFrame, b: DataFrame, size: float, key: str =
 def polygons_within(a: DataFrame, b: DataFrame, d: float, size: float) -> DataFrame:
     """Pairs of polygons at most d apart, with their distance."""
     pairs = box_join(with_box(a), with_box(b), size, pad=d, closed=True)
-    return pairs.withColumn("distance", _measure(shapes.distance)(F.col("a_rings"), F.col("b_rings"))).where(F.col("distance") <= d)
+    return pairs.withColumn("distance", _measure(batches.distances)(F.col("a_rings"), F.col("b_rings"))).where(F.col("distance") <= d)
 
 
 def polygons_containing(polygons: DataFrame, points: DataFrame, size: float, key: str = "fid") -> DataFrame:
@@ -188,8 +200,12 @@ def covered_by(df: DataFrame, size: float, key: str = "fid") -> DataFrame:
 
 def shared_borders(df: DataFrame, size: float, key: str = "fid", tolerance: float = 1e-6) -> DataFrame:
     """(a, b, length): pairs of polygons with edges along one another, both ways."""
+
+    def lengths(a: pa.Array, b: pa.Array) -> list[float]:
+        return [shapes.border(_read(x), _read(y), tolerance) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)]
+
     pairs = box_join(with_box(df.select(key, "rings")), with_box(df.select(key, "rings")), size, pad=tolerance, closed=True).where(f"a_{key} <> b_{key}")
-    out = pairs.select(F.col(f"a_{key}").alias("a"), F.col(f"b_{key}").alias("b"), _measure(lambda x, y: shapes.border(x, y, tolerance))(F.col("a_rings"), F.col("b_rings")).alias("length"))
+    out = pairs.select(F.col(f"a_{key}").alias("a"), F.col(f"b_{key}").alias("b"), _measure(lengths)(F.col("a_rings"), F.col("b_rings")).alias("length"))
     return out.where(F.col("length") > tolerance)
 
 
@@ -199,11 +215,11 @@ def dissolve(df: DataFrame, by: str, size: float) -> DataFrame:
     span = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / size), F.floor(F.col(b) / size)))
     cells = with_box(df.select(by, "rings")).withColumn("_cx", span("xmin", "xmax")).withColumn("_cy", span("ymin", "ymax"))
     cell = ge.box_polygon(F.col("_cx") * size, F.col("_cy") * size, (F.col("_cx") + 1) * size, (F.col("_cy") + 1) * size)
-    inside = cells.select(by, "_cx", "_cy", _pair(lambda x, y: shapes.combine(x, y, lambda p, q: p & q))(F.col("rings"), cell).alias("_p")).where(F.size("_p") > 0)
+    inside = cells.select(by, "_cx", "_cy", _pair(lambda p, q: p & q)(F.col("rings"), cell).alias("_p")).where(F.size("_p") > 0)
 
     @F.arrow_udf(PARTS)
     def joined(lists: pa.Array) -> pa.Array:
-        return pa.array([[_write(p) for p in shapes.union([_read(x) for parts in many for x in parts])] for many in lists.to_pylist()], _PARTS)
+        return batches.united(lists, 4)
 
     return inside.groupBy(by, "_cx", "_cy").agg(F.collect_list("_p").alias("_l")).select(by, "_cx", "_cy", joined("_l").alias("parts"))
 
@@ -215,6 +231,6 @@ def split_each(df: DataFrame, line: tuple[str, str, str, str], reach: float = 1e
     u = [(b - a) / n * reach for a, b in zip(p, q, strict=True)]
     at = lambda i, j: F.struct((p[0] + i * u[0] - j * u[1]).alias("x"), (p[1] + i * u[1] + j * u[0]).alias("y"))
     half = F.array(F.array(at(-1, 0), at(1, 0), at(1, 1), at(-1, 1), at(-1, 0)))
-    left = _pair(lambda x, y: shapes.combine(x, y, lambda a, b: a & b))(F.col("rings"), half)
-    right = _pair(lambda x, y: shapes.combine(x, y, lambda a, b: a & ~b))(F.col("rings"), half)
+    left = _pair(lambda a, b: a & b)(F.col("rings"), half)
+    right = _pair(lambda a, b: a & ~b)(F.col("rings"), half)
     return df.withColumn("parts", F.concat(left, right))
