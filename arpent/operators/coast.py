@@ -16,6 +16,10 @@ from arpent.operators.polygons import points_in_polygons
 from arpent.operators.regions import connected_components
 
 
+#: Segments of a list, and lists that may be broadcast.
+LIST, FEW_LISTS = 64, 20_000
+
+
 def _p(x: Column, y: Column) -> Column:
     return F.struct(x.alias("x"), y.alias("y"))
 
@@ -176,18 +180,28 @@ def side_and_distance(points: DataFrame, segments: DataFrame, size: float, x: st
     open_, done = points.select(key, F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py")), []
     while True:
         near = on_cells(_boxed(segments), size, F.least("x1", "x2") - size, F.least("y1", "y2") - size, F.greatest("x1", "x2") + size, F.greatest("y1", "y2") + size)
-        q = open_.withColumns({"_cx": F.floor(F.col("px") / size), "_cy": F.floor(F.col("py") / size)}).join(near, ["_cx", "_cy"])
-        dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide((F.col("px") - F.col("x1")) * dx + (F.col("py") - F.col("y1")) * dy, dx * dx + dy * dy)))
-        d = F.hypot(F.col("px") - F.col("x1") - F.coalesce(t, F.lit(0.0)) * dx, F.col("py") - F.col("y1") - F.coalesce(t, F.lit(0.0)) * dy)
-        side = F.when(dx * (F.col("py") - F.col("y1")) - dy * (F.col("px") - F.col("x1")) > 0, 1).otherwise(-1)
-        best = q.groupBy(key).agg(F.min(F.struct(F.round(d, 9).alias("distance"), "seg", side.alias("side"))).alias("_b")).select(key, "_b.distance", "_b.side")
+        # segments of a cell in lists of about LIST, so that a point meets a row a list, and not all points of a cell one task
+        cells = near.groupBy("_cx", "_cy").agg(F.ceil(F.count("*") / LIST).alias("_n"))
+        dealt = near.join(cells, ["_cx", "_cy"]).groupBy("_cx", "_cy", F.pmod(F.xxhash64("seg"), F.col("_n")).alias("_n"))
+        lists = stored(dealt.agg(F.collect_list(F.struct("seg", *ENDS)).alias("_s")))
+        lists = F.broadcast(lists) if lists.count() <= FEW_LISTS else lists
+
+        def nearest(s: Column) -> Column:
+            dx, dy = s["x2"] - s["x1"], s["y2"] - s["y1"]
+            t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide((F.col("px") - s["x1"]) * dx + (F.col("py") - s["y1"]) * dy, dx * dx + dy * dy)))
+            d = F.hypot(F.col("px") - s["x1"] - F.coalesce(t, F.lit(0.0)) * dx, F.col("py") - s["y1"] - F.coalesce(t, F.lit(0.0)) * dy)
+            side = F.when(dx * (F.col("py") - s["y1"]) - dy * (F.col("px") - s["x1"]) > 0, 1).otherwise(-1)
+            return F.struct(F.round(d, 9).alias("distance"), s["seg"].alias("seg"), side.alias("side"))
+
+        q = open_.withColumns({"_cx": F.floor(F.col("px") / size), "_cy": F.floor(F.col("py") / size)}).join(lists, ["_cx", "_cy"])
+        one = stored(q.select(key, F.array_min(F.transform("_s", nearest)).alias("_b")))  # else the lists would be sorted with the points
+        best = one.groupBy(key).agg(F.min("_b").alias("_b")).select(key, "_b.distance", "_b.side")
         last = size >= reach
         held = stored(best if last else best.where(F.col("distance") <= size))
         done.append(held)
         if last:
             break
-        open_ = stored(open_.join(held.select(key), key, "left_anti"))
+        open_ = stored(open_.join(held.select(key), key, "left_anti").repartition(points.sparkSession.sparkContext.defaultParallelism))  # narrow rows, which would come together in one task
         if open_.isEmpty():
             break
         size *= 2
