@@ -77,19 +77,21 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component): the least node that links reach, for each node of edges (a, b), which are longs.
 
     Large-star and small-star steps by turns; each step is one grouped minimum and one join, saved, until none changes.
+    Minima of few edges are broadcast; steps make no more edges than there were.
     """
     now = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    mark = _mark(now)
+    hint = F.broadcast if 2 * mark[0] <= BROADCAST_ROWS else lambda df: df
     while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = both.join(hint(least), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         down = saved(large.where("a <> b").distinct(), "links")
         least = down.groupBy("a").agg(F.min("b").alias("m"))
-        stars = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
+        stars = down.join(hint(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
         new = saved(stars.where("a <> b").distinct().select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "links")
-        done = _mark(new) == _mark(now)
-        now = new
-        if done:
+        before, now, mark = mark, new, _mark(new)
+        if mark == before:
             break
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b"), F.col("b")).distinct())
 

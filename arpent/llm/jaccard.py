@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arpent.llm._shared import components, read, saved, small
+from arpent.llm._shared import BROADCAST_ROWS, components, read, saved, small
 from arpent.llm.hashing import mix, shingle_sets
 
 #: A tile key is a pair of least hashes. Two sets of similarity J share none of the KEYS keys with chance (1 - J^2)^KEYS:
@@ -114,43 +114,54 @@ def sorted_sets(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(text).mapInArrow(run, "node long, shingles binary")
 
 
-def exact_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are links: where bitmaps leave it possible, the sorted sets are intersected whole.
-
-    pairs: a, b; sets: node, bits, shingles.
-    """
+def possible_links(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that bitmaps leave possible. pairs: a, b; nodes: node, n, bits."""
 
     def run(batches):
         for t in batches:
             keep = np.zeros(t.num_rows, bool)
+            na, nb = (t[c].to_numpy() for c in ("na", "nb"))
             for i in range(t.num_rows):
                 x, y = (np.frombuffer(t[c][i].as_buffer(), np.uint8) for c in ("ba", "bb"))
                 size = min(len(x), len(y))
-                x, y = fold(x, size), fold(y, size)
+                x, y = fold(x, size).view(np.uint64), fold(y, size).view(np.uint64)
+                keep[i] = linked(na[i], nb[i], bound(na[i], nb[i], int(np.bitwise_count(x & ~y).sum()), int(np.bitwise_count(y & ~x).sum())), percent)
+            yield pa.RecordBatch.from_arrays([t["a"], t["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"))
+    right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "na", "nb", "ba", "bb").mapInArrow(run, "a long, b long")
+
+
+def exact_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are links, by intersecting the sorted sets whole. pairs: a, b; sets: node, shingles."""
+
+    def run(batches):
+        for t in batches:
+            keep = np.zeros(t.num_rows, bool)
+            for i in range(t.num_rows):
                 a, b = (np.frombuffer(t[c][i].as_buffer(), np.uint64) for c in ("xa", "xb"))
-                if linked(len(a), len(b), bound(len(a), len(b), int(np.bitwise_count(x & ~y).sum()), int(np.bitwise_count(y & ~x).sum())), percent):
-                    both = np.concatenate([a, b])
-                    both.sort()
-                    keep[i] = linked(len(a), len(b), int((both[1:] == both[:-1]).sum()), percent)
+                both = np.concatenate([a, b])
+                both.sort()
+                keep[i] = linked(len(a), len(b), int((both[1:] == both[:-1]).sum()), percent)
             yield pa.RecordBatch.from_arrays([t["a"], t["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("node").alias("a"), F.col("bits").alias("ba"), F.col("shingles").alias("xa"))
-    right = sets.select(F.col("node").alias("b"), F.col("bits").alias("bb"), F.col("shingles").alias("xb"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ba", "bb", "xa", "xb").mapInArrow(run, "a long, b long")
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("xb"))
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "xa", "xb").mapInArrow(run, "a long, b long")
 
 
 def distinct_tiles(rows: DataFrame) -> DataFrame:
-    """rows of one tile, that of the least seed, out of those with the same rows: near texts share most of their keys."""
+    """rows of one tile, the least, out of those with the same rows: near texts share most of their keys."""
     mark = [F.bit_xor(F.xxhash64("node", "home", F.lit(i))).alias(f"m{i}") for i in (0, 1)]
-    kept = rows.groupBy("tile").agg(F.first("seed").alias("seed"), F.count("*").alias("k"), *mark).groupBy("k", "m0", "m1").agg(F.min(F.struct("seed", "tile"))["tile"].alias("tile"))
+    kept = rows.groupBy("tile").agg(F.count("*").alias("k"), *mark).groupBy("k", "m0", "m1").agg(F.min("tile").alias("tile"))
     return rows.join(kept.select("tile"), "tile", "left_semi")
 
 
 def tile_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of rows of one tile, in different components, whose bitmaps leave the link possible.
 
-    rows: tile, seed, home, node, component, n; nodes: node, bits, keys, which join once the rows are dealt. A pair is
-    compared in the tile of the first seed that it shares. The rows of a tile's largest component and its other rows lie in
+    rows: tile, home, node, component, n; nodes: node, bits, which join once the rows are dealt. The rows of a tile's largest component and its other rows lie in
     blocks of about BLOCK rows, dealt by a hash. Each block of the largest component meets each block of the others, and
     those meet one another, two blocks at a time; rows of the largest component are never compared with one another. Only
     pairs within the bound leave.
@@ -164,9 +175,9 @@ def tile_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     of_major = F.transform(inners, lambda b: F.struct((-1 - F.col("own")).alias("i"), b.alias("j")))
     of_others = F.concat(F.transform(outers, lambda b: F.struct((-1 - b).alias("i"), F.col("own").alias("j"))), F.transform(inners, lambda b: F.struct(F.least("own", b).alias("i"), F.greatest("own", b).alias("j"))))
     dealt = dealt.select("*", F.inline(F.when(F.col("held"), of_major).otherwise(of_others))).drop("major", "outer", "inner").join(nodes, "node")
-    columns = ["tile", "i", "j", "seed", "node", "component", "n", "home", "held", "own", "keys", "bits"]
+    columns = ["tile", "i", "j", "node", "component", "n", "home", "held", "own", "bits"]
 
-    def compare(seed: int, node, comp, n, home, held, own, keys, bits, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+    def compare(node, comp, n, home, held, own, bits, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
         size = min(map(len, bits))
         x = np.stack([fold(np.frombuffer(b, np.uint8), size) for b in bits]).view(np.uint64)
         first, second = (np.flatnonzero(~held), np.flatnonzero(held)) if i < 0 else (np.flatnonzero(own == i), np.flatnonzero(own == j))
@@ -174,8 +185,6 @@ def tile_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         for k in first:
             other = second[node[second] > node[k]] if i == j else second
             other = other[(comp[other] != comp[k]) & (home[other] | home[k]) & (100 * np.minimum(n[other], n[k]) >= percent * np.maximum(n[other], n[k]))]
-            if seed and len(other):
-                other = other[~(keys[other, :seed] == keys[k, :seed]).any(axis=1)]
             if len(other):
                 only_k = np.bitwise_count(x[k] & ~x[other]).sum(axis=1, dtype=np.int64)
                 only_o = np.bitwise_count(x[other] & ~x[k]).sum(axis=1, dtype=np.int64)
@@ -188,15 +197,14 @@ def tile_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         held: list[pa.RecordBatch] = []
 
         def pairs_of(t: pa.Table) -> pa.RecordBatch:
-            tile, i, j, seed, node, comp, n, home, held_, own = (t[c].to_numpy() for c in columns[:-2])
-            keys = t["keys"].combine_chunks().flatten().to_numpy().reshape(len(tile), -1)
+            tile, i, j, node, comp, n, home, held_, own = (t[c].to_numpy() for c in columns[:-1])
             bits = t["bits"].to_pylist()
             edges = np.concatenate([[0], np.flatnonzero((np.diff(tile) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1, [len(tile)]])
             found = [(np.empty(0, np.int64),) * 2]
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 if b - a > 1:
                     g = slice(a, b)
-                    found.append(compare(int(seed[a]), node[g], comp[g], n[g], home[g], held_[g], own[g], keys[g], bits[g], i[a], j[a]))
+                    found.append(compare(node[g], comp[g], n[g], home[g], held_[g], own[g], bits[g], i[a], j[a]))
             x, y = (np.concatenate(z) for z in zip(*found, strict=True))
             return pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], ["a", "b"])
 
@@ -225,65 +233,82 @@ def near_duplicates(docs: DataFrame, percent: int = 80, text: str = "text") -> D
 
     Texts of one shingle set are one node from the start. Nodes that share a key (a pair of least shingle hashes) and lie
     in one size band, or in two that touch and near their border, share a tile. Rounds of stars then link the nodes of a
-    tile that are still apart to one leader, at first the one that shares most; what stays apart after that is compared in
-    blocks, all with all. In either case bitmaps bound the overlap from above and the sorted sets of the rest are
-    intersected exactly. Pairs within a component need no test, so copies are never expanded into pairs. Empty sets have
-    no links and their own id as component. Null ids take part and never become a component's id unless it has no other;
-    repeated rows stay rows. A component's id reaches its rows by a join on the node, which adaptive execution splits
-    where many rows have one node.
+    tile that are still apart to one leader, at first the one that shares most; a component takes the label of its first
+    leader's leader. What stays apart after that is compared in blocks, all with all. In either case bitmaps bound the
+    overlap from above, and only what they leave is read again and its sorted sets are intersected exactly. In the end the
+    links between different labels are joined to components. Pairs within a component need no test, so copies are never
+    expanded into pairs. Empty sets have no links and their own id as component. Null ids take part and never become a
+    component's id unless it has no other; repeated rows stay rows. A component's id reaches its rows by a join on the
+    node, which adaptive execution splits where many rows have one node.
     """
-    spark = docs.sparkSession
-    rows = saved(signatures(docs, text), "signatures")
-    nodes = rows.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("written").alias("written"), F.first("bits").alias("bits"), F.first("keys").alias("keys"))
-    nodes = saved(nodes, "nodes")
+    rows = saved(signatures(docs, text).withColumn("row", F.monotonically_increasing_id()), "signatures")
+    reps = saved(rows.where("n > 0").groupBy("node").agg(F.min("row").alias("row")).select("row"), "node-rows")
+    few = reps.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    nodes = rows.join(F.broadcast(reps) if few else reps, "row", "left_semi").select("node", "n", "written", "bits", "keys")
+    nodes = nodes if few else saved(nodes, "nodes")
     # A node is at home in its own band, and a guest in the next lower one if a smaller set there may link to it; pairs of two guests meet in their own band.
     own, lower = band_of(F.col("n"), percent), band_of(F.col("n") * (percent / 100 * (1 - 1e-9)), percent)
     places = F.array(F.struct(F.lit(True).alias("home"), F.col("own").alias("band")), F.struct(F.lit(False).alias("home"), F.col("lower").alias("band")))
     keyed = nodes.select("node", "n", own.alias("own"), F.when(F.col("n") > 1, lower).otherwise(own).alias("lower"), F.posexplode("keys").alias("seed", "key"))
     keyed = keyed.select("node", "n", F.explode(F.when(F.col("lower") < F.col("own"), places).otherwise(F.slice(places, 1, 1))).alias("x"), "seed", "key")
-    keyed = keyed.select(F.xxhash64("seed", "key", "x.band").alias("tile"), "seed", "x.home", "node", "n")
-    shared = keyed.groupBy("tile").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("k")).where("lo <> hi").select("tile", "k")
+    keyed = keyed.select(F.xxhash64("seed", "key", "x.band").alias("tile"), "x.home", "node", "n")
+    shared = keyed.groupBy("tile").agg(F.count("*").alias("k")).where("k > 1")  # a node has a tile once
     tiles = saved(keyed.join(shared, "tile"), "tiles")
     near = saved(tiles.groupBy("node").agg(F.sum("k").alias("weight")), "near")
-    near_nodes = saved(nodes.join(small(near.select("node")), "node", "left_semi"), "near-nodes")
-    texts = docs.join(small(saved(near_nodes.select(F.col("written").alias("_w")), "near-texts")), F.xxhash64(text) == F.col("_w"), "left_semi")
-    sets = sorted_sets(texts, text).groupBy("node").agg(F.first("shingles").alias("shingles")).join(near_nodes.select("node", "bits"), "node")
-    sets = saved(sets, "sorted-sets")
+    near_nodes = saved(nodes.select("node", "n", "written", "bits").join(small(near.select("node")), "node", "left_semi"), "near-nodes")
     labels = saved(near.select("node", F.col("node").alias("component")), "labels")
 
-    def settled(more: DataFrame) -> tuple[DataFrame, bool]:
-        """Labels after the links in more; whether there are any."""
-        more = saved(more, "new-links")
-        if more.isEmpty():
-            return labels, False
-        a = more.join(labels.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a")
-        both = a.join(labels.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-        found = components(both).select(F.col("node").alias("component"), F.col("component").alias("new"))
-        return saved(labels.join(small(saved(found, "relabelled")), "component", "left").select("node", F.coalesce("new", "component").alias("component")), "labels"), True
+    def links_of(possible: DataFrame) -> DataFrame:
+        """The links among saved pairs; only the texts of these pairs are read again."""
+        ends = possible.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = saved(near_nodes.select("node", F.col("written").alias("_w")).join(ends, "node").select("_w").distinct(), "wanted-texts")
+        texts = docs.join(small(wanted), F.xxhash64(text) == F.col("_w"), "left_semi")
+        sets = sorted_sets(texts, text).groupBy("node").agg(F.first("shingles").alias("shingles"))
+        return saved(exact_links(possible, sets, percent), "new-links")
+
+    def by_label(pairs: DataFrame) -> DataFrame:
+        """(a, b): pairs of the components of pairs of nodes, where they differ."""
+        held = small(labels)
+        named = pairs.join(held.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a").join(held.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b")
+        return named.where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+
+    def relabelled(new: DataFrame) -> DataFrame:
+        """labels after new: component, new."""
+        return saved(labels.join(small(saved(new, "relabelled")), "component", "left").select("node", F.coalesce("new", "component").alias("component")), "labels")
 
     def apart(held: DataFrame) -> DataFrame:
-        """tile, seed, home, node, n, component of the tiles that hold several components."""
-        now = held.join(labels, "node")
+        """tile, home, node, n, component of the tiles that hold several components."""
+        now = held.join(small(labels), "node")
         several = now.groupBy("tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("tile")
         return saved(now.join(several, "tile", "left_semi"), "apart")
 
-    held = tiles.select("tile", "seed", "home", "node", "n")
+    held, links = tiles.select("tile", "home", "node", "n"), None
     for r in range(STAR_ROUNDS):
         open_ = apart(held)
-        order = F.struct(F.xxhash64("component", F.lit(r)), F.xxhash64("node", F.lit(r)), "node", "component", "n")
-        ranked = open_
+        if open_.isEmpty():
+            break
+        rank, ranked = F.xxhash64("component", F.lit(r)), open_
         if r == 0:
-            ranked = open_.join(near, "node")
-            order = F.struct(-F.col("weight"), "node", "component", "n")
-        leaders = ranked.groupBy("tile").agg(F.min(order).alias("l")).select("tile", F.col("l.node").alias("leader"), F.col("l.component").alias("lc"), F.col("l.n").alias("ln"))
+            rank, ranked = -F.col("weight"), open_.join(small(near), "node")
+        leaders = ranked.groupBy("tile").agg(F.min(F.struct(rank.alias("rank"), "component", F.xxhash64("node", F.lit(r)), "node", "n")).alias("l")).select("tile", F.col("l.node").alias("leader"), F.col("l.component").alias("lc"), F.col("l.n").alias("ln"), F.col("l.rank").alias("rank"))
         pairs = open_.join(leaders, "tile").where("component <> lc AND 100 * least(n, ln) >= " + str(percent) + " * greatest(n, ln)")
-        pairs = pairs.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
-        before, held = open_.count(), open_.drop("component")
-        labels, any_ = settled(exact_links(pairs, sets, percent)) if before else (labels, False)
-        if not any_:
+        # a follows b: the leader is before it in one order of all components, so that no chain of leaders comes back
+        pairs = pairs.select(F.col("node").alias("a"), F.col("leader").alias("b"), "component", "lc", "rank").distinct()
+        pairs = saved(pairs, "star-pairs")
+        new = links_of(saved(possible_links(pairs, near_nodes, percent), "possible"))
+        if new.isEmpty():
             break
+        held = open_.drop("component")
+        links = new if links is None else links.union(new)
+        first = saved(pairs.join(small(new), ["a", "b"], "left_semi").groupBy("component").agg(F.min(F.struct("rank", "lc"))["lc"].alias("lead")), "leaders")
+        further = small(first.select(F.col("component").alias("lead"), F.col("lead").alias("next")))
+        labels = relabelled(first.join(further, "lead", "left").select("component", F.coalesce("next", "lead").alias("new")))
     rest = saved(distinct_tiles(apart(held)), "apart")
-    labels, _ = settled(exact_links(saved(tile_pairs(rest, near_nodes.select("node", "bits", "keys"), percent), "tile-pairs"), sets, percent))
+    if not rest.isEmpty():
+        new = links_of(saved(tile_pairs(rest, near_nodes.select("node", "bits"), percent), "tile-pairs"))
+        links = new if links is None else links.union(new)
+    if links is not None and not (between := saved(by_label(links).distinct(), "links")).isEmpty():
+        labels = relabelled(components(between).select(F.col("node").alias("component"), F.col("component").alias("new")))
 
     labelled = rows.select("doc_id", "node", "n").join(small(labels), "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = labelled.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("_k")).where("_k > 1").drop("_k")

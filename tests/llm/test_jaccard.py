@@ -65,3 +65,16 @@ def test_tiles_alone_find_every_link(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "STAR_ROUNDS", 0)
     monkeypatch.setattr(jaccard, "BLOCK", 4)
     test_families_near_the_threshold(spark)
+
+
+def test_only_texts_of_possible_pairs_are_read_again(spark, monkeypatch):
+    rng = random.Random(7)
+    word = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+    passage = word(60)
+    rows = [(i, " ".join(word(60) + passage)) for i in range(40)]
+    rows.append((40, rows[0][1] + " more"))
+    counts, kept = [], jaccard.sorted_sets
+    monkeypatch.setattr(jaccard, "sorted_sets", lambda docs, text="text": (counts.append(docs.count()), kept(docs, text))[1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(map(tuple, jaccard.near_duplicates(docs).collect())) == brute(rows)
+    assert max(counts) == 2
