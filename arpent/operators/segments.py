@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arpent.operators.lineage import settle, stored
+from arpent.operators.lineage import stored
 
 
 def superpixels(px: DataFrame, bands: list[str], step: int, compactness: float, rounds: int = 5) -> DataFrame:
@@ -16,20 +16,27 @@ def superpixels(px: DataFrame, bands: list[str], step: int, compactness: float,
     """
     gx, gy = F.floor(F.col("c") / step), F.floor(F.col("r") / step)
     means = [F.avg(b).alias(b) for b in bands]
-    centres = settle(px.groupBy(gx.alias("gx"), gy.alias("gy")).agg(F.avg("r").alias("r"), F.avg("c").alias("c"), *means))
+    centres = stored(px.groupBy(gx.alias("gx"), gy.alias("gy")).agg(F.avg("r").alias("r"), F.avg("c").alias("c"), *means))
     around = F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-    square = lambda a, b: (F.col(a) - F.col(b)) * (F.col(a) - F.col(b))
+    square = lambda a, b: (a - b) * (a - b)
     weight = (compactness / step) ** 2
-    d = sum((square(b, f"_{b}") for b in bands), F.lit(0.0)) + weight * (square("r", "_r") + square("c", "_c"))
-    for i in range(rounds):
-        near = centres.select(*[F.col(x).alias(f"_{x}") for x in ("gx", "gy", "r", "c", *bands)], around).withColumn("gx", F.col("_gx") + F.col("i")).withColumn("gy", F.col("_gy") + F.col("j"))
-        own = F.struct(d.alias("d"), F.col("_gy").alias("gy"), F.col("_gx").alias("gx"))
-        best = px.select("pid", "r", "c", *bands, gx.alias("gx"), gy.alias("gy")).join(near, ["gx", "gy"]).groupBy("pid", "r", "c", *bands).agg(F.min(own).alias("_b"))
-        best = settle(best.select("pid", "r", "c", *bands, F.col("_b.gx").alias("gx"), F.col("_b.gy").alias("gy")))
-        if i < rounds - 1:
-            centres = settle(best.groupBy("gx", "gy").agg(F.avg("r").alias("r"), F.avg("c").alias("c"), *means))
-    names = best.groupBy("gx", "gy").agg(F.min("pid").alias("superpixel"))
-    return px.join(best.join(names, ["gx", "gy"]).select("pid", "superpixel"), "pid")
+
+    def own(x: Column) -> Column:
+        d = sum((square(F.col(b), x[b]) for b in bands), F.lit(0.0)) + weight * (square(F.col("r"), x["r"]) + square(F.col("c"), x["c"]))
+        return F.struct(d.alias("d"), x["gy"].alias("gy"), x["gx"].alias("gx"))
+
+    def nearest(df: DataFrame) -> DataFrame:
+        """df with _gx and _gy of each pixel's centre; a square's nine centres come as one row, so pixels are shuffled once."""
+        near = centres.select(F.struct("gx", "gy", "r", "c", *bands).alias("_x"), around).groupBy((F.col("_x.gx") + F.col("i")).alias("_sx"), (F.col("_x.gy") + F.col("j")).alias("_sy")).agg(F.collect_list("_x").alias("_near"))
+        met = df.withColumns({"_sx": gx, "_sy": gy}).join(near, ["_sx", "_sy"]).withColumn("_b", F.array_min(F.transform("_near", own)))
+        return met.select(*df.columns, F.col("_b.gx").alias("_gx"), F.col("_b.gy").alias("_gy"))
+
+    for _ in range(rounds - 1):
+        best = nearest(px.select("r", "c", *bands))
+        centres = stored(best.groupBy(F.col("_gx").alias("gx"), F.col("_gy").alias("gy")).agg(F.avg("r").alias("r"), F.avg("c").alias("c"), *means))
+    best = stored(nearest(px))
+    names = best.groupBy("_gx", "_gy").agg(F.min("pid").alias("superpixel"))
+    return best.join(names, ["_gx", "_gy"]).select("pid", *[c for c in px.columns if c != "pid"], "superpixel")
 
 
 def region_table(px: DataFrame, region: str, bands: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -76,7 +83,8 @@ def merge_similar(regions: DataFrame, contacts: DataFrame, medium: float, limit:
     into = stored(regions.select("node", F.col("node").alias("into")))
     named = "cls" in regions.columns
     state = stored(regions.select(F.col("node").alias("g"), "size", "features", *(["cls", "share"] if named else [])))
-    border = stored(contacts.select("a", "b", "length").union(contacts.select("b", "a", "length")))
+    both = F.inline(F.array(F.struct("a", "b", "length"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "length")))
+    border = stored(contacts.select(both))
     while True:
         best = stored(merge_round(state, border, medium, limit, rural, urban, alike, growth, top))
         if best.isEmpty():
@@ -95,7 +103,7 @@ def merge_similar(regions: DataFrame, contacts: DataFrame, medium: float, limit:
 
 def segment_by_similarity(px: DataFrame, bands: list[str], step: int, compactness: float, medium: float, limit: float, alike: float) -> DataFrame:
     """px with `segment`: superpixels merged by likeness."""
-    sp = settle(superpixels(px, bands, step, compactness))
+    sp = stored(superpixels(px, bands, step, compactness))
     into = merge_similar(*region_table(sp, "superpixel", bands), medium, limit, alike)
     return sp.join(into.select(F.col("node").alias("superpixel"), F.col("into").alias("segment")), "superpixel").drop("superpixel")
 

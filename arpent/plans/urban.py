@@ -11,7 +11,7 @@ from arpent.operators import focal as fo
 from arpent.operators import segments as sg
 from arpent.operators.joins import BOX, box_join, points_in_boxes
 from arpent.operators.learning import assemble
-from arpent.operators.lineage import settle
+from arpent.operators.lineage import settle, stored
 from arpent.operators.lines import allowed_merges, first_hits, ray_hits_box, tag_by_line
 from arpent.operators.polygons import with_box
 from arpent.operators.regions import connected_components, link_tops
@@ -110,7 +110,7 @@ def tree_crowns(px: DataFrame, greenness: str, height: str, least_green: float,
 
 def urban_segments(px: DataFrame, roads: DataFrame, bands: list[str], step: int, compactness: float, medium: float, limit: float, alike: float, size: float, reach: float) -> DataFrame:
     """(segment, pixels, side): superpixels, tagged by their side of the roads, merged by likeness within a side."""
-    sp = settle(sg.superpixels(px, bands, step, compactness))
+    sp = stored(sg.superpixels(px, bands, step, compactness))
     box = sp.groupBy(F.col("superpixel").alias("fid")).agg((F.min("x") - 0.5).alias("xmin"), (F.min("y") - 0.5).alias("ymin"), (F.max("x") + 0.5).alias("xmax"), (F.max("y") + 0.5).alias("ymax"))
     tagged = settle(tag_by_line(box, roads, size, reach).withColumn("side", F.coalesce("side", F.lit("away"))))
     nodes, contacts = sg.region_table(sp, "superpixel", bands)
