@@ -307,35 +307,38 @@ def _cell_unions(df: DataFrame, by: str, size: float) -> DataFrame:
     return lists.where(F.size("_l") > 0).select(by, "_cx", "_cy", joined("_l", "_m", "_cx", "_cy").alias("parts")).where(F.size("parts") > 0)
 
 
+#: Lines, and cells along them, whose sides are met in one array step.
+SIDE_BLOCK = 16
+
+
 def _meet_on_sides(by: str, size: float):
-    """For a side of a cell and all groups: what its two cells' edges along it leave over, and equal names for equal places.
+    """For the sides of a block of cells and all groups: what the two cells' edges along each side leave over, and equal names
+    for equal places.
 
-    Edges along the side count +1 or -1 by direction. Where they cancel, the union goes on in the next cell.
+    Edges along a side count +1 or -1 by direction. Where they cancel, the union goes on in the next cell.
     """
 
-    def run(key, pdf):
-        import pandas as pd
-
-        rows = []
-        for g, own in pdf.groupby(by, dropna=False, sort=False):
-            places = np.sort(np.concatenate([own["s"].to_numpy(), own["e"].to_numpy()]))
-            new = np.concatenate([[True], np.diff(places) > SNAP * size])
-            named = places[new][np.cumsum(new) - 1]
-            of = lambda v: named[np.searchsorted(places, v)]  # noqa: E731, B023
-            s, e = of(own["s"].to_numpy()), of(own["e"].to_numpy())
-            cuts, edge = places[new], own["edge"].to_numpy()
-            net = np.zeros(len(cuts))
-            for a, b in zip(s[edge], e[edge], strict=True):
-                i, j = np.searchsorted(cuts, (min(a, b), max(a, b)))
-                net[i:j] += 1 if b > a else -1
-            for k in np.flatnonzero(net[:-1]) if len(net) > 1 else ():
-                rows.append((g, True, *((cuts[k], cuts[k + 1]) if net[k] > 0 else (cuts[k + 1], cuts[k]))))
-            was = np.concatenate([own["s"].to_numpy(), own["e"].to_numpy()])
-            now = np.concatenate([s, e])
-            rows += [(g, False, a, b) for a, b in sorted({(a, b) for a, b in zip(was.tolist(), now.tolist(), strict=True) if a != b})]
-        out = pd.DataFrame(rows, columns=[by, "edge", "a", "b"])
-        out["upright"], out["line"], out["cell"] = key
-        return out
+    def run(key, table):
+        g = table[by].combine_chunks().dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
+        line, cell, edge = (table[c].to_numpy() for c in ("line", "cell", "edge"))
+        n, v = len(g), np.concatenate([table["s"].to_numpy(), table["e"].to_numpy()])
+        twice = [np.concatenate([c, c]) for c in (g, line, cell)]
+        order = np.lexsort((v, *twice))
+        v_, other = v[order], np.zeros(2 * n - 1, bool)
+        for c in twice:
+            other |= c[order][1:] != c[order][:-1]
+        new = np.concatenate([[True], other | (np.diff(v_) > SNAP * size)])
+        first, at = np.flatnonzero(new), np.empty(2 * n, np.int64)
+        at[order] = np.cumsum(new) - 1
+        cuts, row = v_[first], order[first] % n  # a place, and a row of its side and group
+        s, e = at[:n][edge], at[n:][edge]
+        net = np.cumsum(np.bincount(s, minlength=len(cuts)) - np.bincount(e, minlength=len(cuts)))  # 0 at a side's last place
+        left = np.flatnonzero(net)
+        a, b = np.where(net[left] > 0, (cuts[left], cuts[left + 1]), (cuts[left + 1], cuts[left]))
+        moved = np.flatnonzero((v_ != cuts[at[order]]) & np.concatenate([[True], other | (np.diff(v_) != 0)]))  # each place once
+        rows = table.take(pa.array(np.concatenate([row[left], order[moved] % n])))
+        out = {"edge": pa.array(np.arange(len(rows)) < len(left)), "a": pa.array(np.concatenate([a, v_[moved]])), "b": pa.array(np.concatenate([b, cuts[at[order[moved]]]]))}
+        return pa.table({by: rows[by], **out, **{c: rows[c] for c in ("upright", "line", "cell")}})
 
     return run
 
@@ -365,7 +368,7 @@ def dissolve_whole(df: DataFrame, by: str, size: float) -> DataFrame:
     for more in along[1:]:
         sides = sides.union(more)
     kind = df.schema[by].dataType.simpleString()
-    met = stored(sides.groupBy("upright", "line", "cell").applyInPandas(_meet_on_sides(by, size), f"`{by}` {kind}, edge boolean, a double, b double, upright boolean, line long, cell long"))
+    met = stored(sides.groupBy("upright", F.floor(F.col("line") / SIDE_BLOCK), F.floor(F.col("cell") / SIDE_BLOCK)).applyInArrow(_meet_on_sides(by, size), f"`{by}` {kind}, edge boolean, a double, b double, upright boolean, line long, cell long"))
     at = F.col("line") * size
     left = met.where("edge").select(by, *[F.when(F.col("upright"), v if i % 2 == 0 else w).otherwise(w if i % 2 == 0 else v).alias(n) for i, (n, v, w) in enumerate(zip(ENDS, (at, at, at, at), (F.col("a"), F.col("a"), F.col("b"), F.col("b")), strict=True))])
     names = met.where("NOT edge").select(F.col(by).alias("_by"), *[F.when(F.col("upright"), at if c == "x" else F.col(v)).otherwise(F.col(v) if c == "x" else at).alias(n) for n, c, v in (("_x", "x", "a"), ("_y", "y", "a"), ("_u", "x", "b"), ("_v", "y", "b"))]).dropDuplicates(["_by", "_x", "_y"])
