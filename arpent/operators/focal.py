@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arpent.operators.lineage import settle
+from arpent.operators.lineage import settle, stored
 from arpent.operators.tiles import Tile, disk, mean_and_variance, most_frequent, on_tiles, shifted, shrunk, square, window_least
 
 #: Pixels of a line that stand together in a step along the line.
@@ -149,16 +149,18 @@ def _step(turn: float, s: int) -> tuple[int, int]:
     return away(dr), away(dc)
 
 
-def horizon_along(px: DataFrame, height: str, dr: int, dc: int, name: str) -> DataFrame:
-    """px with the steepest rise (height over pixels, -inf at the end) to any pixel ahead along rows or columns.
+def _horizons(px: DataFrame, height: str, down: bool, names: tuple[str, str]) -> DataFrame:
+    """(r, c, names): the steepest rise (height over pixels, -inf at the end) to any pixel on and back along columns (down) or
+    rows, for pixels with a height.
 
-    Lines are cut into segments. In one step over blocks of segments a pixel finds the steepest rise in its own, and
-    whether it is a corner of the segment's upper hull; only corners can be steepest from outside. The hulls of all
-    segments ahead are joined to one, corner by corner, and each pixel looks at the corners of that one.
+    Lines are cut into segments. In one step over blocks of segments a pixel finds the steepest rise to either side in its
+    own, and whether it is a corner of the segment's upper hull; only corners can be steepest from outside, and they are the
+    same from both sides. The hulls of all segments ahead are joined to one, corner by corner, and each pixel looks at the
+    corners of that one. A line of one segment has no hull ahead.
     """
-    lines, at = 64, F.col("r") * dr + F.col("c") * dc
-    p = px.withColumns({"_line": F.col("c") if dr else F.col("r"), "_at": at, "_seg": F.floor(at / SEGMENT)})
-    schema = "_line long, _seg long, _at long, _near double, _corner boolean, _h double"
+    lines = 64
+    p = px.where(F.col(height).isNotNull()).select(F.col("c" if down else "r").cast("long").alias("_line"), F.col("r" if down else "c").cast("long").alias("_at"), F.col(height).cast("double").alias("_h")).withColumn("_seg", F.floor(F.col("_at") / SEGMENT))
+    schema = "_line long, _seg long, _at long, _on double, _back double, _corner boolean, _h double"
 
     def near(key, table):
         h = np.full((lines, SEGMENT), np.nan)
@@ -169,46 +171,54 @@ def horizon_along(px: DataFrame, height: str, dr: int, dc: int, name: str) -> Da
             slope = (h[:, d:] - h[:, :-d]) / d
             ahead[:, :-d], behind[:, d:] = np.fmax(ahead[:, :-d], slope), np.fmin(behind[:, d:], slope)
         at_ = line, along
-        return pa.table({"_line": table["_line"], "_seg": pa.array(np.full(len(line), key[1].as_py())), "_at": table["_at"], "_near": pa.array(ahead[at_]), "_corner": pa.array((ahead <= behind)[at_]), "_h": table["_h"]})
+        return pa.table({"_line": table["_line"], "_seg": pa.array(np.full(len(line), key[1].as_py())), "_at": table["_at"], "_on": pa.array(ahead[at_]), "_back": pa.array(-behind[at_]), "_corner": pa.array((ahead <= behind)[at_]), "_h": table["_h"]})
 
     block = F.floor(F.col("_line") / lines).alias("_block")
-    seen = settle(p.where(F.col(height).isNotNull()).select(F.col("_line").cast("long"), F.col("_at").cast("long"), "_seg", F.col(height).cast("double").alias("_h")).groupBy(block, "_seg").applyInArrow(near, schema))
-
-    def beyond(key, table):
-        order = np.lexsort((table["_at"].to_numpy(), -table["_seg"].to_numpy()))
-        seg, at_, h = (table[c].to_numpy()[order] for c in ("_seg", "_at", "_h"))
-        out_seg, out_at, out_h, hull = [], [], [], []
-        for s in np.unique(seg)[::-1].tolist():
-            out_seg += [s] * len(hull)
-            out_at += [x for x, _ in hull]
-            out_h += [y for _, y in hull]
-            own = sorted(zip(at_[seg == s].tolist(), h[seg == s].tolist(), strict=True), reverse=True)
-            for x, y in own:  # from the far end: hull[-1] is the nearest corner so far
-                while len(hull) > 1 and (hull[-1][1] - y) * (hull[-2][0] - x) <= (hull[-2][1] - y) * (hull[-1][0] - x):
-                    hull.pop()
-                hull.append((x, y))
-        return pa.table({"_line": pa.array([key[0].as_py()] * len(out_seg), pa.int64()), "_seg": pa.array(out_seg, pa.int64()), "_x": pa.array(out_at, pa.int64()), "_y": pa.array(out_h, pa.float64())})
-
-    corners = seen.where("_corner").select("_line", "_seg", "_at", "_h").groupBy("_line").applyInArrow(beyond, "_line long, _seg long, _x long, _y double")
-    far = corners.groupBy("_line", "_seg").agg(F.collect_list(F.struct("_x", "_y")).alias("_far"))  # the corners of one hull
-    steepest = F.array_max(F.transform("_far", lambda k: (k["_y"] - F.col("_h")) / (k["_x"] - F.col("_at"))))
-    found = seen.join(far, ["_line", "_seg"], "left").select("_line", "_at", F.greatest("_near", F.coalesce(steepest, F.lit(float("-inf")))).alias(name))
-    return p.join(found, ["_line", "_at"], "left").drop("_line", "_at", "_seg")
+    seen = settle(p.groupBy(block, "_seg").applyInArrow(near, schema))
+    several = seen.groupBy("_line").agg(F.min("_seg").alias("_a"), F.max("_seg").alias("_b")).where("_a < _b").select("_line")
+    corners = seen.where("_corner").select("_line", "_seg", "_at", "_h").join(several, "_line", "left_semi")
+    def beyond(sign: int):
+        def run(key, table):
+            order = np.argsort(-sign * table["_at"].to_numpy())
+            seg, at_, h = (table[c].to_numpy()[order] for c in ("_seg", "_at", "_h"))
+            first = np.flatnonzero(np.concatenate([[True], seg[1:] != seg[:-1]])).tolist()
+            out_seg, out_at, out_h, hull = [], [], [], []
+            for a, b in zip(first, [*first[1:], len(seg)], strict=True):
+                out_seg += [seg[a]] * len(hull)
+                out_at += [x for x, _ in hull]
+                out_h += [y for _, y in hull]
+                for x, y in zip((sign * at_[a:b]).tolist(), h[a:b].tolist(), strict=True):  # from the far end: hull[-1] is the nearest corner so far
+                    while len(hull) > 1 and (hull[-1][1] - y) * (hull[-2][0] - x) <= (hull[-2][1] - y) * (hull[-1][0] - x):
+                        hull.pop()
+                    hull.append((x, y))
+            return pa.table({"_line": pa.array([key[0].as_py()] * len(out_seg), pa.int64()), "_seg": pa.array(out_seg, pa.int64()), "_x": pa.array(out_at, pa.int64()), "_y": pa.array(out_h, pa.float64())})
+
+        return run
+
+    found = seen
+    for name, sign, own in zip(names, (1, -1), ("_on", "_back"), strict=True):
+        far = corners.groupBy("_line").applyInArrow(beyond(sign), "_line long, _seg long, _x long, _y double").groupBy("_line", "_seg").agg(F.collect_list(F.struct("_x", "_y")).alias("_far"))  # the corners of one hull
+        steepest = F.array_max(F.transform("_far", lambda k: (k["_y"] - F.col("_h")) / (k["_x"] - sign * F.col("_at"))))  # noqa: B023
+        found = found.join(far, ["_line", "_seg"], "left").withColumn(name, F.greatest(own, F.coalesce(steepest, F.lit(float("-inf"))))).drop("_far")
+    return found.select(F.col("_at" if down else "_line").alias("r"), F.col("_line" if down else "_at").alias("c"), *names)
 
 
 def sky_view_factor(px: DataFrame, height: str, radius: int | None = None, directions: int = 8) -> DataFrame:
     """px with `svf`: mean over directions of the squared cosine of the horizon angle within the radius, or else the whole raster.
 
-    Directions along rows and columns look over the whole raster by `horizon_along`; others, without a radius, have tiles
+    Directions along rows and columns look over the whole raster by `_horizons`; others, without a radius, have tiles
     whose margin is the raster's diagonal.
     """
     kinds = [_step(2 * math.pi * k / directions, 1) if 4 * k % directions == 0 else None for k in range(directions)]
     lines = [k for k in kinds if k] if radius is None else []
     turns = [2 * math.pi * k / directions for k in range(directions) if radius is not None or kinds[k] is None]
-    out, names = px, []
-    for k, (dr, dc) in enumerate(lines):
-        names.append(f"_horizon{k}")
-        out = horizon_along(out, height, dr, dc, names[-1])
+    out, names = px, {k: f"_horizon{i}" for i, k in enumerate(((0, 1), (0, -1), (1, 0), (-1, 0)))}
+    if lines:
+        once = stored(px.select("r", "c", height))
+        for on, back in (((0, 1), (0, -1)), ((1, 0), (-1, 0))):
+            if on in lines or back in lines:
+                both = names[on], names[back]
+                out = out.join(_horizons(once, height, on[0] == 1, both), ["r", "c"], "left").select(*out.columns, *both)
     if turns:
         reach = radius if radius is not None else extent(px, height)[1]
 
@@ -223,8 +233,8 @@ def sky_view_factor(px: DataFrame, height: str, radius: int | None = None, direc
             return {"_rest": total}
 
         out = on_tiles(out, [height], reach, kernel, {"_rest": "double"})
-    cosine = [1 / (1 + F.pow(F.greatest(F.lit(0.0), F.col(n)), 2)) for n in names] + ([F.col("_rest")] if turns else [])
-    return out.withColumn("svf", reduce(lambda a, b: a + b, cosine) / directions).drop("_rest", *names)
+    cosine = [1 / (1 + F.pow(F.greatest(F.lit(0.0), F.col(names[k])), 2)) for k in lines] + ([F.col("_rest")] if turns else [])
+    return out.withColumn("svf", reduce(lambda a, b: a + b, cosine) / directions).drop("_rest", *names.values())
 
 
 def shadow_mask(px: DataFrame, height: str, azimuth: float, elevation: float, reach: int | None = None) -> DataFrame:
