@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arpent.functions import batches, shapes
+from arpent.functions import batches
 from arpent.functions import geometry as ge
 from arpent.functions.batches import in_order, successors
 from arpent.operators.joins import points_in_boxes
@@ -160,8 +160,10 @@ def _tidy(points: pa.Array) -> pa.Array:
     area = np.bincount(ring, cx * cy[next_] - cx[next_] * cy, len(n)) / 2
     x, y, m = x[bend], y[bend], np.bincount(ring[bend], minlength=len(n))
     begin = np.cumsum(m) - m
-    take = np.concatenate([np.append(np.arange(b, b + k), b) if k else np.zeros(0, int) for b, k in zip(begin, m, strict=True)]).astype(int) if len(m) else np.zeros(0, int)
-    lists = _points(x[take], y[take], np.concatenate([[0], np.cumsum(m + (m > 0))]))
+    ends = np.concatenate([[0], np.cumsum(m + (m > 0))])
+    take = np.arange(ends[-1]) - np.repeat(np.cumsum(m > 0) - (m > 0), m + (m > 0))  # a ring's points, then its first again
+    take[ends[1:][m > 0] - 1] = begin[m > 0]
+    lists = _points(x[take], y[take], ends)
     return pa.StructArray.from_arrays([lists, pa.array(area)], ["ring", "area"])
 
 
@@ -236,10 +238,9 @@ def arcs(borders: DataFrame, tile: float) -> DataFrame:
 
 def _simplified(points: pa.Array, tolerance: float) -> pa.Array:
     values, at = points.flatten(), np.concatenate([[0], np.cumsum(np.array(points.value_lengths()))])
-    xy = np.column_stack([values.field(c).to_numpy() for c in (0, 1)])
-    lines = [shapes.simplify(xy[a:b], tolerance) for a, b in zip(at[:-1], at[1:], strict=True)]
-    flat = np.concatenate(lines) if lines else np.zeros((0, 2))
-    return _points(flat[:, 0], flat[:, 1], np.concatenate([[0], np.cumsum([len(x) for x in lines])]))
+    x, y = (values.field(c).to_numpy() for c in (0, 1))
+    held = batches.simplified(x, y, at, tolerance)
+    return _points(x[held], y[held], np.concatenate([[0], np.cumsum(held)])[at])
 
 
 def simplified_line(points: Column, tolerance: float) -> Column:
